@@ -33,8 +33,9 @@ raw_payments AS (
     FROM source_payments WHERE "type" = 'recarga'
 )"""
 
-CTE_STG = """
-stg_payments AS (
+def stg_cte(name: str = "stg_payments", source: str = "raw_payments") -> str:
+    return f"""
+{name} AS (
     SELECT transaction_id, created_at AS transaction_timestamp,
            CAST(created_at AS DATE) AS transaction_date, status,
            CAST(amount AS DECIMAL(12,2)) AS amount, "type", company_code,
@@ -43,10 +44,13 @@ stg_payments AS (
               PARTITION BY transaction_id
               ORDER BY updated_at DESC NULLS LAST, loaded_at DESC NULLS FIRST,
                        l_suppkey DESC NULLS LAST, l_partkey DESC NULLS LAST) AS rn
-          FROM raw_payments) d
+          FROM {source}) d
     WHERE rn = 1
 )"""
 
+
+CTE_STG = stg_cte()
+
 CTE_SNAPSHOTS = """
 runs AS (
     SELECT * FROM (VALUES (0, TIMESTAMP '1996-01-01 00:00:00'),
@@ -182,3 +186,232 @@ FROM stg_payments p""",
     "payments_enriched": _with(*PIPE, enriched_cte()) + "\nSELECT * FROM enriched",
     "daily_revenue": _with(*PIPE, enriched_cte()) + report_select("enriched"),
 }
+
+
+# ---- extract-load ----------------------------------------------------------
+
+SOURCE_COLS = ("transaction_id, created_at, updated_at, status, amount, \"type\", company_code, "
+               "external_provider_id, client_id, external_client_id")
+RUN1, RUN2 = "TIMESTAMP '1998-07-01 00:00:00'", "TIMESTAMP '2010-01-01 00:00:00'"
+
+CTE_INGEST = f"""
+run1 AS (
+    SELECT {SOURCE_COLS}, {RUN1} AS loaded_at FROM source_payments
+    WHERE "type" = 'recarga' AND updated_at > TIMESTAMP '1970-01-01 00:00:00' AND updated_at <= {RUN1}
+),
+run2 AS (
+    SELECT {SOURCE_COLS}, {RUN2} AS loaded_at FROM source_payments
+    WHERE "type" = 'recarga' AND updated_at > (SELECT max(updated_at) FROM run1)
+      AND updated_at <= {RUN2}
+)"""
+
+EVENT_COLS = "event_id, ts, user_id, event_type, value, props"
+EV1, EV2 = "TIMESTAMP '2024-01-15 00:00:00'", "TIMESTAMP '2024-03-01 00:00:00'"
+
+ORACLE["incremental_extract"] = _with(CTE_SOURCE, CTE_INGEST) + """
+SELECT * FROM run1 UNION ALL SELECT * FROM run2"""
+
+ORACLE["next_watermark"] = _with(CTE_SOURCE, CTE_INGEST) + """
+SELECT 'process_payments' AS table_name, max(updated_at) AS last_loaded_at
+FROM (SELECT updated_at FROM run1 UNION ALL SELECT updated_at FROM run2) r"""
+
+ORACLE["events_incremental_extract"] = f"""
+WITH e1 AS (SELECT {EVENT_COLS}, {EV1} AS loaded_at FROM events
+            WHERE ts > TIMESTAMP '1970-01-01 00:00:00' AND ts <= {EV1}),
+     e2 AS (SELECT {EVENT_COLS}, {EV2} AS loaded_at FROM events
+            WHERE ts > (SELECT max(ts) FROM e1) AND ts <= {EV2})
+SELECT * FROM e1 UNION ALL SELECT * FROM e2"""
+
+ORACLE["dimension_extract_providers"] = _with(CTE_SNAPSHOTS) + """
+SELECT provider_id AS external_provider_id, biller_id AS company_code, commission_rate,
+       commission_type, run_ts AS loaded_at
+FROM provider_snapshots WHERE run_ts = TIMESTAMP '2000-01-01 00:00:00' AND commission_type = 'amount'"""
+
+ORACLE["dimension_extract_clients"] = _with(CTE_SNAPSHOTS) + """
+SELECT client_id, revenue_share, commission_type, run_ts AS loaded_at
+FROM client_snapshots WHERE run_ts = TIMESTAMP '2000-01-01 00:00:00'
+  AND commission_type = 'revenue_share'"""
+
+ORACLE["latest_event_per_user"] = """
+SELECT event_id, ts, user_id, event_type, value, props
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+                                   ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
+      FROM events) e
+WHERE rn = 1"""
+
+# ---- fact ------------------------------------------------------------------
+
+FACT_COLS = ("transaction_id, transaction_date, transaction_timestamp, status, amount, gross_revenue, "
+             "client_payout, net_revenue, client_id, provider_id, biller_id, external_client_id, "
+             "commission_rate, revenue_share, loaded_at")
+
+ORACLE["fact_full"] = _with(*PIPE, enriched_cte()) + f"\nSELECT {FACT_COLS} FROM enriched"
+
+ORACLE["fact_incremental_upsert"] = _with(
+    CTE_SOURCE, CTE_SNAPSHOTS,
+    """
+raw_first AS (SELECT * FROM raw_payments WHERE loaded_at < TIMESTAMP '1998-01-01 00:00:00')""",
+    stg_cte("stg_first", "raw_first"), enriched_cte("stg_first", "enriched_first"),
+    f"""
+fact_first AS (SELECT {FACT_COLS} FROM enriched_first)""",
+    CTE_STG, enriched_cte(),
+    f"""
+delta AS (
+    SELECT {FACT_COLS} FROM enriched
+    WHERE loaded_at > (SELECT coalesce(max(loaded_at), TIMESTAMP '1970-01-01 00:00:00') FROM fact_first)
+)""") + """
+SELECT * FROM fact_first f WHERE NOT EXISTS (SELECT 1 FROM delta d WHERE d.transaction_id = f.transaction_id)
+UNION ALL
+SELECT * FROM delta"""
+
+# ---- OLTP-side writes ----------------------------------------------------------
+
+CTE_OLTP = f"""
+oltp AS (
+    SELECT {SOURCE_COLS}
+    FROM (SELECT *, row_number() OVER (
+              PARTITION BY transaction_id
+              ORDER BY updated_at DESC NULLS LAST, fixture_loaded_at DESC NULLS FIRST,
+                       l_suppkey DESC NULLS LAST, l_partkey DESC NULLS LAST) AS rn
+          FROM source_payments) s
+    WHERE rn = 1
+),
+chosen AS (
+    SELECT transaction_id FROM oltp WHERE status = 'pending'
+    ORDER BY created_at DESC NULLS LAST, transaction_id DESC NULLS LAST LIMIT 100
+)"""
+
+ORACLE["insert_if_absent"] = _with(CTE_SOURCE, CTE_OLTP, f"""
+existing AS (SELECT * FROM oltp WHERE created_at < TIMESTAMP '1998-01-01 00:00:00'),
+incoming AS (
+    SELECT {SOURCE_COLS}
+    FROM (SELECT *, row_number() OVER (
+              PARTITION BY transaction_id
+              ORDER BY updated_at ASC NULLS LAST, fixture_loaded_at ASC NULLS LAST,
+                       l_suppkey ASC NULLS LAST, l_partkey ASC NULLS LAST) AS rn
+          FROM source_payments) s
+    WHERE rn = 1
+)""") + """
+SELECT * FROM existing
+UNION ALL
+SELECT * FROM incoming i WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.transaction_id = i.transaction_id)"""
+
+ORACLE["topk_update"] = _with(CTE_SOURCE, CTE_OLTP) + """
+SELECT transaction_id, created_at,
+       CASE WHEN transaction_id IN (SELECT transaction_id FROM chosen)
+            THEN TIMESTAMP '2010-01-01 00:00:00' ELSE updated_at END AS updated_at,
+       CASE WHEN transaction_id IN (SELECT transaction_id FROM chosen)
+            THEN 'confirmed' ELSE status END AS status,
+       amount, "type", company_code, external_provider_id, client_id, external_client_id
+FROM oltp"""
+
+ORACLE["semi_join_topk"] = _with(CTE_SOURCE, CTE_OLTP) + """
+SELECT * FROM oltp WHERE transaction_id IN (SELECT transaction_id FROM chosen)"""
+
+# ---- data quality ------------------------------------------------------------
+
+CTE_DQ_TABLES = """
+fact_payments AS (SELECT * FROM enriched),
+daily_revenue AS (""" + report_select("enriched") + """),
+raw_providers AS (
+    SELECT provider_id AS external_provider_id, biller_id AS company_code, commission_rate, commission_type
+    FROM provider_snapshots WHERE run_ts = TIMESTAMP '2000-01-01 00:00:00'),
+raw_clients AS (
+    SELECT client_id, revenue_share, commission_type
+    FROM client_snapshots WHERE run_ts = TIMESTAMP '2000-01-01 00:00:00'),
+payments_enriched AS (SELECT * FROM enriched)"""
+
+DQ_PIPE = (*PIPE, enriched_cte(), CTE_DQ_TABLES)
+
+
+def _union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def _q(name: str) -> str:
+    return name if name != "type" else '"type"'
+
+
+def _dq_not_null() -> str:
+    from revmart.plans.checks import NOT_NULL
+    parts = []
+    for table, cols in NOT_NULL.items():
+        for c in cols:
+            parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'not_null' AS rule, "
+                         f"count(*) FILTER (WHERE {_q(c)} IS NULL) AS failures, "
+                         f"count(*) FILTER (WHERE {_q(c)} IS NULL) AS failing_rows FROM {table}")
+    return _union(parts)
+
+
+def _dq_accepted() -> str:
+    from revmart.plans.checks import ACCEPTED
+    parts = []
+    for table, rules in ACCEPTED.items():
+        for c, values in rules:
+            vals = ", ".join(f"'{v}'" for v in values)
+            bad = f"{_q(c)} IS NOT NULL AND {_q(c)} NOT IN ({vals})"
+            parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, "
+                         f"'accepted_values' AS rule, "
+                         f"count(DISTINCT CASE WHEN {bad} THEN {_q(c)} END) AS failures, "
+                         f"count(*) FILTER (WHERE {bad}) AS failing_rows FROM {table}")
+    return _union(parts)
+
+
+def _dq_unique() -> str:
+    from revmart.plans.checks import UNIQUE
+    parts = []
+    for table, keys in UNIQUE.items():
+        k = ", ".join(keys)
+        nn = " AND ".join(f"{c} IS NOT NULL" for c in keys)
+        parts.append(f"SELECT '{table}' AS table_name, '{','.join(keys)}' AS column_name, "
+                     f"'unique' AS rule, count(*) AS failures, "
+                     f"CAST(coalesce(sum(n), 0) AS BIGINT) AS failing_rows "
+                     f"FROM (SELECT {k}, count(*) AS n FROM {table} WHERE {nn} "
+                     f"GROUP BY {k} HAVING count(*) > 1) d")
+    return _union(parts)
+
+
+def _dq_lengths() -> str:
+    from revmart.plans.checks import RAW_PAYMENT_LENGTHS
+    parts = []
+    for c, n in RAW_PAYMENT_LENGTHS.items():
+        parts.append(f"SELECT 'raw_payments' AS table_name, '{c}' AS column_name, 'max_length' AS rule, "
+                     f"count(*) FILTER (WHERE length({_q(c)}) > {n}) AS failures, "
+                     f"count(*) FILTER (WHERE length({_q(c)}) > {n}) AS failing_rows FROM raw_payments")
+    return _union(parts)
+
+
+def _dq_scd2(table: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    per_key = f"""(SELECT {k}, count(*) FILTER (WHERE valid_to IS NULL) AS open_rows,
+            count(*) FILTER (WHERE nxt IS NOT NULL AND (valid_to IS NULL OR valid_to > nxt)) AS n_overlaps
+     FROM (SELECT *, lead(valid_from) OVER (PARTITION BY {k}
+                                           ORDER BY valid_from, valid_to NULLS LAST) AS nxt
+           FROM {table}) x GROUP BY {k})"""
+    col = ",".join(keys)
+    return _union([
+        f"SELECT '{table}' AS table_name, '{col}' AS column_name, 'scd2_no_overlap' AS rule, "
+        f"count(*) FILTER (WHERE n_overlaps > 0) AS failures, "
+        f"CAST(coalesce(sum(n_overlaps), 0) AS BIGINT) AS failing_rows FROM {per_key} a",
+        f"SELECT '{table}' AS table_name, '{col}' AS column_name, 'scd2_single_open_row' AS rule, "
+        f"count(*) FILTER (WHERE open_rows > 1) AS failures, "
+        f"CAST(coalesce(sum(open_rows) FILTER (WHERE open_rows > 1), 0) AS BIGINT) AS failing_rows "
+        f"FROM {per_key} b",
+    ])
+
+
+ORACLE["dq_not_null"] = _with(*DQ_PIPE) + "\n" + _dq_not_null()
+ORACLE["dq_accepted_values"] = _with(*DQ_PIPE) + "\n" + _dq_accepted()
+ORACLE["dq_unique"] = _with(*DQ_PIPE) + "\n" + _dq_unique()
+ORACLE["dq_max_length"] = _with(CTE_SOURCE) + "\n" + _dq_lengths()
+ORACLE["dq_scd2_overlap"] = _with(CTE_SNAPSHOTS) + "\n" + _union([
+    _dq_scd2("provider_history", ["provider_id", "biller_id"]),
+    _dq_scd2("client_history", ["client_id"])])
+ORACLE["dq_confirmation_rate_range"] = _with(*PIPE, enriched_cte(), """
+daily_revenue AS (""" + report_select("enriched") + ")") + """
+SELECT 'daily_revenue' AS table_name, 'confirmation_rate' AS column_name, 'range' AS rule,
+       count(*) FILTER (WHERE confirmation_rate IS NOT NULL AND NOT (confirmation_rate BETWEEN 0 AND 1))
+           AS failures,
+       count(*) FILTER (WHERE confirmation_rate IS NOT NULL AND NOT (confirmation_rate BETWEEN 0 AND 1))
+           AS failing_rows
+FROM daily_revenue"""

@@ -10,9 +10,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from revmart.plans import enrich, marts, snapshots, staging
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from revmart.functions.columns import ts_lit
+from revmart.operators.dedup import SortKey, latest_version
+from revmart.operators.topk import semi_join, top_k_keys, update_top_k
+from revmart.operators.upsert import insert_if_absent
+from revmart.plans import checks, enrich, fact, ingest, marts, snapshots, staging
+from revmart.schemas import RAW_CLIENTS, RAW_PAYMENTS, RAW_PROVIDERS, SOURCE_PAYMENTS, WATERMARK
+from revmart.session import scratch_path
+from revmart.sinks.storage import read_batches, read_current, version_id
 from revmart.sources import fixtures as fx
+from revmart.sources.tables import layer_table, read_table
+
+# Fixed scenario parameters of the multi-run queries.
+INGEST_RUNS = ["1998-07-01 00:00:00", "2010-01-01 00:00:00"]
+EVENT_INGEST_RUNS = ["2024-01-15 00:00:00", "2024-03-01 00:00:00"]
+FACT_FIRST_LOAD_BEFORE = "1998-01-01 00:00:00"
+INSERT_EXISTING_BEFORE = "1998-01-01 00:00:00"
+TOPK_N = 100
+TOPK_RUN_TS = "2010-01-01 00:00:00"
 
 
 def _stg(spark, sf_dir) -> DataFrame:
@@ -33,6 +51,16 @@ def _enriched(spark, sf_dir, strategy="versions") -> DataFrame:
                                   _client_history(spark, sf_dir), strategy=strategy)
 
 
+def _oltp_payments(spark, sf_dir) -> DataFrame:
+    """The OLTP table (one row per payment): latest version of every source row."""
+    src = fx.source_payments(spark, sf_dir)
+    order = staging.payment_order(fx.TIEBREAK)
+    order = [SortKey("updated_at"), SortKey("fixture_loaded_at", nulls_first=True)] + order[2:]
+    return latest_version(src, ["transaction_id"], order).select(*SOURCE_PAYMENTS.fieldNames())
+
+
+# ---- staging, snapshots, dimensions --------------------------------------
+
 def q_latest_payments(spark, sf_dir):
     return _stg(spark, sf_dir)
 
@@ -53,6 +81,8 @@ def q_dim_clients_current(spark, sf_dir):
     return marts.dim_clients(_client_history(spark, sf_dir))
 
 
+# ---- point-in-time lookups, enrichment, marts -----------------------------
+
 def q_interval_lookup_providers(spark, sf_dir):
     out = enrich.lookup_commission(_stg(spark, sf_dir), _provider_history(spark, sf_dir))
     return out.select("transaction_id", "transaction_timestamp", "provider_id",
@@ -72,8 +102,172 @@ def q_daily_revenue(spark, sf_dir):
     return marts.daily_revenue(marts.fact_rows(_enriched(spark, sf_dir)))
 
 
+def q_fact_full(spark, sf_dir):
+    root = layer_table(scratch_path(spark, "fact_full"), "marts", "fact_payments")
+    fact.refresh_fact(spark, fx.raw_payments(spark, sf_dir), _provider_history(spark, sf_dir),
+                      _client_history(spark, sf_dir), root, version_id(INGEST_RUNS[0]),
+                      full_refresh=True, tiebreak=fx.TIEBREAK)
+    return fact.read_fact(spark, root)
+
+
+def q_fact_incremental_upsert(spark, sf_dir):
+    """First load from the raw rows loaded before a cutoff, then one incremental run."""
+    root = layer_table(scratch_path(spark, "fact_incr"), "marts", "fact_payments")
+    raw = fx.raw_payments(spark, sf_dir)
+    ph, ch = _provider_history(spark, sf_dir), _client_history(spark, sf_dir)
+    first = raw.where(F.col("loaded_at") < ts_lit(FACT_FIRST_LOAD_BEFORE))
+    fact.refresh_fact(spark, first, ph, ch, root, version_id(INGEST_RUNS[0]), tiebreak=fx.TIEBREAK)
+    fact.refresh_fact(spark, raw, ph, ch, root, version_id(INGEST_RUNS[1]), tiebreak=fx.TIEBREAK)
+    return fact.read_fact(spark, root)
+
+
+# ---- extract-load ---------------------------------------------------------
+
+def _two_ingest_runs(spark, sf_dir):
+    base = scratch_path(spark, "ingest")
+    raw_root, control_root = layer_table(base, "raw", "payments"), layer_table(base, "raw", "watermark")
+    source = fx.source_payments(spark, sf_dir, with_tiebreak=False)
+    for run_ts in INGEST_RUNS:
+        visible = source.where(F.col("updated_at") <= ts_lit(run_ts))  # the OLTP at run time
+        ingest.incremental_ingest(spark, visible, raw_root, control_root, run_ts,
+                                  type_filter=ingest.payments_type_filter())
+    return raw_root, control_root
+
+
+def q_incremental_extract(spark, sf_dir):
+    raw_root, _ = _two_ingest_runs(spark, sf_dir)
+    return read_batches(spark, raw_root, RAW_PAYMENTS)
+
+
+def q_next_watermark(spark, sf_dir):
+    _, control_root = _two_ingest_runs(spark, sf_dir)
+    return read_current(spark, control_root, WATERMARK)
+
+
+def _events_raw_schema(events: DataFrame) -> T.StructType:
+    return T.StructType(events.schema.fields + [T.StructField("loaded_at", T.TimestampNTZType())])
+
+
+def q_events_incremental_extract(spark, sf_dir):
+    """The same ingest job on the events table (mark on ts)."""
+    base = scratch_path(spark, "events_ingest")
+    raw_root, control_root = layer_table(base, "raw", "events"), layer_table(base, "raw", "watermark")
+    events = read_table(spark, sf_dir, "events")
+    schema = _events_raw_schema(events)
+    for run_ts in EVENT_INGEST_RUNS:
+        visible = events.where(F.col("ts") <= ts_lit(run_ts))
+        ingest.incremental_ingest(spark, visible, raw_root, control_root, run_ts,
+                                  table_name="events", mark_col="ts", columns=events.columns,
+                                  key_col="event_id", raw_schema=schema)
+    return read_batches(spark, raw_root, schema)
+
+
+def _two_dimension_loads(spark, sf_dir, kind):
+    root = layer_table(scratch_path(spark, f"dim_{kind}"), "raw", kind)
+    for run in (0, 2):
+        run_ts = fx.SNAPSHOT_RUNS[run]
+        if kind == "providers":
+            ingest.refresh_providers(fx.provider_source(spark, sf_dir, run), root, run_ts)
+        else:
+            ingest.refresh_clients(fx.client_source(spark, sf_dir, run), root, run_ts)
+    return read_current(spark, root, RAW_PROVIDERS if kind == "providers" else RAW_CLIENTS)
+
+
+def q_dimension_extract_providers(spark, sf_dir):
+    return _two_dimension_loads(spark, sf_dir, "providers")
+
+
+def q_dimension_extract_clients(spark, sf_dir):
+    return _two_dimension_loads(spark, sf_dir, "clients")
+
+
+# ---- events: the operators on a second table ------------------------------
+
+def q_latest_event_per_user(spark, sf_dir):
+    events = read_table(spark, sf_dir, "events")
+    return latest_version(events, ["user_id"], [SortKey("ts"), SortKey("event_id")])
+
+
+# ---- OLTP-side writes -----------------------------------------------------
+
+def q_insert_if_absent(spark, sf_dir):
+    """Insert every source payment whose id is new; the first version of each wins."""
+    src = fx.source_payments(spark, sf_dir)
+    existing = (_oltp_payments(spark, sf_dir)
+                .where(F.col("created_at") < ts_lit(INSERT_EXISTING_BEFORE)))
+    first_version = [SortKey("updated_at", descending=False), SortKey("fixture_loaded_at", descending=False),
+                     SortKey("l_suppkey", descending=False), SortKey("l_partkey", descending=False)]
+    return insert_if_absent(existing, src, ["transaction_id"], first_version)
+
+
+def _pending_newest():
+    return (F.col("status") == F.lit("pending"),
+            [SortKey("created_at"), SortKey("transaction_id")])
+
+
+def q_topk_update(spark, sf_dir):
+    where, order = _pending_newest()
+    return update_top_k(_oltp_payments(spark, sf_dir), ["transaction_id"], where, order, TOPK_N,
+                        {"status": F.lit("confirmed"), "updated_at": ts_lit(TOPK_RUN_TS)})
+
+
+def q_semi_join_topk(spark, sf_dir):
+    where, order = _pending_newest()
+    table = _oltp_payments(spark, sf_dir)
+    return semi_join(table, top_k_keys(table, ["transaction_id"], where, order, TOPK_N),
+                     ["transaction_id"])
+
+
+# ---- data quality ---------------------------------------------------------
+
+def _dq_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    enriched = _enriched(spark, sf_dir)
+    fact_df = marts.fact_rows(enriched)
+    last = len(fx.SNAPSHOT_RUNS) - 1
+    return {
+        "source_payments": fx.source_payments(spark, sf_dir),
+        "raw_payments": fx.raw_payments(spark, sf_dir),
+        "stg_payments": _stg(spark, sf_dir),
+        "payments_enriched": enriched,
+        "fact_payments": fact_df,
+        "daily_revenue": marts.daily_revenue(fact_df),
+        "raw_providers": fx.provider_source(spark, sf_dir, last),
+        "raw_clients": fx.client_source(spark, sf_dir, last),
+    }
+
+
+def q_dq_unique(spark, sf_dir):
+    return checks.unique_suite(_dq_tables(spark, sf_dir))
+
+
+def q_dq_not_null(spark, sf_dir):
+    return checks.not_null_suite(_dq_tables(spark, sf_dir))
+
+
+def q_dq_accepted_values(spark, sf_dir):
+    return checks.accepted_values_suite(_dq_tables(spark, sf_dir))
+
+
+def q_dq_max_length(spark, sf_dir):
+    return checks.length_suite(fx.raw_payments(spark, sf_dir))
+
+
+def q_dq_scd2_overlap(spark, sf_dir):
+    return checks.scd2_suite(_provider_history(spark, sf_dir), _client_history(spark, sf_dir))
+
+
+def q_dq_confirmation_rate_range(spark, sf_dir):
+    return checks.report_range_suite(marts.daily_revenue(marts.fact_rows(_enriched(spark, sf_dir))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "incremental_extract": q_incremental_extract,
+    "next_watermark": q_next_watermark,
+    "events_incremental_extract": q_events_incremental_extract,
+    "dimension_extract_providers": q_dimension_extract_providers,
+    "dimension_extract_clients": q_dimension_extract_clients,
     "latest_payments": q_latest_payments,
+    "latest_event_per_user": q_latest_event_per_user,
     "scd2_providers": q_scd2_providers,
     "scd2_clients": q_scd2_clients,
     "dim_providers_current": q_dim_providers_current,
@@ -81,5 +275,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interval_lookup_providers": q_interval_lookup_providers,
     "interval_lookup_clients": q_interval_lookup_clients,
     "payments_enriched": q_payments_enriched,
+    "fact_full": q_fact_full,
+    "fact_incremental_upsert": q_fact_incremental_upsert,
     "daily_revenue": q_daily_revenue,
+    "insert_if_absent": q_insert_if_absent,
+    "topk_update": q_topk_update,
+    "semi_join_topk": q_semi_join_topk,
+    "dq_unique": q_dq_unique,
+    "dq_not_null": q_dq_not_null,
+    "dq_accepted_values": q_dq_accepted_values,
+    "dq_max_length": q_dq_max_length,
+    "dq_scd2_overlap": q_dq_scd2_overlap,
+    "dq_confirmation_rate_range": q_dq_confirmation_rate_range,
 }
