@@ -33,6 +33,19 @@ def assert_unique(df: DataFrame, keys: list[str], what: str = "input") -> None:
         raise DuplicateKeyError(f"{what} is not unique on {keys}")
 
 
+def guard_unique(df: DataFrame, keys: list[str], what: str = "input") -> DataFrame:
+    """``df`` unchanged, but the job fails if a key occurs twice.
+
+    Checked inside the same job (``raise_error``), partitioned by the keys:
+    a later join on the same keys reuses that partitioning, so the guard
+    costs no extra shuffle and no extra action.
+    """
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    msg = F.lit(f"{what} is not unique on {keys}")
+    guarded = df.withColumn("__n", n).where(F.when(F.col("__n") > 1, F.raise_error(msg)).isNull())
+    return guarded.drop("__n")
+
+
 def scd2_step(history: DataFrame, incoming: DataFrame, keys: list[str], check_cols: list[str],
               run_ts: Column, valid_from: str = "valid_from", valid_to: str = "valid_to",
               check_unique: bool = True) -> DataFrame:
@@ -40,39 +53,38 @@ def scd2_step(history: DataFrame, incoming: DataFrame, keys: list[str], check_co
 
     ``incoming`` must hold ``keys``, ``check_cols`` and any other columns of
     the history (all but the validity columns); it must be unique by key.
+    History is read once: a full outer join on the keys whose residual
+    condition admits only the open row, so closed rows pass through as
+    unmatched left rows and each key emits its old row, its new row or both.
     """
     if check_unique:
-        assert_unique(incoming, keys, "scd2 incoming snapshot")
+        incoming = guard_unique(incoming, keys, "scd2 incoming snapshot")
     data_cols = [c for c in history.columns if c not in (valid_from, valid_to)]
-    closed = history.where(F.col(valid_to).isNotNull())
-    open_rows = history.where(F.col(valid_to).isNull())
-
-    o = open_rows.select(*[F.col(c).alias(f"o_{c}") for c in data_cols],
-                         F.col(valid_from).alias("o__from"), F.lit(True).alias("o__present"))
+    o = history.select(*[F.col(c).alias(f"o_{c}") for c in data_cols],
+                       F.col(valid_from).alias("o__from"), F.col(valid_to).alias("o__to"),
+                       F.lit(True).alias("o__present"))
     i = incoming.select(*[F.col(c).alias(f"i_{c}") for c in data_cols],
                         F.lit(True).alias("i__present"))
-    cond = None
+    cond = F.col("o__to").isNull()
     for k in keys:
-        c = F.col(f"o_{k}") == F.col(f"i_{k}")
-        cond = c if cond is None else cond & c
+        cond = (F.col(f"o_{k}") == F.col(f"i_{k}")) & cond
     j = o.join(i, cond, "full_outer")
 
-    in_open = F.col("o__present").isNotNull()
+    in_old = F.col("o__present").isNotNull()
     in_new = F.col("i__present").isNotNull()
-    changed = in_open & in_new & null_safe_differs(
+    changed = in_old & in_new & null_safe_differs(
         [F.col(f"o_{c}") for c in check_cols], [F.col(f"i_{c}") for c in check_cols])
 
-    old_row = F.when(in_open, F.struct(
+    old_row = F.when(in_old, F.struct(
         *[F.col(f"o_{c}").alias(c) for c in data_cols],
         F.col("o__from").alias(valid_from),
-        F.when(changed, run_ts).alias(valid_to)))
-    new_row = F.when((in_new & ~in_open) | changed, F.struct(
+        F.when(changed, run_ts).otherwise(F.col("o__to")).alias(valid_to)))
+    new_row = F.when((in_new & ~in_old) | changed, F.struct(
         *[F.col(f"i_{c}").alias(c) for c in data_cols],
         run_ts.alias(valid_from),
         F.lit(None).cast(history.schema[valid_to].dataType).alias(valid_to)))
-    # One pass over the join: each key emits its old row, its new row, or both.
     stepped = j.select(F.inline(F.filter(F.array(old_row, new_row), lambda r: r.isNotNull())))
-    return closed.unionByName(stepped.select(*history.columns))
+    return stepped.select(*history.columns)
 
 
 def empty_history(spark, schema_cols: list[tuple[str, str]], valid_from: str = "valid_from",

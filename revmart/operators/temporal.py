@@ -16,14 +16,16 @@ Strategies (same answers, checked by the tests):
   covering element is picked with ``filter`` on the array.
 
 Both joins keep every fact row and add at most one history row per fact
-row. The history side is broadcast only after its row count has been
-checked against ``max_broadcast_rows``; above the bound the join
-shuffles on the keys (sort-merge), with AQE splitting a hot key's
-partition on the fact side.
+row. The history side is broadcast only after its size has been counted
+against ``max_broadcast_rows`` (history rows); the counted side is cached
+so the check and the broadcast share one computation. Above the bound the
+cache is dropped and the join shuffles on the keys (sort-merge), with
+AQE's skew handling splitting a hot key's partition on the fact side.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,12 +41,12 @@ def interval_lookup(facts: DataFrame, history: DataFrame, on: dict[str, str], ts
 
     ``on`` maps fact key columns to history key columns.
     """
-    if broadcast is None:
-        broadcast = history.count() <= max_broadcast_rows
     if strategy == "range":
-        return _range_lookup(facts, history, on, ts_col, values, valid_from, valid_to, broadcast)
+        return _range_lookup(facts, history, on, ts_col, values, valid_from, valid_to, broadcast,
+                             max_broadcast_rows)
     if strategy == "versions":
-        return _versions_lookup(facts, history, on, ts_col, values, valid_from, valid_to, broadcast)
+        return _versions_lookup(facts, history, on, ts_col, values, valid_from, valid_to,
+                                broadcast, max_broadcast_rows)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
@@ -52,7 +54,21 @@ def _maybe_broadcast(df: DataFrame, broadcast: bool) -> DataFrame:
     return F.broadcast(df) if broadcast else df
 
 
-def _range_lookup(facts, history, on, ts_col, values, valid_from, valid_to, broadcast):
+def _size_checked(side: DataFrame, size_expr, max_rows: int,
+                  broadcast: bool | None) -> tuple[DataFrame, bool]:
+    """Decide broadcast by counting ``side`` (cached while it is small)."""
+    if broadcast is not None:
+        return side, broadcast
+    cached = side.persist(StorageLevel.MEMORY_AND_DISK)
+    size = cached.agg(size_expr.alias("n")).first()["n"] or 0
+    if size <= max_rows:
+        return cached, True
+    cached.unpersist()
+    return side, False
+
+
+def _range_lookup(facts, history, on, ts_col, values, valid_from, valid_to, broadcast,
+                  max_broadcast_rows):
     hkeys = [f"__k{i}" for i in range(len(on))]
     cover_cols = {v: f"__cover_{v}" for v in values}
     cur_cols = {v: f"__cur_{v}" for v in values}
@@ -62,6 +78,7 @@ def _range_lookup(facts, history, on, ts_col, values, valid_from, valid_to, broa
         *[F.col(v).alias(v) for v in values])
     # One covering row per key and instant holds only for non-overlapping
     # history (checked by quality.scd2_overlaps); use ``versions`` otherwise.
+    renamed, broadcast = _size_checked(renamed, F.count(F.lit(1)), max_broadcast_rows, broadcast)
     cover_side = renamed.select(*hkeys, "__from", "__to",
                                 *[F.col(v).alias(cover_cols[v]) for v in values])
     current_side = renamed.where(F.col("__to").isNull()).select(
@@ -95,11 +112,14 @@ def collapse_versions(history: DataFrame, keys: list[str], values: list[str],
         F.max_by(current, open_from).alias("__current"))
 
 
-def _versions_lookup(facts, history, on, ts_col, values, valid_from, valid_to, broadcast):
+def _versions_lookup(facts, history, on, ts_col, values, valid_from, valid_to, broadcast,
+                     max_broadcast_rows):
     hkeys = list(on.values())
     collapsed = collapse_versions(history, hkeys, list(values), valid_from, valid_to)
     aliased = collapsed.select(*[F.col(h).alias(f"__k{i}") for i, h in enumerate(hkeys)],
                                "__versions", "__current")
+    aliased, broadcast = _size_checked(aliased, F.sum(F.size("__versions")),
+                                       max_broadcast_rows, broadcast)
     eq = [F.col(f) == F.col(f"__k{i}") for i, f in enumerate(on.keys())]
     cond = eq[0]
     for c in eq[1:]:

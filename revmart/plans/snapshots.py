@@ -1,39 +1,75 @@
-"""SCD2 snapshot models of the two rate dimensions."""
+"""SCD2 snapshot models of the two rate dimensions.
+
+Each snapshot run reads the committed history, applies one ``scd2_step``
+and commits the result as the next version of the history table, so a
+run's lineage is one step deep and a crashed run changes nothing.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revmart.functions.columns import ts_lit
-from revmart.operators.scd2 import empty_history, scd2_step
+from revmart.operators.scd2 import scd2_step
+from revmart.sinks.storage import read_current, version_id, write_version
 
 PROVIDER_KEYS = ["provider_id", "biller_id"]
 PROVIDER_CHECK = ["commission_rate", "commission_type"]
-PROVIDER_TYPES = [("provider_id", "string"), ("biller_id", "string"),
-                  ("commission_rate", "decimal(5,4)"), ("commission_type", "string")]
 CLIENT_KEYS = ["client_id"]
 CLIENT_CHECK = ["revenue_share", "commission_type"]
-CLIENT_TYPES = [("client_id", "string"), ("revenue_share", "decimal(5,4)"),
-                ("commission_type", "string")]
 
+_VALIDITY = [T.StructField("valid_from", T.TimestampNTZType(), False),
+             T.StructField("valid_to", T.TimestampNTZType(), True)]
+PROVIDER_HISTORY = T.StructType([
+    T.StructField("provider_id", T.StringType(), True),
+    T.StructField("biller_id", T.StringType(), True),
+    T.StructField("commission_rate", T.DecimalType(5, 4), True),
+    T.StructField("commission_type", T.StringType(), True),
+] + _VALIDITY)
+CLIENT_HISTORY = T.StructType([
+    T.StructField("client_id", T.StringType(), True),
+    T.StructField("revenue_share", T.DecimalType(5, 4), True),
+    T.StructField("commission_type", T.StringType(), True),
+] + _VALIDITY)
+
+SPECS = {
+    "providers": (PROVIDER_HISTORY, PROVIDER_KEYS, PROVIDER_CHECK),
+    "clients": (CLIENT_HISTORY, CLIENT_KEYS, CLIENT_CHECK),
+}
+
+
+def snapshot_step(history: DataFrame, incoming: DataFrame, run_ts: str, kind: str) -> DataFrame:
+    schema, keys, check = SPECS[kind]
+    data_cols = [f.name for f in schema.fields if f.name not in ("valid_from", "valid_to")]
+    return scd2_step(history, incoming.select(*data_cols), keys, check, ts_lit(run_ts))
 
-def snapshot_providers(history: DataFrame, incoming: DataFrame, run_ts) -> DataFrame:
-    return scd2_step(history, incoming.select(*[c for c, _ in PROVIDER_TYPES]), PROVIDER_KEYS,
-                     PROVIDER_CHECK, ts_lit(run_ts))
 
+def run_snapshot(spark: SparkSession, root: str, incoming: DataFrame, run_ts: str,
+                 kind: str) -> str:
+    """One snapshot run: committed history + incoming -> next committed version."""
+    schema = SPECS[kind][0]
+    history = read_current(spark, root, schema)
+    return write_version(snapshot_step(history, incoming, run_ts, kind).coalesce(1), root,
+                         version_id(run_ts))
 
-def snapshot_clients(history: DataFrame, incoming: DataFrame, run_ts) -> DataFrame:
-    return scd2_step(history, incoming.select(*[c for c, _ in CLIENT_TYPES]), CLIENT_KEYS,
-                     CLIENT_CHECK, ts_lit(run_ts))
 
+def replay(spark: SparkSession, snapshots: DataFrame, runs: list[str], kind: str,
+           root: str | None = None) -> DataFrame:
+    """Run the snapshot once per run time (``run_ts`` picks each run's input).
 
-def replay(spark, snapshots: DataFrame, runs: list[str], kind: str) -> DataFrame:
-    """History after applying each run's snapshot in order (``run_ts`` column selects it)."""
-    types = PROVIDER_TYPES if kind == "providers" else CLIENT_TYPES
-    step = snapshot_providers if kind == "providers" else snapshot_clients
-    hist = empty_history(spark, types)
+    With ``root`` every run is committed as a table version (the pipeline's
+    way); without it the runs are chained lazily into one plan, which reads
+    each intermediate history once.
+    """
+    if root is None:
+        history = spark.createDataFrame([], SPECS[kind][0])
+        for run in runs:
+            incoming = snapshots.where(F.col("run_ts") == ts_lit(run)).drop("run_ts")
+            history = snapshot_step(history, incoming, run, kind)
+        return history
     for run in runs:
         incoming = snapshots.where(F.col("run_ts") == ts_lit(run)).drop("run_ts")
-        hist = step(hist, incoming, run)
-    return hist
+        run_snapshot(spark, root, incoming, run, kind)
+    return read_current(spark, root, SPECS[kind][0])
