@@ -415,3 +415,14 @@ SELECT 'daily_revenue' AS table_name, 'confirmation_rate' AS column_name, 'range
        count(*) FILTER (WHERE confirmation_rate IS NOT NULL AND NOT (confirmation_rate BETWEEN 0 AND 1))
            AS failing_rows
 FROM daily_revenue"""
+
+# ---- streaming ingest ----------------------------------------------------------
+
+ORACLE["stream_ingest"] = _with(
+    CTE_SOURCE, CTE_SNAPSHOTS, f"""
+raw_stream AS (
+    SELECT {SOURCE_COLS}, l_suppkey, l_partkey,
+           CASE WHEN updated_at <= {RUN1} THEN {RUN1} ELSE {RUN2} END AS loaded_at
+    FROM source_payments WHERE "type" = 'recarga' AND updated_at <= {RUN2}
+)""", stg_cte("stg_stream", "raw_stream"), enriched_cte("stg_stream", "enriched_stream")) + f"""
+SELECT {FACT_COLS} FROM enriched_stream"""

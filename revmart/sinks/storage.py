@@ -71,6 +71,11 @@ def append_batch(df: DataFrame, root: str, batch_id: str) -> str:
     return path
 
 
+def read_batch(spark: SparkSession, root: str, batch_id: str, schema: StructType) -> DataFrame:
+    """One batch of an append-only table."""
+    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/batch={batch_id}")
+
+
 def read_batches(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
     """All committed batches of an append-only table (uncommitted ones are hidden)."""
     fs, hroot, _ = _fs(spark, root)
