@@ -37,13 +37,20 @@ def _stg(spark, sf_dir) -> DataFrame:
     return staging.stg_payments(fx.raw_payments(spark, sf_dir), tiebreak=fx.TIEBREAK)
 
 
-def _provider_history(spark, sf_dir) -> DataFrame:
-    return snapshots.replay(spark, fx.provider_snapshots(spark, sf_dir), fx.SNAPSHOT_RUNS,
-                            "providers")
+def _provider_history(spark, sf_dir, replay: bool = False) -> DataFrame:
+    """Provider rate history: replayed run by run with ``scd2_step``, or rebuilt in one
+    pass from the snapshot archive (equal, see tests/test_scd2.py)."""
+    snaps = fx.provider_snapshots(spark, sf_dir)
+    if replay:
+        return snapshots.replay(spark, snaps, fx.SNAPSHOT_RUNS, "providers")
+    return snapshots.rebuild(snaps, "providers")
 
 
-def _client_history(spark, sf_dir) -> DataFrame:
-    return snapshots.replay(spark, fx.client_snapshots(spark, sf_dir), fx.SNAPSHOT_RUNS, "clients")
+def _client_history(spark, sf_dir, replay: bool = False) -> DataFrame:
+    snaps = fx.client_snapshots(spark, sf_dir)
+    if replay:
+        return snapshots.replay(spark, snaps, fx.SNAPSHOT_RUNS, "clients")
+    return snapshots.rebuild(snaps, "clients")
 
 
 def _enriched(spark, sf_dir, strategy="versions") -> DataFrame:
@@ -66,19 +73,19 @@ def q_latest_payments(spark, sf_dir):
 
 
 def q_scd2_providers(spark, sf_dir):
-    return _provider_history(spark, sf_dir)
+    return _provider_history(spark, sf_dir, replay=True)
 
 
 def q_scd2_clients(spark, sf_dir):
-    return _client_history(spark, sf_dir)
+    return _client_history(spark, sf_dir, replay=True)
 
 
 def q_dim_providers_current(spark, sf_dir):
-    return marts.dim_providers(_provider_history(spark, sf_dir))
+    return marts.dim_providers(_provider_history(spark, sf_dir, replay=True))
 
 
 def q_dim_clients_current(spark, sf_dir):
-    return marts.dim_clients(_client_history(spark, sf_dir))
+    return marts.dim_clients(_client_history(spark, sf_dir, replay=True))
 
 
 # ---- point-in-time lookups, enrichment, marts -----------------------------
@@ -275,7 +282,8 @@ def q_dq_max_length(spark, sf_dir):
 
 
 def q_dq_scd2_overlap(spark, sf_dir):
-    return checks.scd2_suite(_provider_history(spark, sf_dir), _client_history(spark, sf_dir))
+    return checks.scd2_suite(_provider_history(spark, sf_dir, replay=True),
+                             _client_history(spark, sf_dir, replay=True))
 
 
 def q_dq_confirmation_rate_range(spark, sf_dir):
