@@ -426,3 +426,5 @@ raw_stream AS (
     FROM source_payments WHERE "type" = 'recarga' AND updated_at <= {RUN2}
 )""", stg_cte("stg_stream", "raw_stream"), enriched_cte("stg_stream", "enriched_stream")) + f"""
 SELECT {FACT_COLS} FROM enriched_stream"""
+
+ORACLE["fact_incremental_partitioned"] = ORACLE["fact_incremental_upsert"]

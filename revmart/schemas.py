@@ -65,6 +65,23 @@ FACT_COLUMNS = [
     "gross_revenue", "client_payout", "net_revenue", "client_id", "provider_id", "biller_id",
     "external_client_id", "commission_rate", "revenue_share", "loaded_at",
 ]
+FACT_SCHEMA = T.StructType([
+    T.StructField("transaction_id", T.StringType()),
+    T.StructField("transaction_date", T.DateType()),
+    T.StructField("transaction_timestamp", TS),
+    T.StructField("status", T.StringType()),
+    T.StructField("amount", MONEY),
+    T.StructField("gross_revenue", ROW_KPI),
+    T.StructField("client_payout", ROW_KPI),
+    T.StructField("net_revenue", ROW_KPI),
+    T.StructField("client_id", T.StringType()),
+    T.StructField("provider_id", T.StringType()),
+    T.StructField("biller_id", T.StringType()),
+    T.StructField("external_client_id", T.StringType()),
+    T.StructField("commission_rate", RATE),
+    T.StructField("revenue_share", RATE),
+    T.StructField("loaded_at", TS),
+])
 REPORT_COLUMNS = [
     "report_date", "client_id", "provider_id", "total_transactions", "confirmed_transactions",
     "total_amount", "confirmed_amount", "gross_revenue", "client_payout", "net_revenue",

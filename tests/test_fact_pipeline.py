@@ -6,7 +6,7 @@ from revmart.functions.columns import ts_lit
 from revmart.plans.fact import fact_delta, read_fact, refresh_fact
 from revmart.plans.marts import fact_rows
 from revmart.plans.enrich import enrich_payments
-from revmart.plans.pipeline import Warehouse, run_pipeline
+from revmart.plans.pipeline import Warehouse, read_pipeline_fact, run_pipeline
 from revmart.plans.staging import stg_payments
 from revmart import queries as Q
 from revmart.session import scratch_path
@@ -50,14 +50,57 @@ def test_pipeline_two_runs(spark):
         s = run_pipeline(spark, wh, visible, fx.provider_source(spark, SF_SMALL, snap),
                          fx.client_source(spark, SF_SMALL, snap), run_ts)
         assert s.payments_loaded > 0
-    fact = read_fact(spark, wh.fact)
+    fact = read_pipeline_fact(spark, wh)
     # one row per payment, all recarga payments present
     n_ids = src.where("type = 'recarga'").select("transaction_id").distinct().count()
     assert fact.count() == n_ids == fact.select("transaction_id").distinct().count()
-    report = read_current(spark, wh.report, fact.schema) if False else None
-    assert report is None
+    report = read_current(spark, wh.report, "report_date date, total_transactions bigint")
+    assert report.agg({"total_transactions": "sum"}).first()[0] == n_ids
     # a third run with no new rows leaves the fact unchanged
     before = _set(fact)
     run_pipeline(spark, wh, src, fx.provider_source(spark, SF_SMALL, 2),
                  fx.client_source(spark, SF_SMALL, 2), "2010-01-02 00:00:00")
-    assert _set(read_fact(spark, wh.fact)) == before
+    assert _set(read_pipeline_fact(spark, wh)) == before
+
+
+def test_partitioned_fact_moves_and_empties_partition(spark):
+    import datetime as dt
+    from revmart.schemas import FACT_SCHEMA
+    from revmart.sinks.partitioned import current_partitions, upsert_partitioned
+    from revmart.plans.fact import PART_COL, read_fact_partitioned, refresh_fact_partitioned
+    raw = fx.raw_payments(spark, SF_SMALL)
+    ph, ch = Q._provider_history(spark, SF_SMALL), Q._client_history(spark, SF_SMALL)
+    root = scratch_path(spark, "fact-part-test")
+    refresh_fact_partitioned(spark, raw, ph, ch, root, "1", tiebreak=fx.TIEBREAK)
+    fact = read_fact_partitioned(spark, root, FACT_SCHEMA)
+    # move every payment of one month to another date: its partition empties
+    month = fact.select(F.date_format("transaction_date", "yyyy-MM").alias("m")).first().m
+    moved = (fact.where(F.date_format("transaction_date", "yyyy-MM") == month)
+             .withColumn("transaction_date", F.lit(dt.date(2030, 1, 1)))
+             .withColumn(PART_COL, F.lit("2030-01")))
+    n_moved = moved.count()
+    stored = FACT_SCHEMA.add(PART_COL, "string")
+    touched = upsert_partitioned(spark, root, stored, moved, ["transaction_id"], PART_COL, "2")
+    assert touched == {month, "2030-01"}
+    parts = current_partitions(spark, root, PART_COL)
+    assert parts[month] is None and parts["2030-01"] is not None
+    after = read_fact_partitioned(spark, root, FACT_SCHEMA)
+    assert after.count() == fact.count()
+    assert after.where(F.col("transaction_date") == dt.date(2030, 1, 1)).count() == n_moved
+
+
+def test_partitioned_uncommitted_revision_is_invisible(spark):
+    import datetime as dt
+    import os
+    from revmart.sinks.partitioned import overwrite_partitioned, read_partitioned
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL("id string, d date, x int")
+    root = scratch_path(spark, "part-crash")
+    df = spark.createDataFrame([("a", dt.date(2025, 1, 1), 1)], schema)
+    overwrite_partitioned(spark, df, root, "d", "0001")
+    # a crashed later run: data folder written, commit marker missing
+    crashed = spark.createDataFrame([("a", dt.date(2025, 1, 1), 2)], schema)
+    crashed.withColumn("__rev", F.lit("0002")).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("d", "__rev").parquet(root)
+    assert [r.x for r in read_partitioned(spark, root, schema, "d").collect()] == [1]
+    assert os.path.isdir(root.replace("file:", "") + "/d=2025-01-01/__rev=0002")
