@@ -70,7 +70,9 @@ def incremental_ingest(spark: SparkSession, source: DataFrame, raw_root: str, co
     if lookback:
         # Rows re-read by the widened window that raw already holds are not
         # loaded again (a reload would win the dedup with a newer loaded_at).
-        seen = read_batches(spark, raw_root, raw_schema).select(key_col, mark_col)
+        # only raw rows inside the widened window can collide (filter pushed to the scan)
+        seen = (read_batches(spark, raw_root, raw_schema).where(F.col(mark_col) > ts_lit(lower))
+                .select(key_col, mark_col))
         extracted = extracted.join(seen, on=[key_col, mark_col], how="left_anti")
     stamped = extracted.withColumn("loaded_at", ts_lit(run_ts))
     obs = Observation(f"ingest_{version_id(run_ts)}")

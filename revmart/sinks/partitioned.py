@@ -80,12 +80,15 @@ def read_partitioned(spark: SparkSession, root: str, schema: StructType, part_co
 def _write(spark: SparkSession, rows: DataFrame, root: str, part_col: str, version: str,
            touched: set[str], files_per_partition: int = 1,
            spread_by: list[str] | None = None) -> None:
-    # One task per (partition, file bucket): a hot partition is split over
-    # ``files_per_partition`` tasks instead of landing in one.
-    cols = [F.col(part_col)]
+    # REBALANCE clusters rows by partition value (few files per partition)
+    # and lets AQE split a hot partition (one day holding a third of the
+    # rows) over several tasks; ``files_per_partition`` forces a spread.
+    out = rows.withColumn(REV, F.lit(version))
     if files_per_partition > 1 and spread_by:
-        cols.append(F.pmod(F.xxhash64(*spread_by), F.lit(files_per_partition)))
-    out = rows.withColumn(REV, F.lit(version)).repartition(*cols)
+        out = out.withColumn("__spread", F.pmod(F.xxhash64(*spread_by), F.lit(files_per_partition)))
+        out = out.hint("rebalance", part_col, "__spread").drop("__spread")
+    else:
+        out = out.hint("rebalance", part_col)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part_col, REV).parquet(root))
     fs, _, jvm = _fs(spark, root)
