@@ -428,3 +428,9 @@ raw_stream AS (
 SELECT {FACT_COLS} FROM enriched_stream"""
 
 ORACLE["fact_incremental_partitioned"] = ORACLE["fact_incremental_upsert"]
+
+ORACLE["daily_revenue_incremental"] = (
+    ORACLE["fact_incremental_upsert"].replace(
+        "\nSELECT * FROM fact_first f WHERE NOT EXISTS",
+        ",\nfinal_fact AS (\nSELECT * FROM fact_first f WHERE NOT EXISTS", 1)
+    + "\n)" + report_select("final_fact"))

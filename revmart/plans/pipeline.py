@@ -18,8 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from revmart.plans import ingest, marts
-from revmart.plans.fact import (read_fact, read_fact_partitioned, refresh_fact,
-                                refresh_fact_partitioned)
+from revmart.plans.fact import (read_fact, read_fact_partitioned, read_report_partitioned,
+                                refresh_fact, refresh_fact_partitioned,
+                                refresh_report_partitioned)
 from revmart.plans.snapshots import SPECS, run_snapshot
 from revmart.plans.staging import client_snapshot_input, provider_snapshot_input
 from revmart.schemas import FACT_SCHEMA, RAW_CLIENTS, RAW_PAYMENTS, RAW_PROVIDERS
@@ -82,12 +83,13 @@ def run_pipeline(spark: SparkSession, wh: Warehouse, payment_source: DataFrame,
     version = version_id(run_ts)
     raw = read_batches(spark, wh.raw_payments, RAW_PAYMENTS)
     if fact_layout == "partitioned":
-        refresh_fact_partitioned(spark, raw, ph, ch, wh.fact, version, full_refresh=full_refresh,
-                                 grain=grain)
+        touched = refresh_fact_partitioned(spark, raw, ph, ch, wh.fact, version,
+                                           full_refresh=full_refresh, grain=grain)
+        # only the report partitions of touched fact partitions change
+        refresh_report_partitioned(spark, wh.fact, wh.report, version, touched, grain)
     else:
         refresh_fact(spark, raw, ph, ch, wh.fact, version, full_refresh=full_refresh)
-    write_version(marts.daily_revenue(read_pipeline_fact(spark, wh, fact_layout)), wh.report,
-                  version)
+        write_version(marts.daily_revenue(read_fact(spark, wh.fact)), wh.report, version)
     write_version(marts.dim_providers(ph), wh.dim_providers, version)
     write_version(marts.dim_clients(ch), wh.dim_clients, version)
     return RunSummary(loaded.rows, loaded.new_mark, version)
@@ -97,3 +99,10 @@ def read_pipeline_fact(spark: SparkSession, wh: Warehouse, fact_layout: str = "p
     if fact_layout == "partitioned":
         return read_fact_partitioned(spark, wh.fact, FACT_SCHEMA)
     return read_fact(spark, wh.fact)
+
+
+def read_pipeline_report(spark: SparkSession, wh: Warehouse, fact_layout: str = "partitioned"):
+    if fact_layout == "partitioned":
+        return read_report_partitioned(spark, wh.report)
+    from revmart.plans.marts import daily_revenue
+    return read_current(spark, wh.report, daily_revenue(read_fact(spark, wh.fact)).schema)
