@@ -99,8 +99,8 @@ def read_fact_mark(spark: SparkSession, fact_root: str) -> dt.datetime:
 
 
 def _save_mark(spark: SparkSession, fact_root: str, mark: dt.datetime, version: str) -> None:
-    df = spark.createDataFrame([(mark,)], "max_loaded_at timestamp_ntz")
-    write_version(df.coalesce(1), _mark_root(fact_root), version)
+    df = spark.range(1).select(ts_lit(mark).alias("max_loaded_at"))
+    write_version(df, _mark_root(fact_root), version)
 
 
 def refresh_fact_partitioned(spark: SparkSession, raw: DataFrame, provider_history: DataFrame,

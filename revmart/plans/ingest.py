@@ -47,7 +47,8 @@ def save_watermark(spark: SparkSession, control_root: str, table_name: str, mark
                    version: str) -> None:
     """Insert or replace the source's row: a new version of the control table."""
     marks = read_current(spark, control_root, WATERMARK)
-    new_row = spark.createDataFrame([(table_name, mark)], WATERMARK)
+    new_row = spark.range(1).select(F.lit(table_name).alias("table_name"),
+                                    ts_lit(mark).alias("last_loaded_at"))
     kept = marks.where(F.col("table_name") != table_name)
     write_version(kept.unionByName(new_row.select(*WATERMARK.fieldNames())).coalesce(1),
                   control_root, version)
