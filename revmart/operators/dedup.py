@@ -51,6 +51,14 @@ def latest_version(df: DataFrame, keys: list[str], order: list[SortKey],
     raise ValueError(f"unknown method {method!r}")
 
 
+def latest_by_aggregate(df: DataFrame, keys: list[str], order: list[SortKey]) -> DataFrame:
+    """The aggregate form on its own: also valid as a streaming aggregation, where
+    the state store keeps each key's current winner."""
+    if not all(k.descending for k in order):
+        raise ValueError("aggregate form needs descending sort keys")
+    return _latest_by_aggregate(df, keys, order)
+
+
 def _latest_by_aggregate(df: DataFrame, keys: list[str], order: list[SortKey]) -> DataFrame:
     """``max_by`` over a struct encoding the order.
 

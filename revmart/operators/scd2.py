@@ -22,17 +22,6 @@ from pyspark.sql import functions as F
 from revmart.functions.columns import null_safe_differs
 
 
-class DuplicateKeyError(ValueError):
-    pass
-
-
-def assert_unique(df: DataFrame, keys: list[str], what: str = "input") -> None:
-    """Fail when a key occurs twice (one aggregation pass, one scalar to the driver)."""
-    dup = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise DuplicateKeyError(f"{what} is not unique on {keys}")
-
-
 def guard_unique(df: DataFrame, keys: list[str], what: str = "input") -> DataFrame:
     """``df`` unchanged, but the job fails if a key occurs twice.
 
@@ -87,12 +76,6 @@ def scd2_step(history: DataFrame, incoming: DataFrame, keys: list[str], check_co
     return stepped.select(*history.columns)
 
 
-def empty_history(spark, schema_cols: list[tuple[str, str]], valid_from: str = "valid_from",
-                  valid_to: str = "valid_to") -> DataFrame:
-    ddl = ", ".join(f"`{n}` {t}" for n, t in schema_cols)
-    return spark.createDataFrame([], f"{ddl}, `{valid_from}` timestamp_ntz, `{valid_to}` timestamp_ntz")
-
-
 def history_from_snapshots(snapshots: DataFrame, keys: list[str], check_cols: list[str],
                            run_col: str = "run_ts", valid_from: str = "valid_from",
                            valid_to: str = "valid_to") -> DataFrame:

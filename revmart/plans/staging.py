@@ -23,6 +23,11 @@ def stg_payments(raw: DataFrame, tiebreak: list[str] | None = None,
                  method: str = "window") -> DataFrame:
     """Latest version of each payment, typed and renamed."""
     latest = latest_version(raw, ["transaction_id"], payment_order(tiebreak), method=method)
+    return stg_project(latest)
+
+
+def stg_project(latest: DataFrame) -> DataFrame:
+    """Typed, renamed staging columns of already-deduplicated payment rows."""
     return latest.select(
         "transaction_id",
         F.col("created_at").alias("transaction_timestamp"),

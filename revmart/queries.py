@@ -237,7 +237,8 @@ def q_stream_ingest(spark, sf_dir):
         run_stream(spark, landing, source.schema, raw_root, fact_root, f"{base}/_checkpoint",
                    run_ts, ph, ch, tiebreak=fx.TIEBREAK)
         prev = run_ts
-    return fact.read_fact(spark, fact_root)
+    from revmart.schemas import FACT_SCHEMA
+    return fact.read_fact_partitioned(spark, fact_root, FACT_SCHEMA)
 
 
 # ---- events: the operators on a second table ------------------------------

@@ -1,74 +1,76 @@
 """Continuous ingest: a landing folder of payment changes -> raw log + fact upsert.
 
 The file source's checkpoint (the set of processed files) replaces the
-batch job's high-water mark, so late rows are never skipped. Each
-micro-batch, in ``foreachBatch``:
+batch job's high-water mark, so late rows are never skipped. Two streaming
+queries share the source:
 
-1. keeps ``type = recarga`` rows, stamps ``loaded_at`` and writes them to
-   the raw log as folder ``batch=<run>-<batch id>``: a replayed batch
-   (after a crash between the sink write and the commit log) overwrites
-   its own folder, so raw stays exactly-once;
-2. upserts the fact for the keys the batch touched: raw is semi-joined to
-   those keys, deduplicated, enriched and merged by key into a new fact
-   version. Re-running a batch recomputes the same rows, so the upsert is
-   idempotent too.
+1. **raw log**: ``type = recarga`` rows, stamped with ``loaded_at``, are
+   written per micro-batch to folder ``batch=<run>-<batch id>``. A replayed
+   batch (crash between the sink write and the commit log) overwrites its
+   own folder, so raw stays exactly-once.
+2. **latest version + fact**: a streaming aggregation
+   ``groupBy(transaction_id).agg(max_by(row, order))`` keeps each payment's
+   current winner in the state store (RocksDB), partitioned by key across
+   executors. In update mode each micro-batch emits only the payments whose
+   winner changed; those are enriched and upserted into the date-partitioned
+   fact, rewriting only the partitions they touch. No micro-batch rescans
+   the raw log or the whole fact, and a replayed batch recomputes the same
+   rows, so the upsert is idempotent.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, TimestampNTZType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 from revmart.functions.columns import ts_lit
-from revmart.operators.upsert import keyed_upsert
+from revmart.operators.dedup import latest_by_aggregate
 from revmart.plans.enrich import enrich_payments
+from revmart.plans.fact import GRAIN_FORMATS, PART_COL, KEY
 from revmart.plans.marts import fact_rows
-from revmart.plans.staging import stg_payments
-from revmart.schemas import FACT_COLUMNS, INGESTED_TYPE
-from revmart.sinks.storage import (append_batch, current_version, read_batch, read_batches,
-                                   read_current, version_id, write_version)
-
-
-def upsert_fact_for_keys(spark: SparkSession, raw: DataFrame, keys: DataFrame,
-                         provider_history: DataFrame, client_history: DataFrame, fact_root: str,
-                         version: str, tiebreak: list[str] | None = None) -> str:
-    """Re-derive the fact rows of ``keys`` from the whole raw log and merge them in."""
-    touched = raw.join(keys, on="transaction_id", how="left_semi")
-    delta = fact_rows(enrich_payments(stg_payments(touched, tiebreak=tiebreak),
-                                      provider_history, client_history))
-    if current_version(spark, fact_root) is None:
-        new = delta
-    else:
-        existing = read_current(spark, fact_root, delta.schema)
-        new = keyed_upsert(existing, delta, ["transaction_id"])
-    return write_version(new.select(*FACT_COLUMNS), fact_root, version)
+from revmart.plans.staging import payment_order, stg_project
+from revmart.schemas import FACT_SCHEMA, INGESTED_TYPE
+from revmart.sinks.partitioned import upsert_partitioned
+from revmart.sinks.storage import append_batch, version_id
 
 
 def run_stream(spark: SparkSession, landing_dir: str, landing_schema: StructType, raw_root: str,
                fact_root: str, checkpoint_dir: str, run_ts: str, provider_history: DataFrame,
                client_history: DataFrame, tiebreak: list[str] | None = None,
-               max_files_per_trigger: int | None = None) -> int:
-    """Process everything that landed since the last run (``availableNow``); returns batches run."""
+               max_files_per_trigger: int | None = None, grain: str = "month") -> int:
+    """Process everything that landed since the last run (``availableNow``).
+
+    Returns the number of micro-batches that changed the fact.
+    """
     raw_schema = StructType(landing_schema.fields + [StructField("loaded_at", TimestampNTZType())])
     reader = spark.readStream.schema(landing_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.parquet(landing_dir).where(F.col("type") == F.lit(INGESTED_TYPE))
+    stream = (reader.parquet(landing_dir).where(F.col("type") == F.lit(INGESTED_TYPE))
+              .withColumn("loaded_at", ts_lit(run_ts)).select(*raw_schema.fieldNames()))
     run_id = version_id(run_ts)
-    batches = []
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        tag = f"{run_id}-{batch_id:010d}"
-        stamped = batch.withColumn("loaded_at", ts_lit(run_ts)).select(*raw_schema.fieldNames())
-        append_batch(stamped, raw_root, tag)
-        batch_keys = read_batch(spark, raw_root, tag, raw_schema).select("transaction_id")
-        upsert_fact_for_keys(spark, read_batches(spark, raw_root, raw_schema), batch_keys,
-                             provider_history, client_history, fact_root, tag, tiebreak)
-        batches.append(batch_id)
+    def append_raw(batch: DataFrame, batch_id: int) -> None:
+        append_batch(batch, raw_root, f"{run_id}-{batch_id:010d}")
+
+    changed = []
+    stored = StructType(list(FACT_SCHEMA.fields) + [StructField(PART_COL, StringType())])
+
+    def upsert_fact(winners: DataFrame, batch_id: int) -> None:
+        delta = fact_rows(enrich_payments(stg_project(winners), provider_history, client_history))
+        delta = delta.withColumn(PART_COL, F.date_format("transaction_date", GRAIN_FORMATS[grain]))
+        if upsert_partitioned(spark, fact_root, stored, delta, KEY, PART_COL,
+                              f"{run_id}-{batch_id:010d}"):
+            changed.append(batch_id)
 
-    query = (stream.writeStream.foreachBatch(process)
-             .option("checkpointLocation", checkpoint_dir)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    return len(batches)
+    raw_query = (stream.writeStream.foreachBatch(append_raw)
+                 .option("checkpointLocation", f"{checkpoint_dir}/raw")
+                 .trigger(availableNow=True).start())
+    winners = latest_by_aggregate(stream, ["transaction_id"], payment_order(tiebreak))
+    fact_query = (winners.writeStream.outputMode("update").foreachBatch(upsert_fact)
+                  .option("checkpointLocation", f"{checkpoint_dir}/fact")
+                  .trigger(availableNow=True).start())
+    raw_query.awaitTermination()
+    fact_query.awaitTermination()
+    return len(changed)

@@ -12,7 +12,6 @@ from revmart.plans.pipeline import (Warehouse, read_pipeline_fact, read_pipeline
 from revmart.plans.staging import stg_payments
 from revmart import queries as Q
 from revmart.session import scratch_path
-from revmart.sinks.storage import read_current
 from revmart.sources import fixtures as fx
 from tests.conftest import SF_SMALL
 

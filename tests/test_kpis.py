@@ -1,7 +1,5 @@
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from revmart.functions.kpis import client_payout, gross_revenue, net_revenue
 from tests.conftest import D
 
@@ -52,4 +50,3 @@ def test_half_up_on_negative(spark):
                                "amount decimal(12,2), commission_rate decimal(5,4), "
                                "revenue_share decimal(5,4), status string")
     assert df.select(gross_revenue().alias("g")).first().g == Decimal("-0.0001")
-    assert F is not None
