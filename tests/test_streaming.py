@@ -29,7 +29,8 @@ def test_two_available_now_runs_equal_batch(spark):
     src.where(F.col("updated_at") > ts_lit(cut)).write.mode("append").parquet(landing)
     run_stream(spark, landing, src.schema, raw_root, fact_root, f"{base}/ckpt",
                "2010-01-01 00:00:00", ph, ch, fx.TIEBREAK)
-    raw_schema = src.schema.add("loaded_at", "timestamp_ntz")
+    from pyspark.sql.types import StructField, StructType, TimestampNTZType
+    raw_schema = StructType(list(src.schema.fields) + [StructField("loaded_at", TimestampNTZType())])
     raw = read_batches(spark, raw_root, raw_schema)
     assert raw.count() == src.where("type = 'recarga'").count()
     batch = fact_rows(enrich_payments(stg_payments(raw, tiebreak=fx.TIEBREAK), ph, ch))
