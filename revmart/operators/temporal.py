@@ -20,7 +20,15 @@ row. The history side is broadcast only after its size has been counted
 against ``max_broadcast_rows`` (history rows); the counted side is cached
 so the check and the broadcast share one computation. Above the bound the
 cache is dropped and the join shuffles on the keys (sort-merge), with
-AQE's skew handling splitting a hot key's partition on the fact side.
+AQE's skew handling splitting a hot key's partition on the fact side. With
+``salt_buckets=S`` the shuffle path also salts explicitly: fact rows get a
+deterministic salt (``xxhash64`` of the row mod S) and each collapsed
+dimension row (one per key) is replicated S times, so a key holding a third
+of the fact rows is spread over S tasks whatever AQE decides.
+
+``versions`` collects each key's versions into one array: its size is the
+number of changes of one dimension key (at most one per snapshot run), not a
+function of the fact size. Use ``range`` if a key's version count is unbounded.
 """
 
 from __future__ import annotations
@@ -36,7 +44,7 @@ def interval_lookup(facts: DataFrame, history: DataFrame, on: dict[str, str], ts
                     values: dict[str, str], strategy: str = "versions",
                     valid_from: str = "valid_from", valid_to: str = "valid_to",
                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    broadcast: bool | None = None) -> DataFrame:
+                    broadcast: bool | None = None, salt_buckets: int | None = None) -> DataFrame:
     """Add ``values`` (history column -> output name) to ``facts``.
 
     ``on`` maps fact key columns to history key columns.
@@ -46,7 +54,7 @@ def interval_lookup(facts: DataFrame, history: DataFrame, on: dict[str, str], ts
                              max_broadcast_rows)
     if strategy == "versions":
         return _versions_lookup(facts, history, on, ts_col, values, valid_from, valid_to,
-                                broadcast, max_broadcast_rows)
+                                broadcast, max_broadcast_rows, salt_buckets)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
@@ -113,7 +121,7 @@ def collapse_versions(history: DataFrame, keys: list[str], values: list[str],
 
 
 def _versions_lookup(facts, history, on, ts_col, values, valid_from, valid_to, broadcast,
-                     max_broadcast_rows):
+                     max_broadcast_rows, salt_buckets=None):
     hkeys = list(on.values())
     collapsed = collapse_versions(history, hkeys, list(values), valid_from, valid_to)
     aliased = collapsed.select(*[F.col(h).alias(f"__k{i}") for i, h in enumerate(hkeys)],
@@ -124,7 +132,16 @@ def _versions_lookup(facts, history, on, ts_col, values, valid_from, valid_to, b
     cond = eq[0]
     for c in eq[1:]:
         cond = cond & c
-    joined = facts.join(_maybe_broadcast(aliased, broadcast), cond, "left")
+    fact_side = facts
+    if salt_buckets and not broadcast:
+        fact_side = facts.withColumn(
+            "__salt", F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salt_buckets)))
+        aliased = aliased.withColumn(
+            "__dsalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))))
+        cond = cond & (F.col("__salt") == F.col("__dsalt"))
+    joined = fact_side.join(_maybe_broadcast(aliased, broadcast), cond, "left")
+    if salt_buckets and not broadcast:
+        joined = joined.drop("__salt", "__dsalt")
     ts = F.col(ts_col)
     covering = F.filter("__versions",
                         lambda v: (ts >= v["f"]) & (v["t"].isNull() | (ts < v["t"])))

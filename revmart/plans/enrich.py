@@ -15,25 +15,29 @@ CLIENT_KEYS = {"client_id": "client_id"}
 
 def lookup_commission(payments: DataFrame, provider_history: DataFrame,
                       strategy: str = "versions",
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      salt_buckets: int | None = None) -> DataFrame:
     return interval_lookup(payments, provider_history, PROVIDER_KEYS, "transaction_timestamp",
                            {"commission_rate": "commission_rate"}, strategy=strategy,
-                           max_broadcast_rows=max_broadcast_rows)
+                           max_broadcast_rows=max_broadcast_rows, salt_buckets=salt_buckets)
 
 
 def lookup_share(payments: DataFrame, client_history: DataFrame, strategy: str = "versions",
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 salt_buckets: int | None = None) -> DataFrame:
     return interval_lookup(payments, client_history, CLIENT_KEYS, "transaction_timestamp",
                            {"revenue_share": "revenue_share"}, strategy=strategy,
-                           max_broadcast_rows=max_broadcast_rows)
+                           max_broadcast_rows=max_broadcast_rows, salt_buckets=salt_buckets)
 
 
 def enrich_payments(stg: DataFrame, provider_history: DataFrame, client_history: DataFrame,
                     strategy: str = "versions",
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                    salt_buckets: int | None = None) -> DataFrame:
+    """``salt_buckets`` salts the lookups' shuffle path (used only above the broadcast bound)."""
     with_rates = lookup_share(
-        lookup_commission(stg, provider_history, strategy, max_broadcast_rows),
-        client_history, strategy, max_broadcast_rows)
+        lookup_commission(stg, provider_history, strategy, max_broadcast_rows, salt_buckets),
+        client_history, strategy, max_broadcast_rows, salt_buckets)
     return with_rates.select(
         "transaction_id", "transaction_date", "transaction_timestamp", "status", "amount",
         "provider_id", F.col("company_code").alias("biller_id"), "client_id",

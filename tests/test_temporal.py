@@ -83,3 +83,15 @@ def test_size_check_falls_back_to_shuffle(spark, history):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_salted_shuffle_path_matches(spark, history):
+    facts = spark.createDataFrame([(c[0], c[1], c[2], ts(c[3])) for c in CASES], FACTS)
+    on = {"provider_id": "provider_id", "company_code": "biller_id"}
+    plain = interval_lookup(facts, history, on, "transaction_timestamp",
+                            {"commission_rate": "commission_rate"}, broadcast=True)
+    salted = interval_lookup(facts, history, on, "transaction_timestamp",
+                             {"commission_rate": "commission_rate"}, broadcast=False,
+                             salt_buckets=4)
+    assert salted.columns == plain.columns
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
