@@ -3,7 +3,7 @@
 Layers: ``sources`` (scans and fixture tables), ``operators`` (reusable,
 column-parameterised transforms), ``functions`` (Column expressions),
 ``sinks`` (crash-safe table writes), ``plans`` (the warehouse models and
-the pipeline), ``streaming`` (Structured Streaming ingest).
+the warehouse run), ``streaming`` (Structured Streaming ingest).
 """
 
 __all__ = ["session"]

@@ -1 +1 @@
-"""Warehouse models as DataFrame functions: staging, snapshots, enrichment, marts, pipeline."""
+"""Warehouse models as DataFrame functions: staging, snapshots, enrichment, marts, warehouse runs."""

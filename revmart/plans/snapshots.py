@@ -59,7 +59,7 @@ def replay(spark: SparkSession, snapshots: DataFrame, runs: list[str], kind: str
            root: str | None = None) -> DataFrame:
     """Run the snapshot once per run time (``run_ts`` picks each run's input).
 
-    With ``root`` every run is committed as a table version (the pipeline's
+    With ``root`` every run is committed as a table version (the warehouse run's
     way); without it the runs are chained lazily into one plan, which reads
     each intermediate history once.
     """

@@ -60,7 +60,7 @@ def load_dimensions(spark: SparkSession, wh: Warehouse, provider_source: DataFra
     ingest.refresh_clients(client_source, wh.raw_clients, run_ts)
 
 
-def run_pipeline(spark: SparkSession, wh: Warehouse, payment_source: DataFrame,
+def run_warehouse(spark: SparkSession, wh: Warehouse, payment_source: DataFrame,
                  provider_source: DataFrame, client_source: DataFrame, run_ts: str,
                  full_refresh: bool = False, lookback: dt.timedelta | None = None,
                  fact_layout: str = "partitioned", grain: str = "month") -> RunSummary:
@@ -95,13 +95,13 @@ def run_pipeline(spark: SparkSession, wh: Warehouse, payment_source: DataFrame,
     return RunSummary(loaded.rows, loaded.new_mark, version)
 
 
-def read_pipeline_fact(spark: SparkSession, wh: Warehouse, fact_layout: str = "partitioned"):
+def read_warehouse_fact(spark: SparkSession, wh: Warehouse, fact_layout: str = "partitioned"):
     if fact_layout == "partitioned":
         return read_fact_partitioned(spark, wh.fact, FACT_SCHEMA)
     return read_fact(spark, wh.fact)
 
 
-def read_pipeline_report(spark: SparkSession, wh: Warehouse, fact_layout: str = "partitioned"):
+def read_warehouse_report(spark: SparkSession, wh: Warehouse, fact_layout: str = "partitioned"):
     if fact_layout == "partitioned":
         return read_report_partitioned(spark, wh.report)
     from revmart.plans.marts import daily_revenue

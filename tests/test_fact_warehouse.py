@@ -1,4 +1,4 @@
-"""Fact refresh and whole-pipeline scenarios on the sf0.001 tables."""
+"""Fact refresh and whole-warehouse scenarios on the sf0.001 tables."""
 
 from pyspark.sql import functions as F
 
@@ -7,8 +7,8 @@ from revmart.plans.fact import fact_delta, read_fact, refresh_fact
 from revmart.plans.marts import fact_rows
 from revmart.plans.enrich import enrich_payments
 from revmart.plans.marts import daily_revenue
-from revmart.plans.pipeline import (Warehouse, read_pipeline_fact, read_pipeline_report,
-                                    run_pipeline)
+from revmart.plans.warehouse import (Warehouse, read_warehouse_fact, read_warehouse_report,
+                                    run_warehouse)
 from revmart.plans.staging import stg_payments
 from revmart import queries as Q
 from revmart.session import scratch_path
@@ -41,27 +41,27 @@ def test_changed_key_pruning_is_exact(spark):
     assert _set(pruned) == _set(plain) and len(_set(plain)) > 0
 
 
-def test_pipeline_two_runs(spark):
+def test_warehouse_two_runs(spark):
     """Run 1 sees payments up to mid-1998 and the first rates; run 2 sees everything."""
-    wh = Warehouse(scratch_path(spark, "pipeline"))
+    wh = Warehouse(scratch_path(spark, "warehouse"))
     src = fx.source_payments(spark, SF_SMALL, with_tiebreak=False)
     runs = [("1998-07-01 00:00:00", 0), ("2010-01-01 00:00:00", 2)]
     for run_ts, snap in runs:
         visible = src.where(F.col("updated_at") <= ts_lit(run_ts))
-        s = run_pipeline(spark, wh, visible, fx.provider_source(spark, SF_SMALL, snap),
+        s = run_warehouse(spark, wh, visible, fx.provider_source(spark, SF_SMALL, snap),
                          fx.client_source(spark, SF_SMALL, snap), run_ts)
         assert s.payments_loaded > 0
-    fact = read_pipeline_fact(spark, wh)
+    fact = read_warehouse_fact(spark, wh)
     # one row per payment, all recarga payments present
     n_ids = src.where("type = 'recarga'").select("transaction_id").distinct().count()
     assert fact.count() == n_ids == fact.select("transaction_id").distinct().count()
     # the incrementally kept report equals a full rebuild over the fact
-    assert _set(read_pipeline_report(spark, wh)) == _set(daily_revenue(fact))
+    assert _set(read_warehouse_report(spark, wh)) == _set(daily_revenue(fact))
     # a third run with no new rows leaves the fact unchanged
     before = _set(fact)
-    run_pipeline(spark, wh, src, fx.provider_source(spark, SF_SMALL, 2),
+    run_warehouse(spark, wh, src, fx.provider_source(spark, SF_SMALL, 2),
                  fx.client_source(spark, SF_SMALL, 2), "2010-01-02 00:00:00")
-    assert _set(read_pipeline_fact(spark, wh)) == before
+    assert _set(read_warehouse_fact(spark, wh)) == before
 
 
 def test_partitioned_fact_moves_and_empties_partition(spark):
