@@ -63,7 +63,8 @@ def load_dimensions(spark: SparkSession, wh: Warehouse, provider_source: DataFra
 def run_warehouse(spark: SparkSession, wh: Warehouse, payment_source: DataFrame,
                  provider_source: DataFrame, client_source: DataFrame, run_ts: str,
                  full_refresh: bool = False, lookback: dt.timedelta | None = None,
-                 fact_layout: str = "partitioned", grain: str = "month") -> RunSummary:
+                 fact_layout: str = "partitioned", grain: str = "month",
+                 retain_versions: int | None = None) -> RunSummary:
     """``fact_layout``: "partitioned" rewrites only touched date partitions (use
     ``grain="day"`` at TB scale); "versioned" rewrites the whole fact each run."""
     load_dimensions(spark, wh, provider_source, client_source, run_ts)
@@ -92,9 +93,23 @@ def run_warehouse(spark: SparkSession, wh: Warehouse, payment_source: DataFrame,
         write_version(marts.daily_revenue(read_fact(spark, wh.fact)), wh.report, version)
     write_version(marts.dim_providers(ph), wh.dim_providers, version)
     write_version(marts.dim_clients(ch), wh.dim_clients, version)
+    if retain_versions:
+        prune_old(spark, wh, retain_versions)
     return RunSummary(loaded.rows, loaded.new_mark, version)
 
 
+def prune_old(spark: SparkSession, wh: Warehouse, keep: int) -> None:
+    """Retention: old table versions and superseded partition revisions."""
+    from revmart.sinks.partitioned import prune_revisions
+    from revmart.sinks.storage import prune_versions
+    from revmart.plans.fact import PART_COL, REPORT_PART_COL
+    for root in (wh.raw_providers, wh.raw_clients, wh.watermarks, wh.provider_history,
+                 wh.client_history, wh.dim_providers, wh.dim_clients):
+        prune_versions(spark, root, keep)
+    prune_revisions(spark, wh.fact, PART_COL)
+    prune_revisions(spark, wh.report, REPORT_PART_COL)
+
+
 def read_warehouse_fact(spark: SparkSession, wh: Warehouse, fact_layout: str = "partitioned"):
     if fact_layout == "partitioned":
         return read_fact_partitioned(spark, wh.fact, FACT_SCHEMA)

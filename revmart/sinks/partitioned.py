@@ -134,3 +134,34 @@ def upsert_partitioned(spark: SparkSession, root: str, schema: StructType, delta
                files_per_partition, keys)
     delta.unpersist()
     return touched
+
+
+def prune_revisions(spark: SparkSession, root: str, part_col: str) -> int:
+    """Delete partition revisions no reader will pick any more.
+
+    Per partition value, everything older than its current committed
+    revision goes, committed or not; revisions newer than the latest commit
+    are left alone (a run may be writing them). Returns folders deleted.
+    """
+    committed = _commits(spark, root)
+    if not committed:
+        return 0
+    newest = max(committed)
+    fs, _, jvm = _fs(spark, root)
+    latest_version: dict[str, str] = {}
+    revisions = _glob(fs, jvm, f"{root}/{part_col}=*/{REV}=*")
+    for st in revisions:
+        path = st.getPath()
+        version = path.getName().split("=", 1)[1]
+        value = path.getParent().getName().split("=", 1)[1]
+        if version in committed and version > latest_version.get(value, ""):
+            latest_version[value] = version
+    deleted = 0
+    for st in revisions:
+        path = st.getPath()
+        version = path.getName().split("=", 1)[1]
+        value = path.getParent().getName().split("=", 1)[1]
+        if version < latest_version.get(value, "") and version <= newest:
+            fs.delete(path, True)
+            deleted += 1
+    return deleted

@@ -83,3 +83,30 @@ def read_batches(spark: SparkSession, root: str, schema: StructType) -> DataFram
         return spark.createDataFrame([], schema)
     return (spark.read.schema(schema).option("basePath", root).parquet(f"{root.rstrip('/')}/batch=*")
             .select(*schema.fieldNames()))
+
+
+def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest ``keep`` committed versions, and uncommitted
+    folders older than the newest commit (leftovers of crashed runs).
+
+    Run it when no reader still uses an old version; returns deleted versions.
+    """
+    fs, hroot, jvm = _fs(spark, root)
+    if not fs.exists(hroot):
+        return []
+    committed = committed_versions(spark, root)
+    if not committed:
+        return []
+    keep_set = set(committed[-keep:])
+    newest = committed[-1]
+    deleted = []
+    for status in fs.listStatus(hroot):
+        m = _VERSION_DIR.match(status.getPath().getName())
+        if not (m and status.isDirectory()):
+            continue
+        version = m.group(1)
+        if version in keep_set or version > newest:  # a newer run may be writing
+            continue
+        fs.delete(status.getPath(), True)
+        deleted.append(version)
+    return sorted(deleted)

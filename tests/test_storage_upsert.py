@@ -3,7 +3,7 @@ import os
 from revmart.operators.dedup import SortKey
 from revmart.operators.upsert import insert_if_absent, keyed_upsert
 from revmart.session import scratch_path
-from revmart.sinks.storage import committed_versions, read_current, write_version
+from revmart.sinks.storage import committed_versions, prune_versions, read_current, write_version
 
 SCHEMA = "id string, v int, d string"
 
@@ -47,3 +47,28 @@ def test_versions_ignore_uncommitted_and_rerun_is_idempotent(spark):
 def test_read_current_of_missing_table_is_empty(spark):
     root = scratch_path(spark, "missing")
     assert read_current(spark, root, "id string").count() == 0
+
+
+def test_prune_versions_keeps_newest(spark):
+    root = scratch_path(spark, "prune")
+    for i in range(1, 5):
+        write_version(spark.createDataFrame([("a", i, "x")], SCHEMA), root, f"000{i}")
+    assert prune_versions(spark, root, keep=2) == ["0001", "0002"]
+    assert committed_versions(spark, root) == ["0003", "0004"]
+    assert [r.v for r in read_current(spark, root, SCHEMA).collect()] == [4]
+
+
+def test_prune_partition_revisions(spark):
+    import datetime as dt
+    from pyspark.sql.types import StructType
+    from revmart.sinks.partitioned import (overwrite_partitioned, prune_revisions,
+                                           read_partitioned, upsert_partitioned)
+    schema = StructType.fromDDL("id string, d date, x int")
+    root = scratch_path(spark, "prune-part")
+    overwrite_partitioned(spark, spark.createDataFrame(
+        [("a", dt.date(2025, 1, 1), 1), ("b", dt.date(2025, 1, 2), 1)], schema), root, "d", "0001")
+    upsert_partitioned(spark, root, schema, spark.createDataFrame(
+        [("a", dt.date(2025, 1, 1), 2)], schema), ["id"], "d", "0002")
+    before = sorted(map(tuple, read_partitioned(spark, root, schema, "d").collect()))
+    assert prune_revisions(spark, root, "d") == 1  # only d=2025-01-01/0001 is superseded
+    assert sorted(map(tuple, read_partitioned(spark, root, schema, "d").collect())) == before
