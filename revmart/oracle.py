@@ -434,3 +434,5 @@ ORACLE["daily_revenue_incremental"] = (
         "\nSELECT * FROM fact_first f WHERE NOT EXISTS",
         ",\nfinal_fact AS (\nSELECT * FROM fact_first f WHERE NOT EXISTS", 1)
     + "\n)" + report_select("final_fact"))
+
+ORACLE["stream_latest_event_per_user"] = ORACLE["latest_event_per_user"]

@@ -248,6 +248,24 @@ def q_latest_event_per_user(spark, sf_dir):
     return latest_version(events, ["user_id"], [SortKey("ts"), SortKey("event_id")])
 
 
+def q_stream_latest_event_per_user(spark, sf_dir):
+    """Events land in two chunks; two ``availableNow`` runs keep the latest event per user."""
+    from revmart.streaming.latest import read_latest, run_latest_stream
+    base = scratch_path(spark, "events_stream")
+    landing, table_root = f"{base}/landing", layer_table(base, "marts", "latest_event")
+    events = read_table(spark, sf_dir, "events")
+    prev = None
+    for run_ts in EVENT_INGEST_RUNS:
+        arrived = F.col("ts") <= ts_lit(run_ts)
+        if prev is not None:
+            arrived = arrived & (F.col("ts") > ts_lit(prev))
+        events.where(arrived).write.mode("append").parquet(landing)
+        run_latest_stream(spark, landing, events.schema, ["user_id"],
+                          [SortKey("ts"), SortKey("event_id")], table_root, f"{base}/_checkpoint")
+        prev = run_ts
+    return read_latest(spark, table_root, events.schema)
+
+
 # ---- OLTP-side writes -----------------------------------------------------
 
 def q_insert_if_absent(spark, sf_dir):
@@ -333,6 +351,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dimension_extract_clients": q_dimension_extract_clients,
     "latest_payments": q_latest_payments,
     "latest_event_per_user": q_latest_event_per_user,
+    "stream_latest_event_per_user": q_stream_latest_event_per_user,
     "scd2_providers": q_scd2_providers,
     "scd2_clients": q_scd2_clients,
     "dim_providers_current": q_dim_providers_current,
