@@ -16,16 +16,18 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.types import StringType, StructField, StructType
 
 from revmart.functions.columns import ts_lit
+from revmart.operators.upsert import keyed_upsert
 from revmart.plans.enrich import enrich_payments
-from revmart.plans.marts import fact_rows
+from revmart.plans.marts import daily_revenue, fact_rows
 from revmart.plans.staging import stg_payments
-from revmart.schemas import EPOCH, FACT_COLUMNS
-from revmart.operators.upsert import keyed_upsert
+from revmart.schemas import EPOCH, FACT_COLUMNS, FACT_SCHEMA, REPORT_COLUMNS, REPORT_SCHEMA
+from revmart.sinks.partitioned import (current_partitions, overwrite_partitioned,
+                                       read_partitioned, upsert_partitioned, write_partitions)
 from revmart.sinks.storage import current_version, read_current, write_version
 
 KEY = ["transaction_id"]
@@ -92,8 +94,7 @@ def _mark_root(fact_root: str) -> str:
 
 def read_fact_mark(spark: SparkSession, fact_root: str) -> dt.datetime:
     """The fact's ``max(loaded_at)``, kept beside it so no run scans the fact for it."""
-    from revmart.sinks.storage import read_current as _read
-    marks = _read(spark, _mark_root(fact_root), "max_loaded_at timestamp_ntz")
+    marks = read_current(spark, _mark_root(fact_root), "max_loaded_at timestamp_ntz")
     row = marks.agg(F.max("max_loaded_at").alias("m")).first()
     return row["m"] if row and row["m"] is not None else dt.datetime.fromisoformat(EPOCH)
 
@@ -113,9 +114,6 @@ def refresh_fact_partitioned(spark: SparkSession, raw: DataFrame, provider_histo
     The mark is saved after the data commit; a crash in between re-runs the
     same delta next time, which the keyed upsert absorbs.
     """
-    from pyspark.sql import Observation
-    from revmart.sinks.partitioned import (current_partitions, overwrite_partitioned,
-                                           upsert_partitioned)
     obs = Observation(f"fact_{version}")
     first = not current_partitions(spark, fact_root, PART_COL)
     if full_refresh or first:
@@ -139,11 +137,15 @@ def refresh_fact_partitioned(spark: SparkSession, raw: DataFrame, provider_histo
     return touched
 
 
-def read_fact_partitioned(spark: SparkSession, fact_root: str, schema) -> DataFrame:
-    from pyspark.sql.types import StringType, StructField, StructType
-    from revmart.sinks.partitioned import read_partitioned
-    stored = StructType(list(schema.fields) + [StructField(PART_COL, StringType())])
-    return read_partitioned(spark, fact_root, stored, PART_COL).select(*FACT_COLUMNS)
+def _stored(schema: StructType, part_col: str) -> StructType:
+    """``schema`` plus the storage partition column (a new StructType; never ``.add``)."""
+    return StructType(list(schema.fields) + [StructField(part_col, StringType())])
+
+
+def read_fact_partitioned(spark: SparkSession, fact_root: str,
+                          schema: StructType = FACT_SCHEMA) -> DataFrame:
+    return read_partitioned(spark, fact_root, _stored(schema, PART_COL), PART_COL) \
+        .select(*FACT_COLUMNS)
 
 
 # ---- report partitions follow the fact partitions ---------------------------
@@ -160,11 +162,7 @@ def refresh_report_partitioned(spark: SparkSession, fact_root: str, report_root:
     partition holds whole dates, so rebuilding the touched partitions gives
     exactly the full rebuild (``touched=None`` rebuilds everything).
     """
-    from revmart.plans.marts import daily_revenue
-    from revmart.schemas import FACT_SCHEMA
-    from revmart.sinks.partitioned import _write, current_partitions, read_partitioned
-    from pyspark.sql.types import StringType, StructField, StructType
-    stored = StructType(list(FACT_SCHEMA.fields) + [StructField(PART_COL, StringType())])
+    stored = _stored(FACT_SCHEMA, PART_COL)
     if touched is None:
         touched = set(current_partitions(spark, fact_root, PART_COL)) | set(
             current_partitions(spark, report_root, REPORT_PART_COL))
@@ -173,22 +171,9 @@ def refresh_report_partitioned(spark: SparkSession, fact_root: str, report_root:
     fact = read_partitioned(spark, fact_root, stored, PART_COL, only=touched)
     report = daily_revenue(fact).withColumn(
         REPORT_PART_COL, F.date_format("report_date", GRAIN_FORMATS[grain]))
-    _write(spark, report, report_root, REPORT_PART_COL, version, set(touched))
+    write_partitions(spark, report, report_root, REPORT_PART_COL, version, set(touched))
 
 
 def read_report_partitioned(spark: SparkSession, report_root: str) -> DataFrame:
-    from revmart.schemas import REPORT_COLUMNS
-    from revmart.sinks.partitioned import read_partitioned
-    from pyspark.sql.types import StringType, StructField, StructType
-    schema = StructType([
-        StructField("report_date", T.DateType()), StructField("client_id", StringType()),
-        StructField("provider_id", StringType()), StructField("total_transactions", T.LongType()),
-        StructField("confirmed_transactions", T.LongType()),
-        StructField("total_amount", T.DecimalType(38, 2)),
-        StructField("confirmed_amount", T.DecimalType(38, 2)),
-        StructField("gross_revenue", T.DecimalType(38, 4)),
-        StructField("client_payout", T.DecimalType(38, 4)),
-        StructField("net_revenue", T.DecimalType(38, 4)),
-        StructField("confirmation_rate", T.DecimalType(10, 4)),
-        StructField(REPORT_PART_COL, StringType())])
-    return read_partitioned(spark, report_root, schema, REPORT_PART_COL).select(*REPORT_COLUMNS)
+    return read_partitioned(spark, report_root, _stored(REPORT_SCHEMA, REPORT_PART_COL),
+                            REPORT_PART_COL).select(*REPORT_COLUMNS)

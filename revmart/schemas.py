@@ -82,6 +82,19 @@ FACT_SCHEMA = T.StructType([
     T.StructField("revenue_share", RATE),
     T.StructField("loaded_at", TS),
 ])
+REPORT_SCHEMA = T.StructType([
+    T.StructField("report_date", T.DateType()),
+    T.StructField("client_id", T.StringType()),
+    T.StructField("provider_id", T.StringType()),
+    T.StructField("total_transactions", T.LongType()),
+    T.StructField("confirmed_transactions", T.LongType()),
+    T.StructField("total_amount", SUM_MONEY),
+    T.StructField("confirmed_amount", SUM_MONEY),
+    T.StructField("gross_revenue", SUM_KPI),
+    T.StructField("client_payout", SUM_KPI),
+    T.StructField("net_revenue", SUM_KPI),
+    T.StructField("confirmation_rate", RATIO),
+])
 REPORT_COLUMNS = [
     "report_date", "client_id", "provider_id", "total_transactions", "confirmed_transactions",
     "total_amount", "confirmed_amount", "gross_revenue", "client_payout", "net_revenue",

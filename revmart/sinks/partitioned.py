@@ -77,9 +77,11 @@ def read_partitioned(spark: SparkSession, root: str, schema: StructType, part_co
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 
-def _write(spark: SparkSession, rows: DataFrame, root: str, part_col: str, version: str,
-           touched: set[str], files_per_partition: int = 1,
-           spread_by: list[str] | None = None) -> None:
+def write_partitions(spark: SparkSession, rows: DataFrame, root: str, part_col: str, version: str,
+                     touched: set[str], files_per_partition: int = 1,
+                     spread_by: list[str] | None = None) -> None:
+    """Write ``rows`` as revision ``version`` of their partitions, tombstone the
+    ``touched`` partitions that got no rows, then commit."""
     # REBALANCE clusters rows by partition value (few files per partition)
     # and lets AQE split a hot partition (one day holding a third of the
     # rows) over several tasks; ``files_per_partition`` forces a spread.
@@ -109,7 +111,8 @@ def overwrite_partitioned(spark: SparkSession, df: DataFrame, root: str, part_co
                           spread_by: list[str] | None = None) -> None:
     """Full load: every partition of ``df`` (and tombstones for the rest) as ``version``."""
     existing = set(current_partitions(spark, root, part_col))
-    _write(spark, df, root, part_col, version, existing, files_per_partition, spread_by)
+    write_partitions(spark, df, root, part_col, version, existing, files_per_partition,
+                     spread_by)
 
 
 def upsert_partitioned(spark: SparkSession, root: str, schema: StructType, delta: DataFrame,
@@ -130,8 +133,8 @@ def upsert_partitioned(spark: SparkSession, root: str, schema: StructType, delta
     touched = {str(r[0]) for r in touched_rows}
     if touched:
         before = read_partitioned(spark, root, schema, part_col, only=touched)
-        _write(spark, keyed_upsert(before, delta, keys), root, part_col, version, touched,
-               files_per_partition, keys)
+        write_partitions(spark, keyed_upsert(before, delta, keys), root, part_col, version,
+                         touched, files_per_partition, keys)
     delta.unpersist()
     return touched
 
