@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -23,8 +24,9 @@ JOB_CONFS = {
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
-                  app: str = "revmart", driver_memory: str = "8g") -> SparkSession:
+                  app: str = "revmart", driver_memory: str | None = None) -> SparkSession:
     """Session for tests and the local benchmark (the cluster brings its own)."""
+    driver_memory = driver_memory or os.environ.get("REVMART_DRIVER_MEMORY", "4g")
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
