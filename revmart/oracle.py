@@ -120,11 +120,15 @@ CLIENT_SHARE = """COALESCE(
           ORDER BY h.valid_from DESC LIMIT 1))"""
 
 
-def enriched_cte(stg: str = "stg_payments", name: str = "enriched") -> str:
+def enriched_cte(stg: str = "stg_payments", name: str = "enriched",
+                 provider_history: str = "provider_history",
+                 client_history: str = "client_history") -> str:
+    rate = PROVIDER_RATE.replace("provider_history", provider_history)
+    share = CLIENT_SHARE.replace("client_history", client_history)
     return f"""
 {name}_rates AS (
-    SELECT p.*, CAST({PROVIDER_RATE} AS DECIMAL(5,4)) AS commission_rate,
-           CAST({CLIENT_SHARE} AS DECIMAL(5,4)) AS revenue_share
+    SELECT p.*, CAST({rate} AS DECIMAL(5,4)) AS commission_rate,
+           CAST({share} AS DECIMAL(5,4)) AS revenue_share
     FROM {stg} p
 ),
 {name} AS (
@@ -436,3 +440,68 @@ ORACLE["daily_revenue_incremental"] = (
     + "\n)" + report_select("final_fact"))
 
 ORACLE["stream_latest_event_per_user"] = ORACLE["latest_event_per_user"]
+
+
+# ---- two whole warehouse runs ----------------------------------------------------
+
+def _scd2_second_run(s0: str, s2: str, keys: list[str], value: str) -> str:
+    """History after snapshot runs at RUN1 (snapshot s0) and RUN2 (snapshot s2)."""
+    on = " AND ".join(f"a.{k} = b.{k}" for k in keys)
+    a_cols = ", ".join(f"a.{c}" for c in keys + [value, "commission_type"])
+    b_cols = ", ".join(f"b.{c}" for c in keys + [value, "commission_type"])
+    differs = (f"(b.{value} IS DISTINCT FROM a.{value} "
+               f"OR b.commission_type IS DISTINCT FROM a.commission_type)")
+    return f"""
+    SELECT {a_cols}, {RUN1} AS valid_from,
+           CASE WHEN b.{keys[0]} IS NOT NULL AND {differs} THEN {RUN2} END AS valid_to
+    FROM {s0} a LEFT JOIN {s2} b ON {on}
+    UNION ALL
+    SELECT {b_cols}, {RUN2} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to
+    FROM {s2} b LEFT JOIN {s0} a ON {on}
+    WHERE a.{keys[0]} IS NULL OR {differs}"""
+
+
+_W_FIRST = "TIMESTAMP '1996-01-01 00:00:00'"
+_W_LAST = "TIMESTAMP '2000-01-01 00:00:00'"
+
+CTE_WAREHOUSE = f"""
+wraw1 AS (
+    SELECT {SOURCE_COLS}, l_suppkey, l_partkey, {RUN1} AS loaded_at FROM source_payments
+    WHERE "type" = 'recarga' AND updated_at > TIMESTAMP '1970-01-01 00:00:00' AND updated_at <= {RUN1}
+),
+wraw_all AS (
+    SELECT * FROM wraw1
+    UNION ALL
+    SELECT {SOURCE_COLS}, l_suppkey, l_partkey, {RUN2} AS loaded_at FROM source_payments
+    WHERE "type" = 'recarga' AND updated_at > (SELECT max(updated_at) FROM wraw1)
+      AND updated_at <= {RUN2}
+),
+psnap0 AS (SELECT provider_id, biller_id, commission_rate, commission_type
+           FROM provider_snapshots WHERE run_ts = {_W_FIRST}),
+psnap2 AS (SELECT provider_id, biller_id, commission_rate, commission_type
+           FROM provider_snapshots WHERE run_ts = {_W_LAST}),
+csnap0 AS (SELECT client_id, revenue_share, commission_type
+           FROM client_snapshots WHERE run_ts = {_W_FIRST}),
+csnap2 AS (SELECT client_id, revenue_share, commission_type
+           FROM client_snapshots WHERE run_ts = {_W_LAST}),
+ph1 AS (SELECT *, {RUN1} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to FROM psnap0),
+ch1 AS (SELECT *, {RUN1} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to FROM csnap0),
+ph2 AS ({_scd2_second_run("psnap0", "psnap2", ["provider_id", "biller_id"], "commission_rate")}),
+ch2 AS ({_scd2_second_run("csnap0", "csnap2", ["client_id"], "revenue_share")})"""
+
+ORACLE["warehouse_daily_revenue"] = _with(
+    CTE_SOURCE, CTE_SNAPSHOTS, CTE_WAREHOUSE,
+    stg_cte("wstg1", "wraw1"), enriched_cte("wstg1", "wenr1", "ph1", "ch1"),
+    f"""
+wfact1 AS (SELECT {FACT_COLS} FROM wenr1)""",
+    stg_cte("wstg2", "wraw_all"), enriched_cte("wstg2", "wenr2", "ph2", "ch2"),
+    f"""
+wdelta AS (
+    SELECT {FACT_COLS} FROM wenr2
+    WHERE loaded_at > (SELECT coalesce(max(loaded_at), TIMESTAMP '1970-01-01 00:00:00') FROM wfact1)
+),
+wfact2 AS (
+    SELECT * FROM wfact1 f WHERE NOT EXISTS (SELECT 1 FROM wdelta d WHERE d.transaction_id = f.transaction_id)
+    UNION ALL
+    SELECT * FROM wdelta
+)""") + report_select("wfact2")

@@ -16,6 +16,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from revmart.plans import ingest, marts
 from revmart.plans.fact import (read_fact, read_fact_partitioned, read_report_partitioned,
@@ -64,13 +65,22 @@ def run_warehouse(spark: SparkSession, wh: Warehouse, payment_source: DataFrame,
                  provider_source: DataFrame, client_source: DataFrame, run_ts: str,
                  full_refresh: bool = False, lookback: dt.timedelta | None = None,
                  fact_layout: str = "partitioned", grain: str = "month",
-                 retain_versions: int | None = None) -> RunSummary:
+                 retain_versions: int | None = None,
+                 tiebreak: list[str] | None = None) -> RunSummary:
     """``fact_layout``: "partitioned" rewrites only touched date partitions (use
-    ``grain="day"`` at TB scale); "versioned" rewrites the whole fact each run."""
+    ``grain="day"`` at TB scale); "versioned" rewrites the whole fact each run.
+    ``tiebreak``: extra source columns carried into raw and used as the last
+    dedup keys (when the source can hold equal versions of one payment)."""
+    raw_schema = RAW_PAYMENTS
+    if tiebreak:
+        raw_schema = StructType(list(RAW_PAYMENTS.fields) + [
+            payment_source.schema[c] for c in tiebreak])
     load_dimensions(spark, wh, provider_source, client_source, run_ts)
     loaded = ingest.incremental_ingest(spark, payment_source, wh.raw_payments, wh.watermarks,
                                        run_ts, type_filter=ingest.payments_type_filter(),
-                                       lookback=lookback)
+                                       columns=[c for c in raw_schema.fieldNames()
+                                                if c != "loaded_at"],
+                                       lookback=lookback, raw_schema=raw_schema)
 
     run_snapshot(spark, wh.provider_history,
                  provider_snapshot_input(read_current(spark, wh.raw_providers, RAW_PROVIDERS)),
@@ -82,14 +92,16 @@ def run_warehouse(spark: SparkSession, wh: Warehouse, payment_source: DataFrame,
     ch = read_current(spark, wh.client_history, SPECS["clients"][0])
 
     version = version_id(run_ts)
-    raw = read_batches(spark, wh.raw_payments, RAW_PAYMENTS)
+    raw = read_batches(spark, wh.raw_payments, raw_schema)
     if fact_layout == "partitioned":
         touched = refresh_fact_partitioned(spark, raw, ph, ch, wh.fact, version,
-                                           full_refresh=full_refresh, grain=grain)
+                                           full_refresh=full_refresh, tiebreak=tiebreak,
+                                           grain=grain)
         # only the report partitions of touched fact partitions change
         refresh_report_partitioned(spark, wh.fact, wh.report, version, touched, grain)
     else:
-        refresh_fact(spark, raw, ph, ch, wh.fact, version, full_refresh=full_refresh)
+        refresh_fact(spark, raw, ph, ch, wh.fact, version, full_refresh=full_refresh,
+                     tiebreak=tiebreak)
         write_version(marts.daily_revenue(read_fact(spark, wh.fact)), wh.report, version)
     write_version(marts.dim_providers(ph), wh.dim_providers, version)
     write_version(marts.dim_clients(ch), wh.dim_clients, version)

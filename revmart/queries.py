@@ -158,6 +158,23 @@ def q_daily_revenue_incremental(spark, sf_dir):
     return fact.read_report_partitioned(spark, report_root)
 
 
+def q_warehouse_daily_revenue(spark, sf_dir):
+    """Two whole warehouse runs: the OLTP and the rate tables as of each run time.
+
+    Run 1 sees payments updated up to mid-1998 and the first rate snapshot;
+    run 2 sees everything and the last snapshot. Fact rows keep the rates
+    seen when they were loaded; the report is kept incrementally.
+    """
+    from revmart.plans.warehouse import Warehouse, read_warehouse_report, run_warehouse
+    wh = Warehouse(scratch_path(spark, "warehouse"))
+    source = fx.source_payments(spark, sf_dir).drop("fixture_loaded_at")
+    for run_ts, snap in ((INGEST_RUNS[0], 0), (INGEST_RUNS[1], len(fx.SNAPSHOT_RUNS) - 1)):
+        visible = source.where(F.col("updated_at") <= ts_lit(run_ts))
+        run_warehouse(spark, wh, visible, fx.provider_source(spark, sf_dir, snap),
+                      fx.client_source(spark, sf_dir, snap), run_ts, tiebreak=fx.TIEBREAK)
+    return read_warehouse_report(spark, wh)
+
+
 # ---- extract-load ---------------------------------------------------------
 
 def _two_ingest_runs(spark, sf_dir):
@@ -364,6 +381,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_incremental_partitioned": q_fact_incremental_partitioned,
     "daily_revenue": q_daily_revenue,
     "daily_revenue_incremental": q_daily_revenue_incremental,
+    "warehouse_daily_revenue": q_warehouse_daily_revenue,
     "insert_if_absent": q_insert_if_absent,
     "topk_update": q_topk_update,
     "semi_join_topk": q_semi_join_topk,
