@@ -56,24 +56,19 @@ def refresh_fact(spark: SparkSession, raw: DataFrame, provider_history: DataFram
                  full_refresh: bool = False, tiebreak: list[str] | None = None,
                  prune: bool = True, strategy: str = "versions") -> str:
     """Write the next version of the fact table; returns its path."""
-    if full_refresh or current_version(spark, fact_root) is None:
+    if full_refresh or current_version(spark, fact_root, before=version) is None:
         stg = stg_payments(raw, tiebreak=tiebreak)
         new = fact_rows(enrich_payments(stg, provider_history, client_history, strategy=strategy))
     else:
-        existing = read_current(spark, fact_root, _schema_of(spark, fact_root))
+        existing = read_current(spark, fact_root, FACT_SCHEMA, before=version)
         mark = max_loaded_at(existing)
         delta = fact_delta(raw, provider_history, client_history, mark, tiebreak, prune, strategy)
         new = keyed_upsert(existing, delta, KEY)
     return write_version(new.select(*FACT_COLUMNS), fact_root, version)
 
 
-def _schema_of(spark: SparkSession, fact_root: str):
-    version = current_version(spark, fact_root)
-    return spark.read.parquet(f"{fact_root.rstrip('/')}/v={version}").schema
-
-
 def read_fact(spark: SparkSession, fact_root: str) -> DataFrame:
-    return read_current(spark, fact_root, _schema_of(spark, fact_root))
+    return read_current(spark, fact_root, FACT_SCHEMA).select(*FACT_COLUMNS)
 
 
 # ---- partitioned layout: rewrite only the touched date partitions ----------
@@ -92,9 +87,9 @@ def _mark_root(fact_root: str) -> str:
     return f"{fact_root.rstrip('/')}/_mark"
 
 
-def read_fact_mark(spark: SparkSession, fact_root: str) -> dt.datetime:
+def read_fact_mark(spark: SparkSession, fact_root: str, before: str | None = None) -> dt.datetime:
     """The fact's ``max(loaded_at)``, kept beside it so no run scans the fact for it."""
-    marks = read_current(spark, _mark_root(fact_root), "max_loaded_at timestamp_ntz")
+    marks = read_current(spark, _mark_root(fact_root), "max_loaded_at timestamp_ntz", before)
     row = marks.agg(F.max("max_loaded_at").alias("m")).first()
     return row["m"] if row and row["m"] is not None else dt.datetime.fromisoformat(EPOCH)
 
@@ -115,7 +110,7 @@ def refresh_fact_partitioned(spark: SparkSession, raw: DataFrame, provider_histo
     same delta next time, which the keyed upsert absorbs.
     """
     obs = Observation(f"fact_{version}")
-    first = not current_partitions(spark, fact_root, PART_COL)
+    first = not current_partitions(spark, fact_root, PART_COL, before=version)
     if full_refresh or first:
         stg = stg_payments(raw, tiebreak=tiebreak)
         rows = fact_rows(enrich_payments(stg, provider_history, client_history, strategy=strategy))
@@ -125,7 +120,7 @@ def refresh_fact_partitioned(spark: SparkSession, raw: DataFrame, provider_histo
         touched = None
         mark = obs.get.get("m")
     else:
-        prev = read_fact_mark(spark, fact_root)
+        prev = read_fact_mark(spark, fact_root, before=version)
         delta = fact_delta(raw, provider_history, client_history, prev, tiebreak, prune, strategy)
         delta = _with_partition(delta, grain).observe(obs, F.max("loaded_at").alias("m"))
         schema = delta.schema

@@ -33,9 +33,10 @@ class IngestResult:
     new_mark: dt.datetime
 
 
-def read_watermark(spark: SparkSession, control_root: str, table_name: str) -> dt.datetime:
+def read_watermark(spark: SparkSession, control_root: str, table_name: str,
+                   before: str | None = None) -> dt.datetime:
     """Mark of ``table_name``; the epoch when the source was never loaded."""
-    marks = read_current(spark, control_root, WATERMARK)
+    marks = read_current(spark, control_root, WATERMARK, before)
     row = marks.where(F.col("table_name") == table_name).agg(
         F.max("last_loaded_at").alias("m")).first()
     if row is None or row["m"] is None:
@@ -46,7 +47,7 @@ def read_watermark(spark: SparkSession, control_root: str, table_name: str) -> d
 def save_watermark(spark: SparkSession, control_root: str, table_name: str, mark: dt.datetime,
                    version: str) -> None:
     """Insert or replace the source's row: a new version of the control table."""
-    marks = read_current(spark, control_root, WATERMARK)
+    marks = read_current(spark, control_root, WATERMARK, before=version)
     new_row = spark.range(1).select(F.lit(table_name).alias("table_name"),
                                     ts_lit(mark).alias("last_loaded_at"))
     kept = marks.where(F.col("table_name") != table_name)
@@ -62,7 +63,8 @@ def incremental_ingest(spark: SparkSession, source: DataFrame, raw_root: str, co
                        raw_schema=RAW_PAYMENTS) -> IngestResult:
     """One run of the extract-load job (append to raw, then advance the mark)."""
     columns = columns or SOURCE_PAYMENTS.fieldNames()
-    mark = read_watermark(spark, control_root, table_name)
+    # the mark as it was before this run (a re-run of the run sees the same)
+    mark = read_watermark(spark, control_root, table_name, before=version_id(run_ts))
     lower = mark - lookback if lookback else mark
     extracted = source
     if type_filter is not None:
@@ -72,8 +74,8 @@ def incremental_ingest(spark: SparkSession, source: DataFrame, raw_root: str, co
         # Rows re-read by the widened window that raw already holds are not
         # loaded again (a reload would win the dedup with a newer loaded_at).
         # only raw rows inside the widened window can collide (filter pushed to the scan)
-        seen = (read_batches(spark, raw_root, raw_schema).where(F.col(mark_col) > ts_lit(lower))
-                .select(key_col, mark_col))
+        seen = (read_batches(spark, raw_root, raw_schema, exclude=version_id(run_ts))
+                .where(F.col(mark_col) > ts_lit(lower)).select(key_col, mark_col))
         extracted = extracted.join(seen, on=[key_col, mark_col], how="left_anti")
     stamped = extracted.withColumn("loaded_at", ts_lit(run_ts))
     obs = Observation(f"ingest_{version_id(run_ts)}")

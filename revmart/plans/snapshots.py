@@ -50,9 +50,9 @@ def run_snapshot(spark: SparkSession, root: str, incoming: DataFrame, run_ts: st
                  kind: str) -> str:
     """One snapshot run: committed history + incoming -> next committed version."""
     schema = SPECS[kind][0]
-    history = read_current(spark, root, schema)
-    return write_version(snapshot_step(history, incoming, run_ts, kind).coalesce(1), root,
-                         version_id(run_ts))
+    version = version_id(run_ts)
+    history = read_current(spark, root, schema, before=version)
+    return write_version(snapshot_step(history, incoming, run_ts, kind).coalesce(1), root, version)
 
 
 def replay(spark: SparkSession, snapshots: DataFrame, runs: list[str], kind: str,

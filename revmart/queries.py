@@ -15,12 +15,11 @@ from pyspark.sql import types as T
 
 from revmart.functions.columns import ts_lit
 from revmart.operators.dedup import SortKey, latest_version
-from revmart.operators.topk import semi_join, top_k_keys, update_top_k
-from revmart.operators.upsert import insert_if_absent
+from revmart.operators.topk import semi_join, top_k_keys
 from revmart.plans import checks, enrich, fact, ingest, marts, snapshots, staging
 from revmart.schemas import RAW_CLIENTS, RAW_PAYMENTS, RAW_PROVIDERS, SOURCE_PAYMENTS, WATERMARK
 from revmart.session import scratch_path, shared_dir
-from revmart.sinks.storage import read_batches, read_current, version_id
+from revmart.sinks.storage import read_batches, read_current, version_id, write_version
 from revmart.sources import fixtures as fx
 from revmart.sources.tables import layer_table, read_table
 
@@ -286,13 +285,19 @@ def q_stream_latest_event_per_user(spark, sf_dir):
 # ---- OLTP-side writes -----------------------------------------------------
 
 def q_insert_if_absent(spark, sf_dir):
-    """Insert every source payment whose id is new; the first version of each wins."""
-    src = fx.source_payments(spark, sf_dir)
+    """The payments table holds orders before 1998; every source payment is then
+    inserted if its id is new (the first version of each id wins)."""
+    from revmart.plans import oltp
+    root = layer_table(scratch_path(spark, "oltp"), "source", "payments")
     existing = (_oltp_payments(spark, sf_dir)
                 .where(F.col("created_at") < ts_lit(INSERT_EXISTING_BEFORE)))
-    first_version = [SortKey("updated_at", descending=False), SortKey("fixture_loaded_at", descending=False),
+    write_version(existing, root, version_id(INSERT_EXISTING_BEFORE))
+    first_version = [SortKey("updated_at", descending=False),
+                     SortKey("fixture_loaded_at", descending=False),
                      SortKey("l_suppkey", descending=False), SortKey("l_partkey", descending=False)]
-    return insert_if_absent(existing, src, ["transaction_id"], first_version)
+    oltp.insert_new_payments(spark, root, fx.source_payments(spark, sf_dir), first_version,
+                             TOPK_RUN_TS)
+    return oltp.read_payments(spark, root)
 
 
 def _pending_newest():
@@ -301,9 +306,12 @@ def _pending_newest():
 
 
 def q_topk_update(spark, sf_dir):
-    where, order = _pending_newest()
-    return update_top_k(_oltp_payments(spark, sf_dir), ["transaction_id"], where, order, TOPK_N,
-                        {"status": F.lit("confirmed"), "updated_at": ts_lit(TOPK_RUN_TS)})
+    """The newest pending payments confirmed, as a committed new version of the table."""
+    from revmart.plans import oltp
+    root = layer_table(scratch_path(spark, "oltp"), "source", "payments")
+    write_version(_oltp_payments(spark, sf_dir), root, version_id(INSERT_EXISTING_BEFORE))
+    oltp.confirm_newest_pending(spark, root, TOPK_N, TOPK_RUN_TS)
+    return oltp.read_payments(spark, root)
 
 
 def q_semi_join_topk(spark, sf_dir):

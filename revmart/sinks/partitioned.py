@@ -45,9 +45,14 @@ def _commits(spark: SparkSession, root: str) -> set[str]:
     return {s.getPath().getName() for s in fs.listStatus(path)}
 
 
-def current_partitions(spark: SparkSession, root: str, part_col: str) -> dict[str, str | None]:
-    """partition value -> committed revision folder (None when emptied); two glob listings."""
-    committed = _commits(spark, root)
+def current_partitions(spark: SparkSession, root: str, part_col: str,
+                       before: str | None = None) -> dict[str, str | None]:
+    """partition value -> committed revision folder (None when emptied); two glob listings.
+
+    With ``before`` only revisions older than it count (a run writing
+    revision V reads with ``before=V``, so a re-run never reads its own output).
+    """
+    committed = {v for v in _commits(spark, root) if before is None or v < before}
     fs, hroot, jvm = _fs(spark, root)
     if not committed or not fs.exists(hroot):
         return {}
@@ -66,9 +71,9 @@ def current_partitions(spark: SparkSession, root: str, part_col: str) -> dict[st
 
 
 def read_partitioned(spark: SparkSession, root: str, schema: StructType, part_col: str,
-                     only: set[str] | None = None) -> DataFrame:
+                     only: set[str] | None = None, before: str | None = None) -> DataFrame:
     """Current state of the table (optionally just some partition values)."""
-    parts = current_partitions(spark, root, part_col)
+    parts = current_partitions(spark, root, part_col, before)
     paths = [p for value, p in parts.items() if p is not None and (only is None or value in only)]
     if not paths:
         return spark.createDataFrame([], schema)
@@ -110,7 +115,7 @@ def overwrite_partitioned(spark: SparkSession, df: DataFrame, root: str, part_co
                           version: str, files_per_partition: int = 1,
                           spread_by: list[str] | None = None) -> None:
     """Full load: every partition of ``df`` (and tombstones for the rest) as ``version``."""
-    existing = set(current_partitions(spark, root, part_col))
+    existing = set(current_partitions(spark, root, part_col, before=version))
     write_partitions(spark, df, root, part_col, version, existing, files_per_partition,
                      spread_by)
 
@@ -124,7 +129,7 @@ def upsert_partitioned(spark: SparkSession, root: str, schema: StructType, delta
     keys live now (a key whose partition value moved leaves its old one).
     Returns the touched partition values.
     """
-    current = read_partitioned(spark, root, schema, part_col)
+    current = read_partitioned(spark, root, schema, part_col, before=version)
     # used three times below; cached (recomputed from lineage if an executor is lost)
     delta = delta.select(*schema.fieldNames()).persist(StorageLevel.MEMORY_AND_DISK)
     old_parts = (current.select(*keys, part_col).join(delta.select(*keys), on=keys, how="left_semi")
@@ -132,8 +137,8 @@ def upsert_partitioned(spark: SparkSession, root: str, schema: StructType, delta
     touched_rows = delta.select(part_col).distinct().unionByName(old_parts).distinct().collect()
     touched = {str(r[0]) for r in touched_rows}
     if touched:
-        before = read_partitioned(spark, root, schema, part_col, only=touched)
-        write_partitions(spark, keyed_upsert(before, delta, keys), root, part_col, version,
+        old = read_partitioned(spark, root, schema, part_col, only=touched, before=version)
+        write_partitions(spark, keyed_upsert(old, delta, keys), root, part_col, version,
                          touched, files_per_partition, keys)
     delta.unpersist()
     return touched

@@ -6,6 +6,7 @@ import datetime as dt
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _VERSION_DIR = re.compile(r"^v=(.+)$")
@@ -40,14 +41,20 @@ def committed_versions(spark: SparkSession, root: str) -> list[str]:
     return sorted(out)
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    versions = committed_versions(spark, root)
+def current_version(spark: SparkSession, root: str, before: str | None = None) -> str | None:
+    """Greatest committed version (only those older than ``before`` when given).
+
+    A run that writes version V reads with ``before=V``: re-running V after
+    a crash then sees exactly what the first attempt saw, never its own output.
+    """
+    versions = [v for v in committed_versions(spark, root) if before is None or v < before]
     return versions[-1] if versions else None
 
 
-def read_current(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """The latest committed version, or an empty table of ``schema``."""
-    version = current_version(spark, root)
+def read_current(spark: SparkSession, root: str, schema: StructType,
+                 before: str | None = None) -> DataFrame:
+    """The latest committed version (older than ``before``), or an empty table of ``schema``."""
+    version = current_version(spark, root, before)
     if version is None:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/v={version}")
@@ -76,13 +83,19 @@ def read_batch(spark: SparkSession, root: str, batch_id: str, schema: StructType
     return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/batch={batch_id}")
 
 
-def read_batches(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """All committed batches of an append-only table (uncommitted ones are hidden)."""
+def read_batches(spark: SparkSession, root: str, schema: StructType,
+                 exclude: str | None = None) -> DataFrame:
+    """All committed batches of an append-only table (uncommitted ones are hidden).
+
+    ``exclude`` leaves out one batch (a re-run must not see its own earlier attempt).
+    """
     fs, hroot, _ = _fs(spark, root)
     if not fs.exists(hroot):
         return spark.createDataFrame([], schema)
-    return (spark.read.schema(schema).option("basePath", root).parquet(f"{root.rstrip('/')}/batch=*")
-            .select(*schema.fieldNames()))
+    df = spark.read.schema(schema).option("basePath", root).parquet(f"{root.rstrip('/')}/batch=*")
+    if exclude is not None:
+        df = df.where(F.col("batch").cast("string") != F.lit(exclude))
+    return df.select(*schema.fieldNames())
 
 
 def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:

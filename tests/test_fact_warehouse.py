@@ -29,6 +29,22 @@ def test_incremental_equals_full_refresh(spark):
     refresh_fact(spark, raw, ph, ch, root, "2", tiebreak=fx.TIEBREAK)
     full = fact_rows(enrich_payments(stg_payments(raw, tiebreak=fx.TIEBREAK), ph, ch))
     assert _set(read_fact(spark, root)) == _set(full)
+    # re-running run 2 (after a crash) reads version 1 again, not its own output
+    refresh_fact(spark, raw, ph, ch, root, "2", tiebreak=fx.TIEBREAK)
+    assert _set(read_fact(spark, root)) == _set(full)
+
+
+def test_partitioned_rerun_is_idempotent(spark):
+    from revmart.plans.fact import read_fact_partitioned, refresh_fact_partitioned
+    raw = fx.raw_payments(spark, SF_SMALL)
+    ph, ch = Q._provider_history(spark, SF_SMALL), Q._client_history(spark, SF_SMALL)
+    root = scratch_path(spark, "fact-part-rerun")
+    first = raw.where(F.col("loaded_at") < ts_lit("1998-01-01 00:00:00"))
+    refresh_fact_partitioned(spark, first, ph, ch, root, "1", tiebreak=fx.TIEBREAK)
+    refresh_fact_partitioned(spark, raw, ph, ch, root, "2", tiebreak=fx.TIEBREAK)
+    once = _set(read_fact_partitioned(spark, root))
+    refresh_fact_partitioned(spark, raw, ph, ch, root, "2", tiebreak=fx.TIEBREAK)
+    assert _set(read_fact_partitioned(spark, root)) == once
 
 
 def test_changed_key_pruning_is_exact(spark):

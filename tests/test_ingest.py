@@ -65,3 +65,15 @@ def test_rerun_after_crash_before_mark_is_absorbed(spark):
     once = stg_payments(src.withColumn("loaded_at", F.lit(None).cast("timestamp_ntz")))
     assert sorted(tuple(r) for r in stg.drop("loaded_at").collect()) == \
         sorted(tuple(r) for r in once.drop("loaded_at").collect())
+
+
+def test_rerun_of_the_same_run_is_idempotent(spark):
+    import datetime as dt
+    raw, marks = _paths(spark)
+    src = _src(spark, [("t1", "2025-01-02 00:00:00", "pending", "recarga"),
+                       ("t2", "2025-01-03 00:00:00", "confirmed", "recarga")])
+    for _ in range(2):  # the second call is a re-run of the same run (same run_ts)
+        r = incremental_ingest(spark, src, raw, marks, "2025-01-10 00:00:00",
+                               type_filter=payments_type_filter(), lookback=dt.timedelta(days=30))
+        assert r.rows == 2 and r.previous_mark == dt.datetime(1970, 1, 1)
+    assert read_batches(spark, raw, RAW_PAYMENTS).count() == 2
