@@ -26,7 +26,7 @@ JOB_CONFS = {
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
                   app: str = "revmart", driver_memory: str | None = None) -> SparkSession:
     """Session for tests and the local benchmark (the cluster brings its own)."""
-    driver_memory = driver_memory or os.environ.get("REVMART_DRIVER_MEMORY", "4g")
+    driver_memory = driver_memory or os.environ.get("REVMART_DRIVER_MEMORY") or _default_heap()
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
@@ -40,6 +40,15 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _default_heap() -> str:
+    """8 GB, or 60% of physical memory on a smaller machine (local mode: driver = executors)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(8, int(total * 0.6 / 2**30)))}g"
+
+
 def apply_job_confs(spark: SparkSession) -> None:
     for key, value in JOB_CONFS.items():
         spark.conf.set(key, value)
