@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revmart.llm import exact_dedup, packing, token_files
+from revmart.llm import exact_dedup, mixing, packing, token_files
 from revmart.llm.common import LOWER, UPPER, apply_llm_confs, table
 from revmart.llm.tokens import public_path
 from revmart.session import scratch_path
@@ -18,6 +18,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_batch(table(spark, sf_dir, "documents"), index)
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"),
                                    public_path("byte_bpe_50k.json"), end_id=2, vocab_size=50_257)
@@ -38,6 +42,7 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 QUERIES = {fn.__name__: _query(fn) for fn in (
     op4_exact_dedup,
+    op5_mix_sources,
     op9_token_files,
     op10_best_fit_packing,
 )}
@@ -52,4 +57,5 @@ WITH d AS (
 )
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_sha256
 FROM d JOIN g USING (text_sha256)""",
+    "op5_mix_sources": mixing.MIX_SQL.format(docs="documents"),
 }
