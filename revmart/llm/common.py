@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +27,25 @@ LLM_CONFS = {
 def apply_llm_confs(spark: SparkSession) -> None:
     for key, value in LLM_CONFS.items():
         spark.conf.set(key, value)
+    ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per SparkContext.
+
+    Functions that run there refer to them; a session may have been started
+    without the repository on its workers' path.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_revmart_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="revmart-")) / "revmart_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._revmart_shipped = True
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revmart.llm import exact_dedup, mixing, packing, token_files
+from revmart.llm import embedding_dedup, exact_dedup, mixing, packing, token_files
 from revmart.llm.common import LOWER, UPPER, apply_llm_confs, table
 from revmart.llm.tokens import public_path
 from revmart.session import scratch_path
@@ -22,6 +22,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"),
                                    public_path("byte_bpe_50k.json"), end_id=2, vocab_size=50_257)
@@ -43,6 +47,7 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 QUERIES = {fn.__name__: _query(fn) for fn in (
     op4_exact_dedup,
     op5_mix_sources,
+    op6_embedding_near_dedup,
     op9_token_files,
     op10_best_fit_packing,
 )}
