@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revmart.llm import embedding_dedup, exact_dedup, mixing, packing, token_files
-from revmart.llm.common import LOWER, UPPER, apply_llm_confs, table
+from revmart.llm import embedding_dedup, exact_dedup, language_id, mixing, packing, token_files
+from revmart.llm.common import LOWER, UPPER, apply_llm_confs, fold, table
 from revmart.llm.tokens import public_path
 from revmart.session import scratch_path
 
@@ -26,6 +26,12 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of remainder 1 are held out; lang_pred is the best language, rejected marks a narrow margin."""
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, fold("doc_id", 3) == 1)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"),
                                    public_path("byte_bpe_50k.json"), end_id=2, vocab_size=50_257)
@@ -48,6 +54,7 @@ QUERIES = {fn.__name__: _query(fn) for fn in (
     op4_exact_dedup,
     op5_mix_sources,
     op6_embedding_near_dedup,
+    op8_language_id,
     op9_token_files,
     op10_best_fit_packing,
 )}
