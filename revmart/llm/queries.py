@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revmart.llm import embedding_dedup, exact_dedup, language_id, mixing, packing, token_files
+from revmart.llm import embedding_dedup, exact_dedup, hmm_lm, language_id, mixing, packing, token_files
 from revmart.llm.common import LOWER, UPPER, apply_llm_confs, fold, table
 from revmart.llm.tokens import public_path
 from revmart.session import scratch_path
 
 
+def op3_hmm_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of remainder 2 are held out."""
+    docs = table(spark, sf_dir, "documents")
+    return hmm_lm.hmm_scores(docs, fold("doc_id", 7) == 2)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "digest-index")
     index = exact_dedup.DigestIndex(spark, path, "digest_index_" + path[-12:])
@@ -51,6 +57,7 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 
 QUERIES = {fn.__name__: _query(fn) for fn in (
+    op3_hmm_language_model,
     op4_exact_dedup,
     op5_mix_sources,
     op6_embedding_near_dedup,

@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from revmart.llm import hmm_lm
+from revmart.llm.common import fold, table
+from revmart.llm.hmm_lm import END, expected_counts, hmm_scores, log_likelihoods, maximise, starting_model
+
+SF = "/root/testdata/sf0.001"
+
+
+def _toy(states=3, classes=7, seed=0):
+    rng = np.random.default_rng(seed)
+    return maximise(rng.random(states), rng.random(states), rng.random((states, states)) * 9,
+                    rng.random((classes, states)) * 9)
+
+
+def _forward(x, hmm):
+    a = hmm.start * hmm.emit[x[0]]
+    for c in x[1:]:
+        a = (a @ hmm.move) * hmm.emit[c]
+    return math.log(a.sum())
+
+
+def test_segments_give_the_plain_forward_likelihood(monkeypatch):
+    monkeypatch.setattr(hmm_lm, "SEGMENT", 4)
+    hmm, rng = _toy(), np.random.default_rng(1)
+    texts = [rng.integers(0, 7, n) for n in (1, 3, 4, 5, 8, 9, 40, 100, 2)]
+    assert np.allclose(log_likelihoods(texts, hmm), [_forward(t, hmm) for t in texts])
+
+
+def test_expected_counts_against_all_paths():
+    import itertools
+    hmm, x = _toy(2, 4, 2), np.array([1, 3, 0, 1])
+    start, moves, emits, total = np.zeros(2), np.zeros((2, 2)), np.zeros((4, 2)), 0.0
+    for path in itertools.product(range(2), repeat=4):
+        p = hmm.start[path[0]] * np.prod([hmm.emit[c, s] for c, s in zip(x, path)])
+        p *= np.prod([hmm.move[a, b] for a, b in zip(path, path[1:])])
+        total += p
+        start[path[0]] += p
+        for a, b in zip(path, path[1:]):
+            moves[a, b] += p
+        for c, s in zip(x, path):
+            emits[c, s] += p
+    got = expected_counts([x], hmm)
+    for a, b in zip(got, (start / total, np.zeros(2), moves / total, emits / total, math.log(total))):
+        assert np.allclose(a, b)
+
+
+def test_rounds_raise_the_likelihood():
+    rng = np.random.default_rng(3)
+    texts = [np.concatenate((rng.integers(0, 5, 30), rng.integers(5, 10, 30))) for _ in range(40)]
+    early, late = (log_likelihoods(texts, starting_model(texts, 2, 10, rounds=r)).sum() for r in (1, 15))
+    assert late > early + 50
+
+
+def test_counts_and_base_against_brute_force(spark):
+    docs = table(spark, SF, "documents")
+    rows = docs.select("doc_id", "text", (fold("doc_id", 7) == 2).alias("h")).collect()
+    tokens = {r.doc_id: [*(r.text or "").encode().lower().split(), END] for r in rows}
+    c = Counter(w for r in rows if not r.h for w in tokens[r.doc_id])
+    n, v = sum(c.values()), len(c)
+    out = {r.doc_id: r for r in hmm_scores(docs, fold("doc_id", 7) == 2, block_chars=50_000, rounds=2).collect()}
+    assert len(out) == len(rows)
+    gain = 0.0
+    for r in rows:
+        got, t = out[r.doc_id], tokens[r.doc_id]
+        assert (got.held_out, got.n_tokens, got.train_tokens) == (r.h, len(t), n)
+        assert got.n_known == sum(c[w] > 0 for w in t)
+        assert got.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), rel=1e-9)
+        if r.h:
+            gain += got.score - got.base_score
+    assert gain > 0  # better than the base on held-out text
+
+
+def test_cases(spark, make_docs):
+    rows = [(1, None), (2, ""), (3, "A a b"), (3, "a A b"), (None, "b \x1f"), (4, "c " * 30_000), (5, "new words")]
+    out = hmm_scores(make_docs(rows, extra=True), F.coalesce(F.col("doc_id") == 5, F.lit(False)),
+                     states=2, rounds=1).collect()
+    assert len(out) == len(rows)
+    by = {r.doc_id: r for r in out}
+    assert by[1].n_tokens == by[2].n_tokens == 1 and by[1].score == by[2].score
+    assert (by[4].n_tokens, by[5].n_known) == (30_001, 1) and by[5].held_out
+    assert all(math.isfinite(r.score) and r.score < 0 for r in out)
+    assert hmm_scores(make_docs([]), F.lit(False)).collect() == []
+    untrained = hmm_scores(make_docs([(1, "x y")]), F.lit(True)).collect()[0]
+    assert (untrained.train_tokens, untrained.n_known, untrained.base_score) == (0, 0, 0.0)
+
+
+def test_word_probabilities_sum_to_one():
+    """Over all words and each class's unseen word, from every state."""
+    counts = {0: [5], 1: [2, 1, 1], 2: []}
+    emit = _toy(2, 3, 4).emit
+    total = sum(emit[k] * ((sum(n + 1 for n in c) + 1) / (sum(c) + len(c) + 1)) for k, c in counts.items())
+    assert np.allclose(total, 1)

@@ -21,7 +21,7 @@ def test_cases(spark, make_docs):
     rows = [(i, "the cat sat on the mat " * 3, "en") for i in range(20)]
     rows += [(i, "der Hund und die Katze schlafen " * 3, "de") for i in range(20, 40)]
     rows += [(50, None, "en"), (51, "", None), (52, "123 !? 45", "en"), (53, "der Hund und die Katze " * 20_000, None),
-             (54, "the mat", "en"), (54, "the mat", "en"), (None, "the cat sat on", None)]
+             (54, "the cat sat on the mat", "en"), (54, "the cat sat on the mat", "en"), (None, "the cat sat on", None)]
     out = identify(make_docs(rows, extra=True), F.col("doc_id") == 54).collect()
     assert len(out) == len(rows)
     by = {r.doc_id: r for r in out}
