@@ -85,6 +85,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(df: DataFrame, id_col: str, n: int, seed: int) -> DataFrame:
+    """About the n rows of smallest seeded id hash, n at most.
+
+    A threshold on the hash first leaves some 2n rows of the whole table, so
+    the limit never gathers n rows from every task.
+    """
+    total = df.count()
+    h = F.xxhash64(F.lit(seed), F.col(id_col))
+    span = 2**64 * min(1.0, 2 * n / max(1, total)) - 2**63
+    few = df if total <= 2 * n else df.filter(h < F.lit(int(span)))
+    return few.orderBy(h, id_col).limit(n)
+
+
 def limited(batches: Iterable[pa.RecordBatch], text: str, max_chars: int) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``max_chars`` of text, one row at least."""
     import pyarrow.compute as pc
