@@ -40,14 +40,19 @@ def learn_dictionaries(labelled: DataFrame, sample_texts: int = 400, dict_bytes:
                        seed: int = 5) -> dict[str, bytes]:
     """Dictionary content per language, from (id, lang, text).
 
-    The rank per language has a limit, so every task first keeps only its own
-    ``sample_texts`` rows of a language: a language with most of the rows
-    does not meet in one task whole. Each text gives at most an equal part.
+    A threshold on the seeded hash, from the language's row count, leaves some
+    4 * ``sample_texts`` rows of a language in the whole table before they are
+    ranked, so a language with most of the rows does not meet in one task.
+    Each text gives at most an equal part.
     """
     part = max(1, 2 * dict_bytes // sample_texts)
-    order = F.xxhash64(F.lit(seed), "text"), F.col("id")
-    ranked = (labelled.filter(F.col("lang").isNotNull() & (F.length("text") > 0))
-              .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    usable = labelled.filter(F.col("lang").isNotNull() & (F.length("text") > 0))
+    h = F.xxhash64(F.lit(seed), F.col("id"))
+    share = F.least(F.lit(1.0), F.lit(4.0 * sample_texts) / F.col("rows"))
+    rows = usable.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("rows"))
+    ranked = (usable.join(rows, F.col("lang") == F.col("_lang"))
+              .filter(h.cast("double") <= share * 2.0**64 - 2.0**63)
+              .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(h, "id")))
               .filter(F.col("rank") <= sample_texts)
               .select("lang", "rank", F.substring("text", 1, part).alias("text")))
     parts: dict[str, list[bytes]] = {}
