@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revmart.llm import embedding_dedup, exact_dedup, hmm_lm, language_id, mixing, packing, token_files, toxicity
+from revmart.llm import embedding_dedup, exact_dedup, hmm_lm, language_id, mixing, packing, pu_quality, token_files, toxicity
 from revmart.llm.common import LOWER, UPPER, apply_llm_confs, fold, table
 from revmart.llm.tokens import public_path
 from revmart.session import scratch_path
@@ -18,6 +18,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, labels, fold("doc_id", 3) == 1)
 
 
+def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of remainder 0 are held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return pu_quality.quality(docs, labels, fold("doc_id", 5) == 0)
+
+
 def op3_hmm_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of remainder 2 are held out."""
     docs = table(spark, sf_dir, "documents")
@@ -64,6 +70,7 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 QUERIES = {fn.__name__: _query(fn) for fn in (
     op1_toxicity,
+    op2_pu_quality,
     op3_hmm_language_model,
     op4_exact_dedup,
     op5_mix_sources,
