@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revmart.llm import embedding_dedup, exact_dedup, hmm_lm, language_id, mixing, packing, pu_quality, token_files, toxicity
+from revmart.llm import embedding_dedup, exact_dedup, hmm_lm, language_id, mixing, ngram_join, packing, pu_quality, token_files, toxicity
 from revmart.llm.common import LOWER, UPPER, apply_llm_confs, fold, table
 from revmart.llm.tokens import public_path
 from revmart.session import scratch_path
@@ -44,6 +44,10 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of remainder 1 are held out; lang_pred is the best language, rejected marks a narrow margin."""
     docs = table(spark, sf_dir, "documents")
@@ -75,6 +79,7 @@ QUERIES = {fn.__name__: _query(fn) for fn in (
     op4_exact_dedup,
     op5_mix_sources,
     op6_embedding_near_dedup,
+    op7_ngram_jaccard_join,
     op8_language_id,
     op9_token_files,
     op10_best_fit_packing,
