@@ -164,3 +164,22 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
                                              F.col("vec_id").alias("component_id"))
     return (keyed.join(resolved, "key").select("vec_id", "n_links", "component_id").unionByName(alone)
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))
+
+
+#: DuckDB SQL of ``near_vectors`` over ``embeddings``, by all pairs.
+NEAR_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND list_bool_and([isfinite(coalesce(x, 'nan'::FLOAT)) FOR x IN embedding])
+    AND list_bool_or([x <> 0 FOR x IN embedding])
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), lowest AS (
+  SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM lowest"""

@@ -17,7 +17,7 @@ columns are not read, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revmart.llm.common import ascii_lower, materialise
@@ -43,16 +43,9 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.name)
 
 
-def dedup_batch(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """Decide every row of ``docs`` and append its new texts to the index.
-
-    Returns one row per input row: the id, keep_id (the row that stays, of
-    this batch or an earlier one), group_size (equal texts in this batch),
-    kept and text_sha256.
-    """
-    digests = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                          F.unhex(F.sha2(ascii_lower(text_col), 256)).alias("digest"))
+def _decide(docs: DataFrame, index: DigestIndex, id_col: str, text_col: str) -> DataFrame:
+    """(digest, doc_id, n, keep_id, group_size): a row per id and text, n its number of rows."""
+    digests = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), digest_of(text_col).alias("digest"))
     rows = materialise(digests.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("n")), "digests")
     groups = materialise(
         rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.sum("n").alias("group_size")), "groups")
@@ -61,7 +54,22 @@ def dedup_batch(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
     # and the adaptive plan can split the partition of a text with very many copies.
     resolved = materialise(
         groups.drop("keep_id").join(index.read().hint("merge"), "digest"), "resolved")
-    return (rows.join(resolved, "digest")
+    return rows.join(resolved, "digest")
+
+
+def digest_of(text_col: str) -> Column:
+    return F.unhex(F.sha2(ascii_lower(text_col), 256))
+
+
+def dedup_batch(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """Decide every row of ``docs`` and append its new texts to the index.
+
+    Returns one row per input row: the id, keep_id (the row that stays, of
+    this batch or an earlier one), group_size (equal texts in this batch),
+    kept and text_sha256.
+    """
+    return (_decide(docs, index, id_col, text_col)
             .withColumn("nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))))
             .select("doc_id", "keep_id", F.col("group_size").cast("bigint").alias("group_size"),
                     (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"),
@@ -69,11 +77,18 @@ def dedup_batch(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
 
 
 def keep_first(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns as they were (a repeated row once)."""
-    kept = dedup_batch(docs, index).filter("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    # One row per digest: rows repeated with id and text alike collapse here.
-    numbered = docs.withColumn("_sha", F.sha2(ascii_lower("text"), 256))
-    joined = numbered.join(kept, (numbered["_sha"] == kept["_kept_sha"])
-                           & numbered["doc_id"].cast("bigint").eqNullSafe(kept["_kept_id"]), "left_semi")
-    return joined.dropDuplicates(["_sha"]).select(*docs.columns)
+    """The rows of ``docs`` (with doc_id and text) that stay, their columns as they were."""
+    kept = materialise(
+        _decide(docs, index, "doc_id", "text").filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+        .select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "n"), "kept")
+
+    def rows_of(which: DataFrame) -> DataFrame:
+        marked = docs.withColumn("_digest_of", digest_of("text"))
+        return marked.join(which, (F.col("_digest_of") == F.col("_digest"))
+                           & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")), "left_semi")
+
+    once = rows_of(kept.filter("n = 1")).select(*docs.columns)
+    repeated = kept.filter("n > 1")
+    if repeated.isEmpty():  # the usual case: no row repeats another's id and text
+        return once
+    return once.unionByName(rows_of(repeated).dropDuplicates(["_digest_of"]).select(*docs.columns))

@@ -304,3 +304,34 @@ def jaccard_components(docs: DataFrame, n: int = 5, sample: int = 8000, common_l
     alone = sets.filter("n_shingles = 0 OR doc_id IS NULL").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return usable.join(resolved, "digest").select("doc_id", "n_shingles", "component_id").unionByName(alone)
+
+
+def keep_representatives(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without those whose group has a smaller id; columns as they were."""
+    dropped = (jaccard_components(docs).filter("doc_id <> component_id")
+               .select(F.col("doc_id").alias("_dropped")).distinct())
+    return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
+
+
+#: DuckDB SQL of ``jaccard_components`` over ``documents``.
+JOIN_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 3))) AS i FROM w WHERE len(words) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), e AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM e JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM w UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), lowest AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id
+FROM w JOIN lowest USING (doc_id) LEFT JOIN n USING (doc_id)"""

@@ -96,4 +96,6 @@ WITH d AS (
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_sha256
 FROM d JOIN g USING (text_sha256)""",
     "op5_mix_sources": mixing.MIX_SQL.format(docs="documents"),
+    "op6_embedding_near_dedup": embedding_dedup.NEAR_SQL,
+    "op7_ngram_jaccard_join": ngram_join.JOIN_SQL,
 }

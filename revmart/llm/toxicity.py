@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revmart.llm import gru
 from revmart.llm.common import bounded_sample, limited
@@ -159,8 +160,9 @@ def learn(labelled: DataFrame) -> tuple[dict[str, np.ndarray], float, float] | N
     return fit([texts[i] for i in keep], labels[keep])
 
 
-def score_texts(docs: DataFrame, model: tuple[dict[str, np.ndarray], float, float] | None) -> DataFrame:
-    """Per row of (doc_id, text, held_out): doc_id, held_out, score."""
+def score_rows(docs: DataFrame, model: tuple[dict[str, np.ndarray], float, float] | None,
+               score_col: str = "score") -> DataFrame:
+    """``docs`` (with text) as it is, and each row's score behind it."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few MB, whatever the input
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,17 +174,29 @@ def score_texts(docs: DataFrame, model: tuple[dict[str, np.ndarray], float, floa
                 _, slope, intercept = shared.value
                 logit = scorer.text_logits([tokens_of(t) for t in batch.column("text").to_pylist()])
                 value = np.where(np.isfinite(logit), 1 / (1 + np.exp(-np.clip(slope * logit + intercept, -500, 500))), 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(value)],
-                                             ["doc_id", "held_out", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], [*batch.schema.names, score_col])
 
-    return docs.select("doc_id", "text", "held_out").mapInArrow(
-        score, "doc_id long, held_out boolean, score double")
+    schema = T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())])
+    return docs.mapInArrow(score, schema)
+
+
+def learn_from(docs: DataFrame, labels: DataFrame,
+               held_out: Column) -> tuple[dict[str, np.ndarray], float, float] | None:
+    """Fit on the labelled rows that are not held out."""
+    known = labels.filter(F.col("toxic").isNotNull()).select(
+        F.col("doc_id").cast("bigint").alias("id"), F.col("toxic").alias("label"))
+    rows = docs.filter(~held_out).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return learn(rows.join(known, F.col("doc_id") == F.col("id")).select("id", "text", "label"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7) -> DataFrame:
     """Learn from the labelled rows not held out; score every row: doc_id, held_out, score, predicted."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", held_out.alias("held_out"))
-    known = labels.filter(F.col("toxic").isNotNull()).select(
-        F.col("doc_id").cast("bigint").alias("id"), F.col("toxic").alias("label"))
-    learnt = learn(rows.filter("not held_out").join(known, F.col("doc_id") == F.col("id")).select("id", "text", "label"))
-    return score_texts(rows, learnt).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return (score_rows(rows, learn_from(docs, labels, held_out)).select("doc_id", "held_out", "score")
+            .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` that score under the threshold, their columns as they were."""
+    scored = score_rows(docs, learn_from(docs, labels, held_out), "_toxicity")
+    return scored.filter(F.col("_toxicity") < threshold).select(*docs.columns)
