@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revmart.llm.common import limited, materialise
-from revmart.llm.tokens import Encoder
+from revmart.llm.tokens import encoder as worker_encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", node long, bin long, offset long, fill long, done boolean"
@@ -74,7 +74,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, d
     step = 4 * capacity
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, drops_space)
+        encoder = worker_encoder(tokenizer, drops_space)
         for batch in limited(batches, "text", 4_000_000):
             out: list[list] = [[] for _ in range(6)]
             for doc_id, blob in zip(batch.column("doc_id").to_pylist(),

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from revmart.llm.common import limited, materialise, shuffle_partitions
 from revmart.llm.elias_fano import EliasFano
-from revmart.llm.tokens import Encoder
+from revmart.llm.tokens import encoder as worker_encoder
 from revmart.session import scratch_path
 
 MAGIC = b"EFTK"
@@ -96,7 +96,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = Encoder(tokenizer, drops_space)
+        encoder = worker_encoder(tokenizer, drops_space)
         part, seq = TaskContext.get().partitionId(), 0
         keys: list[int | None] = []
         ids: list[bytes] = []
