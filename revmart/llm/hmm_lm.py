@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revmart.llm.common import limited, materialise, words_of
+from revmart.llm.common import bounded_sample, limited, materialise, words_of
 from revmart.session import scratch_path
 
 END = " "  # no word holds a space
@@ -108,8 +108,11 @@ def split_blocks(docs: DataFrame, block_chars: int) -> tuple[DataFrame, DataFram
 def count_words(words: DataFrame, top_words: int, suffix_classes: int) -> DataFrame:
     """Per block and word: its count over all blocks, its class, and whether this row stands for the word."""
     spark = words.sparkSession
-    # Any choice of these words gives a right model; rare ones of a block are left out of the sum.
-    top = (words.filter("n >= 3").groupBy("word").agg(F.sum("n").alias("n"))
+    # Any choice of these words gives a right model; rare ones of a block are left out of the sum,
+    # and so are words under a small share of it: what is left to sort is bounded.
+    often = words.filter("n >= 3")
+    total = often.agg(F.sum("n").alias("n")).first()["n"] or 0
+    top = (often.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= total / (16 * top_words))
            .orderBy(F.desc("n"), "word").limit(top_words).collect())
     classes = spark.createDataFrame([(r["word"], i) for i, r in enumerate(top)], "word string, own int")
     suffix = F.lit(top_words) + F.pmod(F.crc32(F.substring("word", -3, 3).cast("binary")), F.lit(suffix_classes))
@@ -332,9 +335,8 @@ def hmm_scores(docs: DataFrame, held_out: Column, states: int = 8, top_words: in
             F.sum("c").alias("n"), F.sum(F.when(F.col("c") > 0, 1).otherwise(0)).alias("v")).collect():
         totals[r["class"]], distinct[r["class"]] = r["n"], r["v"]
     encoded = encode(texts, counted, totals, distinct)
-    start = (encoded.filter("not held_out")
-             .select(F.substring("classes", 1, 2 * SEGMENT).alias("classes"), F.xxhash64("classes").alias("h"))
-             .orderBy("h").limit(start_rows).collect())
+    start = (bounded_sample(encoded.filter("not held_out"), "doc_id", start_rows, seed=41)
+             .select(F.substring("classes", 1, 2 * SEGMENT).alias("classes")).collect())
     hmm = starting_model([np.frombuffer(r["classes"], "<u2").astype(np.int64) for r in start], states, classes)
     for _ in range(rounds):
         hmm = baum_welch_round(encoded, hmm)
