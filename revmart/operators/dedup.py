@@ -51,15 +51,17 @@ def latest_version(df: DataFrame, keys: list[str], order: list[SortKey],
     raise ValueError(f"unknown method {method!r}")
 
 
-def latest_by_aggregate(df: DataFrame, keys: list[str], order: list[SortKey]) -> DataFrame:
+def latest_by_aggregate(df: DataFrame, keys: list[str], order: list[SortKey],
+                        *more: Column) -> DataFrame:
     """The aggregate form on its own: also valid as a streaming aggregation, where
-    the state store keeps each key's current winner."""
+    the state store keeps each key's current winner (and ``more`` aggregates of its rows)."""
     if not all(k.descending for k in order):
         raise ValueError("aggregate form needs descending sort keys")
-    return _latest_by_aggregate(df, keys, order)
+    return _latest_by_aggregate(df, keys, order, *more)
 
 
-def _latest_by_aggregate(df: DataFrame, keys: list[str], order: list[SortKey]) -> DataFrame:
+def _latest_by_aggregate(df: DataFrame, keys: list[str], order: list[SortKey],
+                         *more: Column) -> DataFrame:
     """``max_by`` over a struct encoding the order.
 
     Struct comparison is ascending with NULL lowest, so for each key a
@@ -71,5 +73,6 @@ def _latest_by_aggregate(df: DataFrame, keys: list[str], order: list[SortKey]) -
         fields.append((is_null if key.nulls_first else ~is_null).alias(f"n{i}"))
         fields.append(F.col(key.column).alias(f"v{i}"))
     payload = F.struct(*[F.col(c) for c in df.columns if c not in keys])
-    out = df.groupBy(*keys).agg(F.max_by(payload, F.struct(*fields)).alias("__row"))
-    return out.select(*keys, "__row.*").select(*df.columns)
+    out = df.groupBy(*keys).agg(F.max_by(payload, F.struct(*fields)).alias("__row"), *more)
+    kept = [c for c in out.columns if c not in keys and c != "__row"]
+    return out.select(*keys, "__row.*", *kept).select(*df.columns, *kept)

@@ -36,17 +36,33 @@ def _result(table: str, column: str, rule: str, failures, failing_rows):
                     failing_rows.cast("bigint").alias("failing_rows"))
 
 
+def _accepted_checks(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
+    """Accepted-values rules: only offending values are grouped, once per rule and value."""
+    offending = F.array(*[F.when(F.col(r.column).isNotNull() & ~F.col(r.column).isin(*r.values),
+                                 F.struct(F.lit(i).alias("rule"), F.col(r.column).cast("string").alias("value")))
+                          for i, r in enumerate(rules)])
+    found = (df.select(F.explode(F.filter(offending, lambda x: x.isNotNull())).alias("o"))
+             .groupBy("o.rule", "o.value").count())
+    counted = found.agg(*[a for i in range(len(rules)) for a in (
+        F.count_if(F.col("rule") == i).alias(f"f{i}"),
+        F.coalesce(F.sum(F.when(F.col("rule") == i, F.col("count"))), F.lit(0)).alias(f"r{i}"))])
+    return counted.select(F.inline(F.array(*[
+        _result(table, r.column, r.rule, F.col(f"f{i}"), F.col(f"r{i}")) for i, r in enumerate(rules)])))
+
+
 def column_checks(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
-    """All column rules of one table in a single aggregation pass."""
+    """All column rules of one table in a single aggregation pass (accepted values in one of their own)."""
+    accepted = [r for r in rules if r.rule == "accepted_values"]
+    if accepted:
+        rest = [r for r in rules if r.rule != "accepted_values"]
+        out = _accepted_checks(df, table, accepted)
+        return out.unionByName(column_checks(df, table, rest)) if rest else out
     aggs = []
     for i, r in enumerate(rules):
         c = F.col(r.column)
         if r.rule == "not_null":
             bad = c.isNull()
             aggs += [F.count_if(bad).alias(f"f{i}"), F.count_if(bad).alias(f"r{i}")]
-        elif r.rule == "accepted_values":
-            bad = c.isNotNull() & ~c.isin(*r.values)
-            aggs += [F.count_distinct(F.when(bad, c)).alias(f"f{i}"), F.count_if(bad).alias(f"r{i}")]
         elif r.rule == "max_length":
             bad = F.length(c) > r.max_length
             aggs += [F.count_if(bad).alias(f"f{i}"), F.count_if(bad).alias(f"r{i}")]

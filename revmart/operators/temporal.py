@@ -6,141 +6,55 @@ contains the fact timestamp; if there is none, *or its value is NULL*, the
 value of the key's open row; else NULL. With several covering rows (an
 overlap, which the data-quality checks flag) the latest ``valid_from`` wins.
 
-Strategies (same answers, checked by the tests):
-
-* ``range``: two left joins on the equi keys, one with the interval as a
-  residual condition (cover), one on the open rows (fallback).
-* ``versions``: the history is first collapsed to one row per key holding
-  ``array<struct<valid_from, valid_to, value...>>`` plus the open row's
-  values, so a single equi left join serves cover and fallback; the
-  covering element is picked with ``filter`` on the array.
-
-Both joins keep every fact row and add at most one history row per fact
-row. The history side is broadcast only after its size has been counted
-against ``max_broadcast_rows`` (history rows); the counted side is cached
-so the check and the broadcast share one computation. Above the bound the
-cache is dropped and the join shuffles on the keys (sort-merge), with
-AQE's skew handling splitting a hot key's partition on the fact side. With
-``salt_buckets=S`` the shuffle path also salts explicitly: fact rows get a
-deterministic salt (``xxhash64`` of the row mod S) and each collapsed
-dimension row (one per key) is replicated S times, so a key holding a third
-of the fact rows is spread over S tasks whatever AQE decides.
-
-``versions`` collects each key's versions into one array: its size is the
-number of changes of one dimension key (at most one per snapshot run), not a
-function of the fact size. Use ``range`` if a key's version count is unbounded.
+The history is collapsed to one row per key, holding its versions as
+``array<struct<valid_from, valid_to, value...>>`` and the open row's values,
+so one equi left join serves cover and fallback, keeps every fact row and
+adds at most one history row to it, overlapping or not. The covering element
+is picked with ``filter`` on the array.
+
+The planner and AQE decide by bytes whether the history is broadcast; else
+the join shuffles on the keys and AQE splits a hot key's partition on the
+fact side. With ``salt_buckets=S`` the shuffle is salted explicitly: fact
+rows get a deterministic salt (``xxhash64`` of the row mod S) and each
+collapsed history row is replicated S times, so a key holding a third of the
+fact rows is spread over S tasks whatever AQE decides. ``broadcast=True``
+is for callers that know the history's size.
+
+A key's array holds the changes of one dimension key (at most one per
+snapshot run); it does not grow with the facts.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
 
 def interval_lookup(facts: DataFrame, history: DataFrame, on: dict[str, str], ts_col: str,
-                    values: dict[str, str], strategy: str = "versions",
-                    valid_from: str = "valid_from", valid_to: str = "valid_to",
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    broadcast: bool | None = None, salt_buckets: int | None = None) -> DataFrame:
+                    values: dict[str, str], valid_from: str = "valid_from",
+                    valid_to: str = "valid_to", broadcast: bool = False,
+                    salt_buckets: int | None = None) -> DataFrame:
     """Add ``values`` (history column -> output name) to ``facts``.
 
     ``on`` maps fact key columns to history key columns.
     """
-    if strategy == "range":
-        return _range_lookup(facts, history, on, ts_col, values, valid_from, valid_to, broadcast,
-                             max_broadcast_rows)
-    if strategy == "versions":
-        return _versions_lookup(facts, history, on, ts_col, values, valid_from, valid_to,
-                                broadcast, max_broadcast_rows, salt_buckets)
-    raise ValueError(f"unknown strategy {strategy!r}")
-
-
-def _maybe_broadcast(df: DataFrame, broadcast: bool) -> DataFrame:
-    return F.broadcast(df) if broadcast else df
-
-
-def _size_checked(side: DataFrame, size_expr, max_rows: int,
-                  broadcast: bool | None) -> tuple[DataFrame, bool]:
-    """Decide broadcast by counting ``side`` (cached while it is small)."""
-    if broadcast is not None:
-        return side, broadcast
-    cached = side.persist(StorageLevel.MEMORY_AND_DISK)
-    size = cached.agg(size_expr.alias("n")).first()["n"] or 0
-    if size <= max_rows:
-        return cached, True
-    cached.unpersist()
-    return side, False
-
-
-def _range_lookup(facts, history, on, ts_col, values, valid_from, valid_to, broadcast,
-                  max_broadcast_rows):
-    hkeys = [f"__k{i}" for i in range(len(on))]
-    cover_cols = {v: f"__cover_{v}" for v in values}
-    cur_cols = {v: f"__cur_{v}" for v in values}
-    renamed = history.select(
-        *[F.col(h).alias(k) for h, k in zip(on.values(), hkeys, strict=True)],
-        F.col(valid_from).alias("__from"), F.col(valid_to).alias("__to"),
-        *[F.col(v).alias(v) for v in values])
-    # One covering row per key and instant holds only for non-overlapping
-    # history (checked by quality.scd2_overlaps); use ``versions`` otherwise.
-    renamed, broadcast = _size_checked(renamed, F.count(F.lit(1)), max_broadcast_rows, broadcast)
-    cover_side = renamed.select(*hkeys, "__from", "__to",
-                                *[F.col(v).alias(cover_cols[v]) for v in values])
-    current_side = renamed.where(F.col("__to").isNull()).select(
-        *hkeys, *[F.col(v).alias(cur_cols[v]) for v in values])
-    ts = F.col(ts_col)
-    eq = [F.col(f) == F.col(k) for f, k in zip(on.keys(), hkeys, strict=True)]
-    cond = eq[0]
-    for c in eq[1:]:
-        cond = cond & c
-    covered = facts.join(
-        _maybe_broadcast(cover_side, broadcast),
-        cond & (ts >= F.col("__from")) & (F.col("__to").isNull() | (ts < F.col("__to"))),
-        "left").drop(*hkeys, "__from", "__to")
-    with_current = covered.join(_maybe_broadcast(current_side, broadcast), cond, "left").drop(*hkeys)
-    out = with_current
-    for v, name in values.items():
-        out = out.withColumn(name, F.coalesce(F.col(cover_cols[v]), F.col(cur_cols[v])))
-    return out.drop(*cover_cols.values(), *cur_cols.values())
-
-
-def collapse_versions(history: DataFrame, keys: list[str], values: list[str],
-                      valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
-    """One row per key: versions sorted by ``valid_from`` plus the open row's values."""
-    version = F.struct(F.col(valid_from).alias("f"), F.col(valid_to).alias("t"),
-                       *[F.col(v).alias(v) for v in values])
-    current = F.struct(*[F.col(v).alias(v) for v in values])
-    # max_by skips NULL orderings: only open rows compete, latest first.
-    open_from = F.when(F.col(valid_to).isNull(), F.col(valid_from))
-    return history.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(version)).alias("__versions"),
-        F.max_by(current, open_from).alias("__current"))
-
-
-def _versions_lookup(facts, history, on, ts_col, values, valid_from, valid_to, broadcast,
-                     max_broadcast_rows, salt_buckets=None):
     hkeys = list(on.values())
     collapsed = collapse_versions(history, hkeys, list(values), valid_from, valid_to)
     aliased = collapsed.select(*[F.col(h).alias(f"__k{i}") for i, h in enumerate(hkeys)],
                                "__versions", "__current")
-    aliased, broadcast = _size_checked(aliased, F.sum(F.size("__versions")),
-                                       max_broadcast_rows, broadcast)
     eq = [F.col(f) == F.col(f"__k{i}") for i, f in enumerate(on.keys())]
     cond = eq[0]
     for c in eq[1:]:
         cond = cond & c
-    fact_side = facts
-    if salt_buckets and not broadcast:
-        fact_side = facts.withColumn(
+    salted = bool(salt_buckets) and not broadcast
+    if salted:
+        facts = facts.withColumn(
             "__salt", F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salt_buckets)))
         aliased = aliased.withColumn(
             "__dsalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))))
         cond = cond & (F.col("__salt") == F.col("__dsalt"))
-    joined = fact_side.join(_maybe_broadcast(aliased, broadcast), cond, "left")
-    if salt_buckets and not broadcast:
+    joined = facts.join(F.broadcast(aliased) if broadcast else aliased, cond, "left")
+    if salted:
         joined = joined.drop("__salt", "__dsalt")
     ts = F.col(ts_col)
     covering = F.filter("__versions",
@@ -149,3 +63,16 @@ def _versions_lookup(facts, history, on, ts_col, values, valid_from, valid_to, b
     for v, name in values.items():
         joined = joined.withColumn(name, F.coalesce(F.col("__cover")[v], F.col("__current")[v]))
     return joined.drop(*[f"__k{i}" for i in range(len(hkeys))], "__versions", "__current", "__cover")
+
+
+def collapse_versions(history: DataFrame, keys: list[str], values: list[str],
+                      valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+    """One row per key: versions sorted by ``valid_from`` plus the open row's values."""
+    version = F.struct(F.col(valid_from).alias("f"), F.col(valid_to).alias("t"),
+                       *[F.col(v).alias(v) for v in values])
+    current = F.struct(*[F.col(v).alias(v) for v in values])
+    # max_by skips NULL orderings: only open rows compete, latest first.
+    open_from = F.when(F.col(valid_to).isNull(), F.col(valid_from))
+    return history.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(version)).alias("__versions"),
+        F.max_by(current, open_from).alias("__current"))

@@ -20,8 +20,8 @@ def top_k_keys(df: DataFrame, keys: list[str], where: Column, order: list[SortKe
 
 
 def semi_join(df: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFrame:
-    """``key IN (subquery)``: the key set is at most k rows, so it is broadcast."""
-    return df.join(F.broadcast(keys_df), on=keys, how="left_semi")
+    """``key IN (subquery)``: the planner broadcasts the keys where their size allows it."""
+    return df.join(keys_df, on=keys, how="left_semi")
 
 
 def update_top_k(df: DataFrame, keys: list[str], where: Column, order: list[SortKey], k: int,
@@ -31,7 +31,7 @@ def update_top_k(df: DataFrame, keys: list[str], where: Column, order: list[Sort
     Only the chosen rows change (e.g. ``updated_at`` is stamped on them alone).
     """
     chosen = top_k_keys(df, keys, where, order, k).withColumn("__hit", F.lit(True))
-    marked = df.join(F.broadcast(chosen), on=keys, how="left")
+    marked = df.join(chosen, on=keys, how="left")
     hit = F.col("__hit").isNotNull()
     out = marked
     for name, value in assignments.items():

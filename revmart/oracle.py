@@ -1,9 +1,10 @@
 """DuckDB SQL equivalents of the registered queries (the correctness oracle).
 
-Written independently of the Spark code, close to the models they mirror:
-window dedup, set-based SCD2 history, correlated scalar subqueries for the
-point-in-time lookup. Every output column is cast to the type the Spark
-query produces.
+Written from the rules, in other shapes than the Spark code: the winner of a
+payment by ``arg_max`` over its ordering, point-in-time values by a join and
+``arg_max`` per payment, money in whole units, the report from sums of
+indicators, the quality rules listed by hand. Every output column is cast to
+the type the Spark query produces.
 """
 
 from __future__ import annotations
@@ -34,18 +35,20 @@ raw_payments AS (
 )"""
 
 def stg_cte(name: str = "stg_payments", source: str = "raw_payments") -> str:
+    """The winner per payment: newest update, then newest load (an unknown one first), then the tiebreak."""
     return f"""
+{name}_won AS (
+    SELECT arg_max(r, row(coalesce(r.updated_at, TIMESTAMP '0001-01-01 00:00:00'),
+                          coalesce(r.loaded_at, TIMESTAMP '9999-01-01 00:00:00'),
+                          coalesce(r.l_suppkey, -1), coalesce(r.l_partkey, -1))) AS w
+    FROM {source} r GROUP BY r.transaction_id
+),
 {name} AS (
-    SELECT transaction_id, created_at AS transaction_timestamp,
-           CAST(created_at AS DATE) AS transaction_date, status,
-           CAST(amount AS DECIMAL(12,2)) AS amount, "type", company_code,
-           external_provider_id AS provider_id, client_id, external_client_id, loaded_at
-    FROM (SELECT *, row_number() OVER (
-              PARTITION BY transaction_id
-              ORDER BY updated_at DESC NULLS LAST, loaded_at DESC NULLS FIRST,
-                       l_suppkey DESC NULLS LAST, l_partkey DESC NULLS LAST) AS rn
-          FROM {source}) d
-    WHERE rn = 1
+    SELECT w.transaction_id AS transaction_id, w.created_at AS transaction_timestamp,
+           w.created_at::DATE AS transaction_date, w.status AS status, w.amount::DECIMAL(12,2) AS amount,
+           w."type" AS "type", w.company_code AS company_code, w.external_provider_id AS provider_id,
+           w.client_id AS client_id, w.external_client_id AS external_client_id, w.loaded_at AS loaded_at
+    FROM {name}_won
 )"""
 
 
@@ -98,69 +101,68 @@ client_history AS (
           OR prev_type IS DISTINCT FROM commission_type
 )"""
 
-PROVIDER_RATE = """COALESCE(
-        (SELECT h.commission_rate FROM provider_history h
-          WHERE h.provider_id = p.provider_id AND h.biller_id = p.company_code
-            AND p.transaction_timestamp >= h.valid_from
-            AND (h.valid_to IS NULL OR p.transaction_timestamp < h.valid_to)
-          ORDER BY h.valid_from DESC LIMIT 1),
-        (SELECT h.commission_rate FROM provider_history h
-          WHERE h.provider_id = p.provider_id AND h.biller_id = p.company_code
-            AND h.valid_to IS NULL
-          ORDER BY h.valid_from DESC LIMIT 1))"""
-
-CLIENT_SHARE = """COALESCE(
-        (SELECT h.revenue_share FROM client_history h
-          WHERE h.client_id = p.client_id
-            AND p.transaction_timestamp >= h.valid_from
-            AND (h.valid_to IS NULL OR p.transaction_timestamp < h.valid_to)
-          ORDER BY h.valid_from DESC LIMIT 1),
-        (SELECT h.revenue_share FROM client_history h
-          WHERE h.client_id = p.client_id AND h.valid_to IS NULL
-          ORDER BY h.valid_from DESC LIMIT 1))"""
+PROVIDER_KEYS = {"provider_id": "provider_id", "biller_id": "company_code"}
+CLIENT_KEYS = {"client_id": "client_id"}
+
+
+def lookup_cte(name: str, stg: str, history: str, keys: dict[str, str], value: str) -> str:
+    """Per payment: the value in force at its time, else that of the open row (latest start first)."""
+    on = " AND ".join(f"h.{k} = s.{c}" for k, c in keys.items())
+    inside = "h.valid_from <= s.transaction_timestamp AND s.transaction_timestamp < coalesce(h.valid_to, 'infinity')"
+    return f"""
+{name} AS (
+    SELECT s.transaction_id,
+           coalesce(arg_max(h.{value}, h.valid_from) FILTER (WHERE {inside}),
+                    arg_max(h.{value}, h.valid_from) FILTER (WHERE h.valid_to IS NULL))::DECIMAL(5,4) AS {value}
+    FROM {stg} s JOIN {history} h ON {on}
+    GROUP BY s.transaction_id
+)"""
 
 
 def enriched_cte(stg: str = "stg_payments", name: str = "enriched",
                  provider_history: str = "provider_history",
                  client_history: str = "client_history") -> str:
-    rate = PROVIDER_RATE.replace("provider_history", provider_history)
-    share = CLIENT_SHARE.replace("client_history", client_history)
-    return f"""
-{name}_rates AS (
-    SELECT p.*, CAST({rate} AS DECIMAL(5,4)) AS commission_rate,
-           CAST({share} AS DECIMAL(5,4)) AS revenue_share
-    FROM {stg} p
+    """Amounts in cents and rates in ten-thousandths: products are whole numbers, rounded half up by division."""
+    return f"""{lookup_cte(f"{name}_rate", stg, provider_history, PROVIDER_KEYS, "commission_rate")},
+{lookup_cte(f"{name}_share", stg, client_history, CLIENT_KEYS, "revenue_share")},
+{name}_units AS (
+    SELECT s.*, commission_rate, revenue_share, (status IS NOT DISTINCT FROM 'confirmed')::INT AS is_confirmed,
+           (amount * 100)::BIGINT * (commission_rate * 10000)::BIGINT AS gross_e6,
+           (revenue_share * 10000)::BIGINT AS share_e4
+    FROM {stg} s LEFT JOIN {name}_rate USING (transaction_id) LEFT JOIN {name}_share USING (transaction_id)
+),
+{name}_whole AS (
+    SELECT *, CASE is_confirmed WHEN 0 THEN 0 ELSE (gross_e6 + 50) // 100 END AS gross_e4,
+           CASE is_confirmed WHEN 0 THEN 0 ELSE (gross_e6 * share_e4 + 500000) // 1000000 END AS payout_e4,
+           CASE is_confirmed WHEN 0 THEN 0 ELSE (gross_e6 * (10000 - share_e4) + 500000) // 1000000 END AS net_e4
+    FROM {name}_units
 ),
 {name} AS (
     SELECT transaction_id, transaction_date, transaction_timestamp, status, amount, provider_id,
            company_code AS biller_id, client_id, external_client_id, commission_rate, revenue_share,
-           CAST(CASE WHEN status = 'confirmed' THEN round(amount * commission_rate, 4) ELSE 0 END
-                AS DECIMAL(20,4)) AS gross_revenue,
-           CAST(CASE WHEN status = 'confirmed' THEN round(amount * commission_rate * revenue_share, 4)
-                ELSE 0 END AS DECIMAL(20,4)) AS client_payout,
-           CAST(CASE WHEN status = 'confirmed'
-                     THEN round(amount * commission_rate * (1 - revenue_share), 4)
-                ELSE 0 END AS DECIMAL(20,4)) AS net_revenue,
-           loaded_at
-    FROM {name}_rates
+           (gross_e4 * 0.0001::DECIMAL(5,4))::DECIMAL(20,4) AS gross_revenue,
+           (payout_e4 * 0.0001::DECIMAL(5,4))::DECIMAL(20,4) AS client_payout,
+           (net_e4 * 0.0001::DECIMAL(5,4))::DECIMAL(20,4) AS net_revenue, loaded_at
+    FROM {name}_whole
 )"""
 
 
 def report_select(fact: str) -> str:
+    """Sums of per-row indicators and of confirmed amounts, then the ratio in ten-thousandths."""
     return f"""
-SELECT transaction_date AS report_date, client_id, provider_id,
-       count(*) AS total_transactions,
-       count(*) FILTER (WHERE status = 'confirmed') AS confirmed_transactions,
-       CAST(round(sum(amount), 2) AS DECIMAL(38,2)) AS total_amount,
-       CAST(round(sum(amount) FILTER (WHERE status = 'confirmed'), 2) AS DECIMAL(38,2)) AS confirmed_amount,
-       CAST(round(sum(gross_revenue), 4) AS DECIMAL(38,4)) AS gross_revenue,
-       CAST(round(sum(client_payout), 4) AS DECIMAL(38,4)) AS client_payout,
-       CAST(round(sum(net_revenue), 4) AS DECIMAL(38,4)) AS net_revenue,
-       CAST(CAST((2 * 10000 * count(*) FILTER (WHERE status = 'confirmed') + count(*))
-                 // NULLIF(2 * count(*), 0) AS DECIMAL(20,0)) * 0.0001 AS DECIMAL(10,4))
-           AS confirmation_rate
-FROM {fact}
-GROUP BY 1, 2, 3"""
+SELECT day AS report_date, client AS client_id, provider AS provider_id, n AS total_transactions,
+       good AS confirmed_transactions, total::DECIMAL(38,2) AS total_amount,
+       good_total::DECIMAL(38,2) AS confirmed_amount, gross::DECIMAL(38,4) AS gross_revenue,
+       payout::DECIMAL(38,4) AS client_payout, net::DECIMAL(38,4) AS net_revenue,
+       (((20000 * good + n) // (2 * n))::DECIMAL(20,0) * 0.0001)::DECIMAL(10,4) AS confirmation_rate
+FROM (
+    SELECT day, client, provider, sum(1)::BIGINT AS n, sum(hit)::BIGINT AS good, sum(amount) AS total,
+           sum(amount * nullif(hit, 0)) AS good_total, sum(gross) AS gross, sum(payout) AS payout, sum(net) AS net
+    FROM (SELECT transaction_date AS day, client_id AS client, provider_id AS provider, amount,
+                 coalesce((status = 'confirmed')::INT, 0) AS hit, gross_revenue AS gross,
+                 client_payout AS payout, net_revenue AS net FROM {fact}) marked
+    GROUP BY ALL
+) summed"""
 
 
 def _with(*ctes: str) -> str:
@@ -179,14 +181,14 @@ FROM provider_history WHERE valid_to IS NULL""",
     "dim_clients_current": _with(CTE_SNAPSHOTS) + """
 SELECT client_id, revenue_share, commission_type, valid_from
 FROM client_history WHERE valid_to IS NULL""",
-    "interval_lookup_providers": _with(*PIPE) + f"""
-SELECT p.transaction_id, p.transaction_timestamp, p.provider_id, p.company_code AS biller_id,
-       CAST({PROVIDER_RATE} AS DECIMAL(5,4)) AS commission_rate
-FROM stg_payments p""",
-    "interval_lookup_clients": _with(*PIPE) + f"""
-SELECT p.transaction_id, p.transaction_timestamp, p.client_id,
-       CAST({CLIENT_SHARE} AS DECIMAL(5,4)) AS revenue_share
-FROM stg_payments p""",
+    "interval_lookup_providers": _with(
+        *PIPE, lookup_cte("rate", "stg_payments", "provider_history", PROVIDER_KEYS, "commission_rate")) + """
+SELECT transaction_id, transaction_timestamp, provider_id, company_code AS biller_id, commission_rate
+FROM stg_payments LEFT JOIN rate USING (transaction_id)""",
+    "interval_lookup_clients": _with(
+        *PIPE, lookup_cte("share", "stg_payments", "client_history", CLIENT_KEYS, "revenue_share")) + """
+SELECT transaction_id, transaction_timestamp, client_id, revenue_share
+FROM stg_payments LEFT JOIN share USING (transaction_id)""",
     "payments_enriched": _with(*PIPE, enriched_cte()) + "\nSELECT * FROM enriched",
     "daily_revenue": _with(*PIPE, enriched_cte()) + report_select("enriched"),
 }
@@ -206,7 +208,6 @@ run1 AS (
 run2 AS (
     SELECT {SOURCE_COLS}, {RUN2} AS loaded_at FROM source_payments
     WHERE "type" = 'recarga' AND updated_at > (SELECT max(updated_at) FROM run1)
-      AND updated_at <= {RUN2}
 )"""
 
 EVENT_COLS = "event_id, ts, user_id, event_type, value, props"
@@ -223,7 +224,7 @@ ORACLE["events_incremental_extract"] = f"""
 WITH e1 AS (SELECT {EVENT_COLS}, {EV1} AS loaded_at FROM events
             WHERE ts > TIMESTAMP '1970-01-01 00:00:00' AND ts <= {EV1}),
      e2 AS (SELECT {EVENT_COLS}, {EV2} AS loaded_at FROM events
-            WHERE ts > (SELECT max(ts) FROM e1) AND ts <= {EV2})
+            WHERE ts > (SELECT max(ts) FROM e1))
 SELECT * FROM e1 UNION ALL SELECT * FROM e2"""
 
 ORACLE["dimension_extract_providers"] = _with(CTE_SNAPSHOTS) + """
@@ -237,11 +238,8 @@ FROM client_snapshots WHERE run_ts = TIMESTAMP '2000-01-01 00:00:00'
   AND commission_type = 'revenue_share'"""
 
 ORACLE["latest_event_per_user"] = """
-SELECT event_id, ts, user_id, event_type, value, props
-FROM (SELECT *, row_number() OVER (PARTITION BY user_id
-                                   ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
-      FROM events) e
-WHERE rn = 1"""
+SELECT w.event_id, w.ts, w.user_id, w.event_type, w.value, w.props
+FROM (SELECT arg_max(e, row(e.ts, e.event_id)) AS w FROM events e GROUP BY e.user_id)"""
 
 # ---- fact ------------------------------------------------------------------
 
@@ -270,16 +268,14 @@ SELECT * FROM delta"""
 
 # ---- OLTP-side writes ----------------------------------------------------------
 
+OLTP_FIELDS = ", ".join(f"w.{c.strip()} AS {c.strip()}" for c in SOURCE_COLS.split(","))
+
 CTE_OLTP = f"""
-oltp AS (
-    SELECT {SOURCE_COLS}
-    FROM (SELECT *, row_number() OVER (
-              PARTITION BY transaction_id
-              ORDER BY updated_at DESC NULLS LAST, fixture_loaded_at DESC NULLS FIRST,
-                       l_suppkey DESC NULLS LAST, l_partkey DESC NULLS LAST) AS rn
-          FROM source_payments) s
-    WHERE rn = 1
+oltp_won AS (
+    SELECT arg_max(s, row(s.updated_at, s.fixture_loaded_at, s.l_suppkey, s.l_partkey)) AS w
+    FROM source_payments s GROUP BY s.transaction_id
 ),
+oltp AS (SELECT {OLTP_FIELDS} FROM oltp_won),
 chosen AS (
     SELECT transaction_id FROM oltp WHERE status = 'pending'
     ORDER BY created_at DESC NULLS LAST, transaction_id DESC NULLS LAST LIMIT 100
@@ -287,15 +283,11 @@ chosen AS (
 
 ORACLE["insert_if_absent"] = _with(CTE_SOURCE, CTE_OLTP, f"""
 existing AS (SELECT * FROM oltp WHERE created_at < TIMESTAMP '1998-01-01 00:00:00'),
-incoming AS (
-    SELECT {SOURCE_COLS}
-    FROM (SELECT *, row_number() OVER (
-              PARTITION BY transaction_id
-              ORDER BY updated_at ASC NULLS LAST, fixture_loaded_at ASC NULLS LAST,
-                       l_suppkey ASC NULLS LAST, l_partkey ASC NULLS LAST) AS rn
-          FROM source_payments) s
-    WHERE rn = 1
-)""") + """
+first_won AS (
+    SELECT arg_min(s, row(s.updated_at, s.fixture_loaded_at, s.l_suppkey, s.l_partkey)) AS w
+    FROM source_payments s GROUP BY s.transaction_id
+),
+incoming AS (SELECT {OLTP_FIELDS} FROM first_won)""") + """
 SELECT * FROM existing
 UNION ALL
 SELECT * FROM incoming i WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.transaction_id = i.transaction_id)"""
@@ -336,53 +328,65 @@ def _q(name: str) -> str:
     return name if name != "type" else '"type"'
 
 
+#: (table, column) of the not_null rules
+DQ_NOT_NULL = """
+raw_payments transaction_id, raw_payments created_at, raw_payments status, raw_payments amount, raw_payments type,
+raw_providers external_provider_id, raw_providers company_code, raw_providers commission_rate,
+raw_providers commission_type, raw_clients client_id, raw_clients revenue_share, raw_clients commission_type,
+payments_enriched transaction_id, payments_enriched gross_revenue, payments_enriched client_payout,
+payments_enriched net_revenue, fact_payments transaction_id, fact_payments status, fact_payments amount,
+fact_payments gross_revenue, fact_payments client_payout, fact_payments net_revenue,
+daily_revenue report_date, daily_revenue client_id, daily_revenue provider_id"""
+
+DQ_ACCEPTED = [
+    ("source_payments", "type", "'recarga'"),
+    ("raw_payments", "status", "'pending', 'confirmed', 'rejected'"),
+    ("raw_payments", "type", "'recarga'"),
+    ("raw_providers", "commission_type", "'amount'"),
+    ("raw_clients", "commission_type", "'revenue_share'"),
+    ("fact_payments", "status", "'pending', 'confirmed', 'rejected'"),
+]
+
+DQ_UNIQUE = [
+    ("raw_payments", "transaction_id"), ("stg_payments", "transaction_id"),
+    ("payments_enriched", "transaction_id"), ("fact_payments", "transaction_id"),
+    ("raw_clients", "client_id"), ("raw_providers", "external_provider_id,company_code"),
+]
+
+DQ_LENGTHS = [
+    ("transaction_id", 64), ("status", 20), ("type", 30), ("company_code", 50),
+    ("external_provider_id", 50), ("client_id", 50), ("external_client_id", 50),
+]
+
+
+def _dq_row(table: str, column: str, rule: str, failures: str, rows: str, source: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{rule}' AS rule, "
+            f"{failures}::BIGINT AS failures, {rows}::BIGINT AS failing_rows FROM {source}")
+
+
 def _dq_not_null() -> str:
-    from revmart.plans.checks import NOT_NULL
-    parts = []
-    for table, cols in NOT_NULL.items():
-        for c in cols:
-            parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'not_null' AS rule, "
-                         f"count(*) FILTER (WHERE {_q(c)} IS NULL) AS failures, "
-                         f"count(*) FILTER (WHERE {_q(c)} IS NULL) AS failing_rows FROM {table}")
-    return _union(parts)
+    pairs = [p.split() for p in DQ_NOT_NULL.split(",")]
+    return _union([_dq_row(t, c, "not_null", f"(count(*) - count({_q(c)}))", f"(count(*) - count({_q(c)}))", t)
+                   for t, c in pairs])
 
 
 def _dq_accepted() -> str:
-    from revmart.plans.checks import ACCEPTED
-    parts = []
-    for table, rules in ACCEPTED.items():
-        for c, values in rules:
-            vals = ", ".join(f"'{v}'" for v in values)
-            bad = f"{_q(c)} IS NOT NULL AND {_q(c)} NOT IN ({vals})"
-            parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, "
-                         f"'accepted_values' AS rule, "
-                         f"count(DISTINCT CASE WHEN {bad} THEN {_q(c)} END) AS failures, "
-                         f"count(*) FILTER (WHERE {bad}) AS failing_rows FROM {table}")
-    return _union(parts)
+    return _union([_dq_row(t, c, "accepted_values", "count(DISTINCT bad)", "count(bad)",
+                           f"(SELECT CASE WHEN {_q(c)} IN ({v}) THEN NULL ELSE {_q(c)} END AS bad FROM {t})")
+                   for t, c, v in DQ_ACCEPTED])
 
 
 def _dq_unique() -> str:
-    from revmart.plans.checks import UNIQUE
-    parts = []
-    for table, keys in UNIQUE.items():
-        k = ", ".join(keys)
-        nn = " AND ".join(f"{c} IS NOT NULL" for c in keys)
-        parts.append(f"SELECT '{table}' AS table_name, '{','.join(keys)}' AS column_name, "
-                     f"'unique' AS rule, count(*) AS failures, "
-                     f"CAST(coalesce(sum(n), 0) AS BIGINT) AS failing_rows "
-                     f"FROM (SELECT {k}, count(*) AS n FROM {table} WHERE {nn} "
-                     f"GROUP BY {k} HAVING count(*) > 1) d")
-    return _union(parts)
+    return _union([_dq_row(t, k, "unique", "count(*)", "coalesce(sum(n), 0)",
+                           f"(SELECT count(*) AS n FROM {t} WHERE (row({k}) IS NOT NULL) AND "
+                           + " AND ".join(f"{c} IS NOT NULL" for c in k.split(","))
+                           + f" GROUP BY {k} HAVING n > 1)")
+                   for t, k in DQ_UNIQUE])
 
 
 def _dq_lengths() -> str:
-    from revmart.plans.checks import RAW_PAYMENT_LENGTHS
-    parts = []
-    for c, n in RAW_PAYMENT_LENGTHS.items():
-        parts.append(f"SELECT 'raw_payments' AS table_name, '{c}' AS column_name, 'max_length' AS rule, "
-                     f"count(*) FILTER (WHERE length({_q(c)}) > {n}) AS failures, "
-                     f"count(*) FILTER (WHERE length({_q(c)}) > {n}) AS failing_rows FROM raw_payments")
-    return _union(parts)
+    return _union([_dq_row("raw_payments", c, "max_length", f"coalesce(sum((length({_q(c)}) > {n})::INT), 0)",
+                           f"coalesce(sum((length({_q(c)}) > {n})::INT), 0)", "raw_payments") for c, n in DQ_LENGTHS])
 
 
 def _dq_scd2(table: str, keys: list[str]) -> str:
@@ -427,7 +431,7 @@ ORACLE["stream_ingest"] = _with(
 raw_stream AS (
     SELECT {SOURCE_COLS}, l_suppkey, l_partkey,
            CASE WHEN updated_at <= {RUN1} THEN {RUN1} ELSE {RUN2} END AS loaded_at
-    FROM source_payments WHERE "type" = 'recarga' AND updated_at <= {RUN2}
+    FROM source_payments WHERE "type" = 'recarga'
 )""", stg_cte("stg_stream", "raw_stream"), enriched_cte("stg_stream", "enriched_stream")) + f"""
 SELECT {FACT_COLS} FROM enriched_stream"""
 
@@ -474,7 +478,6 @@ wraw_all AS (
     UNION ALL
     SELECT {SOURCE_COLS}, l_suppkey, l_partkey, {RUN2} AS loaded_at FROM source_payments
     WHERE "type" = 'recarga' AND updated_at > (SELECT max(updated_at) FROM wraw1)
-      AND updated_at <= {RUN2}
 ),
 psnap0 AS (SELECT provider_id, biller_id, commission_rate, commission_type
            FROM provider_snapshots WHERE run_ts = {_W_FIRST}),
@@ -505,3 +508,13 @@ wfact2 AS (
     UNION ALL
     SELECT * FROM wdelta
 )""") + report_select("wfact2")
+
+
+# With unchanging rates every incremental path ends where a full build does.
+ORACLE["daily_revenue_after_missed_report"] = ORACLE["daily_revenue"]
+
+ORACLE["fact_upsert_null_partition"] = _with(CTE_SOURCE, CTE_STG) + """
+SELECT transaction_id, status, client_id,
+       CASE WHEN status = 'confirmed' THEN amount + 1 ELSE amount END::DECIMAL(12,2) AS amount,
+       CASE WHEN client_id <> 'CLIENT_7' THEN strftime(transaction_date, '%Y-%m') END AS month
+FROM stg_payments"""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revmart.functions.kpis import client_payout, gross_revenue, net_revenue
-from revmart.operators.temporal import DEFAULT_MAX_BROADCAST_ROWS, interval_lookup
+from revmart.operators.temporal import interval_lookup
 from revmart.schemas import ENRICHED_COLUMNS
 
 PROVIDER_KEYS = {"provider_id": "provider_id", "company_code": "biller_id"}
@@ -14,30 +14,22 @@ CLIENT_KEYS = {"client_id": "client_id"}
 
 
 def lookup_commission(payments: DataFrame, provider_history: DataFrame,
-                      strategy: str = "versions",
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       salt_buckets: int | None = None) -> DataFrame:
     return interval_lookup(payments, provider_history, PROVIDER_KEYS, "transaction_timestamp",
-                           {"commission_rate": "commission_rate"}, strategy=strategy,
-                           max_broadcast_rows=max_broadcast_rows, salt_buckets=salt_buckets)
+                           {"commission_rate": "commission_rate"}, salt_buckets=salt_buckets)
 
 
-def lookup_share(payments: DataFrame, client_history: DataFrame, strategy: str = "versions",
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+def lookup_share(payments: DataFrame, client_history: DataFrame,
                  salt_buckets: int | None = None) -> DataFrame:
     return interval_lookup(payments, client_history, CLIENT_KEYS, "transaction_timestamp",
-                           {"revenue_share": "revenue_share"}, strategy=strategy,
-                           max_broadcast_rows=max_broadcast_rows, salt_buckets=salt_buckets)
+                           {"revenue_share": "revenue_share"}, salt_buckets=salt_buckets)
 
 
 def enrich_payments(stg: DataFrame, provider_history: DataFrame, client_history: DataFrame,
-                    strategy: str = "versions",
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                     salt_buckets: int | None = None) -> DataFrame:
-    """``salt_buckets`` salts the lookups' shuffle path (used only above the broadcast bound)."""
-    with_rates = lookup_share(
-        lookup_commission(stg, provider_history, strategy, max_broadcast_rows, salt_buckets),
-        client_history, strategy, max_broadcast_rows, salt_buckets)
+    """``salt_buckets`` salts the lookups' shuffle."""
+    with_rates = lookup_share(lookup_commission(stg, provider_history, salt_buckets),
+                              client_history, salt_buckets)
     return with_rates.select(
         "transaction_id", "transaction_date", "transaction_timestamp", "status", "amount",
         "provider_id", F.col("company_code").alias("biller_id"), "client_id",

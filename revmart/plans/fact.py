@@ -27,7 +27,8 @@ from revmart.plans.marts import daily_revenue, fact_rows
 from revmart.plans.staging import stg_payments
 from revmart.schemas import EPOCH, FACT_COLUMNS, FACT_SCHEMA, REPORT_COLUMNS, REPORT_SCHEMA
 from revmart.sinks.partitioned import (current_partitions, overwrite_partitioned,
-                                       read_partitioned, upsert_partitioned, write_partitions)
+                                       partition_versions, read_partitioned, upsert_partitioned,
+                                       write_partitions)
 from revmart.sinks.storage import current_version, read_current, write_version
 
 KEY = ["transaction_id"]
@@ -39,30 +40,32 @@ def max_loaded_at(fact: DataFrame) -> dt.datetime:
     return value if value is not None else dt.datetime.fromisoformat(EPOCH)
 
 
+def changed_rows(raw: DataFrame, mark: dt.datetime) -> DataFrame:
+    """All raw rows of the payments that have a row loaded after ``mark``."""
+    changed = raw.where(F.col("loaded_at") > ts_lit(mark)).select("transaction_id").distinct()
+    return raw.join(changed, on="transaction_id", how="left_semi")
+
+
 def fact_delta(raw: DataFrame, provider_history: DataFrame, client_history: DataFrame,
-               mark: dt.datetime, tiebreak: list[str] | None = None, prune: bool = True,
-               strategy: str = "versions") -> DataFrame:
+               mark: dt.datetime, tiebreak: list[str] | None = None, prune: bool = True) -> DataFrame:
     """Winners loaded after ``mark``, enriched, in fact layout."""
-    source = raw
-    if prune:
-        changed = raw.where(F.col("loaded_at") > ts_lit(mark)).select("transaction_id")
-        source = raw.join(changed, on="transaction_id", how="left_semi")
+    source = changed_rows(raw, mark) if prune else raw
     stg = stg_payments(source, tiebreak=tiebreak).where(F.col("loaded_at") > ts_lit(mark))
-    return fact_rows(enrich_payments(stg, provider_history, client_history, strategy=strategy))
+    return fact_rows(enrich_payments(stg, provider_history, client_history))
 
 
 def refresh_fact(spark: SparkSession, raw: DataFrame, provider_history: DataFrame,
                  client_history: DataFrame, fact_root: str, version: str,
                  full_refresh: bool = False, tiebreak: list[str] | None = None,
-                 prune: bool = True, strategy: str = "versions") -> str:
+                 prune: bool = True) -> str:
     """Write the next version of the fact table; returns its path."""
     if full_refresh or current_version(spark, fact_root, before=version) is None:
         stg = stg_payments(raw, tiebreak=tiebreak)
-        new = fact_rows(enrich_payments(stg, provider_history, client_history, strategy=strategy))
+        new = fact_rows(enrich_payments(stg, provider_history, client_history))
     else:
         existing = read_current(spark, fact_root, FACT_SCHEMA, before=version)
         mark = max_loaded_at(existing)
-        delta = fact_delta(raw, provider_history, client_history, mark, tiebreak, prune, strategy)
+        delta = fact_delta(raw, provider_history, client_history, mark, tiebreak, prune)
         new = keyed_upsert(existing, delta, KEY)
     return write_version(new.select(*FACT_COLUMNS), fact_root, version)
 
@@ -102,7 +105,7 @@ def _save_mark(spark: SparkSession, fact_root: str, mark: dt.datetime, version:
 def refresh_fact_partitioned(spark: SparkSession, raw: DataFrame, provider_history: DataFrame,
                              client_history: DataFrame, fact_root: str, version: str,
                              full_refresh: bool = False, tiebreak: list[str] | None = None,
-                             prune: bool = True, strategy: str = "versions",
+                             prune: bool = True,
                              files_per_partition: int = 1, grain: str = "month") -> set[str] | None:
     """Fact refresh that rewrites only the date partitions a run touches.
 
@@ -113,7 +116,7 @@ def refresh_fact_partitioned(spark: SparkSession, raw: DataFrame, provider_histo
     first = not current_partitions(spark, fact_root, PART_COL, before=version)
     if full_refresh or first:
         stg = stg_payments(raw, tiebreak=tiebreak)
-        rows = fact_rows(enrich_payments(stg, provider_history, client_history, strategy=strategy))
+        rows = fact_rows(enrich_payments(stg, provider_history, client_history))
         rows = _with_partition(rows, grain).observe(obs, F.max("loaded_at").alias("m"))
         overwrite_partitioned(spark, rows, fact_root, PART_COL, version, files_per_partition,
                               KEY)
@@ -121,11 +124,14 @@ def refresh_fact_partitioned(spark: SparkSession, raw: DataFrame, provider_histo
         mark = obs.get.get("m")
     else:
         prev = read_fact_mark(spark, fact_root, before=version)
-        delta = fact_delta(raw, provider_history, client_history, prev, tiebreak, prune, strategy)
+        delta = fact_delta(raw, provider_history, client_history, prev, tiebreak, prune)
         delta = _with_partition(delta, grain).observe(obs, F.max("loaded_at").alias("m"))
-        schema = delta.schema
-        touched = upsert_partitioned(spark, fact_root, schema, delta, KEY, PART_COL, version,
-                                     files_per_partition)
+        # A stored row came from some raw row of its payment: the dates of all of
+        # them hold every partition the changed keys can live in.
+        homes = changed_rows(raw, prev).select(
+            F.date_format("created_at", GRAIN_FORMATS[grain]).alias(PART_COL))
+        touched = upsert_partitioned(spark, fact_root, delta.schema, delta, KEY, PART_COL, version,
+                                     files_per_partition, homes=homes)
         observed = obs.get.get("m") if touched else None
         mark = max(prev, observed) if observed is not None else prev
     _save_mark(spark, fact_root, mark or dt.datetime.fromisoformat(EPOCH), version)
@@ -149,24 +155,25 @@ REPORT_PART_COL = "report_partition"
 
 
 def refresh_report_partitioned(spark: SparkSession, fact_root: str, report_root: str,
-                               version: str, touched: set[str] | None,
-                               grain: str = "month") -> None:
-    """Recompute the daily report only for the fact partitions a run touched.
+                               version: str, grain: str = "month", full: bool = False) -> set[str]:
+    """Recompute the daily report for the fact partitions that changed since it was built.
 
     A report row depends on the fact rows of its own date only, and a fact
-    partition holds whole dates, so rebuilding the touched partitions gives
-    exactly the full rebuild (``touched=None`` rebuilds everything).
+    partition holds whole dates, so rebuilding the changed partitions gives
+    exactly the full rebuild. What changed is read from the two tables: the
+    fact partitions whose committed revision is newer than the report's. So a
+    run whose report step was missed is made up for by the next one.
     """
-    stored = _stored(FACT_SCHEMA, PART_COL)
-    if touched is None:
-        touched = set(current_partitions(spark, fact_root, PART_COL)) | set(
-            current_partitions(spark, report_root, REPORT_PART_COL))
+    built = partition_versions(spark, report_root, REPORT_PART_COL)
+    stored = partition_versions(spark, fact_root, PART_COL)
+    touched = {value for value, rev in stored.items() if full or rev > built.get(value, "")}
     if not touched:
-        return
-    fact = read_partitioned(spark, fact_root, stored, PART_COL, only=touched)
+        return touched
+    fact = read_partitioned(spark, fact_root, _stored(FACT_SCHEMA, PART_COL), PART_COL, only=touched)
     report = daily_revenue(fact).withColumn(
         REPORT_PART_COL, F.date_format("report_date", GRAIN_FORMATS[grain]))
-    write_partitions(spark, report, report_root, REPORT_PART_COL, version, set(touched))
+    write_partitions(spark, report, report_root, REPORT_PART_COL, version, touched)
+    return touched
 
 
 def read_report_partitioned(spark: SparkSession, report_root: str) -> DataFrame:

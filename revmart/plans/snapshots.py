@@ -52,7 +52,7 @@ def run_snapshot(spark: SparkSession, root: str, incoming: DataFrame, run_ts: st
     schema = SPECS[kind][0]
     version = version_id(run_ts)
     history = read_current(spark, root, schema, before=version)
-    return write_version(snapshot_step(history, incoming, run_ts, kind).coalesce(1), root, version)
+    return write_version(snapshot_step(history, incoming, run_ts, kind).hint("rebalance"), root, version)
 
 
 def replay(spark: SparkSession, snapshots: DataFrame, runs: list[str], kind: str,

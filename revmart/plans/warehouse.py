@@ -25,7 +25,8 @@ from revmart.plans.fact import (read_fact, read_fact_partitioned, read_report_pa
 from revmart.plans.snapshots import SPECS, run_snapshot
 from revmart.plans.staging import client_snapshot_input, provider_snapshot_input
 from revmart.schemas import FACT_SCHEMA, RAW_CLIENTS, RAW_PAYMENTS, RAW_PROVIDERS
-from revmart.sinks.storage import read_batches, read_current, version_id, write_version
+from revmart.sinks.storage import (read_batches, read_current, read_version, version_id,
+                                   write_version)
 from revmart.sources.tables import layer_table
 
 
@@ -75,6 +76,7 @@ def run_warehouse(spark: SparkSession, wh: Warehouse, payment_source: DataFrame,
     if tiebreak:
         raw_schema = StructType(list(RAW_PAYMENTS.fields) + [
             payment_source.schema[c] for c in tiebreak])
+    version = version_id(run_ts)
     load_dimensions(spark, wh, provider_source, client_source, run_ts)
     loaded = ingest.incremental_ingest(spark, payment_source, wh.raw_payments, wh.watermarks,
                                        run_ts, type_filter=ingest.payments_type_filter(),
@@ -83,22 +85,20 @@ def run_warehouse(spark: SparkSession, wh: Warehouse, payment_source: DataFrame,
                                        lookback=lookback, raw_schema=raw_schema)
 
     run_snapshot(spark, wh.provider_history,
-                 provider_snapshot_input(read_current(spark, wh.raw_providers, RAW_PROVIDERS)),
+                 provider_snapshot_input(read_version(spark, wh.raw_providers, version, RAW_PROVIDERS)),
                  run_ts, "providers")
     run_snapshot(spark, wh.client_history,
-                 client_snapshot_input(read_current(spark, wh.raw_clients, RAW_CLIENTS)),
+                 client_snapshot_input(read_version(spark, wh.raw_clients, version, RAW_CLIENTS)),
                  run_ts, "clients")
-    ph = read_current(spark, wh.provider_history, SPECS["providers"][0])
-    ch = read_current(spark, wh.client_history, SPECS["clients"][0])
-
-    version = version_id(run_ts)
-    raw = read_batches(spark, wh.raw_payments, raw_schema)
+    # everything as of this run, also when an older run is run again after a newer one
+    ph = read_version(spark, wh.provider_history, version, SPECS["providers"][0])
+    ch = read_version(spark, wh.client_history, version, SPECS["clients"][0])
+    raw = read_batches(spark, wh.raw_payments, raw_schema, upto=version)
     if fact_layout == "partitioned":
-        touched = refresh_fact_partitioned(spark, raw, ph, ch, wh.fact, version,
-                                           full_refresh=full_refresh, tiebreak=tiebreak,
-                                           grain=grain)
-        # only the report partitions of touched fact partitions change
-        refresh_report_partitioned(spark, wh.fact, wh.report, version, touched, grain)
+        refresh_fact_partitioned(spark, raw, ph, ch, wh.fact, version, full_refresh=full_refresh,
+                                 tiebreak=tiebreak, grain=grain)
+        # only the report partitions of changed fact partitions
+        refresh_report_partitioned(spark, wh.fact, wh.report, version, grain, full=full_refresh)
     else:
         refresh_fact(spark, raw, ph, ch, wh.fact, version, full_refresh=full_refresh,
                      tiebreak=tiebreak)
@@ -116,12 +116,31 @@ def prune_old(spark: SparkSession, wh: Warehouse, keep: int) -> None:
     from revmart.sinks.storage import prune_versions
     from revmart.plans.fact import PART_COL, REPORT_PART_COL
     for root in (wh.raw_providers, wh.raw_clients, wh.watermarks, wh.provider_history,
-                 wh.client_history, wh.dim_providers, wh.dim_clients):
+                 wh.client_history, wh.dim_providers, wh.dim_clients, f"{wh.fact}/_mark"):
         prune_versions(spark, root, keep)
     prune_revisions(spark, wh.fact, PART_COL)
     prune_revisions(spark, wh.report, REPORT_PART_COL)
 
 
+def check_warehouse(spark: SparkSession, wh: Warehouse,
+                    raw_schema: StructType = RAW_PAYMENTS) -> DataFrame:
+    """The quality suite on the tables as they are stored."""
+    from revmart.operators.quality import union_all
+    from revmart.plans import checks
+    raw = read_batches(spark, wh.raw_payments, raw_schema)
+    report = read_report_partitioned(spark, wh.report)
+    tables = {
+        "raw_payments": raw, "fact_payments": read_fact_partitioned(spark, wh.fact, FACT_SCHEMA),
+        "daily_revenue": report,
+        "raw_providers": read_current(spark, wh.raw_providers, RAW_PROVIDERS),
+        "raw_clients": read_current(spark, wh.raw_clients, RAW_CLIENTS)}
+    return union_all([
+        checks.not_null_suite(tables), checks.accepted_values_suite(tables), checks.unique_suite(tables),
+        checks.length_suite(raw), checks.report_range_suite(report),
+        checks.scd2_suite(read_current(spark, wh.provider_history, SPECS["providers"][0]),
+                          read_current(spark, wh.client_history, SPECS["clients"][0]))])
+
+
 def read_warehouse_fact(spark: SparkSession, wh: Warehouse, fact_layout: str = "partitioned"):
     if fact_layout == "partitioned":
         return read_fact_partitioned(spark, wh.fact, FACT_SCHEMA)

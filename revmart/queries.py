@@ -18,7 +18,7 @@ from revmart.operators.dedup import SortKey, latest_version
 from revmart.operators.topk import semi_join, top_k_keys
 from revmart.plans import checks, enrich, fact, ingest, marts, snapshots, staging
 from revmart.schemas import RAW_CLIENTS, RAW_PAYMENTS, RAW_PROVIDERS, SOURCE_PAYMENTS, WATERMARK
-from revmart.session import scratch_path, shared_dir
+from revmart.session import scratch_path
 from revmart.sinks.storage import read_batches, read_current, version_id, write_version
 from revmart.sources import fixtures as fx
 from revmart.sources.tables import layer_table, read_table
@@ -52,9 +52,9 @@ def _client_history(spark, sf_dir, replay: bool = False) -> DataFrame:
     return snapshots.rebuild(snaps, "clients")
 
 
-def _enriched(spark, sf_dir, strategy="versions") -> DataFrame:
+def _enriched(spark, sf_dir) -> DataFrame:
     return enrich.enrich_payments(_stg(spark, sf_dir), _provider_history(spark, sf_dir),
-                                  _client_history(spark, sf_dir), strategy=strategy)
+                                  _client_history(spark, sf_dir))
 
 
 def _oltp_payments(spark, sf_dir) -> DataFrame:
@@ -150,13 +150,43 @@ def q_daily_revenue_incremental(spark, sf_dir):
     ph, ch = _provider_history(spark, sf_dir), _client_history(spark, sf_dir)
     first = raw.where(F.col("loaded_at") < ts_lit(FACT_FIRST_LOAD_BEFORE))
     for source, run_ts in ((first, INGEST_RUNS[0]), (raw, INGEST_RUNS[1])):
-        touched = fact.refresh_fact_partitioned(spark, source, ph, ch, fact_root,
-                                                version_id(run_ts), tiebreak=fx.TIEBREAK)
-        fact.refresh_report_partitioned(spark, fact_root, report_root, version_id(run_ts),
-                                        touched)
+        fact.refresh_fact_partitioned(spark, source, ph, ch, fact_root, version_id(run_ts),
+                                      tiebreak=fx.TIEBREAK)
+        fact.refresh_report_partitioned(spark, fact_root, report_root, version_id(run_ts))
     return fact.read_report_partitioned(spark, report_root)
 
 
+def q_daily_revenue_after_missed_report(spark, sf_dir):
+    """Three fact runs; the report step of the middle one never happened."""
+    base = scratch_path(spark, "report_missed")
+    fact_root = layer_table(base, "marts", "fact_payments")
+    report_root = layer_table(base, "marts", "rpt_daily_revenue")
+    raw = fx.raw_payments(spark, sf_dir)
+    ph, ch = _provider_history(spark, sf_dir), _client_history(spark, sf_dir)
+    runs = [FACT_FIRST_LOAD_BEFORE, "1999-06-01 00:00:00", INGEST_RUNS[1]]
+    for run_ts in runs:
+        source = raw if run_ts == runs[-1] else raw.where(F.col("loaded_at") < ts_lit(run_ts))
+        fact.refresh_fact_partitioned(spark, source, ph, ch, fact_root, version_id(run_ts),
+                                      tiebreak=fx.TIEBREAK)
+        if run_ts != runs[1]:
+            fact.refresh_report_partitioned(spark, fact_root, report_root, version_id(run_ts))
+    return fact.read_report_partitioned(spark, report_root)
+
+
+def q_fact_upsert_null_partition(spark, sf_dir):
+    """Payments stored by month, one client's without one (NULL partition); the confirmed are upserted."""
+    from revmart.sinks.partitioned import overwrite_partitioned, read_partitioned, upsert_partitioned
+    root = layer_table(scratch_path(spark, "null_part"), "marts", "payments_by_month")
+    rows = _stg(spark, sf_dir).select(
+        "transaction_id", "status", "client_id", "amount",
+        F.when(F.col("client_id") != "CLIENT_7", F.date_format("transaction_date", "yyyy-MM")).alias("month"))
+    overwrite_partitioned(spark, rows, root, "month", version_id(INGEST_RUNS[0]))
+    delta = rows.where("status = 'confirmed'").withColumn(
+        "amount", (F.col("amount") + 1).cast(rows.schema["amount"].dataType))
+    upsert_partitioned(spark, root, rows.schema, delta, ["transaction_id"], "month", version_id(INGEST_RUNS[1]))
+    return read_partitioned(spark, root, rows.schema, "month")
+
+
 def q_warehouse_daily_revenue(spark, sf_dir):
     """Two whole warehouse runs: the OLTP and the rate tables as of each run time.
 
@@ -168,12 +198,25 @@ def q_warehouse_daily_revenue(spark, sf_dir):
     wh = Warehouse(scratch_path(spark, "warehouse"))
     source = fx.source_payments(spark, sf_dir).drop("fixture_loaded_at")
     for run_ts, snap in ((INGEST_RUNS[0], 0), (INGEST_RUNS[1], len(fx.SNAPSHOT_RUNS) - 1)):
-        visible = source.where(F.col("updated_at") <= ts_lit(run_ts))
+        visible = _visible(source, "updated_at", run_ts, INGEST_RUNS)
         run_warehouse(spark, wh, visible, fx.provider_source(spark, sf_dir, snap),
                       fx.client_source(spark, sf_dir, snap), run_ts, tiebreak=fx.TIEBREAK)
     return read_warehouse_report(spark, wh)
 
 
+def _visible(table, col, run_ts, runs):
+    """The source as of a run: rows up to its time; the last run sees every row."""
+    return table if run_ts == runs[-1] else table.where(F.col(col) <= ts_lit(run_ts))
+
+
+def _landed(table, col, run_ts, runs):
+    """What lands before a run and after the one before it; rows without a time land last."""
+    upto = lambda ts: F.coalesce(F.col(col) <= ts_lit(ts), F.lit(False))
+    at = runs.index(run_ts)
+    rows = table.where(~upto(runs[at - 1])) if at else table
+    return rows if run_ts == runs[-1] else rows.where(upto(run_ts))
+
+
 # ---- extract-load ---------------------------------------------------------
 
 def _two_ingest_runs(spark, sf_dir):
@@ -181,7 +224,7 @@ def _two_ingest_runs(spark, sf_dir):
     raw_root, control_root = layer_table(base, "raw", "payments"), layer_table(base, "raw", "watermark")
     source = fx.source_payments(spark, sf_dir, with_tiebreak=False)
     for run_ts in INGEST_RUNS:
-        visible = source.where(F.col("updated_at") <= ts_lit(run_ts))  # the OLTP at run time
+        visible = _visible(source, "updated_at", run_ts, INGEST_RUNS)
         ingest.incremental_ingest(spark, visible, raw_root, control_root, run_ts,
                                   type_filter=ingest.payments_type_filter())
     return raw_root, control_root
@@ -208,7 +251,7 @@ def q_events_incremental_extract(spark, sf_dir):
     events = read_table(spark, sf_dir, "events")
     schema = _events_raw_schema(events)
     for run_ts in EVENT_INGEST_RUNS:
-        visible = events.where(F.col("ts") <= ts_lit(run_ts))
+        visible = _visible(events, "ts", run_ts, EVENT_INGEST_RUNS)
         ingest.incremental_ingest(spark, visible, raw_root, control_root, run_ts,
                                   table_name="events", mark_col="ts", columns=events.columns,
                                   key_col="event_id", raw_schema=schema)
@@ -243,16 +286,11 @@ def q_stream_ingest(spark, sf_dir):
     fact_root = layer_table(base, "marts", "fact_payments")
     source = fx.source_payments(spark, sf_dir).drop("fixture_loaded_at")
     ph, ch = _provider_history(spark, sf_dir), _client_history(spark, sf_dir)
-    prev = None
     for run_ts in INGEST_RUNS:
-        arrived = F.col("updated_at") <= ts_lit(run_ts)
-        if prev is not None:
-            arrived = arrived & (F.col("updated_at") > ts_lit(prev))
         # Changes land as files; the stream picks up only unseen files.
-        source.where(arrived).write.mode("append").parquet(landing)
+        _landed(source, "updated_at", run_ts, INGEST_RUNS).write.mode("append").parquet(landing)
         run_stream(spark, landing, source.schema, raw_root, fact_root, f"{base}/_checkpoint",
                    run_ts, ph, ch, tiebreak=fx.TIEBREAK)
-        prev = run_ts
     from revmart.schemas import FACT_SCHEMA
     return fact.read_fact_partitioned(spark, fact_root, FACT_SCHEMA)
 
@@ -270,15 +308,10 @@ def q_stream_latest_event_per_user(spark, sf_dir):
     base = scratch_path(spark, "events_stream")
     landing, table_root = f"{base}/landing", layer_table(base, "marts", "latest_event")
     events = read_table(spark, sf_dir, "events")
-    prev = None
     for run_ts in EVENT_INGEST_RUNS:
-        arrived = F.col("ts") <= ts_lit(run_ts)
-        if prev is not None:
-            arrived = arrived & (F.col("ts") > ts_lit(prev))
-        events.where(arrived).write.mode("append").parquet(landing)
+        _landed(events, "ts", run_ts, EVENT_INGEST_RUNS).write.mode("append").parquet(landing)
         run_latest_stream(spark, landing, events.schema, ["user_id"],
                           [SortKey("ts"), SortKey("event_id")], table_root, f"{base}/_checkpoint")
-        prev = run_ts
     return read_latest(spark, table_root, events.schema)
 
 
@@ -324,10 +357,12 @@ def q_semi_join_topk(spark, sf_dir):
 # ---- data quality ---------------------------------------------------------
 
 def _dq_tables(spark, sf_dir) -> dict[str, DataFrame]:
-    # Checks run on built models: the enrichment is materialized once (reliable
-    # checkpoint in the shared folder) and the fact and report derive from it.
-    shared_dir(spark)
-    enriched = _enriched(spark, sf_dir).checkpoint(eager=True)
+    # Checks run on a built model: the enrichment is written as a table version
+    # and the fact and report derive from it.
+    built = _enriched(spark, sf_dir)
+    root = layer_table(scratch_path(spark, "dq"), "marts", "payments_enriched")
+    write_version(built, root, version_id(INGEST_RUNS[1]))
+    enriched = read_current(spark, root, built.schema)
     fact_df = marts.fact_rows(enriched)
     last = len(fx.SNAPSHOT_RUNS) - 1
     return {
@@ -389,6 +424,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_incremental_partitioned": q_fact_incremental_partitioned,
     "daily_revenue": q_daily_revenue,
     "daily_revenue_incremental": q_daily_revenue_incremental,
+    "daily_revenue_after_missed_report": q_daily_revenue_after_missed_report,
+    "fact_upsert_null_partition": q_fact_upsert_null_partition,
     "warehouse_daily_revenue": q_warehouse_daily_revenue,
     "insert_if_absent": q_insert_if_absent,
     "topk_update": q_topk_update,

@@ -57,8 +57,9 @@ def apply_job_confs(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; a local folder is set only when the setting is
-    missing (tests, ad-hoc local runs).
+    Read from the session. Only in local mode (tests, ad-hoc runs) a missing
+    setting is made up for by a local folder: on a cluster the driver and the
+    executors would each write to a disk of their own.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir")
@@ -67,6 +68,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="revmart-ckpt-")
     sc.setCheckpointDir(local)
     return local

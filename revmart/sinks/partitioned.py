@@ -28,6 +28,7 @@ from pyspark.sql.types import StructType
 from revmart.operators.upsert import keyed_upsert
 from revmart.sinks.storage import _fs
 
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name of a NULL (or empty) partition value
 COMMITS = "_commits"
 EMPTY = "_EMPTY"
 REV = "__rev"
@@ -45,6 +46,31 @@ def _commits(spark: SparkSession, root: str) -> set[str]:
     return {s.getPath().getName() for s in fs.listStatus(path)}
 
 
+def is_committed(spark: SparkSession, root: str, version: str) -> bool:
+    return version in _commits(spark, root)
+
+
+def folder_value(spark: SparkSession, value) -> str:
+    """A partition value as it stands in a folder name; all sets of partition values hold these."""
+    if value is None or value == "":
+        return NULL_FOLDER
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))
+
+
+def partition_versions(spark: SparkSession, root: str, part_col: str) -> dict[str, str]:
+    """partition value -> its greatest committed revision (emptied ones too)."""
+    committed = _commits(spark, root)
+    fs, hroot, jvm = _fs(spark, root)
+    found: dict[str, str] = {}
+    if committed and fs.exists(hroot):
+        for st in _glob(fs, jvm, f"{root}/{part_col}=*/{REV}=*"):
+            path = st.getPath()
+            version, value = path.getName().split("=", 1)[1], path.getParent().getName().split("=", 1)[1]
+            if version in committed:
+                found[value] = max(version, found.get(value, version))
+    return found
+
+
 def current_partitions(spark: SparkSession, root: str, part_col: str,
                        before: str | None = None) -> dict[str, str | None]:
     """partition value -> committed revision folder (None when emptied); two glob listings.
@@ -122,20 +148,24 @@ def overwrite_partitioned(spark: SparkSession, df: DataFrame, root: str, part_co
 
 def upsert_partitioned(spark: SparkSession, root: str, schema: StructType, delta: DataFrame,
                        keys: list[str], part_col: str, version: str,
-                       files_per_partition: int = 1) -> set[str]:
+                       files_per_partition: int = 1, homes: DataFrame | None = None) -> set[str]:
     """delete+insert by key, rewriting only the partitions the delta touches.
 
     Touched = partitions of the delta rows plus partitions where the delta's
     keys live now (a key whose partition value moved leaves its old one).
-    Returns the touched partition values.
+    A caller that knows where the keys can live passes ``homes``, a frame of
+    ``part_col`` values that holds at least those; without it the key column
+    of the whole table is searched. NULL is a partition value like any other.
+    Returns the touched partition values (as folder names).
     """
-    current = read_partitioned(spark, root, schema, part_col, before=version)
     # used three times below; cached (recomputed from lineage if an executor is lost)
     delta = delta.select(*schema.fieldNames()).persist(StorageLevel.MEMORY_AND_DISK)
-    old_parts = (current.select(*keys, part_col).join(delta.select(*keys), on=keys, how="left_semi")
-                 .select(part_col).distinct())
-    touched_rows = delta.select(part_col).distinct().unionByName(old_parts).distinct().collect()
-    touched = {str(r[0]) for r in touched_rows}
+    if homes is None:
+        current = read_partitioned(spark, root, schema, part_col, before=version)
+        homes = current.select(*keys, part_col).join(delta.select(*keys), on=keys, how="left_semi")
+    touched_rows = delta.select(part_col).distinct().unionByName(
+        homes.select(part_col).distinct()).distinct().collect()
+    touched = {folder_value(spark, r[0]) for r in touched_rows}
     if touched:
         old = read_partitioned(spark, root, schema, part_col, only=touched, before=version)
         write_partitions(spark, keyed_upsert(old, delta, keys), root, part_col, version,
@@ -172,4 +202,8 @@ def prune_revisions(spark: SparkSession, root: str, part_col: str) -> int:
         if version < latest_version.get(value, "") and version <= newest:
             fs.delete(path, True)
             deleted += 1
+    # commit markers that no revision needs any more
+    needed = set(latest_version.values()) | {newest}
+    for version in committed - needed:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/{COMMITS}/{version}"), True)
     return deleted

@@ -6,7 +6,6 @@ import datetime as dt
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _VERSION_DIR = re.compile(r"^v=(.+)$")
@@ -83,19 +82,33 @@ def read_batch(spark: SparkSession, root: str, batch_id: str, schema: StructType
     return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/batch={batch_id}")
 
 
+def committed_batches(spark: SparkSession, root: str) -> list[str]:
+    """Batch ids under ``root`` whose Spark job committed (``_SUCCESS`` present)."""
+    fs, hroot, jvm = _fs(spark, root)
+    if not fs.exists(hroot):
+        return []
+    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/batch=*/_SUCCESS"))
+    return sorted(m.getPath().getParent().getName().split("=", 1)[1] for m in marks or [])
+
+
 def read_batches(spark: SparkSession, root: str, schema: StructType,
-                 exclude: str | None = None) -> DataFrame:
+                 exclude: str | None = None, upto: str | None = None) -> DataFrame:
     """All committed batches of an append-only table (uncommitted ones are hidden).
 
-    ``exclude`` leaves out one batch (a re-run must not see its own earlier attempt).
+    ``exclude`` leaves out one batch (a re-run must not see its own earlier attempt);
+    ``upto`` the batches after that one (a re-run must not see later runs' rows).
     """
-    fs, hroot, _ = _fs(spark, root)
-    if not fs.exists(hroot):
+    batches = [b for b in committed_batches(spark, root)
+               if b != exclude and (upto is None or b <= upto)]
+    if not batches:
         return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).option("basePath", root).parquet(f"{root.rstrip('/')}/batch=*")
-    if exclude is not None:
-        df = df.where(F.col("batch").cast("string") != F.lit(exclude))
-    return df.select(*schema.fieldNames())
+    paths = [f"{root.rstrip('/')}/batch={b}" for b in batches]
+    return spark.read.schema(schema).parquet(*paths).select(*schema.fieldNames())
+
+
+def read_version(spark: SparkSession, root: str, version: str, schema: StructType) -> DataFrame:
+    """One committed version of a table."""
+    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/v={version}")
 
 
 def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:

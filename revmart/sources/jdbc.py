@@ -14,6 +14,9 @@ def jdbc_scan(spark: SparkSession, url: str, table: str, properties: dict[str, s
               columns: list[str] | None = None, where: Column | str | None = None,
               partition_column: str | None = None, lower_bound=None, upper_bound=None,
               num_partitions: int | None = None, fetch_size: int = 1000) -> DataFrame:
+    split = (partition_column, lower_bound, upper_bound, num_partitions)
+    if any(x is not None for x in split) and any(x is None for x in split):
+        raise ValueError("a split scan needs partition_column, lower_bound, upper_bound and num_partitions")
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     reader = reader.option("fetchsize", str(fetch_size))
     for key, value in (properties or {}).items():
@@ -21,7 +24,7 @@ def jdbc_scan(spark: SparkSession, url: str, table: str, properties: dict[str, s
     if partition_column is not None:
         reader = (reader.option("partitionColumn", partition_column)
                   .option("lowerBound", str(lower_bound)).option("upperBound", str(upper_bound))
-                  .option("numPartitions", str(num_partitions or 1)))
+                  .option("numPartitions", str(num_partitions)))
     df = reader.load()
     if where is not None:
         df = df.where(where)

@@ -5,17 +5,19 @@ batch job's high-water mark, so late rows are never skipped. Two streaming
 queries share the source:
 
 1. **raw log**: ``type = recarga`` rows, stamped with ``loaded_at``, are
-   written per micro-batch to folder ``batch=<run>-<batch id>``. A replayed
-   batch (crash between the sink write and the commit log) overwrites its
-   own folder, so raw stays exactly-once.
+   written per micro-batch to folder ``batch=<batch id>``. A batch replayed
+   after its folder was committed (crash before the commit log) is left as
+   the first attempt wrote it, with its stamp; one that was not is written
+   anew. Either way raw holds it once, whichever run replays it.
 2. **latest version + fact**: a streaming aggregation
    ``groupBy(transaction_id).agg(max_by(row, order))`` keeps each payment's
    current winner in the state store (RocksDB), partitioned by key across
-   executors. In update mode each micro-batch emits only the payments whose
-   winner changed; those are enriched and upserted into the date-partitioned
-   fact, rewriting only the partitions they touch. No micro-batch rescans
-   the raw log or the whole fact, and a replayed batch recomputes the same
-   rows, so the upsert is idempotent.
+   executors, with the dates of all versions seen. In update mode each
+   micro-batch emits only the payments whose winner changed; those are
+   enriched and upserted into the date-partitioned fact as revision
+   ``<batch id>``. The dates say which partitions can hold the payment, so
+   the fact's keys are never searched. A batch whose revision is committed
+   is not written again.
 """
 
 from __future__ import annotations
@@ -31,8 +33,13 @@ from revmart.plans.fact import GRAIN_FORMATS, PART_COL, KEY
 from revmart.plans.marts import fact_rows
 from revmart.plans.staging import payment_order, stg_project
 from revmart.schemas import FACT_SCHEMA, INGESTED_TYPE
-from revmart.sinks.partitioned import upsert_partitioned
-from revmart.sinks.storage import append_batch, version_id
+from revmart.sinks.partitioned import is_committed, upsert_partitioned
+from revmart.sinks.storage import append_batch, committed_batches
+
+
+def _id(batch_id: int) -> str:
+    """The same for every attempt at a micro-batch."""
+    return f"{batch_id:012d}"
 
 
 def run_stream(spark: SparkSession, landing_dir: str, landing_schema: StructType, raw_root: str,
@@ -49,28 +56,38 @@ def run_stream(spark: SparkSession, landing_dir: str, landing_schema: StructType
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = (reader.parquet(landing_dir).where(F.col("type") == F.lit(INGESTED_TYPE))
               .withColumn("loaded_at", ts_lit(run_ts)).select(*raw_schema.fieldNames()))
-    run_id = version_id(run_ts)
 
     def append_raw(batch: DataFrame, batch_id: int) -> None:
-        append_batch(batch, raw_root, f"{run_id}-{batch_id:010d}")
+        if _id(batch_id) not in committed_batches(spark, raw_root):
+            append_batch(batch, raw_root, _id(batch_id))
 
     changed = []
     stored = StructType(list(FACT_SCHEMA.fields) + [StructField(PART_COL, StringType())])
 
     def upsert_fact(winners: DataFrame, batch_id: int) -> None:
+        if is_committed(spark, fact_root, _id(batch_id)):
+            return
         delta = fact_rows(enrich_payments(stg_project(winners), provider_history, client_history))
         delta = delta.withColumn(PART_COL, F.date_format("transaction_date", GRAIN_FORMATS[grain]))
-        if upsert_partitioned(spark, fact_root, stored, delta, KEY, PART_COL,
-                              f"{run_id}-{batch_id:010d}"):
+        homes = winners.select(F.explode("dates").alias("d")).select(
+            F.date_format("d", GRAIN_FORMATS[grain]).alias(PART_COL))
+        if upsert_partitioned(spark, fact_root, stored, delta, KEY, PART_COL, _id(batch_id), homes=homes):
             changed.append(batch_id)
 
     raw_query = (stream.writeStream.foreachBatch(append_raw)
                  .option("checkpointLocation", f"{checkpoint_dir}/raw")
                  .trigger(availableNow=True).start())
-    winners = latest_by_aggregate(stream, ["transaction_id"], payment_order(tiebreak))
+    # a payment's dates: one, or a few where its date moved
+    winners = latest_by_aggregate(stream, ["transaction_id"], payment_order(tiebreak),
+                                  F.collect_set(F.to_date("created_at")).alias("dates"))
     fact_query = (winners.writeStream.outputMode("update").foreachBatch(upsert_fact)
                   .option("checkpointLocation", f"{checkpoint_dir}/fact")
                   .trigger(availableNow=True).start())
-    raw_query.awaitTermination()
-    fact_query.awaitTermination()
+    try:
+        raw_query.awaitTermination()
+        fact_query.awaitTermination()
+    finally:  # if one fails the other does not run on unattended
+        for query in (raw_query, fact_query):
+            if query.isActive:
+                query.stop()
     return len(changed)

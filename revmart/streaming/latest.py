@@ -36,7 +36,9 @@ def run_latest_stream(spark: SparkSession, landing_dir: str, schema: StructType,
     def upsert(batch: DataFrame, batch_id: int) -> None:
         delta = batch.withColumn(
             BUCKET, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("string"))
-        if upsert_partitioned(spark, table_root, stored, delta, keys, BUCKET, f"{batch_id:012d}"):
+        # a key lives in its own bucket: the delta's buckets are all it can be in
+        if upsert_partitioned(spark, table_root, stored, delta, keys, BUCKET, f"{batch_id:012d}",
+                              homes=delta.select(BUCKET)):
             changed.append(batch_id)
 
     query = (winners.writeStream.outputMode("update").foreachBatch(upsert)

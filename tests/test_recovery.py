@@ -1,0 +1,143 @@
+"""What a missed step, a replay or an odd partition value must not change."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampNTZType
+
+from revmart import queries as Q
+from revmart import session
+from revmart.plans import fact, marts
+from revmart.plans.warehouse import (Warehouse, check_warehouse, read_warehouse_fact,
+                                     read_warehouse_report, run_warehouse)
+from revmart.schemas import FACT_SCHEMA, SOURCE_PAYMENTS
+from revmart.session import scratch_path
+from revmart.sinks.partitioned import (overwrite_partitioned, prune_revisions, read_partitioned,
+                                       upsert_partitioned)
+from revmart.sinks.storage import append_batch, read_batches
+from revmart.sources import fixtures as fx
+from revmart.sources.jdbc import jdbc_scan
+from revmart.streaming.ingest import run_stream
+from tests.conftest import SF_SMALL
+
+
+def test_null_and_odd_partition_values_keep_their_rows(spark):
+    root = scratch_path(spark, "null-part")
+    rows = spark.createDataFrame([("a", None, 1), ("b", None, 1), ("c", "1998-08", 1), ("d", "x/y:z", 1),
+                                  ("e", "x/y:z", 1), ("f", "move", 1)], "k string, m string, v int")
+    overwrite_partitioned(spark, rows, root, "m", "1")
+    delta = spark.createDataFrame([("a", None, 2), ("d", "x/y:z", 2), ("f", None, 2)], rows.schema)
+    upsert_partitioned(spark, root, rows.schema, delta, ["k"], "m", "2")
+    want = [("a", None, 2), ("b", None, 1), ("c", "1998-08", 1), ("d", "x/y:z", 2), ("e", "x/y:z", 1), ("f", None, 2)]
+    assert sorted(map(tuple, read_partitioned(spark, root, rows.schema, "m").collect())) == want
+    prune_revisions(spark, root, "m")
+    assert sorted(map(tuple, read_partitioned(spark, root, rows.schema, "m").collect())) == want
+
+
+def test_upsert_with_known_homes_reads_only_touched_partitions(spark):
+    root = scratch_path(spark, "homes")
+    rows = spark.range(40).selectExpr("cast(id as string) k", "cast(id % 4 as string) m", "1 v")
+    overwrite_partitioned(spark, rows, root, "m", "1")
+    delta = spark.createDataFrame([("1", "2", 9)], rows.schema)  # moves from 1 to 2
+    homes = spark.createDataFrame([("1",)], "m string")
+    assert upsert_partitioned(spark, root, rows.schema, delta, ["k"], "m", "2", homes=homes) == {"1", "2"}
+    got = {r.k: (r.m, r.v) for r in read_partitioned(spark, root, rows.schema, "m").collect()}
+    assert len(got) == 40 and got["1"] == ("2", 9)
+
+
+def test_report_makes_up_for_a_missed_step(spark):
+    base = scratch_path(spark, "missed")
+    raw = fx.raw_payments(spark, SF_SMALL)
+    ph, ch = Q._provider_history(spark, SF_SMALL), Q._client_history(spark, SF_SMALL)
+    for i, cut in enumerate(("1997-01-01", "1999-01-01", "2100-01-01")):
+        fact.refresh_fact_partitioned(spark, raw.where(F.col("loaded_at") < F.lit(cut).cast("timestamp_ntz")), ph, ch,
+                                      f"{base}/fact", str(i), tiebreak=fx.TIEBREAK)
+        if i != 1:
+            fact.refresh_report_partitioned(spark, f"{base}/fact", f"{base}/report", str(i))
+    want = marts.daily_revenue(fact.read_fact_partitioned(spark, f"{base}/fact", FACT_SCHEMA))
+    got = fact.read_report_partitioned(spark, f"{base}/report")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert fact.refresh_report_partitioned(spark, f"{base}/fact", f"{base}/report", "9") == set()
+
+
+def test_replayed_micro_batch_changes_nothing(spark):
+    base = scratch_path(spark, "replay")
+    landing, raw_root, fact_root = f"{base}/landing", f"{base}/raw", f"{base}/fact"
+    src = fx.source_payments(spark, SF_SMALL).drop("fixture_loaded_at")
+    ph, ch = Q._provider_history(spark, SF_SMALL), Q._client_history(spark, SF_SMALL)
+    src.write.parquet(landing)
+    raw_schema = StructType(list(src.schema.fields) + [StructField("loaded_at", TimestampNTZType())])
+
+    def state():
+        return (sorted(map(str, read_batches(spark, raw_root, raw_schema).collect())),
+                sorted(map(str, fact.read_fact_partitioned(spark, fact_root, FACT_SCHEMA).collect())))
+    run_stream(spark, landing, src.schema, raw_root, fact_root, f"{base}/ckpt", "2001-01-01 00:00:00", ph, ch,
+               fx.TIEBREAK)
+    before = state()
+    jvm = spark.sparkContext._jvm
+    for q in ("raw", "fact"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{base}/ckpt/{q}/commits/0")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        assert fs.delete(path, False)
+    run_stream(spark, landing, src.schema, raw_root, fact_root, f"{base}/ckpt", "2005-01-01 00:00:00", ph, ch,
+               fx.TIEBREAK)
+    assert state() == before
+
+
+def test_uncommitted_batches_are_hidden(spark):
+    root = scratch_path(spark, "batches")
+    df = spark.range(3)
+    assert read_batches(spark, root, df.schema).count() == 0
+    append_batch(df, root, "1")
+    append_batch(df, root, "2")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/batch=2/_SUCCESS")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
+    assert read_batches(spark, root, df.schema).count() == 3
+    assert read_batches(spark, root, df.schema, upto="0").count() == 0
+
+
+def _sources(spark, rate):
+    day = lambda d: dt.datetime(2025, 1, d)
+    pay = spark.createDataFrame([("t1", day(5), day(5), "confirmed", Decimal("100.00"), "recarga", "B", "P", "C", "U")],
+                                SOURCE_PAYMENTS)
+    prov = spark.createDataFrame([("P", "B", Decimal(rate), "amount")],
+                                 "external_provider_id string, company_code string, tapi_commission decimal(5,4), "
+                                 "commission_type string")
+    cli = spark.createDataFrame([("C", Decimal("0.5000"), "revenue_share")],
+                                "client_id string, revenue_share decimal(5,4), commission_type string")
+    return pay, prov, cli
+
+
+def test_older_run_run_again_keeps_its_own_rates(spark):
+    wh = Warehouse(scratch_path(spark, "rerun"))
+    pay, prov, cli = _sources(spark, "0.0500")
+    prov = prov.withColumnRenamed("tapi_commission", fx.provider_source(spark, SF_SMALL, 0).columns[2])
+    run_warehouse(spark, wh, pay, prov, cli, "2025-02-01 00:00:00")
+    first = read_warehouse_fact(spark, wh).collect()
+    newer = prov.withColumn(prov.columns[2], F.lit("0.0800").cast("decimal(5,4)"))
+    run_warehouse(spark, wh, pay, newer, cli, "2025-03-01 00:00:00")
+    run_warehouse(spark, wh, pay, prov, cli, "2025-02-01 00:00:00")
+    assert read_warehouse_fact(spark, wh).collect() == first
+    failed = {(r.table_name, r.rule): r.failures for r in check_warehouse(spark, wh).collect() if r.failures}
+    assert failed == {}
+    assert read_warehouse_report(spark, wh).count() == 1
+
+
+def test_split_scan_needs_its_bounds(spark):
+    with pytest.raises(ValueError):
+        jdbc_scan(spark, "jdbc:none", "t", partition_column="id")
+    with pytest.raises(ValueError):
+        jdbc_scan(spark, "jdbc:none", "t", num_partitions=4)
+
+
+def test_cluster_needs_a_shared_folder():
+    conf = SimpleNamespace(get=lambda key: None)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        context = SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master=master)
+        with pytest.raises(RuntimeError):
+            session.shared_dir(SimpleNamespace(sparkContext=context))

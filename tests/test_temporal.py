@@ -33,13 +33,12 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("strategy", ["versions", "range"])
-@pytest.mark.parametrize("broadcast", [True, False, None])
-def test_interval_cases(spark, history, strategy, broadcast):
+@pytest.mark.parametrize("options", [{}, {"broadcast": True}, {"salt_buckets": 3}])
+def test_interval_cases(spark, history, options):
     facts = spark.createDataFrame([(c[0], c[1], c[2], ts(c[3])) for c in CASES], FACTS)
     out = interval_lookup(facts, history, {"provider_id": "provider_id", "company_code": "biller_id"},
                           "transaction_timestamp", {"commission_rate": "commission_rate"},
-                          strategy=strategy, broadcast=broadcast)
+                          **options)
     got = {r.id: r.commission_rate for r in out.collect()}
     assert got == {c[0]: (D(c[4]) if c[4] else None) for c in CASES}
     assert out.columns == facts.columns + ["commission_rate"]
@@ -51,32 +50,36 @@ def test_overlap_picks_latest_valid_from(spark):
         ("P1", "B1", D("0.0200"), ts("2025-02-01 00:00:00"), None),
     ], HIST)
     facts = spark.createDataFrame([("a", "P1", "B1", ts("2025-03-01 00:00:00"))], FACTS)
-    out = interval_lookup(facts, hist, {"provider_id": "provider_id", "company_code": "biller_id"},
-                          "transaction_timestamp", {"commission_rate": "commission_rate"})
-    assert out.count() == 1 and out.first().commission_rate == D("0.0200")
+    for options in ({}, {"broadcast": True}, {"salt_buckets": 3}):
+        out = interval_lookup(facts, hist, {"provider_id": "provider_id", "company_code": "biller_id"},
+                              "transaction_timestamp", {"commission_rate": "commission_rate"}, **options)
+        assert [r.commission_rate for r in out.collect()] == [D("0.0200")]
 
 
 def test_plan_has_no_nested_loop_or_python(spark, history):
     facts = spark.createDataFrame([(c[0], c[1], c[2], ts(c[3])) for c in CASES], FACTS)
-    for strategy in ("versions", "range"):
-        out = interval_lookup(facts, history, {"provider_id": "provider_id",
-                                               "company_code": "biller_id"},
-                              "transaction_timestamp", {"commission_rate": "commission_rate"},
-                              strategy=strategy)
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "NestedLoopJoin" not in plan and "Python" not in plan
-        assert "BroadcastHashJoin" in plan
+    out = interval_lookup(facts, history, {"provider_id": "provider_id", "company_code": "biller_id"},
+                          "transaction_timestamp", {"commission_rate": "commission_rate"})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "Python" not in plan
+
+
+def test_lookup_leaves_nothing_cached(spark, history):
+    spark.catalog.clearCache()
+    facts = spark.createDataFrame([(c[0], c[1], c[2], ts(c[3])) for c in CASES], FACTS)
+    interval_lookup(facts, history, {"provider_id": "provider_id", "company_code": "biller_id"},
+                    "transaction_timestamp", {"commission_rate": "commission_rate"}).collect()
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
 
 
-def test_size_check_falls_back_to_shuffle(spark, history):
+def test_large_history_is_shuffled(spark, history):
     facts = spark.createDataFrame([(c[0], c[1], c[2], ts(c[3])) for c in CASES], FACTS)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
         out = interval_lookup(facts, history, {"provider_id": "provider_id",
                                                "company_code": "biller_id"},
-                              "transaction_timestamp", {"commission_rate": "commission_rate"},
-                              max_broadcast_rows=1)
+                              "transaction_timestamp", {"commission_rate": "commission_rate"})
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan
         assert {r.id: r.commission_rate for r in out.collect()}["inside"] == D("0.0500")
@@ -91,7 +94,6 @@ def test_salted_shuffle_path_matches(spark, history):
     plain = interval_lookup(facts, history, on, "transaction_timestamp",
                             {"commission_rate": "commission_rate"}, broadcast=True)
     salted = interval_lookup(facts, history, on, "transaction_timestamp",
-                             {"commission_rate": "commission_rate"}, broadcast=False,
-                             salt_buckets=4)
+                             {"commission_rate": "commission_rate"}, salt_buckets=4)
     assert salted.columns == plain.columns
     assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
