@@ -66,13 +66,16 @@ def run_stream(spark: SparkSession, landing_dir: str, landing_schema: StructType
 
     def upsert_fact(winners: DataFrame, batch_id: int) -> None:
         if is_committed(spark, fact_root, _id(batch_id)):
+            winners.write.format("noop").mode("overwrite").save()  # the state has to be carried on
             return
+        winners = winners.persist()  # read for the rows and for their dates
         delta = fact_rows(enrich_payments(stg_project(winners), provider_history, client_history))
         delta = delta.withColumn(PART_COL, F.date_format("transaction_date", GRAIN_FORMATS[grain]))
         homes = winners.select(F.explode("dates").alias("d")).select(
             F.date_format("d", GRAIN_FORMATS[grain]).alias(PART_COL))
         if upsert_partitioned(spark, fact_root, stored, delta, KEY, PART_COL, _id(batch_id), homes=homes):
             changed.append(batch_id)
+        winners.unpersist()
 
     raw_query = (stream.writeStream.foreachBatch(append_raw)
                  .option("checkpointLocation", f"{checkpoint_dir}/raw")
