@@ -1,4 +1,4 @@
-"""Top-k selection and a conditional update of the selected rows."""
+"""Top-k selection and the rows it selects."""
 
 from __future__ import annotations
 
@@ -22,18 +22,3 @@ def top_k_keys(df: DataFrame, keys: list[str], where: Column, order: list[SortKe
 def semi_join(df: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFrame:
     """``key IN (subquery)``: the planner broadcasts the keys where their size allows it."""
     return df.join(keys_df, on=keys, how="left_semi")
-
-
-def update_top_k(df: DataFrame, keys: list[str], where: Column, order: list[SortKey], k: int,
-                 assignments: dict[str, Column]) -> DataFrame:
-    """``UPDATE df SET assignments WHERE key IN (top-k keys)``; returns the whole table.
-
-    Only the chosen rows change (e.g. ``updated_at`` is stamped on them alone).
-    """
-    chosen = top_k_keys(df, keys, where, order, k).withColumn("__hit", F.lit(True))
-    marked = df.join(chosen, on=keys, how="left")
-    hit = F.col("__hit").isNotNull()
-    out = marked
-    for name, value in assignments.items():
-        out = out.withColumn(name, F.when(hit, value).otherwise(F.col(name)))
-    return out.select(*df.columns)

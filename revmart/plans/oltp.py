@@ -1,46 +1,70 @@
 """Writes to the source payments table: insert-if-absent and the top-k status update.
 
-The table is a versioned parquet table keyed by ``transaction_id``; each
-operation reads the committed version and commits the next one, so a
-crashed operation leaves the table unchanged and a re-run with the same
-version id rewrites the same folder.
+The table is keyed by ``transaction_id`` and stored by the month of
+``created_at`` (NULL has a partition of its own), in committed partition
+revisions (``sinks/partitioned.py``). An operation writes a new revision of
+the months that hold its rows; the files of the others stay. A crashed
+operation leaves the table unchanged, and a re-run with the same version id
+writes the same revisions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from revmart.functions.columns import ts_lit
 from revmart.operators.dedup import SortKey
-from revmart.operators.topk import update_top_k
+from revmart.operators.topk import semi_join, top_k_keys
 from revmart.operators.upsert import rows_to_insert
 from revmart.schemas import SOURCE_PAYMENTS
-from revmart.sinks.storage import read_current, version_id, write_version
+from revmart.sinks.partitioned import overwrite_partitioned, read_partitioned, upsert_partitioned
+from revmart.sinks.storage import version_id
 
 KEY = ["transaction_id"]
 # newest first, id as the tie-break that makes the top-k deterministic
 NEWEST = [SortKey("created_at"), SortKey("transaction_id")]
 
 
+PART_COL = "created_month"
+STORED = StructType([*SOURCE_PAYMENTS.fields, StructField(PART_COL, StringType())])
+
+
+def _with_month(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(PART_COL, F.date_format("created_at", "yyyy-MM"))
+
+
+def write_payments(spark: SparkSession, root: str, rows: DataFrame, version: str) -> None:
+    """Full load of the table."""
+    overwrite_partitioned(spark, _with_month(rows), root, PART_COL, version)
+
+
 def read_payments(spark: SparkSession, root: str, before: str | None = None) -> DataFrame:
-    return read_current(spark, root, SOURCE_PAYMENTS, before)
+    return read_partitioned(spark, root, STORED, PART_COL, before=before).select(*SOURCE_PAYMENTS.fieldNames())
+
+
+def _change(spark: SparkSession, root: str, rows: DataFrame, version: str) -> set[str]:
+    """Put rows in place by key; none of them moves to another month."""
+    delta = _with_month(rows)
+    return upsert_partitioned(spark, root, STORED, delta, KEY, PART_COL, version, homes=delta.select(PART_COL).limit(0))
 
 
 def insert_new_payments(spark: SparkSession, root: str, incoming: DataFrame,
                         order: list[SortKey], run_ts: str) -> int:
     """``INSERT ... ON CONFLICT (transaction_id) DO NOTHING``; returns rows inserted."""
-    existing = read_payments(spark, root, before=version_id(run_ts))
-    obs = Observation(f"insert_{version_id(run_ts)}")
+    version = version_id(run_ts)
+    existing = read_payments(spark, root, before=version)
+    obs = Observation(f"insert_{version}")
     new_rows = rows_to_insert(existing, incoming, KEY, order).observe(
-        obs, F.count(F.lit(1)).alias("rows"))  # counted during the write, no second pass
-    write_version(existing.unionByName(new_rows), root, version_id(run_ts))
-    return int(obs.get["rows"])
+        obs, F.count(F.lit(1)).alias("rows"))  # counted on the way, no second pass
+    return int(obs.get["rows"]) if _change(spark, root, new_rows, version) else 0
 
 
 def confirm_newest_pending(spark: SparkSession, root: str, n: int, run_ts: str) -> None:
     """Set the ``n`` newest pending payments to confirmed, stamping ``updated_at``."""
-    table = read_payments(spark, root, before=version_id(run_ts))
-    updated = update_top_k(table, KEY, F.col("status") == F.lit("pending"), NEWEST, n,
-                           {"status": F.lit("confirmed"), "updated_at": ts_lit(run_ts)})
-    write_version(updated, root, version_id(run_ts))
+    version = version_id(run_ts)
+    table = read_payments(spark, root, before=version)
+    keys = top_k_keys(table, KEY, F.col("status") == F.lit("pending"), NEWEST, n)
+    chosen = semi_join(table, keys, KEY)
+    _change(spark, root, chosen.withColumns({"status": F.lit("confirmed"), "updated_at": ts_lit(run_ts)}), version)
