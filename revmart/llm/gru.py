@@ -35,6 +35,13 @@ def init_params(seed: int = 1, words: int = 1 << 14, grams: int = 1 << 15, d_wor
 
 def token_features(tokens: list[str], words: int, grams: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per token: the word's bucket; flat n-gram buckets and where each token's begin."""
+    parts = [_features(tokens[i:i + 10_000], words, grams) for i in range(0, len(tokens), 10_000)]
+    before = np.cumsum([0] + [len(ids) for _, ids, _ in parts])
+    return (np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]),
+            np.concatenate([p[2] + at for p, at in zip(parts, before)]))
+
+
+def _features(tokens: list[str], words: int, grams: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     bare = [t.strip(PUNCT) or t for t in tokens]
     word = np.array([zlib.crc32(t.encode("utf-8", "replace")) for t in bare], dtype=np.int64) % words
     chars = np.frombuffer("".join(f"^{t}$" for t in bare).encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
@@ -50,9 +57,10 @@ def token_features(tokens: list[str], words: int, grams: int) -> tuple[np.ndarra
         code = (code[:m] * np.uint64(0x9E3779B97F4A7C15)) ^ (chars[n - 1:] + np.uint64(n))
         if n >= 3:
             fits = left[:m] >= n
-            ids.append((((code * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(33)) % np.uint64(grams))[fits])
+            buckets = ((code * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(33)) % np.uint64(grams)
+            ids.append(buckets[fits].astype(np.int32))
             of.append(owner[:m][fits])
-    ids, of = np.concatenate(ids).astype(np.int64), np.concatenate(of)
+    ids, of = np.concatenate(ids), np.concatenate(of)
     order = np.argsort(of, kind="stable")
     return word, ids[order], np.searchsorted(of[order], np.arange(len(bare)))
 

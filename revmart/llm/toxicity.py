@@ -106,7 +106,7 @@ def fit(texts: list[list[str]], labels: np.ndarray, rounds: int = 3, batch: int
     flat = np.array([index[w] for t in texts for w in t], dtype=np.int64)
     features = gru.token_features(words, len(params["word"]), len(params["gram"]))
     for r in range(rounds):
-        text, first, size, logit = Scorer(params).window_logits(texts)
+        text, first, size, logit = _all_windows(params, texts)
         best = np.lexsort((rng.random(len(text)), -logit if r else np.zeros(len(text)), text))
         rank = np.empty(len(text), dtype=np.int64)  # of a window in its text: by logit, at first at random
         starts = np.searchsorted(text, np.arange(len(texts)))
@@ -127,7 +127,21 @@ def fit(texts: list[list[str]], labels: np.ndarray, rounds: int = 3, batch: int
                 _, grad = gru.gradients(params, gru.pick(features, used), X, size[rows],
                                         labels[text[rows]].astype(np.float32))
                 adam.step(params, grad)
-    return params, *calibrate(Scorer(params).text_logits(texts), labels)
+    text, _, _, logit = _all_windows(params, texts)
+    top = np.full(len(texts), -np.inf)
+    np.maximum.at(top, text, logit)
+    return params, *calibrate(top, labels)
+
+
+def _all_windows(params: dict[str, np.ndarray], texts: list[list[str]]) -> tuple[np.ndarray, ...]:
+    """``window_logits`` of many texts, some at a time: little memory."""
+    scorer, parts, tokens = Scorer(params, table_words=30_000), [], 0
+    for i in range(0, len(texts), 50):
+        some = texts[i:i + 50]
+        text, first, size, logit = scorer.window_logits(some)
+        parts.append((text + i, first + tokens, size, logit))
+        tokens += sum(map(len, some))
+    return tuple(np.concatenate(p) for p in zip(*parts))
 
 
 def calibrate(logit: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
