@@ -9,8 +9,9 @@ and a run of q mod n further blocks, from a seeded start and around the end.
 So all but two documents of a shard are taken whole, and what a document
 gives follows from its place in the stream without a row per block.
 
-Shards are of about ``shard_words``, so a source with a third of all rows is
-many shards. Only sums per source and per shard meet in one place.
+A shard has about as many words as the square root of the total (at least
+``least_shard``), so a source with a third of all rows is many shards, and
+neither a shard nor a source's list of shards grows as fast as the input.
 
 Defined results: a null or empty text has size 0 and gives nothing; a null
 source is a source, the last one; a source without words has target 0;
@@ -104,7 +105,7 @@ def _shard(n_shards: Column) -> Column:
 
 
 def mix_plan(sized: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = 3, block_words: int = 16,
-             shard_words: int = 4_000_000, seed: int = 17) -> DataFrame:
+             least_shard: int = 20_000, seed: int = 17) -> DataFrame:
     """The shards of the mix, from (doc_id, source, size).
 
     Returns per shard: source, source_size, target, n_shards, shard, each
@@ -113,7 +114,8 @@ def mix_plan(sized: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = 3,
     """
     targets = (source_targets(sized, weights, most)
                .withColumn("seats", F.round(F.col("total") / block_words).cast("bigint"))
-               .withColumn("n_shards", F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("source_size") / shard_words))))
+               .withColumn("n_shards", F.greatest(F.lit(1).cast("bigint"), F.ceil(
+                   F.col("source_size") / F.greatest(F.lit(float(least_shard)), F.sqrt("total"))))))
     sources = materialise(apportion(targets.withColumn("all", F.lit(0)), ["all"], ["rank"], "target", "seats"),
                           "mix-sources").withColumnRenamed("quota", "blocks")
     s = sources.withColumnRenamed("source", "_source")
@@ -205,7 +207,7 @@ WITH sized AS (
       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS stops FROM weighed
 ), targets AS (
   SELECT source, rank, source_size, CAST(round(total / 16) AS BIGINT) AS seats,
-    greatest(1, CAST(ceil(source_size / 4000000) AS BIGINT)) AS n_shards,
+    greatest(1, CAST(ceil(source_size / greatest(20000.0::DOUBLE, sqrt(total))) AS BIGINT)) AS n_shards,
     CASE WHEN stops THEN CAST(ceiling AS DOUBLE) ELSE weight * ((total - coalesce(CAST(
       sum(CASE WHEN stops THEN ceiling END) OVER () AS BIGINT), 0))
       / CAST(sum(CASE WHEN NOT stops THEN weight END) OVER () AS BIGINT)) END AS target
