@@ -7,12 +7,15 @@ shingle. All classes with a shingle in their prefix join the group of the
 smallest class that has it, so near copies, which share most shingles, meet
 in one group and not in one per shingle.
 
-In a group the sets become a signature tree: every node holds the OR of its
+In a group the sets become signature trees: every node holds the OR of its
 token bitmaps and its range of set sizes. A traversal of pairs of nodes
 starts at the root with itself and drops a pair whose size ranges or largest
-possible overlap cannot reach the threshold; what is left at the leaves is
-verified on the whole sets, unless both documents hang together already.
-A group leaves the edges of a spanning forest, never all pairs.
+possible overlap cannot reach the threshold. The pairs left at the leaves
+split a group into its candidate parts: what only shares a passage falls
+apart here, and only bitmaps (a quarter byte a shingle) were moved for it.
+The parts then get their whole sets, and a second traversal verifies its
+leaf pairs on them, unless both documents hang together already. A part
+leaves the edges of a spanning forest, never all pairs.
 
 Which shingles count as common comes from a bounded sample of documents; it
 only changes the order, never the result. Rows of common shingles are not
@@ -98,13 +101,13 @@ def _common_shingles(docs: DataFrame, n: int, sample: int, least: int, most: int
 
 
 def _sets(docs: DataFrame, n: int, common: np.ndarray) -> DataFrame:
-    """Per row: doc_id, n_shingles, digest of the set, and its prefix in rare and common shingles."""
+    """Per row: doc_id, n_shingles, digest of the set, its prefix in rare and common shingles, its bitmap."""
     shared = docs.sparkSession.sparkContext.broadcast(common)  # bounded: see _common_shingles
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, frequent = Shingler(n), shared.value
         for batch in limited(batches, "text", 2_000_000):
-            out: list[list] = [[] for _ in range(4)]
+            out: list[list] = [[] for _ in range(5)]
             for text in batch.column("text").to_pylist():
                 s = make(text)
                 if len(frequent):
@@ -116,14 +119,17 @@ def _sets(docs: DataFrame, n: int, common: np.ndarray) -> DataFrame:
                 p = len(s) - needed(len(s)) + 1 if len(s) else 0
                 rare = rare[:p]
                 for column, value in zip(out, (len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
-                                               rare.view(np.int64), hot[:p - len(rare)].view(np.int64))):
+                                               rare.view(np.int64), hot[:p - len(rare)].view(np.int64),
+                                               signature(s))):
                     column.append(value)
-            types = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            types = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()),
+                     pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(v, t) for v, t in zip(out, types))],
-                ["doc_id", "n_shingles", "digest", "rare", "hot"])
+                ["doc_id", "n_shingles", "digest", "rare", "hot", "bitmap"])
 
-    return docs.mapInArrow(compute, "doc_id long, n_shingles long, digest binary, rare array<long>, hot array<long>")
+    return docs.mapInArrow(compute, "doc_id long, n_shingles long, digest binary, rare array<long>, "
+                                    "hot array<long>, bitmap binary")
 
 
 def _groups_of_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,20 +163,33 @@ def _members(classes: DataFrame) -> DataFrame:
     return materialise(from_rare.unionByName(from_hot).distinct(), "members")
 
 
+MOST_BITS = 1 << 16
+
+
+def signature(shingles: np.ndarray) -> bytes:
+    """Bitmap of a set: a power of two of bits, at least twice its size (up to MOST_BITS); bit h mod bits."""
+    bits = 512
+    while bits < 2 * len(shingles) and bits < MOST_BITS:
+        bits *= 2
+    flags = np.zeros(bits, dtype=np.uint8)
+    flags[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(flags).tobytes()
+
+
+def fold(bitmap: bytes, size: int) -> bytes:
+    """The same set's bitmap of ``size`` bytes, at most as many as it has."""
+    rows = np.frombuffer(bitmap, np.uint8).reshape(-1, size)
+    return np.bitwise_or.reduce(rows, axis=0).tobytes()
+
+
 class SignatureTree:
-    """Sets ordered by size, and above them nodes of FAN children: OR of bitmaps, sizes, most hidden tokens."""
-
-    def __init__(self, sets: list[np.ndarray]) -> None:
-        sizes = np.array([len(s) for s in sets])
-        bits = 512
-        while bits < 2 * sizes.max() and bits < 1 << 16:
-            bits *= 2
-        maps = np.zeros((len(sets), bits // 8), dtype=np.uint8)
-        for row, s in zip(maps, sets):
-            flags = np.zeros(bits, dtype=np.uint8)
-            flags[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
-            row[:] = np.packbits(flags)
-        maps = maps.view(np.uint64)
+    """Sets ordered by size, and above them nodes of FAN children: OR of bitmaps, sizes, most hidden tokens.
+
+    All bitmaps are of one width; sizes ascend.
+    """
+
+    def __init__(self, bitmaps: list[bytes], sizes: np.ndarray) -> None:
+        maps = np.frombuffer(b"".join(bitmaps), np.uint64).reshape(len(bitmaps), -1)
         # hidden: tokens of a set beyond its bits (several on one bit)
         hidden = sizes - np.bitwise_count(maps).sum(axis=1).astype(np.int64)
         self.levels = [(maps, sizes, sizes, hidden)]
@@ -213,6 +232,28 @@ class SignatureTree:
             stack += [(level - 1, a[k:k + 50_000], b[k:k + 50_000]) for k in range(0, len(a), 50_000)]
 
 
+def candidate_pairs(bitmaps: list[bytes], sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of sets that may link, as indices, in portions.
+
+    Sets that link differ in size by a quarter at most, so their bitmaps are
+    of one width or of neighbouring ones: a tree per width holds the sets of
+    that width and, folded, those of the next.
+    """
+    widths = np.array([len(b) for b in bitmaps])
+    for width in np.unique(widths):
+        rows = np.flatnonzero((widths == width) | (widths == 2 * width))
+        rows = rows[np.argsort(sizes[rows], kind="stable")]
+        if len(rows) < 2:
+            continue
+        tree = SignatureTree([bitmaps[r] if widths[r] == width else fold(bitmaps[r], int(width)) for r in rows],
+                             sizes[rows])
+        for i, j in tree.candidates():
+            i, j = rows[i], rows[j]
+            own = (widths[i] == width) | (widths[j] == width)  # two wider ones meet in their own tree
+            if own.any():
+                yield i[own], j[own]
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= 80 * (len(a) + len(b) - both)
@@ -223,14 +264,10 @@ def join_sets(sets: list[np.ndarray], pairs_ok=None) -> list[tuple[int, int]]:
 
     pairs_ok(i, j) can rule pairs out that another group looks at.
     """
-    if len(sets) < 2:
-        return []
-    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
-    sets = [sets[i] for i in order]
-    at, label, edges = np.array(order), np.arange(len(sets)), []
-    for i, j in SignatureTree(sets).candidates():
+    label, edges = np.arange(len(sets)), []
+    for i, j in candidate_pairs([signature(s) for s in sets], np.array([len(s) for s in sets], dtype=np.int64)):
         if pairs_ok is not None:
-            keep = pairs_ok(at[i], at[j])
+            keep = pairs_ok(i, j)
             i, j = i[keep], j[keep]
         while True:
             apart = label[i] != label[j]
@@ -240,47 +277,90 @@ def join_sets(sets: list[np.ndarray], pairs_ok=None) -> list[tuple[int, int]]:
             found = [(a, b) for a, b in zip(i[:64].tolist(), j[:64].tolist()) if linked(sets[a], sets[b])]
             i, j = i[64:], j[64:]
             if found:
-                edges += [(int(at[a]), int(at[b])) for a, b in found]
-                a, b = np.array(found).T
-                unite(label, a, b)
+                edges += found
+                unite(label, *np.array(found).T)
     return edges
 
 
+def _other_block(block: np.ndarray, bi: int, bj: int):
+    """Of a pair of blocks only pairs across them: those inside are the block's own group's."""
+    return None if bi == bj else lambda i, j: block[i] != block[j]
+
+
+def _split_group(key: tuple, table: pa.Table) -> pa.Table:
+    """A group's candidate parts, by bitmaps: (smallest rep of the part, rep), parts of one left out."""
+    table = table.sort_by([("rep", "ascending"), ("n_shingles", "ascending")])
+    reps, block = table.column("rep").to_numpy(), table.column("block").to_numpy()
+    across, label = _other_block(block, key[1].as_py(), key[2].as_py()), np.arange(len(reps))
+    for i, j in candidate_pairs(table.column("bitmap").to_pylist(), table.column("n_shingles").to_numpy()):
+        if across is not None:
+            keep = across(i, j)
+            i, j = i[keep], j[keep]
+        unite(label, i, j)
+    part = np.flatnonzero(np.bincount(label, minlength=len(label))[label] > 1)
+    return pa.table({"low": reps[label[part]], "rep": reps[part]})
+
+
 def _join_group(key: tuple, table: pa.Table) -> pa.Table:
-    _, bi, bj = (k.as_py() for k in key)
     table = table.sort_by("rep")
     reps, block = table.column("rep").to_numpy(), table.column("block").to_numpy()
     sets = [np.frombuffer(b, "<u8") for b in table.column("shingles").to_pylist()]
-    edges = join_sets(sets, None if bi == bj else lambda i, j: block[i] != block[j])
+    edges = join_sets(sets, _other_block(block, key[1].as_py(), key[2].as_py()))
     a, b = np.array(edges, dtype=np.int64).reshape(-1, 2).T
     return pa.table({"a": reps[a], "b": reps[b]})
 
 
-def _edges(docs: DataFrame, members: DataFrame, n: int, block: int) -> DataFrame:
-    sizes = members.groupBy("low").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks")).filter("blocks > 1")
-    dealt = (members.join(sizes, "low", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("bigint")))
-             .groupBy("rep").agg(F.collect_list(F.struct("low", "blocks")).alias("groups")))  # a prefix's length at most
+def _deal(members: DataFrame, block: int) -> DataFrame:
+    """(low, bi, bj, block, rep): a group over ``block`` rows as pairs of blocks, each a group of its own."""
+    large = members.groupBy("low").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks")).filter("blocks > 1")
+    return (members.join(large, "low", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("bigint")))
+            .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+            .select("low", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
+                    "block", "rep"))
+
+
+def _parts(members: DataFrame, bitmaps: DataFrame, block: int) -> DataFrame:
+    """(low, rep): the groups' candidate parts."""
+    rows = _deal(members, block).join(bitmaps, "rep")
+    return materialise(rows.groupBy("low", "bi", "bj").applyInArrow(_split_group, "low long, rep long").distinct(),
+                       "parts")
+
+
+def _likely(docs: DataFrame, ids: DataFrame, bits: int = 1 << 27) -> DataFrame:
+    """``docs`` without most rows whose doc_id is not among ``ids`` (rep).
+
+    A bitmap of hashed ids, ``bits`` / 8 bytes (16 MB) at the most however many
+    ids there are, is broadcast; rows without their bit need not be shuffled.
+    A hash met by chance lets a row through, never stops one.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
+    marks = ids.select(place("rep").alias("h")).groupBy(F.bitmap_bucket_number("h").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bits"))
+    met = (docs.withColumn("h", place("doc_id")).withColumn("at", F.bitmap_bit_position("h"))
+           .join(F.broadcast(marks), F.bitmap_bucket_number("h") == F.col("bucket")))
+    byte = F.conv(F.hex(F.expr("substring(bits, cast(at div 8 + 1 as int), 1)")), 16, 10).cast("int")
+    bit = F.element_at(F.array(*(F.lit(1 << i) for i in range(8))), (F.col("at") % 8 + 1).cast("int"))
+    return met.filter(byte.bitwiseAND(bit) != 0).select(*docs.columns)
+
+
+def _edges(docs: DataFrame, parts: DataFrame, n: int, block: int) -> DataFrame:
+    """Linked pairs, a spanning forest of each part."""
+    places = _deal(parts, block).groupBy("rep").agg(F.collect_list(F.struct("low", "bi", "bj", "block")).alias("places"))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Shingler(n)
         for batch in batches:
-            for rep, text, groups in zip(*(batch.column(c).to_pylist() for c in ("rep", "text", "groups"))):
+            for rep, text, places in zip(*(batch.column(c).to_pylist() for c in ("rep", "text", "places"))):
                 data = make(text).tobytes()
-                low, bi, bj, mine = [], [], [], []
-                for g in groups:
-                    own = int(_mix(np.array([rep], dtype=np.int64).view(np.uint64))[0] % np.uint64(g["blocks"]))
-                    for other in range(g["blocks"]):
-                        low.append(g["low"])
-                        bi.append(min(own, other))
-                        bj.append(max(own, other))
-                        mine.append(own)
-                for k in range(0, len(low), 100):
-                    m = len(low[k:k + 100])
+                for k in range(0, len(places), 100):
+                    some = places[k:k + 100]
                     yield pa.RecordBatch.from_pydict({
-                        "low": low[k:k + 100], "bi": bi[k:k + 100], "bj": bj[k:k + 100], "block": mine[k:k + 100],
-                        "rep": pa.array([rep] * m, pa.int64()), "shingles": pa.array([data] * m, pa.binary())})
+                        **{c: pa.array([p[c] for p in some], pa.int64()) for c in ("low", "bi", "bj", "block")},
+                        "rep": pa.array([rep] * len(some), pa.int64()),
+                        "shingles": pa.array([data] * len(some), pa.binary())})
 
-    texts = docs.join(dealt, F.col("doc_id") == F.col("rep")).select("rep", "text", "groups")
+    texts = _likely(docs, parts).join(places, F.col("doc_id") == F.col("rep")).select("rep", "text", "places")
     rows = texts.mapInArrow(compute, "low long, bi long, bj long, block long, rep long, shingles binary")
     return rows.groupBy("low", "bi", "bj").applyInArrow(_join_group, "a long, b long")
 
@@ -294,8 +374,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, sample: int = 8000, common_l
     usable = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("rare").alias("rare"),
                                            F.first("hot").alias("hot"))
-    members = _members(classes)
-    edges = materialise(_edges(rows, members, n, block), "edges")
+    bitmaps = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
+                                           F.first("bitmap").alias("bitmap")).drop("digest")
+    parts = _parts(_members(classes), bitmaps, block)
+    edges = materialise(_edges(rows, parts, n, block), "edges")
     comps = components(edges, "a", "b")
     resolved = materialise(
         usable.groupBy("digest").agg(F.min("doc_id").alias("rep"))

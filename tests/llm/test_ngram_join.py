@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from revmart.llm.ngram_join import Shingler, _groups_of_sorted, jaccard_components, join_sets, linked
+from revmart.llm.ngram_join import (Shingler, _groups_of_sorted, _likely, candidate_pairs, jaccard_components,
+                                    join_sets, linked, signature)
 
 
 def shingles(text):
@@ -94,8 +95,21 @@ def test_tree_finds_every_component():
 def test_tree_prunes_unlike_sets():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 1 << 62, 300).astype(np.uint64)) for _ in range(300)]
-    from revmart.llm.ngram_join import SignatureTree
-    assert sum(len(i) for i, _ in SignatureTree(sets).candidates()) == 0
+    sizes = np.array([len(s) for s in sets])
+    assert sum(len(i) for i, _ in candidate_pairs([signature(s) for s in sets], sizes)) == 0
+
+
+def test_linked_sets_are_candidates_across_widths():
+    rng = np.random.default_rng(2)
+    sets = []
+    for n in (200, 250, 256, 260, 300, 500, 520, 1000, 1030):
+        base = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        sets += [base, base[:len(base) * 9 // 10], base[:len(base) * 81 // 100 + 1]]
+    found = set()
+    for i, j in candidate_pairs([signature(s) for s in sets], np.array([len(s) for s in sets])):
+        found |= {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist())}
+    want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if linked(sets[i], sets[j])}
+    assert want <= found and len(want) >= 18
 
 
 def test_shingles_are_distinct_word_sequences():
@@ -106,6 +120,15 @@ def test_shingles_are_distinct_word_sequences():
     assert (make("a b c d e") == make("A B  c d E")).all()
 
 
+def test_likely_rows_hold_all_that_are_asked_for(spark):
+    docs = spark.range(-500, 5000).selectExpr("id AS doc_id", "'x' AS text")
+    ids = spark.range(0, 400).selectExpr("id * 11 - 300 AS rep")
+    for bits, most in ((1 << 27, 402), (1 << 10, 3000)):
+        got = {r.doc_id for r in _likely(docs, ids, bits).collect()}
+        assert {r.rep for r in ids.collect()} <= got and len(got) <= most
+    assert _likely(docs, ids.limit(0)).count() == 0
+
+
 def test_groups_across_batches():
     token, rep = [1, 2, 2, 2, 2, 3, 3, 4, 5, 5], [7, 3, 4, 5, 6, 1, 9, 8, 2, 2]
     want = {(3, 3), (3, 4), (3, 5), (3, 6), (1, 1), (1, 9)}
