@@ -56,16 +56,30 @@ class Hmm:
     emit: np.ndarray  # classes x states: the column of a state sums to 1
 
 
-# --- ids of a block's own words, as text: its UTF-8 takes 1 to 4 bytes an id ---
-
-def _pack(ids: np.ndarray) -> str:
-    ids = np.where(ids >= 0xD800, ids + 0x800, ids)  # surrogates are no text
-    return ids.astype("<u4").tobytes().decode("utf-32-le")
-
-
-def _unpack(text: str) -> np.ndarray:
-    ids = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
-    return np.where(ids >= 0xD800, ids - 0x800, ids)
+# --- ids of a block's own words: varints, 7 bits a byte, the lowest first ---
+
+def _pack(ids: np.ndarray) -> bytes:
+    ids = ids.astype(np.uint64)
+    width = 1 + sum((ids >> np.uint64(s) > 0).astype(np.int64) for s in range(7, 64, 7))
+    ends = np.cumsum(width)
+    out = np.zeros(int(ends[-1]) if len(ids) else 0, dtype=np.uint8)
+    for k in range(int(width.max(initial=0))):
+        has = width > k
+        more = (width[has] > k + 1).astype(np.uint64) << np.uint64(7)
+        out[(ends - width)[has] + k] = (ids[has] >> np.uint64(7 * k)) & np.uint64(127) | more
+    return out.tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8)
+    ends = np.flatnonzero(raw < 128) + 1
+    starts = np.concatenate(([0], ends[:-1])).astype(np.int64)[:len(ends)]
+    width = ends - starts
+    ids = np.zeros(len(ends), dtype=np.int64)
+    for k in range(int(width.max(initial=0))):
+        has = width > k
+        ids[has] |= (raw[starts[has] + k] & 127).astype(np.int64) << (7 * k)
+    return ids
 
 
 def split_blocks(docs: DataFrame, block_chars: int) -> tuple[DataFrame, DataFrame]:
@@ -92,17 +106,18 @@ def split_blocks(docs: DataFrame, block_chars: int) -> tuple[DataFrame, DataFram
                 "block": np.full(n + m, block), "pos": np.concatenate((np.arange(n), np.arange(m))),
                 "doc_id": pa.array(batch.column("doc_id").to_pylist() + [None] * m, pa.int64()),
                 "held_out": pa.array(held + [None] * m, pa.bool_()),
-                "content": pa.array(packed + [w.decode("utf-8", "replace") for w in ids], pa.string()),
+                "ids": pa.array(packed + [None] * m, pa.binary()),
+                "word": pa.array([None] * n + [w.decode("utf-8", "replace") for w in ids], pa.string()),
                 "n": pa.array([None] * n + counts[:m].tolist(), pa.int64()),
                 "kind": pa.array(["doc"] * n + ["word"] * m)})
 
     spark = docs.sparkSession
     path = scratch_path(spark, "lm-blocks")
-    schema = "block long, pos long, doc_id long, held_out boolean, content string, n long, kind string"
+    schema = "block long, pos long, doc_id long, held_out boolean, ids binary, word string, n long, kind string"
     docs.mapInArrow(split, schema).write.partitionBy("kind").parquet(path)
     both = spark.read.schema(schema).parquet(path)
-    return (both.filter("kind = 'doc'").select("block", "pos", "doc_id", "held_out", F.col("content").alias("ids")),
-            both.filter("kind = 'word'").select("block", "pos", F.col("content").alias("word"), "n"))
+    return (both.filter("kind = 'doc'").select("block", "pos", "doc_id", "held_out", "ids"),
+            both.filter("kind = 'word'").select("block", "pos", "word", "n"))
 
 
 def count_words(words: DataFrame, top_words: int, suffix_classes: int) -> DataFrame:

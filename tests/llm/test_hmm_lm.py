@@ -98,3 +98,19 @@ def test_word_probabilities_sum_to_one():
     emit = _toy(2, 3, 4).emit
     total = sum(emit[k] * ((sum(n + 1 for n in c) + 1) / (sum(c) + len(c) + 1)) for k, c in counts.items())
     assert np.allclose(total, 1)
+
+
+def test_ids_of_any_number_of_words_come_back():
+    ids = np.array([0, 1, 127, 128, 16_383, 16_384, 0xD7FF, 0xD800, 1_112_063, 1_112_064, 2**21 - 1, 2**21, 2**40])
+    assert hmm_lm._unpack(hmm_lm._pack(ids)).tolist() == ids.tolist()
+    assert len(hmm_lm._unpack(hmm_lm._pack(ids[:0]))) == 0
+
+
+def test_text_of_more_distinct_words_than_characters_exist(spark, make_docs):
+    n = 1_200_000
+    rows = {r.doc_id: r for r in hmm_scores(make_docs([(1, " ".join(f"{i:x}" for i in range(n))), (2, "a b zz")]),
+                                            F.col("doc_id") == 2, states=2, rounds=1, start_rows=2).collect()}
+    assert (rows[1].n_tokens, rows[1].n_known, rows[1].train_tokens) == (n + 1, n + 1, n + 1)
+    assert rows[1].base_score == pytest.approx((n + 1) * math.log10(2 / (2 * n + 3)), rel=1e-9)
+    assert (rows[2].n_tokens, rows[2].n_known) == (4, 3)  # zz is no hexadecimal number
+    assert math.isfinite(rows[1].score)
