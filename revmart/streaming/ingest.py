@@ -12,7 +12,7 @@ queries share the source:
 2. **latest version + fact**: a streaming aggregation
    ``groupBy(transaction_id).agg(max_by(row, order))`` keeps each payment's
    current winner in the state store (RocksDB), partitioned by key across
-   executors, with the dates of all versions seen. In update mode each
+   executors, with the dates of all versions seen (NULL too). In update mode each
    micro-batch emits only the payments whose winner changed; those are
    enriched and upserted into the date-partitioned fact as revision
    ``<batch id>``. The dates say which partitions can hold the payment, so
@@ -22,7 +22,7 @@ queries share the source:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
@@ -42,6 +42,11 @@ def _id(batch_id: int) -> str:
     return f"{batch_id:012d}"
 
 
+def _undated() -> Column:
+    """Stands for a NULL date in a set, which drops NULLs: a day that no timestamp reaches."""
+    return F.date_from_unix_date(F.lit(2**31 - 1))
+
+
 def run_stream(spark: SparkSession, landing_dir: str, landing_schema: StructType, raw_root: str,
                fact_root: str, checkpoint_dir: str, run_ts: str, provider_history: DataFrame,
                client_history: DataFrame, tiebreak: list[str] | None = None,
@@ -72,7 +77,7 @@ def run_stream(spark: SparkSession, landing_dir: str, landing_schema: StructType
         delta = fact_rows(enrich_payments(stg_project(winners), provider_history, client_history))
         delta = delta.withColumn(PART_COL, F.date_format("transaction_date", GRAIN_FORMATS[grain]))
         homes = winners.select(F.explode("dates").alias("d")).select(
-            F.date_format("d", GRAIN_FORMATS[grain]).alias(PART_COL))
+            F.date_format(F.nullif("d", _undated()), GRAIN_FORMATS[grain]).alias(PART_COL))
         if upsert_partitioned(spark, fact_root, stored, delta, KEY, PART_COL, _id(batch_id), homes=homes):
             changed.append(batch_id)
         winners.unpersist()
@@ -81,8 +86,8 @@ def run_stream(spark: SparkSession, landing_dir: str, landing_schema: StructType
                  .option("checkpointLocation", f"{checkpoint_dir}/raw")
                  .trigger(availableNow=True).start())
     # a payment's dates: one, or a few where its date moved
-    winners = latest_by_aggregate(stream, ["transaction_id"], payment_order(tiebreak),
-                                  F.collect_set(F.to_date("created_at")).alias("dates"))
+    dates = F.collect_set(F.coalesce(F.to_date("created_at"), _undated()))
+    winners = latest_by_aggregate(stream, ["transaction_id"], payment_order(tiebreak), dates.alias("dates"))
     fact_query = (winners.writeStream.outputMode("update").foreachBatch(upsert_fact)
                   .option("checkpointLocation", f"{checkpoint_dir}/fact")
                   .trigger(availableNow=True).start())

@@ -36,3 +36,20 @@ def test_two_available_now_runs_equal_batch(spark):
     batch = fact_rows(enrich_payments(stg_payments(raw, tiebreak=fx.TIEBREAK), ph, ch))
     got = sorted(tuple(r) for r in read_fact_partitioned(spark, fact_root, FACT_SCHEMA).collect())
     assert got == sorted(tuple(r) for r in batch.collect())
+
+
+def test_payment_that_goes_from_no_date_to_a_date_and_back_is_held_once(spark):
+    base = scratch_path(spark, "stream-null-date")
+    landing, fact_root = f"{base}/landing", f"{base}/fact"
+    src = fx.source_payments(spark, SF_SMALL).drop("fixture_loaded_at")
+    ph, ch = Q._provider_history(spark, SF_SMALL), Q._client_history(spark, SF_SMALL)
+    dated = src.where("type = 'recarga'").orderBy("transaction_id", "updated_at").limit(1).localCheckpoint()
+    undated = dated.withColumn("created_at", F.lit(None).cast(src.schema["created_at"].dataType))
+    want = dated.select(F.to_date("created_at")).first()[0]
+    for run, (rows, date) in enumerate([(undated, None), (dated, want), (undated, None)]):
+        rows = rows.withColumn("updated_at", ts_lit(f"2001-01-0{run + 1} 00:00:00"))
+        rows.select(*src.columns).write.mode("append").parquet(landing)
+        run_stream(spark, landing, src.schema, f"{base}/raw", fact_root, f"{base}/ckpt",
+                   f"2010-01-0{run + 1} 00:00:00", ph, ch, fx.TIEBREAK)
+        fact = read_fact_partitioned(spark, fact_root, FACT_SCHEMA).collect()
+        assert [r.transaction_date for r in fact] == [date]
