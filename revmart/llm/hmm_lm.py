@@ -120,24 +120,39 @@ def split_blocks(docs: DataFrame, block_chars: int) -> tuple[DataFrame, DataFram
             both.filter("kind = 'word'").select("block", "pos", "word", "n"))
 
 
+def _least_of_top(counts: DataFrame, k: int) -> int:
+    """A count that k words reach (1 if fewer have any), close to the k-th largest: from a histogram of the counts."""
+    steps = (counts.filter("n > 0").groupBy(F.floor(F.log2("n") * 16).alias("step"))
+             .agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least")).collect())  # 16 a doubling
+    held = 0
+    for r in sorted(steps, key=lambda r: -r["least"]):
+        held += r["words"]
+        if held >= k:
+            return r["least"]
+    return 1
+
+
 def count_words(words: DataFrame, top_words: int, suffix_classes: int) -> DataFrame:
     """Per block and word: its count over all blocks, its class, and whether this row stands for the word."""
     spark = words.sparkSession
-    # Any choice of these words gives a right model; rare ones of a block are left out of the sum,
-    # and so are words under a small share of it: what is left to sort is bounded.
-    often = words.filter("n >= 3")
-    total = often.agg(F.sum("n").alias("n")).first()["n"] or 0
-    top = (often.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= total / (16 * top_words))
-           .orderBy(F.desc("n"), "word").limit(top_words).collect())
-    classes = spark.createDataFrame([(r["word"], i) for i, r in enumerate(top)], "word string, own int")
+    # The counts of 3 and more in a block are parts of the whole counts: what top_words words
+    # reach of them, the top words reach of the whole. Only such words are carried on by name.
+    parts = words.filter("n >= 3").groupBy("word").agg(F.sum("n").alias("n"))
+    least = _least_of_top(parts, top_words)
     suffix = F.lit(top_words) + F.pmod(F.crc32(F.substring("word", -3, 3).cast("binary")), F.lit(suffix_classes))
     by = Window.partitionBy("word")
     # one exchange; a word has a row per block at most
-    return materialise(
-        words.join(F.broadcast(classes), "word", "left")  # top_words rows
-        .withColumn("c", F.sum("n").over(by))
+    counted = materialise(
+        words.withColumn("c", F.sum("n").over(by))
         .withColumn("stands", F.row_number().over(by.orderBy("block")) == 1)
-        .select("block", "pos", "c", F.coalesce("own", suffix).cast("int").alias("class"), "stands"), "lm-counts")
+        .select("block", "pos", "c", suffix.cast("int").alias("class"), "stands",
+                F.when(F.col("c") >= least, F.col("word")).alias("word")), "lm-counts")
+    named = counted.filter("stands AND word IS NOT NULL").select("word", F.col("c").alias("n"))
+    top = (named.filter(F.col("n") >= _least_of_top(named, top_words))
+           .orderBy(F.desc("n"), "word").limit(top_words).collect())
+    classes = spark.createDataFrame([(r["word"], i) for i, r in enumerate(top)], "word string, own int")
+    return (counted.join(F.broadcast(classes), "word", "left")  # top_words rows
+            .select("block", "pos", "c", F.coalesce("own", "class").alias("class"), "stands"))
 
 
 def encode(docs: DataFrame, counted: DataFrame, totals: np.ndarray, distinct: np.ndarray) -> DataFrame:

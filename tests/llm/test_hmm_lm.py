@@ -92,6 +92,19 @@ def test_cases(spark, make_docs):
     assert (untrained.train_tokens, untrained.n_known, untrained.base_score) == (0, 0, 0.0)
 
 
+def test_top_words_do_not_follow_the_blocks(spark):
+    """Ranked by the whole count, also of words that no block holds often and where none stands out."""
+    docs = table(spark, SF, "documents").select("doc_id", "text", (fold("doc_id", 7) == 2).alias("held_out"))
+    rows = docs.collect()
+    c = Counter(w for r in rows if not r.held_out for w in [*(r.text or "").encode().lower().split(), END.encode()])
+    for block_chars, k in ((1, 40), (10**9, 40), (1, 10**6)):
+        _, words = hmm_lm.split_blocks(docs, block_chars)
+        got = hmm_lm.count_words(words, k, 16).join(words, ["block", "pos"]).filter(f"class < {k}")
+        top = sorted(c, key=lambda w: (-c[w], w))[:k]
+        assert {r.word.encode(): r["class"] for r in got.select("word", "class").distinct().collect()} == {
+            w: i for i, w in enumerate(top)}
+
+
 def test_word_probabilities_sum_to_one():
     """Over all words and each class's unseen word, from every state."""
     counts = {0: [5], 1: [2, 1, 1], 2: []}
