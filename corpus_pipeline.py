@@ -40,7 +40,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
     path = scratch_path(spark, "digest-index")
-    return exact_dedup.keep_first(docs, exact_dedup.DigestIndex(spark, path, "digest_index_" + path[-12:]))
+    return exact_dedup.keep_first(docs, exact_dedup.DigestIndex(spark, path, "digest_index_" + path[-12:]), batches=3)
 
 
 @_stage

@@ -43,17 +43,29 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.name)
 
 
-def _decide(docs: DataFrame, index: DigestIndex, id_col: str, text_col: str) -> DataFrame:
+def _falling(rows: DataFrame, batches: int) -> list[DataFrame]:
+    """``rows`` by ranges of doc_id, the largest ids first and null ids last; any bounds give the same decisions."""
+    shares = [i / batches for i in range(1, batches)]
+    cuts = rows.agg(F.percentile_approx("doc_id", shares, 1000)).first()[0] if shares else None
+    out, above = [], F.lit(True)
+    for cut in sorted(set(cuts or []), reverse=True):
+        at_least = F.coalesce(F.col("doc_id") >= cut, F.lit(False))
+        out.append(rows.filter(above & at_least))
+        above = ~at_least
+    return [*out, rows.filter(above)]
+
+
+def _decide(docs: DataFrame, index: DigestIndex, id_col: str, text_col: str, batches: int) -> DataFrame:
     """(digest, doc_id, n, keep_id, group_size): a row per id and text, n its number of rows."""
     digests = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), digest_of(text_col).alias("digest"))
     rows = materialise(digests.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("n")), "digests")
-    groups = materialise(
-        rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.sum("n").alias("group_size")), "groups")
-    index.add(groups)
+    # The first batch that holds a text holds its largest id: later ones meet it in the index.
+    for batch in _falling(rows, batches):
+        index.add(materialise(batch.groupBy("digest").agg(F.max("doc_id").alias("keep_id")), "candidates"))
+    groups = rows.groupBy("digest").agg(F.sum("n").alias("group_size"))
     # Read by path below, not as a bucketed table: both sides are then exchanged,
     # and the adaptive plan can split the partition of a text with very many copies.
-    resolved = materialise(
-        groups.drop("keep_id").join(index.read().hint("merge"), "digest"), "resolved")
+    resolved = materialise(groups.join(index.read().hint("merge"), "digest"), "resolved")
     return rows.join(resolved, "digest")
 
 
@@ -62,24 +74,24 @@ def digest_of(text_col: str) -> Column:
 
 
 def dedup_batch(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """Decide every row of ``docs`` and append its new texts to the index.
+                text_col: str = "text", batches: int = 1) -> DataFrame:
+    """Decide every row of ``docs`` and append its new texts to the index, in ``batches`` falling id ranges.
 
     Returns one row per input row: the id, keep_id (the row that stays, of
-    this batch or an earlier one), group_size (equal texts in this batch),
+    ``docs`` or of an earlier call), group_size (equal texts in ``docs``),
     kept and text_sha256.
     """
-    return (_decide(docs, index, id_col, text_col)
+    return (_decide(docs, index, id_col, text_col, batches)
             .withColumn("nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))))
             .select("doc_id", "keep_id", F.col("group_size").cast("bigint").alias("group_size"),
                     (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"),
                     F.lower(F.hex("digest")).alias("text_sha256")))
 
 
-def keep_first(docs: DataFrame, index: DigestIndex) -> DataFrame:
+def keep_first(docs: DataFrame, index: DigestIndex, batches: int = 1) -> DataFrame:
     """The rows of ``docs`` (with doc_id and text) that stay, their columns as they were."""
     kept = materialise(
-        _decide(docs, index, "doc_id", "text").filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+        _decide(docs, index, "doc_id", "text", batches).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
         .select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "n"), "kept")
 
     def rows_of(which: DataFrame) -> DataFrame:

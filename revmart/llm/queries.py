@@ -31,9 +31,10 @@ def op3_hmm_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches: the second and third meet an index that holds texts."""
     path = scratch_path(spark, "digest-index")
     index = exact_dedup.DigestIndex(spark, path, "digest_index_" + path[-12:])
-    return exact_dedup.dedup_batch(table(spark, sf_dir, "documents"), index)
+    return exact_dedup.dedup_batch(table(spark, sf_dir, "documents"), index, batches=3)
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,13 @@ from __future__ import annotations
 
 import hashlib
 
+import corpus_pipeline
+from revmart.llm import queries
+from revmart.llm.common import table
 from revmart.llm.exact_dedup import DigestIndex, dedup_batch, keep_first
 
+SF = "/root/testdata/sf0.001"
+
 
 def _index(spark, tmp_path, name):
     return DigestIndex(spark, str(tmp_path / "index"), f"idx_{name}", buckets=4)
@@ -74,3 +79,33 @@ def test_keep_first_and_empty(spark, tmp_path, make_docs):
     assert len(rows) == len({_norm(t) for _, t in ROWS})
     assert {r.doc_id for r in rows if r.text and r.text.lower() == "abc"} == {2}
     assert dedup_batch(make_docs([]), _index(spark, tmp_path, "g")).collect() == []
+
+
+def test_batches_decide_as_one(spark, tmp_path, make_docs):
+    docs = make_docs(ROWS, extra=True)
+    one, three = (sorted(map(str, dedup_batch(docs, _index(spark, tmp_path / str(n), f"h{n}"), batches=n).collect()))
+                  for n in (1, 3))
+    assert one == three
+    nulls = make_docs([(None, "a"), (None, "A"), (None, "b")])
+    rows = dedup_batch(nulls, _index(spark, tmp_path / "n", "hn"), batches=3).collect()
+    assert sorted(r.kept for r in rows) == [False, True, True]
+
+
+def test_registered_callers_join_a_filled_index(spark, monkeypatch):
+    held, add = [], DigestIndex.add
+
+    def seen(self, candidates):
+        held.append(self.read().count())
+        add(self, candidates)
+
+    monkeypatch.setattr(DigestIndex, "add", seen)
+    docs = table(spark, SF, "documents")
+    best = {}
+    for r in docs.select("doc_id", "text").collect():
+        best[_norm(r.text)] = max(best.get(_norm(r.text), r.doc_id), r.doc_id)
+    kept = {r.doc_id for r in queries.op4_exact_dedup(spark, SF).collect() if r.kept}
+    assert held[0] == 0 < held[1] < held[2]
+    assert kept == set(best.values())
+    held.clear()
+    assert {r.doc_id for r in corpus_pipeline.drop_copies(spark, docs, SF).collect()} == kept
+    assert held[0] == 0 < held[1] < held[2]
