@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revmart.llm import embedding_dedup, exact_dedup, hmm_lm, language_id, mixing, ngram_join, packing, pu_quality, token_files, toxicity
+from revmart.llm import bpe, embedding_dedup, exact_dedup, hmm_lm, language_id, mixing, ngram_join, packing, pu_quality, token_files, toxicity
 from revmart.llm.common import LOWER, UPPER, apply_llm_confs, fold, table
 from revmart.llm.tokens import public_path
 from revmart.session import scratch_path
@@ -65,6 +65,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_path("word_bpe_49k.json"), end_id=1, capacity=4096)
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_path("byte_bpe_50k.json")
+    encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), tokenizer)
+    return bpe.digests(bpe.decode_ids(encoded, tokenizer))
+
+
 def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_llm_confs(spark)
@@ -84,6 +90,7 @@ QUERIES = {fn.__name__: _query(fn) for fn in (
     op8_language_id,
     op9_token_files,
     op10_best_fit_packing,
+    op11_bpe,
 )}
 
 ORACLE = {
