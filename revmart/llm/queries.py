@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revmart.llm import bpe, embedding_dedup, exact_dedup, hmm_lm, language_id, mixing, ngram_join, packing, pu_quality, token_files, toxicity
+from revmart.llm import bpe, embedding_dedup, exact_dedup, hmm_lm, language_id, mixing, ngram_join, packing, periodic_runs, pu_quality, token_files, toxicity
 from revmart.llm.common import LOWER, UPPER, apply_llm_confs, fold, table
 from revmart.llm.tokens import public_path
 from revmart.session import scratch_path
@@ -71,6 +71,11 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode_ids(encoded, tokenizer))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.periodic_runs(docs))
+
+
 def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_llm_confs(spark)
@@ -91,6 +96,7 @@ QUERIES = {fn.__name__: _query(fn) for fn in (
     op9_token_files,
     op10_best_fit_packing,
     op11_bpe,
+    op13_periodic_runs,
 )}
 
 ORACLE = {
