@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revmart.llm import bpe, embedding_dedup, exact_dedup, hmm_lm, language_id, mixing, ngram_join, packing, periodic_runs, pu_quality, token_files, toxicity
+from revmart.llm import bpe, embedding_dedup, exact_dedup, hmm_lm, language_id, mixing, ngram_join, packing, periodic_runs, pu_quality, spelling, token_files, toxicity
 from revmart.llm.common import LOWER, UPPER, apply_llm_confs, fold, table
 from revmart.llm.tokens import public_path
 from revmart.session import scratch_path
@@ -71,6 +71,11 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode_ids(encoded, tokenizer))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.letter_runs(table(spark, sf_dir, "documents"))
+    return spelling.spelling_variants(spelling.frequent_words(runs))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
     return periodic_runs.digests(periodic_runs.periodic_runs(docs))
@@ -96,6 +101,7 @@ QUERIES = {fn.__name__: _query(fn) for fn in (
     op9_token_files,
     op10_best_fit_packing,
     op11_bpe,
+    op12_spelling_variants,
     op13_periodic_runs,
 )}
 
@@ -112,4 +118,5 @@ FROM d JOIN g USING (text_sha256)""",
     "op5_mix_sources": mixing.MIX_SQL.format(docs="documents"),
     "op6_embedding_near_dedup": embedding_dedup.NEAR_SQL,
     "op7_ngram_jaccard_join": ngram_join.JOIN_SQL,
+    "op12_spelling_variants": spelling.VARIANTS_SQL.format(upper=UPPER, lower=LOWER),
 }
