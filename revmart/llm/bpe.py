@@ -46,7 +46,7 @@ _NONE = np.iinfo(np.int32).max
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: White space before a space: such texts cannot be cut at every space.
 _RUN = regex.compile(r"\s ")
-_NON_ASCII = regex.compile(r"[^\x00-\xff]")
+_BEYOND_LATIN_1 = regex.compile(r"[^\x00-\xff]")
 
 
 def byte_alphabet() -> str:
@@ -179,12 +179,15 @@ class BytePairs:
         self.words = regex.compile(WORDS)
         added = sorted(self.table.added, key=len, reverse=True)
         self.added = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
+        self.added_ids = {t: np.array([i], dtype="<u4").tobytes() for t, i in self.table.added.items()}
         self.cache_pieces = cache_pieces
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = dict(self.added_ids)
 
     def cut(self, text: str) -> list[str]:
         """Words of a text without added tokens."""
-        if _NON_ASCII.search(text):
+        if text.isalpha() or text[:1] == " " and text[1:].isalpha():
+            return [text]
+        if not text.isascii() and _BEYOND_LATIN_1.search(text):
             # Characters that newer Unicode versions assigned count as neither letter nor digit.
             strange = {c for c in set(text) if unicodedata.category(c) == "Cn"}
             if strange:
@@ -215,10 +218,11 @@ class BytePairs:
     def _fill(self, pieces: set[str]) -> None:
         new = pieces.difference(self.cache)
         if len(self.cache) + len(new) > self.cache_pieces:
-            self.cache = {p: self.cache[p] for p in pieces if p in self.cache}
+            self.cache = {p: self.cache[p] for p in pieces if p in self.cache} | self.added_ids
         cuts = {p: self.cut(p) for p in new}
         ids = self.merge(set().union(*cuts.values()))
-        self.cache.update((p, b"".join([ids[w] for w in words])) for p, words in cuts.items())
+        for piece, words in cuts.items():
+            self.cache[piece] = ids[words[0]] if len(words) == 1 else b"".join([ids[w] for w in words])
 
     def _pieces(self, text: str) -> list[str]:
         """Pieces that can be encoded one by one: a space behind something else always begins a word."""
@@ -229,18 +233,17 @@ class BytePairs:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian uint32 bytes."""
-        cuts: list[list[str | bytes]] = []
+        cuts: list[list[str]] = []
         for text in texts:
             if text and self.added and self.added.search(text):
-                parts: list[str | bytes] = []
-                for k, part in enumerate(self.added.split(text)):  # every second one is an added token
-                    parts += [np.array([self.table.added[part]], dtype="<u4").tobytes()] if k % 2 else self._pieces(part)
-                cuts.append(parts)
+                # Every second part is an added token; no other piece can be equal to one.
+                cuts.append([p for k, part in enumerate(self.added.split(text))
+                             for p in ([part] if k % 2 else self._pieces(part))])
             else:
                 cuts.append(self._pieces(text) if text else [])
-        self._fill({p for cut in cuts for p in cut if isinstance(p, str)} if self.added else set().union(*cuts))
-        get = self.cache
-        return [b"".join([p if isinstance(p, bytes) else get[p] for p in cut]) for cut in cuts]
+        self._fill(set().union(*cuts))
+        get = self.cache.__getitem__
+        return [b"".join(map(get, cut)) for cut in cuts]
 
     def decode(self, ids: list[int]) -> str:
         table, size = self.table.bytes, self.table.size
@@ -255,33 +258,62 @@ def byte_pairs(path: str) -> BytePairs:
     return BytePairs(path)
 
 
+def _encoded(pairs: BytePairs, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a batch's texts in a row, and where each text's ids begin (and the last ones end)."""
+    blobs = pairs.encode(batch.column("text").to_pylist())
+    return np.frombuffer(b"".join(blobs), dtype="<u4"), np.cumsum([0, *map(len, blobs)]) // 4
+
+
+def _id_lists(ids: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))
+
+
+def _decoded(pairs: BytePairs, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    flat, bounds = ids.tolist(), ends.tolist()
+    return pa.array([pairs.decode(flat[a:b]) for a, b in zip(bounds, bounds[1:])], pa.string())
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+
+
 def encode_texts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, ids (array of int)."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = byte_pairs(tokenizer)
-        for batch in limited(batches, "text", 4_000_000):
-            blobs = pairs.encode(batch.column("text").to_pylist())
-            ends = np.cumsum([0, *map(len, blobs)]) // 4
-            ids = pa.array(np.frombuffer(b"".join(blobs), dtype="<u4").astype(np.int32))
+        for batch in limited(batches, "text", 3_000_000):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)], ["doc_id", "ids"])
+                [batch.column("doc_id"), _id_lists(*_encoded(pairs, batch))], ["doc_id", "ids"])
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        encode, "doc_id long, ids array<int>")
+    return _rows(docs, id_col, text_col).mapInArrow(encode, "doc_id long, ids array<int>")
 
 
 def decode_ids(encoded: DataFrame, tokenizer: str) -> DataFrame:
-    """Per row of (doc_id, ids): doc_id, ids, text."""
+    """Per row of (doc_id, ids; null: none): doc_id, ids, text."""
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = byte_pairs(tokenizer)
         for batch in batches:
-            texts = [pairs.decode(ids or []) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())],
+            lists = batch.column("ids")
+            ids = lists.flatten().to_numpy(zero_copy_only=False)  # leaves null lists out
+            ends = np.concatenate(([0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, _decoded(pairs, ids, ends)],
                                              ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id long, ids array<int>, text string")
 
 
+def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode_ids(encode_texts(docs))`` in one pass over the rows: doc_id, ids, and the text decoded from them."""
+    def there_and_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = byte_pairs(tokenizer)
+        for batch in limited(batches, "text", 3_000_000):
+            ids, ends = _encoded(pairs, batch)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), _id_lists(ids, ends), _decoded(pairs, ids, ends)], ["doc_id", "ids", "text"])
+
+    return _rows(docs, id_col, text_col).mapInArrow(there_and_back, "doc_id long, ids array<int>, text string")
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """doc_id, n_tokens, and SHA-256 of the comma-joined ids and of the decoded text."""
     return decoded.select(

@@ -66,9 +66,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokenizer = public_path("byte_bpe_50k.json")
-    encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), tokenizer)
-    return bpe.digests(bpe.decode_ids(encoded, tokenizer))
+    return bpe.digests(bpe.round_trip(table(spark, sf_dir, "documents"), public_path("byte_bpe_50k.json")))
 
 
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,14 +9,14 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from revmart.llm.bpe import SHORT, BytePairs, RankTable, decode_ids, digests, encode_texts, merge_long, merge_short
+from revmart.llm.bpe import SHORT, BytePairs, RankTable, decode_ids, digests, encode_texts, merge_long, merge_short, round_trip
 from revmart.llm.queries import QUERIES
 from revmart.llm.tokens import public_path
 from tests.conftest import SF_SMALL
 
 PATH = public_path("byte_bpe_50k.json")
 BITS = [" ", "  ", "\n", "\t", "a", "foo", "Bar", "'s", "'", "é", "ß", "1", "23", "!", " ", "́", "Σ", "\x1c",
-        "<|endoftext|>", "<|endo", "漢字", "🙂", "\r\n", "՘", "\U00011de0", "x" * 70, "ab" * 100, "​", "\x85"]
+        "<|endoftext|>", "<|endo", "漢字", "🙂", "\r\n", "՘", "\U00011de0", "x" * 70, "ab" * 100, "​", "\x85", " É", "ª", "ⅷ"]
 
 
 @pytest.fixture(scope="module")
@@ -72,6 +72,9 @@ def test_odd_rows(make_docs, spark, library):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, digests(round_trip(docs, PATH)).collect()), key=str)
+    nulls = spark.createDataFrame([(1, None), (2, [50256, 50300]), (3, [])], "doc_id long, ids array<int>")
+    assert [r["text"] for r in decode_ids(nulls, PATH).collect()] == ["", "<|endoftext|>", ""]
     empty = digests(decode_ids(encode_texts(make_docs([]), PATH), PATH))
     assert empty.count() == 0 and empty.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
