@@ -51,6 +51,21 @@ def latest_version(df: DataFrame, keys: list[str], order: list[SortKey],
     raise ValueError(f"unknown method {method!r}")
 
 
+def order_value(order: list[SortKey], prefix: str = "") -> Column:
+    """A struct that is greater for the row that ``order`` (all descending) puts first.
+
+    Struct comparison is ascending with NULL lowest, so for each key a
+    boolean flag puts the NULLs on the wanted side, then the value follows.
+    ``prefix`` is that of the columns' names.
+    """
+    fields = []
+    for i, key in enumerate(order):
+        value = F.col(prefix + key.column)
+        fields.append((value.isNull() if key.nulls_first else value.isNotNull()).alias(f"n{i}"))
+        fields.append(value.alias(f"v{i}"))
+    return F.struct(*fields)
+
+
 def latest_by_aggregate(df: DataFrame, keys: list[str], order: list[SortKey],
                         *more: Column) -> DataFrame:
     """The aggregate form on its own: also valid as a streaming aggregation, where
@@ -62,17 +77,8 @@ def latest_by_aggregate(df: DataFrame, keys: list[str], order: list[SortKey],
 
 def _latest_by_aggregate(df: DataFrame, keys: list[str], order: list[SortKey],
                          *more: Column) -> DataFrame:
-    """``max_by`` over a struct encoding the order.
-
-    Struct comparison is ascending with NULL lowest, so for each key a
-    boolean flag puts the NULLs on the wanted side, then the value follows.
-    """
-    fields = []
-    for i, key in enumerate(order):
-        is_null = F.col(key.column).isNull()
-        fields.append((is_null if key.nulls_first else ~is_null).alias(f"n{i}"))
-        fields.append(F.col(key.column).alias(f"v{i}"))
+    """``max_by`` over a struct encoding the order."""
     payload = F.struct(*[F.col(c) for c in df.columns if c not in keys])
-    out = df.groupBy(*keys).agg(F.max_by(payload, F.struct(*fields)).alias("__row"), *more)
+    out = df.groupBy(*keys).agg(F.max_by(payload, order_value(order)).alias("__row"), *more)
     kept = [c for c in out.columns if c not in keys and c != "__row"]
     return out.select(*keys, "__row.*", *kept).select(*df.columns, *kept)

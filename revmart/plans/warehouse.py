@@ -20,10 +20,10 @@ from pyspark.sql.types import StructType
 
 from revmart.plans import ingest, marts
 from revmart.plans.fact import (read_fact, read_fact_partitioned, read_report_partitioned,
-                                refresh_fact, refresh_fact_partitioned,
-                                refresh_report_partitioned)
+                                refresh_fact, refresh_report_partitioned)
 from revmart.plans.snapshots import SPECS, run_snapshot
 from revmart.plans.staging import client_snapshot_input, provider_snapshot_input
+from revmart.plans.winners import WinnerTable, merged_up_to, refresh_fact_from_winners
 from revmart.schemas import FACT_SCHEMA, RAW_CLIENTS, RAW_PAYMENTS, RAW_PROVIDERS
 from revmart.sinks.storage import (read_batches, read_current, read_version, version_id,
                                    write_version)
@@ -41,6 +41,7 @@ class Warehouse:
     raw_providers = property(lambda self: self.path("raw", "providers"))
     raw_clients = property(lambda self: self.path("raw", "clients"))
     watermarks = property(lambda self: self.path("raw", "watermark"))
+    winners = property(lambda self: self.path("staging", "winners"))
     provider_history = property(lambda self: self.path("snapshots", "providers"))
     client_history = property(lambda self: self.path("snapshots", "clients"))
     fact = property(lambda self: self.path("marts", "fact_payments"))
@@ -68,8 +69,9 @@ def run_warehouse(spark: SparkSession, wh: Warehouse, payment_source: DataFrame,
                  fact_layout: str = "partitioned", grain: str = "month",
                  retain_versions: int | None = None,
                  tiebreak: list[str] | None = None) -> RunSummary:
-    """``fact_layout``: "partitioned" rewrites only touched date partitions (use
-    ``grain="day"`` at TB scale); "versioned" rewrites the whole fact each run.
+    """``fact_layout``: "partitioned" merges the new raw batches into the winner table and
+    rewrites only touched date partitions (use ``grain="day"`` at TB scale); "versioned"
+    reads the whole raw log and rewrites the whole fact each run.
     ``tiebreak``: extra source columns carried into raw and used as the last
     dedup keys (when the source can hold equal versions of one payment)."""
     raw_schema = RAW_PAYMENTS
@@ -93,13 +95,14 @@ def run_warehouse(spark: SparkSession, wh: Warehouse, payment_source: DataFrame,
     # everything as of this run, also when an older run is run again after a newer one
     ph = read_version(spark, wh.provider_history, version, SPECS["providers"][0])
     ch = read_version(spark, wh.client_history, version, SPECS["clients"][0])
-    raw = read_batches(spark, wh.raw_payments, raw_schema, upto=version)
+    winners = WinnerTable(spark, wh.winners, raw_schema, tiebreak)
     if fact_layout == "partitioned":
-        refresh_fact_partitioned(spark, raw, ph, ch, wh.fact, version, full_refresh=full_refresh,
-                                 tiebreak=tiebreak, grain=grain)
+        refresh_fact_from_winners(spark, wh.raw_payments, winners, ph, ch, wh.fact, version,
+                                  full_refresh=full_refresh, grain=grain)
         # only the report partitions of changed fact partitions
         refresh_report_partitioned(spark, wh.fact, wh.report, version, grain, full=full_refresh)
     else:
+        raw = read_batches(spark, wh.raw_payments, raw_schema, upto=version)
         refresh_fact(spark, raw, ph, ch, wh.fact, version, full_refresh=full_refresh,
                      tiebreak=tiebreak)
         write_version(marts.daily_revenue(read_fact(spark, wh.fact)), wh.report, version)
@@ -107,6 +110,8 @@ def run_warehouse(spark: SparkSession, wh: Warehouse, payment_source: DataFrame,
     write_version(marts.dim_clients(ch), wh.dim_clients, version)
     if retain_versions:
         prune_old(spark, wh, retain_versions)
+        if merged := merged_up_to(spark, winners, wh.fact, before=version):
+            winners.table.prune(keep=merged)  # a re-run of this run still finds its state
     return RunSummary(loaded.rows, loaded.new_mark, version)
 
 

@@ -92,14 +92,16 @@ def committed_batches(spark: SparkSession, root: str) -> list[str]:
 
 
 def read_batches(spark: SparkSession, root: str, schema: StructType,
-                 exclude: str | None = None, upto: str | None = None) -> DataFrame:
+                 exclude: str | None = None, upto: str | None = None,
+                 after: str | None = None) -> DataFrame:
     """All committed batches of an append-only table (uncommitted ones are hidden).
 
     ``exclude`` leaves out one batch (a re-run must not see its own earlier attempt);
-    ``upto`` the batches after that one (a re-run must not see later runs' rows).
+    ``upto`` the batches after that one (a re-run must not see later runs' rows);
+    ``after`` that one and those before it.
     """
     batches = [b for b in committed_batches(spark, root)
-               if b != exclude and (upto is None or b <= upto)]
+               if b != exclude and (upto is None or b <= upto) and (after is None or b > after)]
     if not batches:
         return spark.createDataFrame([], schema)
     paths = [f"{root.rstrip('/')}/batch={b}" for b in batches]
