@@ -194,6 +194,49 @@ FROM stg_payments LEFT JOIN share USING (transaction_id)""",
 }
 
 
+# Rates of every supplier x part and of every customer: the same rules on other keys.
+CTE_LARGE = """
+large_raw AS (
+    SELECT * REPLACE ('SUPP_' || l_suppkey::VARCHAR AS external_provider_id, 'PART_' || l_partkey::VARCHAR AS company_code,
+                      'CUST_' || substr(external_client_id, 6) AS client_id)
+    FROM raw_payments
+),
+large_pairs AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem WHERE (l_suppkey + l_partkey) % 11 <> 0),
+large_provider_marks AS (
+    SELECT 'SUPP_' || s::VARCHAR AS provider_id, 'PART_' || p::VARCHAR AS biller_id,
+           (400 + (7 * s + 3 * p + CASE WHEN (s + p) % 3 = 0 THEN 0 ELSE 5 * e END) % 200)::BIGINT AS units, run_ts
+    FROM large_pairs CROSS JOIN runs WHERE e <> 2 OR (s + p) % 7 <> 0
+),
+large_provider_history AS (
+    SELECT provider_id, biller_id, (min(units) * 0.0001::DECIMAL(5,4))::DECIMAL(5,4) AS commission_rate,
+           'amount' AS commission_type, min(run_ts) AS valid_from,
+           lead(min(run_ts)) OVER (PARTITION BY provider_id, biller_id ORDER BY min(run_ts)) AS valid_to
+    FROM large_provider_marks GROUP BY provider_id, biller_id, units
+),
+large_client_marks AS (
+    SELECT 'CUST_' || c_custkey::VARCHAR AS client_id,
+           (5000 + (137 * c_custkey + CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE 250 * e END) % 2000)::BIGINT AS units, run_ts
+    FROM customer CROSS JOIN runs WHERE c_custkey % 25 <> 24
+),
+large_client_history AS (
+    SELECT client_id, (min(units) * 0.0001::DECIMAL(5,4))::DECIMAL(5,4) AS revenue_share,
+           'revenue_share' AS commission_type, min(run_ts) AS valid_from,
+           lead(min(run_ts)) OVER (PARTITION BY client_id ORDER BY min(run_ts)) AS valid_to
+    FROM large_client_marks GROUP BY client_id, units
+)"""
+LARGE_PIPE = (CTE_SOURCE, CTE_SNAPSHOTS, CTE_LARGE, stg_cte("large_stg", "large_raw"))
+
+ORACLE["scd2_large"] = _with(CTE_SNAPSHOTS, CTE_SOURCE, CTE_LARGE) + "\nSELECT * FROM large_provider_history"
+ORACLE["interval_lookup_large"] = _with(
+    *LARGE_PIPE, lookup_cte("rate", "large_stg", "large_provider_history", PROVIDER_KEYS, "commission_rate"),
+    lookup_cte("share", "large_stg", "large_client_history", CLIENT_KEYS, "revenue_share")) + """
+SELECT transaction_id, transaction_timestamp, provider_id, company_code AS biller_id, client_id, commission_rate,
+       revenue_share
+FROM large_stg LEFT JOIN rate USING (transaction_id) LEFT JOIN share USING (transaction_id)"""
+ORACLE["payments_enriched_large"] = _with(
+    *LARGE_PIPE, enriched_cte("large_stg", "large_enriched", "large_provider_history", "large_client_history")) + """
+SELECT * FROM large_enriched"""
+
 # ---- extract-load ----------------------------------------------------------
 
 SOURCE_COLS = ("transaction_id, created_at, updated_at, status, amount, \"type\", company_code, "
@@ -266,6 +309,31 @@ SELECT * FROM fact_first f WHERE NOT EXISTS (SELECT 1 FROM delta d WHERE d.trans
 UNION ALL
 SELECT * FROM delta"""
 
+# Three runs; a run's delta is the winners of all raw rows so far that were loaded after the fact's newest row.
+def _hot_run(k: int, upto: str) -> tuple[str, ...]:
+    previous = f"hot_fact{k - 1}" if k > 1 else "(SELECT * FROM enriched WHERE false)"
+    return (f"""
+hot_raw{k} AS (SELECT * FROM hot_raw WHERE {upto})""",
+            stg_cte(f"hot_stg{k}", f"hot_raw{k}").replace("coalesce(r.l_partkey, -1))", "coalesce(r.l_partkey, -1), r.l_orderkey)"),
+            enriched_cte(f"hot_stg{k}", f"hot_enriched{k}"), f"""
+hot_delta{k} AS (
+    SELECT * FROM hot_enriched{k}
+    WHERE loaded_at > (SELECT coalesce(max(loaded_at), TIMESTAMP '1970-01-01 00:00:00') FROM {previous})
+),
+hot_fact{k} AS (
+    SELECT * FROM {previous} WHERE transaction_id NOT IN (SELECT transaction_id FROM hot_delta{k})
+    UNION ALL SELECT * FROM hot_delta{k}
+)""")
+
+
+ORACLE["fact_incremental_hot_payment"] = _with(*PIPE, enriched_cte(), """
+hot_raw AS (
+    SELECT * REPLACE (CASE WHEN l_partkey % 3 = 0 THEN 'hot' ELSE transaction_id END AS transaction_id),
+           transaction_id::BIGINT AS l_orderkey
+    FROM raw_payments
+)""", *_hot_run(1, "loaded_at <= TIMESTAMP '1998-01-01 00:00:00'"), *_hot_run(2, "loaded_at <= TIMESTAMP '1999-06-01 00:00:00'"),
+    *_hot_run(3, "true")) + f"\nSELECT {FACT_COLS} FROM hot_fact3"
+
 # ---- OLTP-side writes ----------------------------------------------------------
 
 OLTP_FIELDS = ", ".join(f"w.{c.strip()} AS {c.strip()}" for c in SOURCE_COLS.split(","))

@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revmart.functions.columns import ts_lit
-from revmart.operators.scd2 import history_from_snapshots, scd2_step
-from revmart.sinks.storage import read_current, version_id, write_version
+from revmart.functions.columns import null_safe_differs, ts_lit
+from revmart.operators.scd2 import guard_unique, history_from_snapshots, scd2_step
+from revmart.sinks.keyed import KeyedTable
+from revmart.sinks.storage import (append_batch, committed_batches, read_batches, read_current, version_id,
+                                   write_version)
 
 PROVIDER_KEYS = ["provider_id", "biller_id"]
 PROVIDER_CHECK = ["commission_rate", "commission_type"]
@@ -81,3 +83,64 @@ def rebuild(snapshots: DataFrame, kind: str) -> DataFrame:
     data_cols = [f.name for f in schema.fields if f.name not in ("valid_from", "valid_to")]
     hist = history_from_snapshots(snapshots.select(*data_cols, "run_ts"), keys, check)
     return hist.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
+class HistoryTable:
+    """An SCD2 history whose closed rows are written once.
+
+        <root>/open/                    the open row of each key, a keyed table (sinks/keyed.py)
+        <root>/closed/batch=<version>/  the rows that the run closed; never written again
+
+    A run joins the snapshot to the open rows, which lie bucketed by the key,
+    and writes the keys that are new or changed, each with the row that it
+    closes. The closed rows are then taken from that write. Both together give
+    the rules of ``scd2_step``; a version counts where both are committed.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, kind: str, **options) -> None:
+        self.spark, self.kind, self.closed_root = spark, kind, f"{root.rstrip('/')}/closed"
+        self.schema, self.keys, self.check = SPECS[kind]
+        self.data = [f.name for f in self.schema.fields if f.name not in ("valid_from", "valid_to")]
+        open_fields = [f for f in self.schema.fields if f.name != "valid_to"]
+        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in self.schema.fields])
+        self.open = KeyedTable(spark, f"{root.rstrip('/')}/open",
+                               T.StructType([*open_fields, T.StructField("closes", nullable)]), self.keys, **options)
+
+    def complete(self, before: str | None = None, upto: str | None = None) -> str | None:
+        """The newest version that holds in both parts."""
+        both = self.open.versions() & set(committed_batches(self.spark, self.closed_root))
+        return max((v for v in both if (before is None or v < before) and (upto is None or v <= upto)), default=None)
+
+    def read(self, upto: str | None = None) -> DataFrame:
+        """The whole history as of the newest complete version (up to ``upto``)."""
+        version = self.complete(upto=upto)
+        if version is None:
+            return self.spark.createDataFrame([], self.schema)
+        open_rows = self.open.read(version, [*self.data, "valid_from"]).withColumn(
+            "valid_to", F.lit(None).cast(self.schema["valid_to"].dataType))
+        closed = read_batches(self.spark, self.closed_root, self.schema, upto=version)
+        return open_rows.select(*self.schema.fieldNames()).unionByName(closed)
+
+    def step(self, incoming: DataFrame, run_ts: str) -> str:
+        """One snapshot run; returns its version."""
+        version = version_id(run_ts)
+        after = self.complete(before=version)
+        incoming = guard_unique(incoming.select(*self.data), self.keys, "scd2 incoming snapshot")
+        closes = self.open.schema["closes"].dataType
+        if after is None:
+            self.open.create(incoming.select("*", ts_lit(run_ts).alias("valid_from"), F.lit(None).cast(closes).alias("closes")),
+                             version, at_most=incoming.count())
+        else:
+            old = self.open.read(after, [*self.data, "valid_from"])
+            old = old.select(*[F.col(c).alias(f"old_{c}") for c in old.columns], F.lit(True).alias("known"))
+            joined = incoming.join(old, [F.col(k) == F.col(f"old_{k}") for k in self.keys], "left")
+            differs = null_safe_differs([F.col(f"old_{c}") for c in self.check], [F.col(c) for c in self.check])
+            old_row = F.struct(*[F.col(f"old_{c}").alias(c) for c in (*self.data, "valid_from")],
+                               ts_lit(run_ts).alias("valid_to"))
+            moved = joined.where(F.col("known").isNull() | differs).select(
+                *self.data, ts_lit(run_ts).alias("valid_from"), F.when(F.col("known"), old_row).cast(closes).alias("closes"))
+            self.open.put(moved, version, after)
+        closed = self.open.changes(version).where("closes is not null").select("closes.*")
+        append_batch(closed, self.closed_root, version)
+        self.open.fold(version)
+        return version

@@ -28,6 +28,8 @@ INGEST_RUNS = ["1998-07-01 00:00:00", "2010-01-01 00:00:00"]
 EVENT_INGEST_RUNS = ["2024-01-15 00:00:00", "2024-03-01 00:00:00"]
 FACT_FIRST_LOAD_BEFORE = "1998-01-01 00:00:00"
 INSERT_EXISTING_BEFORE = "1998-01-01 00:00:00"
+HOT_PAYMENT = "hot"
+HOT_RUNS = ["1998-01-01 00:00:00", "1999-06-01 00:00:00", "2010-01-01 00:00:00"]
 TOPK_N = 100
 TOPK_RUN_TS = "2010-01-01 00:00:00"
 
@@ -104,6 +106,44 @@ def q_payments_enriched(spark, sf_dir):
     return _enriched(spark, sf_dir)
 
 
+def _large_histories(spark, sf_dir):
+    """Both large histories, run by run: closed rows appended, open rows in key buckets."""
+    out = []
+    for kind, snaps in (("providers", fx.large_provider_snapshots(spark, sf_dir)),
+                        ("clients", fx.large_client_snapshots(spark, sf_dir))):
+        history = snapshots.HistoryTable(spark, scratch_path(spark, f"history_{kind}"), kind)
+        for run in fx.SNAPSHOT_RUNS:
+            history.step(snaps.where(F.col("run_ts") == ts_lit(run)), run)
+        out.append(history.read())
+    return out
+
+
+def _stored_stg(spark, sf_dir) -> DataFrame:
+    """The deduplicated payments with the large rate keys, as a stored table."""
+    rows = staging.stg_payments(fx.large_payments(spark, sf_dir), tiebreak=fx.TIEBREAK)
+    root = layer_table(scratch_path(spark, "large"), "staging", "payments")
+    write_version(rows, root, version_id(INGEST_RUNS[1]))
+    return read_current(spark, root, rows.schema)
+
+
+def q_scd2_large(spark, sf_dir):
+    """History of the rates of every supplier and part, one row per version."""
+    return _large_histories(spark, sf_dir)[0]
+
+
+def q_interval_lookup_large(spark, sf_dir):
+    """Rates by supplier and part, and shares by customer, at each payment's time: as-of merges, no broadcast."""
+    providers, clients = _large_histories(spark, sf_dir)
+    stg = _stored_stg(spark, sf_dir)
+    out = enrich.lookup_share(enrich.lookup_commission(stg, providers, large=True), clients, large=True)
+    return out.select("transaction_id", "transaction_timestamp", "provider_id",
+                      F.col("company_code").alias("biller_id"), "client_id", "commission_rate", "revenue_share")
+
+
+def q_payments_enriched_large(spark, sf_dir):
+    return enrich.enrich_payments(_stored_stg(spark, sf_dir), *_large_histories(spark, sf_dir), large=True)
+
+
 def q_daily_revenue(spark, sf_dir):
     return marts.daily_revenue(marts.fact_rows(_enriched(spark, sf_dir)))
 
@@ -173,6 +213,29 @@ def q_daily_revenue_after_missed_report(spark, sf_dir):
     return fact.read_report_partitioned(spark, report_root)
 
 
+def _hot_payments(spark, sf_dir) -> DataFrame:
+    """The raw log where every third row is a version of one payment (``l_orderkey`` breaks its ties)."""
+    raw = fx.raw_payments(spark, sf_dir).withColumn("l_orderkey", F.col("transaction_id").cast("long"))
+    return raw.withColumn("transaction_id", F.when(F.col("l_partkey") % 3 == 0, F.lit(HOT_PAYMENT))
+                          .otherwise(F.col("transaction_id")))
+
+
+def q_fact_incremental_hot_payment(spark, sf_dir):
+    """Three runs over a raw log of three batches, kept by the winner table; one payment has a third of all rows."""
+    from revmart.plans.winners import WinnerTable, refresh_fact_from_winners
+    from revmart.schemas import FACT_SCHEMA
+    from revmart.sinks.storage import append_batch
+    base = scratch_path(spark, "fact_hot")
+    raw_root, fact_root = layer_table(base, "raw", "payments"), layer_table(base, "marts", "fact_payments")
+    raw = _hot_payments(spark, sf_dir)
+    winners = WinnerTable(spark, layer_table(base, "staging", "winners"), raw.schema, [*fx.TIEBREAK, "l_orderkey"])
+    ph, ch = _provider_history(spark, sf_dir), _client_history(spark, sf_dir)
+    for run_ts in HOT_RUNS:
+        append_batch(_landed(raw, "loaded_at", run_ts, HOT_RUNS), raw_root, version_id(run_ts))
+        refresh_fact_from_winners(spark, raw_root, winners, ph, ch, fact_root, version_id(run_ts))
+    return fact.read_fact_partitioned(spark, fact_root, FACT_SCHEMA)
+
+
 def q_fact_upsert_null_partition(spark, sf_dir):
     """Payments stored by month, one client's without one (NULL partition); the confirmed are upserted."""
     from revmart.sinks.partitioned import overwrite_partitioned, read_partitioned, upsert_partitioned
@@ -419,12 +482,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interval_lookup_providers": q_interval_lookup_providers,
     "interval_lookup_clients": q_interval_lookup_clients,
     "payments_enriched": q_payments_enriched,
+    "scd2_large": q_scd2_large,
+    "interval_lookup_large": q_interval_lookup_large,
+    "payments_enriched_large": q_payments_enriched_large,
     "fact_full": q_fact_full,
     "fact_incremental_upsert": q_fact_incremental_upsert,
     "fact_incremental_partitioned": q_fact_incremental_partitioned,
     "daily_revenue": q_daily_revenue,
     "daily_revenue_incremental": q_daily_revenue_incremental,
     "daily_revenue_after_missed_report": q_daily_revenue_after_missed_report,
+    "fact_incremental_hot_payment": q_fact_incremental_hot_payment,
     "fact_upsert_null_partition": q_fact_upsert_null_partition,
     "warehouse_daily_revenue": q_warehouse_daily_revenue,
     "insert_if_absent": q_insert_if_absent,

@@ -134,3 +134,39 @@ def provider_source(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
 def client_source(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
     snaps = client_snapshots(spark, sf_dir).where(F.col("run_ts") == ts_lit(SNAPSHOT_RUNS[run]))
     return snaps.select("client_id", "revenue_share", "commission_type")
+
+
+# ---- rates of every supplier x part and of every customer: they grow with the tables ----------
+
+def large_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log with the rate keys supplier, part and customer."""
+    return raw_payments(spark, sf_dir).withColumns({
+        "external_provider_id": F.concat(F.lit("SUPP_"), F.col("l_suppkey").cast("string")),
+        "company_code": F.concat(F.lit("PART_"), F.col("l_partkey").cast("string")),
+        "client_id": F.replace(F.col("external_client_id"), F.lit("USER_"), F.lit("CUST_"))})
+
+
+def large_provider_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rate for each supplier and part that occur together, by the rule of ``provider_snapshots``."""
+    pairs = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").distinct()
+    key = F.col("l_suppkey") + F.col("l_partkey")
+    runs = pairs.where(key % 11 != 0).select("*", _snapshot_runs().alias("s")).select("*", "s.*")
+    runs = runs.where(~((F.col("e") == 2) & (key % 7 == 0)))
+    e_eff = F.when(key % 3 == 0, F.lit(0)).otherwise(F.col("e"))
+    units = F.lit(400) + (F.lit(7) * F.col("l_suppkey") + F.lit(3) * F.col("l_partkey") + F.lit(5) * e_eff) % 200
+    return runs.select(
+        F.concat(F.lit("SUPP_"), F.col("l_suppkey").cast("string")).alias("provider_id"),
+        F.concat(F.lit("PART_"), F.col("l_partkey").cast("string")).alias("biller_id"),
+        rate_from_units(units).alias("commission_rate"), F.lit("amount").alias("commission_type"), "run_ts")
+
+
+def large_client_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A share for each customer (but every 25th), by the rule of ``client_snapshots``."""
+    n = F.col("c_custkey")
+    runs = (read_table(spark, sf_dir, "customer").select("c_custkey").where(n % 25 != OMITTED_NATION)
+            .select("c_custkey", _snapshot_runs().alias("s")).select("c_custkey", "s.*"))
+    e_eff = F.when(n % 3 == 0, F.lit(0)).otherwise(F.col("e"))
+    units = F.lit(5000) + (F.lit(137) * n + F.lit(250) * e_eff) % 2000
+    return runs.select(
+        F.concat(F.lit("CUST_"), n.cast("string")).alias("client_id"),
+        rate_from_units(units).alias("revenue_share"), F.lit("revenue_share").alias("commission_type"), "run_ts")
