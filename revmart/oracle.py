@@ -326,13 +326,15 @@ hot_fact{k} AS (
 )""")
 
 
-ORACLE["fact_incremental_hot_payment"] = _with(*PIPE, enriched_cte(), """
+HOT_PIPE = _with(*PIPE, enriched_cte(), """
 hot_raw AS (
     SELECT * REPLACE (CASE WHEN l_partkey % 3 = 0 THEN 'hot' ELSE transaction_id END AS transaction_id),
            transaction_id::BIGINT AS l_orderkey
     FROM raw_payments
 )""", *_hot_run(1, "loaded_at <= TIMESTAMP '1998-01-01 00:00:00'"), *_hot_run(2, "loaded_at <= TIMESTAMP '1999-06-01 00:00:00'"),
-    *_hot_run(3, "true")) + f"\nSELECT {FACT_COLS} FROM hot_fact3"
+    *_hot_run(3, "true"))
+ORACLE["fact_incremental_hot_payment"] = ORACLE["fact_ledger"] = HOT_PIPE + f"\nSELECT {FACT_COLS} FROM hot_fact3"
+ORACLE["daily_revenue_retraction"] = HOT_PIPE + report_select("hot_fact3")
 
 # ---- OLTP-side writes ----------------------------------------------------------
 

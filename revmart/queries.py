@@ -236,6 +236,30 @@ def q_fact_incremental_hot_payment(spark, sf_dir):
     return fact.read_fact_partitioned(spark, fact_root, FACT_SCHEMA)
 
 
+def _ledger_after_runs(spark, sf_dir):
+    from revmart.plans.ledger import PaymentLedger
+    from revmart.sinks.storage import append_batch
+    base = scratch_path(spark, "ledger")
+    raw_root = layer_table(base, "raw", "payments")
+    raw = _hot_payments(spark, sf_dir)
+    ledger = PaymentLedger(spark, layer_table(base, "marts", "ledger"), raw.schema, [*fx.TIEBREAK, "l_orderkey"])
+    ph, ch = _provider_history(spark, sf_dir), _client_history(spark, sf_dir)
+    for run_ts in HOT_RUNS:
+        append_batch(_landed(raw, "loaded_at", run_ts, HOT_RUNS), raw_root, version_id(run_ts))
+        ledger.refresh(raw_root, ph, ch, version_id(run_ts))
+    return ledger
+
+
+def q_daily_revenue_retraction(spark, sf_dir):
+    """The report after three runs of the ledger: replaced fact rows taken off the stored sums, new ones added."""
+    return _ledger_after_runs(spark, sf_dir).read_report()
+
+
+def q_fact_ledger(spark, sf_dir):
+    """The fact kept by key in the same three runs."""
+    return _ledger_after_runs(spark, sf_dir).read_fact()
+
+
 def q_fact_upsert_null_partition(spark, sf_dir):
     """Payments stored by month, one client's without one (NULL partition); the confirmed are upserted."""
     from revmart.sinks.partitioned import overwrite_partitioned, read_partitioned, upsert_partitioned
@@ -492,6 +516,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_revenue_incremental": q_daily_revenue_incremental,
     "daily_revenue_after_missed_report": q_daily_revenue_after_missed_report,
     "fact_incremental_hot_payment": q_fact_incremental_hot_payment,
+    "fact_ledger": q_fact_ledger,
+    "daily_revenue_retraction": q_daily_revenue_retraction,
     "fact_upsert_null_partition": q_fact_upsert_null_partition,
     "warehouse_daily_revenue": q_warehouse_daily_revenue,
     "insert_if_absent": q_insert_if_absent,
