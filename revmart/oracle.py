@@ -259,6 +259,19 @@ EV1, EV2 = "TIMESTAMP '2024-01-15 00:00:00'", "TIMESTAMP '2024-03-01 00:00:00'"
 ORACLE["incremental_extract"] = _with(CTE_SOURCE, CTE_INGEST) + """
 SELECT * FROM run1 UNION ALL SELECT * FROM run2"""
 
+# A pair (id, update) that the first run loaded is not loaded again; late pending rows of the window are.
+ORACLE["incremental_extract_lookback"] = _with(CTE_SOURCE, f"""
+run1 AS (
+    SELECT {SOURCE_COLS}, {RUN1} AS loaded_at FROM source_payments
+    WHERE "type" = 'recarga' AND updated_at > TIMESTAMP '1970-01-01 00:00:00' AND updated_at <= {RUN1}
+      AND NOT (status = 'pending' AND updated_at > TIMESTAMP '1998-05-01 00:00:00')
+)""") + f"""
+SELECT * FROM run1
+UNION ALL
+SELECT {SOURCE_COLS}, {RUN2} AS loaded_at FROM source_payments s
+WHERE "type" = 'recarga' AND updated_at > (SELECT max(updated_at) - INTERVAL 90 DAY FROM run1)
+  AND (transaction_id, updated_at) NOT IN (SELECT (transaction_id, updated_at) FROM run1)"""
+
 ORACLE["next_watermark"] = _with(CTE_SOURCE, CTE_INGEST) + """
 SELECT 'process_payments' AS table_name, max(updated_at) AS last_loaded_at
 FROM (SELECT updated_at FROM run1 UNION ALL SELECT updated_at FROM run2) r"""
@@ -371,6 +384,12 @@ SELECT transaction_id, created_at,
        amount, "type", company_code, external_provider_id, client_id, external_client_id
 FROM oltp"""
 
+ORACLE["topk_update_many"] = ORACLE["topk_update"].replace("LIMIT 100", "LIMIT 1000")
+ORACLE["insert_few_if_absent"] = _with(CTE_SOURCE, CTE_OLTP) + """
+SELECT * REPLACE (CASE WHEN created_at < TIMESTAMP '1998-07-01 00:00:00' THEN amount
+                       ELSE (amount + 1)::DECIMAL(12,2) END AS amount)
+FROM oltp WHERE created_at IS NOT NULL"""
+
 ORACLE["semi_join_topk"] = _with(CTE_SOURCE, CTE_OLTP) + """
 SELECT * FROM oltp WHERE transaction_id IN (SELECT transaction_id FROM chosen)"""
 

@@ -7,6 +7,7 @@ session's shared checkpoint dir.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from revmart.sources import fixtures as fx
 from revmart.sources.tables import layer_table, read_table
 
 # Fixed scenario parameters of the multi-run queries.
+LATE_AFTER = "1998-05-01 00:00:00"
 INGEST_RUNS = ["1998-07-01 00:00:00", "2010-01-01 00:00:00"]
 EVENT_INGEST_RUNS = ["2024-01-15 00:00:00", "2024-03-01 00:00:00"]
 FACT_FIRST_LOAD_BEFORE = "1998-01-01 00:00:00"
@@ -31,6 +33,7 @@ INSERT_EXISTING_BEFORE = "1998-01-01 00:00:00"
 HOT_PAYMENT = "hot"
 HOT_RUNS = ["1998-01-01 00:00:00", "1999-06-01 00:00:00", "2010-01-01 00:00:00"]
 TOPK_N = 100
+TOPK_MANY = 1000
 TOPK_RUN_TS = "2010-01-01 00:00:00"
 
 
@@ -322,6 +325,20 @@ def q_incremental_extract(spark, sf_dir):
     return read_batches(spark, raw_root, RAW_PAYMENTS)
 
 
+def q_incremental_extract_lookback(spark, sf_dir):
+    """Two ingest runs; the second looks back 90 days and loads the pending rows that the first did not see."""
+    base = scratch_path(spark, "ingest_lookback")
+    raw_root, control_root = layer_table(base, "raw", "payments"), layer_table(base, "raw", "watermark")
+    source = fx.source_payments(spark, sf_dir, with_tiebreak=False)
+    late = (F.col("status") == "pending") & (F.col("updated_at") > ts_lit(LATE_AFTER))
+    for run_ts in INGEST_RUNS:
+        visible = _visible(source, "updated_at", run_ts, INGEST_RUNS)
+        ingest.incremental_ingest(spark, visible.where(~late) if run_ts == INGEST_RUNS[0] else visible, raw_root,
+                                  control_root, run_ts, type_filter=ingest.payments_type_filter(),
+                                  lookback=dt.timedelta(days=90))
+    return read_batches(spark, raw_root, RAW_PAYMENTS)
+
+
 def q_next_watermark(spark, sf_dir):
     _, control_root = _two_ingest_runs(spark, sf_dir)
     return read_current(spark, control_root, WATERMARK)
@@ -420,6 +437,23 @@ def q_insert_if_absent(spark, sf_dir):
     return oltp.read_payments(spark, root)
 
 
+def q_insert_few_if_absent(spark, sf_dir):
+    """The table holds the orders before July 1998; what came from June 1998 on, and March 1996 again, is inserted.
+
+    The bitmaps of the months' keys say which months are read to find those that are there.
+    """
+    from revmart.plans import oltp
+    root = layer_table(scratch_path(spark, "oltp"), "source", "payments")
+    table = _oltp_payments(spark, sf_dir)
+    oltp.write_payments(spark, root, table.where(F.col("created_at") < ts_lit("1998-07-01 00:00:00")),
+                        version_id(INSERT_EXISTING_BEFORE))
+    again = (F.col("created_at") >= ts_lit("1996-03-01 00:00:00")) & (F.col("created_at") < ts_lit("1996-04-01 00:00:00"))
+    incoming = table.where((F.col("created_at") >= ts_lit("1998-06-01 00:00:00")) | again).withColumn(
+        "amount", (F.col("amount") + 1).cast("decimal(12,2)"))  # what is kept shows
+    oltp.insert_new_payments(spark, root, incoming, [SortKey("updated_at", descending=False)], TOPK_RUN_TS)
+    return oltp.read_payments(spark, root)
+
+
 def _pending_newest():
     return (F.col("status") == F.lit("pending"),
             [SortKey("created_at"), SortKey("transaction_id")])
@@ -434,6 +468,15 @@ def q_topk_update(spark, sf_dir):
     return oltp.read_payments(spark, root)
 
 
+def q_topk_update_many(spark, sf_dir):
+    """So many that they lie in a dozen months."""
+    from revmart.plans import oltp
+    root = layer_table(scratch_path(spark, "oltp"), "source", "payments")
+    oltp.write_payments(spark, root, _oltp_payments(spark, sf_dir), version_id(INSERT_EXISTING_BEFORE))
+    oltp.confirm_newest_pending(spark, root, TOPK_MANY, TOPK_RUN_TS)
+    return oltp.read_payments(spark, root)
+
+
 def q_semi_join_topk(spark, sf_dir):
     where, order = _pending_newest()
     table = _oltp_payments(spark, sf_dir)
@@ -491,6 +534,7 @@ def q_dq_confirmation_rate_range(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_extract": q_incremental_extract,
+    "incremental_extract_lookback": q_incremental_extract_lookback,
     "next_watermark": q_next_watermark,
     "events_incremental_extract": q_events_incremental_extract,
     "stream_ingest": q_stream_ingest,
@@ -521,7 +565,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_upsert_null_partition": q_fact_upsert_null_partition,
     "warehouse_daily_revenue": q_warehouse_daily_revenue,
     "insert_if_absent": q_insert_if_absent,
+    "insert_few_if_absent": q_insert_few_if_absent,
     "topk_update": q_topk_update,
+    "topk_update_many": q_topk_update_many,
     "semi_join_topk": q_semi_join_topk,
     "dq_unique": q_dq_unique,
     "dq_not_null": q_dq_not_null,

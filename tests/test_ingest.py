@@ -1,6 +1,6 @@
 import datetime as dt
 
-from revmart.plans.ingest import incremental_ingest, payments_type_filter, read_watermark
+from revmart.plans.ingest import incremental_ingest, payments_type_filter, read_watermark, read_window
 from revmart.plans.staging import stg_payments
 from revmart.schemas import RAW_PAYMENTS, SOURCE_PAYMENTS
 from revmart.session import scratch_path
@@ -77,3 +77,32 @@ def test_rerun_of_the_same_run_is_idempotent(spark):
                                type_filter=payments_type_filter(), lookback=dt.timedelta(days=30))
         assert r.rows == 2 and r.previous_mark == dt.datetime(1970, 1, 1)
     assert read_batches(spark, raw, RAW_PAYMENTS).count() == 2
+
+
+def _scanned_rows(df):
+    """Rows that the scans of an executed plan gave out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves, n = plan.collectLeaves(), 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        metric = leaf.metrics().get("numOutputRows")
+        n += metric.get().value() if metric.isDefined() else 0
+    return n
+
+
+def test_raw_files_hold_ranges_of_the_mark(spark):
+    raw, marks = _paths(spark)
+    days = [dt.datetime(2025, 1, 1) + dt.timedelta(days=i * 37 % 400) for i in range(400)]  # in no order
+    src = _src(spark, [(f"t{i}", str(d), "pending", "recarga") for i, d in enumerate(days)]).repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        loaded = incremental_ingest(spark, src, raw, marks, "2026-06-01 00:00:00", type_filter=payments_type_filter())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert loaded.rows == 400 and loaded.new_mark == max(days)
+    window = read_window(spark, raw, RAW_PAYMENTS, "updated_at", dt.datetime(2026, 1, 20))
+    assert window.columns == RAW_PAYMENTS.fieldNames() == read_batches(spark, raw, RAW_PAYMENTS).columns
+    assert window.count() == sum(d > dt.datetime(2026, 1, 20) for d in days) == 15
+    # what the lookback's anti join reads of the log: the files that its window touches
+    assert 15 <= _scanned_rows(window) < 200
