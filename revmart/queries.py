@@ -416,7 +416,7 @@ def q_stream_latest_event_per_user(spark, sf_dir):
         _landed(events, "ts", run_ts, EVENT_INGEST_RUNS).write.mode("append").parquet(landing)
         run_latest_stream(spark, landing, events.schema, ["user_id"],
                           [SortKey("ts"), SortKey("event_id")], table_root, f"{base}/_checkpoint")
-    return read_latest(spark, table_root, events.schema)
+    return read_latest(spark, table_root, events.schema, ["user_id"])
 
 
 # ---- OLTP-side writes -----------------------------------------------------

@@ -47,7 +47,8 @@ def _commits(spark: SparkSession, root: str) -> set[str]:
 
 
 def is_committed(spark: SparkSession, root: str, version: str) -> bool:
-    return version in _commits(spark, root)
+    fs, path, _ = _fs(spark, f"{root}/{COMMITS}/{version}")
+    return fs.exists(path)
 
 
 def folder_value(spark: SparkSession, value) -> str:

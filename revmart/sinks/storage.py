@@ -91,6 +91,12 @@ def committed_batches(spark: SparkSession, root: str) -> list[str]:
     return sorted(m.getPath().getParent().getName().split("=", 1)[1] for m in marks or [])
 
 
+def is_batch_committed(spark: SparkSession, root: str, batch_id: str) -> bool:
+    """Whether one batch is committed; no listing."""
+    fs, path, _ = _fs(spark, f"{root.rstrip('/')}/batch={batch_id}/_SUCCESS")
+    return fs.exists(path)
+
+
 def read_batches(spark: SparkSession, root: str, schema: StructType,
                  exclude: str | None = None, upto: str | None = None,
                  after: str | None = None) -> DataFrame:

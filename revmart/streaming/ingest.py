@@ -1,15 +1,18 @@
-"""Continuous ingest: a landing folder of payment changes -> raw log + fact upsert.
+"""Continuous ingest: a landing folder of payment changes -> raw log -> fact upsert.
 
 The file source's checkpoint (the set of processed files) replaces the
 batch job's high-water mark, so late rows are never skipped. Two streaming
-queries share the source:
-
-1. **raw log**: ``type = recarga`` rows, stamped with ``loaded_at``, are
-   written per micro-batch to folder ``batch=<batch id>``. A batch replayed
-   after its folder was committed (crash before the commit log) is left as
-   the first attempt wrote it, with its stamp; one that was not is written
-   anew. Either way raw holds it once, whichever run replays it.
-2. **latest version + fact**: a streaming aggregation
+queries run one after the other:
+
+1. **raw log**: ``type = recarga`` rows of the landing folder, stamped with
+   ``loaded_at``, are written per micro-batch to folder ``batch=<batch id>``. A
+   batch replayed after its folder was committed (crash before the commit log)
+   is left as the first attempt wrote it, with its stamp; one that was not is
+   written anew. Either way raw holds it once, whichever run replays it.
+2. **latest version + fact**: reads the raw log's files, so a payment has one
+   stamp in raw and in the fact whichever run gets it there. It starts when the
+   first query has ended: all batches are then committed and no file it sees is
+   written again. A streaming aggregation
    ``groupBy(transaction_id).agg(max_by(row, order))`` keeps each payment's
    current winner in the state store (RocksDB), partitioned by key across
    executors, with the dates of all versions seen (NULL too). In update mode each
@@ -33,8 +36,8 @@ from revmart.plans.fact import GRAIN_FORMATS, PART_COL, KEY
 from revmart.plans.marts import fact_rows
 from revmart.plans.staging import payment_order, stg_project
 from revmart.schemas import FACT_SCHEMA, INGESTED_TYPE
-from revmart.sinks.partitioned import is_committed, upsert_partitioned
-from revmart.sinks.storage import append_batch, committed_batches
+from revmart.sinks.partitioned import is_committed, prune_revisions, upsert_partitioned
+from revmart.sinks.storage import _fs, append_batch, is_batch_committed
 
 
 def _id(batch_id: int) -> str:
@@ -50,20 +53,22 @@ def _undated() -> Column:
 def run_stream(spark: SparkSession, landing_dir: str, landing_schema: StructType, raw_root: str,
                fact_root: str, checkpoint_dir: str, run_ts: str, provider_history: DataFrame,
                client_history: DataFrame, tiebreak: list[str] | None = None,
-               max_files_per_trigger: int | None = None, grain: str = "month") -> int:
+               max_files_per_trigger: int | None = None, grain: str = "month", prune: bool = False) -> int:
     """Process everything that landed since the last run (``availableNow``).
 
-    Returns the number of micro-batches that changed the fact.
+    ``prune`` deletes the fact's superseded revisions afterwards. Returns the
+    number of micro-batches that changed the fact.
     """
     raw_schema = StructType(landing_schema.fields + [StructField("loaded_at", TimestampNTZType())])
-    reader = spark.readStream.schema(landing_schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = (reader.parquet(landing_dir).where(F.col("type") == F.lit(INGESTED_TYPE))
-              .withColumn("loaded_at", ts_lit(run_ts)).select(*raw_schema.fieldNames()))
+
+    def files(schema: StructType, folder: str) -> DataFrame:
+        reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        return reader.parquet(folder)
 
     def append_raw(batch: DataFrame, batch_id: int) -> None:
-        if _id(batch_id) not in committed_batches(spark, raw_root):
+        if not is_batch_committed(spark, raw_root, _id(batch_id)):
             append_batch(batch, raw_root, _id(batch_id))
 
     changed = []
@@ -82,20 +87,19 @@ def run_stream(spark: SparkSession, landing_dir: str, landing_schema: StructType
             changed.append(batch_id)
         winners.unpersist()
 
-    raw_query = (stream.writeStream.foreachBatch(append_raw)
-                 .option("checkpointLocation", f"{checkpoint_dir}/raw")
-                 .trigger(availableNow=True).start())
+    landed = (files(landing_schema, landing_dir).where(F.col("type") == F.lit(INGESTED_TYPE))
+              .withColumn("loaded_at", ts_lit(run_ts)).select(*raw_schema.fieldNames()))
+    (landed.writeStream.foreachBatch(append_raw).option("checkpointLocation", f"{checkpoint_dir}/raw")
+     .trigger(availableNow=True).start().awaitTermination())
+    fs, path, _ = _fs(spark, raw_root)
+    fs.mkdirs(path)  # where nothing has landed yet
     # a payment's dates: one, or a few where its date moved
     dates = F.collect_set(F.coalesce(F.to_date("created_at"), _undated()))
-    winners = latest_by_aggregate(stream, ["transaction_id"], payment_order(tiebreak), dates.alias("dates"))
-    fact_query = (winners.writeStream.outputMode("update").foreachBatch(upsert_fact)
-                  .option("checkpointLocation", f"{checkpoint_dir}/fact")
-                  .trigger(availableNow=True).start())
-    try:
-        raw_query.awaitTermination()
-        fact_query.awaitTermination()
-    finally:  # if one fails the other does not run on unattended
-        for query in (raw_query, fact_query):
-            if query.isActive:
-                query.stop()
+    winners = latest_by_aggregate(files(raw_schema, raw_root), ["transaction_id"], payment_order(tiebreak),
+                                  dates.alias("dates"))
+    (winners.writeStream.outputMode("update").foreachBatch(upsert_fact)
+     .option("checkpointLocation", f"{checkpoint_dir}/fact")
+     .trigger(availableNow=True).start().awaitTermination())
+    if prune:
+        prune_revisions(spark, fact_root, PART_COL)
     return len(changed)
