@@ -1,7 +1,8 @@
 """One run of the whole warehouse, in dependency order.
 
 1. extract-load: rate dimensions (full refresh) and payments (incremental);
-2. snapshots: SCD2 step of both dimensions, committed as new versions;
+2. snapshots: SCD2 step of both dimensions; closed rows are appended, of the open ones
+   those that moved are written;
 3. models: fact (incremental upsert, or full refresh), daily report and
    current dimensions (rebuilt), each committed as a new version.
 
@@ -21,7 +22,7 @@ from pyspark.sql.types import StructType
 from revmart.plans import ingest, marts
 from revmart.plans.fact import (read_fact, read_fact_partitioned, read_report_partitioned,
                                 refresh_fact, refresh_report_partitioned)
-from revmart.plans.snapshots import SPECS, run_snapshot
+from revmart.plans.snapshots import HistoryTable
 from revmart.plans.staging import client_snapshot_input, provider_snapshot_input
 from revmart.plans.winners import WinnerTable, merged_up_to, refresh_fact_from_winners
 from revmart.schemas import FACT_SCHEMA, RAW_CLIENTS, RAW_PAYMENTS, RAW_PROVIDERS
@@ -41,6 +42,7 @@ class Warehouse:
     raw_providers = property(lambda self: self.path("raw", "providers"))
     raw_clients = property(lambda self: self.path("raw", "clients"))
     watermarks = property(lambda self: self.path("raw", "watermark"))
+    histories = property(lambda self: {"providers": self.provider_history, "clients": self.client_history})
     winners = property(lambda self: self.path("staging", "winners"))
     provider_history = property(lambda self: self.path("snapshots", "providers"))
     client_history = property(lambda self: self.path("snapshots", "clients"))
@@ -86,15 +88,13 @@ def run_warehouse(spark: SparkSession, wh: Warehouse, payment_source: DataFrame,
                                                 if c != "loaded_at"],
                                        lookback=lookback, raw_schema=raw_schema)
 
-    run_snapshot(spark, wh.provider_history,
-                 provider_snapshot_input(read_version(spark, wh.raw_providers, version, RAW_PROVIDERS)),
-                 run_ts, "providers")
-    run_snapshot(spark, wh.client_history,
-                 client_snapshot_input(read_version(spark, wh.raw_clients, version, RAW_CLIENTS)),
-                 run_ts, "clients")
+    histories = {kind: HistoryTable(spark, root, kind) for kind, root in wh.histories.items()}
+    histories["providers"].step(
+        provider_snapshot_input(read_version(spark, wh.raw_providers, version, RAW_PROVIDERS)), run_ts)
+    histories["clients"].step(
+        client_snapshot_input(read_version(spark, wh.raw_clients, version, RAW_CLIENTS)), run_ts)
     # everything as of this run, also when an older run is run again after a newer one
-    ph = read_version(spark, wh.provider_history, version, SPECS["providers"][0])
-    ch = read_version(spark, wh.client_history, version, SPECS["clients"][0])
+    ph, ch = histories["providers"].read(upto=version), histories["clients"].read(upto=version)
     winners = WinnerTable(spark, wh.winners, raw_schema, tiebreak)
     if fact_layout == "partitioned":
         refresh_fact_from_winners(spark, wh.raw_payments, winners, ph, ch, wh.fact, version,
@@ -112,6 +112,9 @@ def run_warehouse(spark: SparkSession, wh: Warehouse, payment_source: DataFrame,
         prune_old(spark, wh, retain_versions)
         if merged := merged_up_to(spark, winners, wh.fact, before=version):
             winners.table.prune(keep=merged)  # a re-run of this run still finds its state
+        for history in histories.values():
+            if done := history.complete(before=version):
+                history.open.prune(keep=done)
     return RunSummary(loaded.rows, loaded.new_mark, version)
 
 
@@ -120,8 +123,8 @@ def prune_old(spark: SparkSession, wh: Warehouse, keep: int) -> None:
     from revmart.sinks.partitioned import prune_revisions
     from revmart.sinks.storage import prune_versions
     from revmart.plans.fact import PART_COL, REPORT_PART_COL
-    for root in (wh.raw_providers, wh.raw_clients, wh.watermarks, wh.provider_history,
-                 wh.client_history, wh.dim_providers, wh.dim_clients, f"{wh.fact}/_mark"):
+    for root in (wh.raw_providers, wh.raw_clients, wh.watermarks, wh.dim_providers, wh.dim_clients,
+                 f"{wh.fact}/_mark"):
         prune_versions(spark, root, keep)
     prune_revisions(spark, wh.fact, PART_COL)
     prune_revisions(spark, wh.report, REPORT_PART_COL)
@@ -142,8 +145,7 @@ def check_warehouse(spark: SparkSession, wh: Warehouse,
     return union_all([
         checks.not_null_suite(tables), checks.accepted_values_suite(tables), checks.unique_suite(tables),
         checks.length_suite(raw), checks.report_range_suite(report),
-        checks.scd2_suite(read_current(spark, wh.provider_history, SPECS["providers"][0]),
-                          read_current(spark, wh.client_history, SPECS["clients"][0]))])
+        checks.scd2_suite(*[HistoryTable(spark, root, kind).read() for kind, root in wh.histories.items()])])
 
 
 def read_warehouse_fact(spark: SparkSession, wh: Warehouse, fact_layout: str = "partitioned"):
