@@ -77,6 +77,12 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split() if text else []
 
 
+def neutral_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns named c0, c1, ..., which meet no name used inside an operator; and old name -> new."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write to a fresh folder in the cluster-shared dir and read it back (cuts the lineage)."""
     spark = df.sparkSession

@@ -4,21 +4,27 @@ A text is cut into windows of ``WINDOW`` words, each beginning ``STRIDE``
 words after the one before, through to its end. A text's score is the
 calibrated logit of its most toxic window.
 
-The network (gru.py) is fitted on the driver on a bounded sample of the
-labelled rows: per class the ``SAMPLE`` rows of smallest hash, up to
-``SAMPLE_WORDS`` words of each. Labels are of whole texts, so fitting has
+The network (gru.py) is fitted in one task, away from the driver, on a
+bounded sample of the labelled rows: per class the ``SAMPLE`` rows of smallest
+hash. A label is of a whole text, so a toxic text is taken whole, and one of
+more than ``SAMPLE_WORDS`` words is no row of the sample: a part of it may
+not hold what made it toxic. Every part of a clean text is clean; of a longer
+one ``SAMPLE_WORDS`` words are taken as windows from all over it. Fitting has
 rounds: at first windows of toxic texts all count as toxic; later the ones
 the network finds most toxic, against the clean texts' most toxic and random
 windows. Scoring covers all rows and whole texts.
 
 Defined results: a null text or one without words scores 0; without both
 labels everything scores 0; repeated rows are scored each; an empty table
-gives no rows; other columns are not read.
+gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from concurrent.futures import ProcessPoolExecutor
+from multiprocessing import get_context
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +33,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.llm import gru
-from revmart.llm.common import bounded_sample, limited
+from revmart.llm.common import bounded_sample, limited, neutral_names
 
 WINDOW, STRIDE = 32, 16
-SAMPLE, SAMPLE_WORDS = {1: 800, 0: 1400}, 1000
+SAMPLE, SAMPLE_WORDS = {1: 800, 0: 1400}, 1024
 
 
 def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,39 +165,60 @@ def calibrate(logit: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return a / spread, b - a * mean / spread
 
 
+def spread(words: list[str], limit: int = SAMPLE_WORDS) -> list[str]:
+    """At most ``limit`` words, as windows that begin at equal distances from the first word to the last."""
+    if len(words) <= limit:
+        return words
+    count = limit // WINDOW
+    starts = [k * (len(words) - WINDOW) // max(1, count - 1) for k in range(count)]
+    return [w for a in starts for w in words[a:a + WINDOW]]
+
+
+def _fit_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fits on all rows of (id, label, text); one row with the model, none without both labels."""
+    rows = sorted((label, doc, text) for b in batches for label, doc, text in zip(
+        b.column("label").to_pylist(), b.column("id").to_pylist(), b.column("text").to_pylist()))
+    same: dict[str, str] = {}  # one object for all occurrences of a word
+    texts = [[same.setdefault(w, w) for w in spread(tokens_of(text))] for _, _, text in rows]
+    labels = np.array([label for label, _, _ in rows])
+    keep = [i for i, t in enumerate(texts) if t]
+    del rows
+    if len(set(labels[keep].tolist())) == 2:
+        # In a process of its own, which gives its memory back: Spark keeps this one for other tasks.
+        with ProcessPoolExecutor(1, mp_context=get_context("fork")) as apart:
+            model = apart.submit(fit, [texts[i] for i in keep], labels[keep]).result()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+
 def learn(labelled: DataFrame) -> tuple[dict[str, np.ndarray], float, float] | None:
     """Fit on (id, text, label); None without both labels."""
-    rows = []
-    for y, n in SAMPLE.items():
-        drawn = bounded_sample(labelled.filter(F.col("label") == y), "id", n, seed=7)
-        rows += drawn.select(F.slice(F.split(F.lower("text"), r"\s+"), 1, SAMPLE_WORDS).alias("words"),
-                             F.lit(y).alias("label")).filter("words IS NOT NULL").collect()
-    texts = [[w for w in r["words"] if w] for r in rows]
-    labels = np.array([r["label"] for r in rows])
-    keep = [i for i, t in enumerate(texts) if t]
-    if len(set(labels[keep].tolist())) < 2:
-        return None
-    return fit([texts[i] for i in keep], labels[keep])
+    n_words = F.size(F.split(F.trim("text"), r"\s+"))
+    drawn = [bounded_sample(labelled.filter(F.col("label") == y).filter(
+        (F.length("text") > 0) & ((n_words <= SAMPLE_WORDS) | F.lit(y == 0))), "id", n, seed=7)
+        for y, n in SAMPLE.items()]
+    sample = drawn[0].unionByName(drawn[1]).select("id", "label", "text")
+    # One task: the sample's bound is also its input's. The driver sees the model, a few MB.
+    rows = sample.repartition(1).mapInArrow(_fit_sample, "model binary").collect()
+    return pickle.loads(rows[0]["model"]) if rows else None
 
 
 def score_rows(docs: DataFrame, model: tuple[dict[str, np.ndarray], float, float] | None,
-               score_col: str = "score") -> DataFrame:
-    """``docs`` (with text) as it is, and each row's score behind it."""
+               text_col: str = "text") -> DataFrame:
+    """``docs`` as it is, and each row's score behind it."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few MB, whatever the input
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value[0]) if shared.value else None
-        for batch in limited(batches, "text", 1_000_000):
+        for batch in limited(batches, text_col, 1_000_000):
             if scorer is None:
                 value = np.zeros(batch.num_rows)
             else:
                 _, slope, intercept = shared.value
-                logit = scorer.text_logits([tokens_of(t) for t in batch.column("text").to_pylist()])
+                logit = scorer.text_logits([tokens_of(t) for t in batch.column(text_col).to_pylist()])
                 value = np.where(np.isfinite(logit), 1 / (1 + np.exp(-np.clip(slope * logit + intercept, -500, 500))), 0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], [*batch.schema.names, score_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], [*batch.schema.names, "score"])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())])
-    return docs.mapInArrow(score, schema)
+    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
 def learn_from(docs: DataFrame, labels: DataFrame,
@@ -212,5 +239,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: fl
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs`` that score under the threshold, their columns as they were."""
-    scored = score_rows(docs, learn_from(docs, labels, held_out), "_toxicity")
-    return scored.filter(F.col("_toxicity") < threshold).select(*docs.columns)
+    rows, names = neutral_names(docs)
+    scored = score_rows(rows, learn_from(docs, labels, held_out), names["text"])
+    return scored.filter(F.col("score") < threshold).select(*names.values()).toDF(*docs.columns)

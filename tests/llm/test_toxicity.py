@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from revmart.llm import gru
 from revmart.llm.common import fold, table
-from revmart.llm.toxicity import STRIDE, WINDOW, Scorer, toxicity, windows
+from revmart.llm.toxicity import STRIDE, WINDOW, Scorer, spread, toxicity, windows
 
 
 def test_gradients_against_differences():
@@ -77,3 +79,64 @@ def test_cases(spark, make_docs):
     assert by[40].score > by[10].score and by[73].score > by[10].score
     assert toxicity(make_docs([]), labels, F.lit(False)).collect() == []
     assert {r.score for r in toxicity(make_docs(rows[:3]), labels.limit(0), F.lit(False)).collect()} == {0.0}
+
+
+def _naive_logit(p, tokens):
+    """One window by the textbook formulas, a position at a time; features by hand."""
+    def embed(token):
+        bare = token.strip(gru.PUNCT) or token
+        word = p["word"][zlib.crc32(bare.encode()) % len(p["word"])]
+        marked, grams = f"^{bare}$", []
+        for a in range(len(marked)):
+            for n in (3, 4, 5):
+                if a + n <= len(marked):
+                    code = 0
+                    for k, c in enumerate(marked[a:a + n], 1):
+                        code = (code * 0x9E3779B97F4A7C15 % 2**64) ^ (ord(c) + k)
+                    grams.append(p["gram"][(code * 0xD6E8FEB86659FD93 % 2**64 >> 33) % len(p["gram"])])
+        return np.concatenate((word, np.mean(grams, axis=0)))
+
+    def states(vectors, W, U, b):
+        k, out = U.shape[0], []
+        h = np.zeros(k)
+        for x in vectors:
+            gx, gh = x @ W + b, h @ U
+            z, r = (1 / (1 + np.exp(-(gx[i * k:(i + 1) * k] + gh[i * k:(i + 1) * k]))) for i in (0, 1))
+            h = (1 - z) * np.tanh(gx[2 * k:] + r * gh[2 * k:]) + z * h
+            out.append(h)
+        return out
+
+    xs = [embed(t) for t in tokens]
+    both = [np.concatenate(s) for s in zip(states(xs, p["Wf"], p["Uf"], p["bf"]),
+                                           states(xs[::-1], p["Wb"], p["Ub"], p["bb"])[::-1])]
+    weight = np.exp([s @ p["att"] for s in both])
+    return sum(w * s for w, s in zip(weight / weight.sum(), both)) @ p["out"] + p["bias"][0]
+
+
+def test_scores_against_a_naive_network():
+    p = gru.init_params(5, words=64, grams=128, d_word=3, d_char=4, hidden=5)
+    rng = np.random.default_rng(5)
+    p = {k: v + rng.normal(0, 0.3, v.shape).astype(np.float32) for k, v in p.items()}
+    words = ["the", "idiot!", "haus.", "ab", "été", "?!", "x", "wonderful"]
+    texts = [[words[i] for i in rng.integers(0, len(words), n)] for n in (1, 2, 31, 32, 33, 90, 0)]
+    got = Scorer(p).text_logits(texts)
+    for t, value in zip(texts, got):
+        spans = [t[a:a + WINDOW] for a in range(0, max(1, len(t) - WINDOW + STRIDE), STRIDE)] if t else []
+        want = max((_naive_logit(p, s) for s in spans), default=-np.inf)
+        assert value == want or value == pytest.approx(want, abs=1e-4)
+
+
+def test_sample_words_come_from_all_over():
+    words = [str(i) for i in range(100_000)]
+    some = spread(words, 320)
+    assert len(some) == 320 and some[0] == "0" and some[-1] == "99999" and len(set(some)) == 320
+    assert spread(words[:300], 320) == words[:300]
+
+
+def test_long_toxic_texts_do_not_teach_their_clean_windows(spark, make_docs):
+    rows = [(i, f"a nice day number {i} in town") for i in range(30)]
+    rows += [(i, f"you idiot number {i} in town") for i in range(30, 60)]
+    rows += [(i, "a nice day in town " * 1000 + "you idiot") for i in range(60, 90)]  # toxic, its first words clean
+    labels = spark.createDataFrame([(i, int(i >= 30)) for i in range(90)], "doc_id long, toxic int")
+    out = {r.doc_id: r for r in toxicity(make_docs(rows), labels, F.lit(False)).collect()}
+    assert max(out[i].score for i in range(30)) < 0.7 <= min(out[i].score for i in range(30, 60))
