@@ -75,13 +75,21 @@ def test_merge_moves_the_changes_not_the_base(spark, pairs):
     name = "spark.sql.autoBroadcastJoinThreshold"
     old = spark.conf.get(name)
     spark.conf.set(name, "-1")
+    def plan(version):
+        stored = table.read(version).select(F.col("k").alias("s"), "v")
+        joined = df([("3", 1)]).alias("c").join(stored, F.col("c.k") == F.col("s"), "left")
+        return joined._jdf.queryExecution().executedPlan().toString()
+
     try:
-        base = table.read("1").select(F.col("k").alias("s"), "v")
-        plan = df([("3", 1)]).alias("c").join(base, F.col("c.k") == F.col("s"), "left")
-        text = plan._jdf.queryExecution().executedPlan().toString()
+        text = plan("1")
+        table.put(df([("3", 1), ("x", 1)]), "2", after="1")
+        table.put(df([("4", 2)]), "3", after="2")
+        layered = plan("3")
     finally:
         spark.conf.set(name, old)
     assert text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text
+    # with changes on top: what comes, and the keys of the changes; neither the base nor the union of the layers
+    assert layered.count("Exchange hashpartitioning") == 2 and "Bucketed: false" not in layered
 
 
 def _run(spark, base, winners, raw, runs, append=True):
