@@ -272,6 +272,12 @@ SELECT {SOURCE_COLS}, {RUN2} AS loaded_at FROM source_payments s
 WHERE "type" = 'recarga' AND updated_at > (SELECT max(updated_at) - INTERVAL 90 DAY FROM run1)
   AND (transaction_id, updated_at) NOT IN (SELECT (transaction_id, updated_at) FROM run1)"""
 
+ORACLE["ingest_row_counts"] = _with(CTE_SOURCE, CTE_INGEST) + """
+SELECT 1 AS run, count(*) AS rows_loaded, TIMESTAMP '1970-01-01 00:00:00' AS previous_mark, max(updated_at) AS new_mark
+FROM run1
+UNION ALL
+SELECT 2, count(*), (SELECT max(updated_at) FROM run1), max(updated_at) FROM run2"""
+
 ORACLE["next_watermark"] = _with(CTE_SOURCE, CTE_INGEST) + """
 SELECT 'process_payments' AS table_name, max(updated_at) AS last_loaded_at
 FROM (SELECT updated_at FROM run1 UNION ALL SELECT updated_at FROM run2) r"""

@@ -313,18 +313,26 @@ def _two_ingest_runs(spark, sf_dir):
     base = scratch_path(spark, "ingest")
     raw_root, control_root = layer_table(base, "raw", "payments"), layer_table(base, "raw", "watermark")
     source = fx.source_payments(spark, sf_dir, with_tiebreak=False)
+    loaded = []
     for run_ts in INGEST_RUNS:
         visible = _visible(source, "updated_at", run_ts, INGEST_RUNS)
-        ingest.incremental_ingest(spark, visible, raw_root, control_root, run_ts,
-                                  type_filter=ingest.payments_type_filter())
-    return raw_root, control_root
+        loaded.append(ingest.incremental_ingest(spark, visible, raw_root, control_root, run_ts,
+                                                type_filter=ingest.payments_type_filter()))
+    return raw_root, control_root, loaded
 
 
 def q_incremental_extract(spark, sf_dir):
-    raw_root, _ = _two_ingest_runs(spark, sf_dir)
+    raw_root, _, _ = _two_ingest_runs(spark, sf_dir)
     return read_batches(spark, raw_root, RAW_PAYMENTS)
 
 
+def q_ingest_row_counts(spark, sf_dir):
+    """What each run says of itself: rows loaded (counted while they are written), the mark before and after."""
+    _, _, loaded = _two_ingest_runs(spark, sf_dir)
+    rows = [(i, r.rows, r.previous_mark, r.new_mark) for i, r in enumerate(loaded, 1)]
+    return spark.createDataFrame(rows, "run int, rows_loaded long, previous_mark timestamp_ntz, new_mark timestamp_ntz")
+
+
 def q_incremental_extract_lookback(spark, sf_dir):
     """Two ingest runs; the second looks back 90 days and loads the pending rows that the first did not see."""
     base = scratch_path(spark, "ingest_lookback")
@@ -340,7 +348,7 @@ def q_incremental_extract_lookback(spark, sf_dir):
 
 
 def q_next_watermark(spark, sf_dir):
-    _, control_root = _two_ingest_runs(spark, sf_dir)
+    _, control_root, _ = _two_ingest_runs(spark, sf_dir)
     return read_current(spark, control_root, WATERMARK)
 
 
@@ -535,6 +543,7 @@ def q_dq_confirmation_rate_range(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_extract": q_incremental_extract,
     "incremental_extract_lookback": q_incremental_extract_lookback,
+    "ingest_row_counts": q_ingest_row_counts,
     "next_watermark": q_next_watermark,
     "events_incremental_extract": q_events_incremental_extract,
     "stream_ingest": q_stream_ingest,
