@@ -85,6 +85,8 @@ class PaymentLedger:
     def refresh(self, raw_root: str, provider_history: DataFrame, client_history: DataFrame, version: str) -> None:
         """Merge the raw batches up to ``version``; then the report's sums; the mark last."""
         after = self.merged_up_to(version)
+        self.table.discard(after, version)  # of unfinished runs
+        self.sums.discard(after, version)
         mark = read_fact_mark(self.spark, self.root, before=version) if after else None
         raw = read_batches(self.spark, raw_root, self.raw_schema, upto=version, after=after)
         won = self._won(latest_version(raw, KEY, self.order), after)

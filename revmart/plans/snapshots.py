@@ -125,6 +125,7 @@ class HistoryTable:
         """One snapshot run; returns its version."""
         version = version_id(run_ts)
         after = self.complete(before=version)
+        self.open.discard(after, version)  # of unfinished runs
         incoming = guard_unique(incoming.select(*self.data), self.keys, "scd2 incoming snapshot")
         closes = self.open.schema["closes"].dataType
         if after is None:

@@ -54,9 +54,11 @@ class WinnerTable:
     def merge(self, raw_root: str, version: str, after: str | None) -> DataFrame:
         """Merge the raw batches up to ``version`` into the winners as of ``after`` (None: all batches, anew).
 
+        Versions between the two are those of unfinished runs and go.
         Returns the winners that changed, as they were written: raw columns, whether one is replaced
         and its ``created_at``.
         """
+        self.table.discard(after, version)
         raw = read_batches(self.spark, raw_root, self.raw_schema, upto=version, after=after)
         best = latest_version(raw, KEY, self.order)
         if after is None:

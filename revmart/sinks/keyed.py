@@ -28,7 +28,7 @@ _FOLDER = re.compile(r"^v=(.+)\.b=(\d+)$")
 
 class KeyedTable:
     def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: list[str],
-                 rows_per_bucket: int = 2_000_000) -> None:
+                 rows_per_bucket: int = 10_000_000) -> None:
         self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, keys
         self.rows_per_bucket = rows_per_bucket
 
@@ -138,6 +138,17 @@ class KeyedTable:
         self._write(rows, "base", version, self._buckets(most))
         return True
 
+    def discard(self, after: str | None, before: str) -> None:
+        """Delete what lies between two versions: a caller knows that those runs were never finished.
+
+        Without it the rows of a half-done run would show through where a later run, which starts from
+        ``after``, does not write their keys.
+        """
+        for kind in ("base", "changes"):
+            for v, b in self._folders(kind).items():
+                if (after is None or v > after) and v < before:
+                    self._delete(kind, v, b)
+
     def prune(self, keep: str) -> int:
         """Delete the folders that no reader as of ``keep`` or later needs; returns how many."""
         base, _ = self._parts(keep)

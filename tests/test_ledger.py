@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql.types import StructField, StructType
 
 from revmart import queries as Q
+from revmart.plans import ledger as ledger_module
 from revmart.plans import marts
 from revmart.plans.ledger import PaymentLedger, signed_rows, sums_of
 from revmart.plans.snapshots import CLIENT_HISTORY, PROVIDER_HISTORY
@@ -89,20 +90,27 @@ def test_only_changed_rows_are_read_and_written(spark, histories):
         "2024-01-01", "2024-01-02", "2024-01-04", "2024-01-05", "None"}
 
 
-def test_unfinished_and_repeated_runs(spark, histories):
+def test_unfinished_and_repeated_runs(spark, histories, monkeypatch):
     base = scratch_path(spark, "ledger-again")
     ledger = PaymentLedger(spark, f"{base}/ledger")
     _append(spark, base, 0)
     ledger.refresh(f"{base}/raw", *histories, "1")
-    _append(spark, base, 1)
-    # run 2 dies after the payments are written: neither sums nor mark
-    rows = ledger.table.read("1").limit(1)
-    ledger.table.put(rows, "2", after="1")
-    assert ledger.merged_up_to("3") == "1"
-    _append(spark, base, 2)
-    for version in ("3", "3", "2", "3"):
+    # Run 2 moves "c" to a group of its own and dies before its mark: payments and sums are written.
+    moved = [*RUNS[1], _row("a", "2024-03-03", "confirmed", "10.00", loaded="2024-02-02 12:00:00")]
+    append_batch(spark.createDataFrame(moved, LOOSE), f"{base}/raw", "2")
+    with monkeypatch.context() as m:
+        m.setattr(ledger_module, "_save_mark", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ledger.refresh(f"{base}/raw", *histories, "2")
+    assert {"2"} < ledger.sums.versions() and ledger.merged_up_to("3") == "1"
+    # Run 3 starts from run 1 and moves it on: nothing of run 2's own group is left.
+    again = [*RUNS[2], _row("a", "2024-04-04", "confirmed", "10.00", loaded="2024-02-03 00:00:00")]
+    append_batch(spark.createDataFrame(again, LOOSE), f"{base}/raw", "3")
+    for version in ("3", "3"):
         ledger.refresh(f"{base}/raw", *histories, version)
-    assert _rows(ledger.read_report()) == _rows(marts.daily_revenue(ledger.read_fact()))
+        assert _rows(ledger.read_report()) == _rows(marts.daily_revenue(ledger.read_fact()))
+    days = {str(r["report_date"]) for r in ledger.read_report().collect()}
+    assert "2024-03-03" not in days and "2024-04-04" in days
     assert ledger.read_fact().count() == 7
 
 
