@@ -7,9 +7,10 @@ block by block over its whole length; the smallest total wins. The
 prediction is marked as rejected when the runner-up is less than ``margin``
 larger (relative to the winner).
 
-The sample is the documented bound: per language the texts of smallest
-seeded hash, ``sample_texts`` of them, ``dict_bytes`` of content, taken in
-equal parts. Everything else covers all rows.
+The sample is the documented bound: per language the ``sample_texts`` texts of
+smallest seeded hash, and ``dict_bytes`` of content. A longer text gives pieces
+from all over it; the dictionary is filled from all the texts, in parts as
+equal as their lengths allow. Everything else covers all rows.
 
 Defined results: a null text or one without a letter is ``und`` with score
 0; with no labelled text at all every row is ``und``; equal sizes go to the
@@ -36,29 +37,58 @@ def letters(text: str) -> bytes:
     return _NOT_LETTERS.sub(" ", text.lower()).encode("utf-8", "replace")
 
 
+def _pieces(text: Column, chars: int, pieces: int = 8) -> Column:
+    """The text, or of a longer one ``pieces`` parts at equal distances, ``chars`` characters in all."""
+    size = chars // pieces
+    n = F.char_length(text)
+    parts = [F.substring(text, (1 + F.floor(k * (n - size) / (pieces - 1))).cast("int"), F.lit(size)) for k in range(pieces)]
+    return F.when(n <= chars, text).otherwise(F.concat_ws(" ", *parts))
+
+
+def _shorter(data: bytes, size: int, pieces: int = 8) -> bytes:
+    """The data, or ``size`` bytes of it in ``pieces`` parts at equal distances."""
+    if len(data) <= size:
+        return data
+    each, last = size // pieces, len(data) - (size - size // pieces * (pieces - 1))
+    return b"".join(data[k * last // (pieces - 1):][:each] for k in range(pieces - 1)) + data[last:]
+
+
+def fill(parts: list[bytes], size: int) -> bytes:
+    """At most ``size`` bytes from all parts: each whole, or shortened to the one length that fills the rest."""
+    left, cut = size - len(parts) + 1, 0  # a line end between the parts
+    for k, n in enumerate(sorted(map(len, parts))):
+        cut = left // (len(parts) - k)  # what each of the parts still to come may have
+        if n > cut:
+            break
+        left -= n
+        cut = n
+    return b"\n".join(_shorter(p, cut) for p in parts)[:size]
+
+
 def learn_dictionaries(labelled: DataFrame, sample_texts: int = 400, dict_bytes: int = 131_072,
                        seed: int = 5) -> dict[str, bytes]:
     """Dictionary content per language, from (id, lang, text).
 
     A threshold on the seeded hash, from the language's row count, leaves some
-    4 * ``sample_texts`` rows of a language in the whole table before they are
-    ranked, so a language with most of the rows does not meet in one task.
-    Each text gives at most an equal part.
+    4 * ``sample_texts`` rows of a language in the whole table, and these are
+    cut, before anything is exchanged: neither whole texts nor the rows of a
+    frequent language meet in a task. The counts, a row per language, are
+    broadcast.
     """
-    part = max(1, 2 * dict_bytes // sample_texts)
+    chars = max(8, 4 * dict_bytes // sample_texts)  # where few texts are long, those give more
     usable = labelled.filter(F.col("lang").isNotNull() & (F.length("text") > 0))
     h = F.xxhash64(F.lit(seed), F.col("id"))
     share = F.least(F.lit(1.0), F.lit(4.0 * sample_texts) / F.col("rows"))
     rows = usable.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("rows"))
-    ranked = (usable.join(rows, F.col("lang") == F.col("_lang"))
+    ranked = (usable.join(F.broadcast(rows), F.col("lang") == F.col("_lang"))
               .filter(h.cast("double") <= share * 2.0**64 - 2.0**63)
-              .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(h, "id")))
-              .filter(F.col("rank") <= sample_texts)
-              .select("lang", "rank", F.substring("text", 1, part).alias("text")))
+              .select("lang", "id", _pieces(F.col("text"), chars).alias("text"))
+              .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(h, "id", "text")))
+              .filter(F.col("rank") <= sample_texts))
     parts: dict[str, list[bytes]] = {}
     for row in ranked.orderBy("lang", F.col("rank").desc()).collect():  # bounded: languages x sample
         parts.setdefault(row["lang"], []).append(letters(row["text"]))
-    return {lang: b"\n".join(p)[-dict_bytes:] for lang, p in parts.items()}
+    return {lang: fill(p, dict_bytes) for lang, p in parts.items()}
 
 
 class CompressionClassifier:
