@@ -2,13 +2,13 @@
 
 Pieces are dealt evenly over leaf nodes of about ``node_pieces``. Each node
 packs its items best-fit decreasing; bins that are nearly full are finished.
-The rest become items of their filled length and go to the parent node,
-where the bins of ``fan_in`` children are best-fitted again, and so on to
-the root, whose bins are all finished.
-
-A node sends up at most ``carry`` bins, the emptiest ones; its other bins
-are finished where they are, so a node's memory is bounded and every piece
-keeps a place.
+All others become items of their filled length and are dealt anew over so
+many parent nodes that each holds about ``node_pieces`` pieces again, where
+they are best-fitted among bins of other nodes. So it goes on to one root,
+or to a level of more than half as many nodes as the one below: there bins
+hardly merge any more, and as every node holds a random share of all, meeting
+still others would not help. That level's bins are all finished. A node's
+memory is bounded, and no bin is left out of a level.
 
 Defined results: a null text is empty and gives the end id alone; a
 document longer than a sequence is cut into full pieces and a last, shorter
@@ -93,7 +93,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, d
         encode, PIECES + ", ids binary" * with_ids)
 
 
-def _pack_node(capacity: int, full: int, carry: int, level: int, last: bool):
+def _pack_node(capacity: int, full: int, level: int, last: bool):
     """Packs one node's bins (rows that share ``bin``) as items; ``done`` marks the rows of finished bins."""
     def pack(key: tuple, table: pa.Table) -> pa.Table:
         node = key[0].as_py()
@@ -103,10 +103,7 @@ def _pack_node(capacity: int, full: int, carry: int, level: int, last: bool):
         row_bin = table.column("bin").to_numpy()
         _, first, row_item = np.unique(row_bin, return_index=True, return_inverse=True)
         bins, offsets, fills = best_fit(table.column("fill").to_numpy()[first], capacity)
-        underfull = np.flatnonzero(fills < full)
-        up = np.zeros(len(fills), dtype=bool)
-        if not last:
-            up[underfull[np.argsort(fills[underfull], kind="stable")[:carry]]] = True
+        up = (fills < full) & (not last)
         row = bins[row_item]
         columns = {
             "node": np.full(len(row), node, dtype=np.int64),
@@ -121,30 +118,31 @@ def _pack_node(capacity: int, full: int, carry: int, level: int, last: bool):
     return pack
 
 
-def pack(pieces: DataFrame, capacity: int, node_pieces: int = 50_000, fan_in: int = 16,
-         carry: int = 4_000, nearly_full: float = 0.995) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, node_pieces: int = 50_000, nearly_full: float = 0.995) -> DataFrame:
     """Place pieces in sequences: the pieces' columns, sequence_id and offset.
 
     Every level is written before the next one reads it, so a lost executor
-    costs one level's tasks. The number of levels is the logarithm of the
-    number of leaf nodes to the base ``fan_in``.
+    costs one level's tasks. Each level but the last has at most half the
+    nodes of the one below.
     """
     pieces = materialise(pieces, "pieces")
     nodes = max(1, -(-pieces.count() // node_pieces))
     full = int(capacity * nearly_full)
-    base = (pieces.withColumn("node", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(nodes)))
+    rows = (pieces.withColumn("node", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(nodes)))
             .withColumn("bin", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
             .withColumn("fill", F.col("length")).withColumn("done", F.lit(False)))
-    finished, level, rows = [], 0, base
+    finished, level, last = [], 0, nodes == 1
     while True:
-        last = nodes == 1
         placed = materialise(rows.groupBy("node").applyInArrow(
-            _pack_node(capacity, full, carry, level, last), PLACED), f"packed-{level}")
+            _pack_node(capacity, full, level, last), PLACED), f"packed-{level}")
         finished.append(placed.filter("done"))
-        if last:
+        left = 0 if last else placed.filter("not done").count()
+        if not left:
             break
-        rows = placed.filter("not done").withColumn("node", F.floor(F.col("node") / fan_in))
-        nodes, level = -(-nodes // fan_in), level + 1
+        parents = -(-left // node_pieces)
+        last = parents == 1 or parents > nodes // 2
+        nodes, level = parents, level + 1
+        rows = placed.filter("not done").withColumn("node", F.pmod(F.xxhash64("bin", F.lit(level)), F.lit(nodes)))
     out = finished[0]
     for more in finished[1:]:
         out = out.unionByName(more)
