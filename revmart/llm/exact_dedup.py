@@ -20,13 +20,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmart.llm.common import ascii_lower, materialise
+from revmart.llm.common import ascii_lower, materialise, neutral_names, shuffle_partitions
 
 
 class DigestIndex:
-    """The digest table at ``path``; registered in the session's catalog as ``name``."""
+    """The digest table at ``path``; registered in the session's catalog as ``name``.
 
-    def __init__(self, spark: SparkSession, path: str, name: str, buckets: int = 64) -> None:
+    Its buckets are as many as the session's shuffle partitions when it is
+    made, unless ``buckets`` says otherwise.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, name: str, buckets: int | None = None) -> None:
+        buckets = buckets or shuffle_partitions(spark)
         self.spark, self.path, self.name, self.buckets = spark, path, name, buckets
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (digest BINARY, keep_id BIGINT) USING parquet "
                   f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'")
@@ -94,13 +99,17 @@ def keep_first(docs: DataFrame, index: DigestIndex, batches: int = 1) -> DataFra
         _decide(docs, index, "doc_id", "text", batches).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
         .select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "n"), "kept")
 
+    rows, names = neutral_names(docs)
+    own = list(names.values())
+    marked = rows.select(*own, digest_of(names["text"]).alias("digest_of"),
+                         F.col(names["doc_id"]).cast("bigint").alias("row_id"))
+
     def rows_of(which: DataFrame) -> DataFrame:
-        marked = docs.withColumn("_digest_of", digest_of("text"))
-        return marked.join(which, (F.col("_digest_of") == F.col("_digest"))
-                           & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")), "left_semi")
+        return marked.join(which, (F.col("digest_of") == F.col("_digest"))
+                           & F.col("row_id").eqNullSafe(F.col("_id")), "left_semi")
 
-    once = rows_of(kept.filter("n = 1")).select(*docs.columns)
+    once = rows_of(kept.filter("n = 1")).select(*own).toDF(*docs.columns)
     repeated = kept.filter("n > 1")
     if repeated.isEmpty():  # the usual case: no row repeats another's id and text
         return once
-    return once.unionByName(rows_of(repeated).dropDuplicates(["_digest_of"]).select(*docs.columns))
+    return once.unionByName(rows_of(repeated).dropDuplicates(["digest_of"]).select(*own).toDF(*docs.columns))

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revmart.llm.common import bounded_sample, limited, materialise, words_of
+from revmart.llm.common import bounded_sample, limited, materialise, neutral_names, words_of
 from revmart.llm.components import components
 from revmart.llm.embedding_dedup import unite
 
@@ -392,7 +392,8 @@ def keep_representatives(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without those whose group has a smaller id; columns as they were."""
     dropped = (jaccard_components(docs).filter("doc_id <> component_id")
                .select(F.col("doc_id").alias("_dropped")).distinct())
-    return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
+    rows, names = neutral_names(docs)
+    return rows.join(dropped, F.col(names["doc_id"]) == F.col("_dropped"), "left_anti").toDF(*docs.columns)
 
 
 #: DuckDB SQL of ``jaccard_components`` over ``documents``.

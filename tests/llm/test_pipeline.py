@@ -45,7 +45,6 @@ def test_stages_against_brute_force(spark):
     assert got == taken
 
     t = Tokenizer.from_file(public_path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     total = sum(len(t.encode(r["text"], add_special_tokens=False).ids) + 1 for r in frames[3])
     assert sum(r["length"] for r in frames[4]) == total
     by: dict = {}
@@ -67,12 +66,43 @@ def test_run_returns_the_last_stage(spark):
 
 
 def test_empty_and_odd_documents(spark, make_docs, tmp_path):
+    """What each stage makes of nulls, empty and very long texts, repeated rows and ties."""
     sf = str(tmp_path)
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
     odd = [(1, None, None, None), (2, "", "en", ""), (3, "one two", "en", "a"), (3, "one two", "en", "a"),
-           (None, "no id at all here now", "en", "a"), (4, "long " * 30_000, None, "b")]
+           (None, "no id at all here now", "en", "a"), (4, "long " * 30_000, None, "b"), (5, "ONE two", "en", "a"),
+           (6, "one two", "en", "a")]
+    seen = {}
     for rows in ([], odd):
         current = make_docs(rows)
-        for _, stage in corpus_pipeline.STAGES:
+        for name, stage in corpus_pipeline.STAGES:
             current = stage(spark, current, sf)
-            current.collect()
+            seen[name] = current.collect()
+            assert rows or not seen[name]
+    ids = lambda name: sorted((r["doc_id"] for r in seen[name]), key=str)
+    assert ids("toxicity") == [1, 2, 3, 3, 4, 5, 6, None]  # one label only: nothing is toxic
+    assert ids("exact_dedup") == [2, 4, 6, None]  # the largest id of null and empty, and of "one two"
+    assert ids("ngram_jaccard_join") == [2, 4, 6, None]  # no five words in common
+    assert set(ids("mix_sources")) <= {4, 6, None} and 4 in ids("mix_sources")
+    assert {r["doc_id"] for r in seen["best_fit_packing"]} == set(ids("mix_sources"))
+
+
+def test_columns_with_the_names_used_inside_are_kept(spark, make_docs):
+    """Each stage but the last returns the columns of documents, with their values."""
+    names = ["_toxicity", "_id", "_digest", "_digest_of", "_dropped", "row", "row_id", "rep", "score", "digest_of",
+             "component_id", "keep_id", "n", "label", "id", "size", "taken"]
+    rows = [(i, f"some words of text number {i} that are long enough", "en", "s") for i in range(20)]
+    docs = make_docs([*rows, (20, rows[3][1].upper(), "en", "s")])
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{k}:"), F.col("doc_id").cast("string")))
+    current = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        current = stage(spark, current, SF)
+        assert current.columns == docs.columns, name
+        got = current.collect()
+        assert got, name
+        for r in got:
+            assert all(r[c] == f"{k}:{r['doc_id']}" for k, c in enumerate(names)), name
+        if name == "exact_dedup":
+            assert 3 not in {r["doc_id"] for r in got} and 20 in {r["doc_id"] for r in got}
+    assert corpus_pipeline.STAGES[-1][1](spark, current, SF).count() >= 1
