@@ -183,3 +183,27 @@ WITH RECURSIVE v AS (
 )
 SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
 FROM lowest"""
+
+
+def with_near_copies(vectors: DataFrame, offset: int = 10**9) -> DataFrame:
+    """``vectors`` (vec_id, embedding) and three copies of each, every third component 1.1, 1.5 and 6 times as large.
+
+    The first two link with their original and with each other, the third with none of them.
+    """
+    def copy(k: int, factor: float) -> DataFrame:
+        stretched = F.transform("embedding", lambda x, i: F.when(i % 3 == 0, x.cast("double") * factor)
+                                .otherwise(x.cast("double")))
+        return vectors.select((F.col("vec_id") + k * offset).alias("vec_id"), stretched.alias("embedding"))
+
+    return (vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+            .unionByName(copy(1, 1.1)).unionByName(copy(2, 1.5)).unionByName(copy(3, 6.0)))
+
+
+NEAR_COPIES_SQL = NEAR_SQL.replace("WITH RECURSIVE v AS (", """WITH RECURSIVE planted AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS embedding FROM embeddings
+  UNION ALL
+  SELECT vec_id + 1000000000::BIGINT * k AS vec_id,
+         [CASE WHEN i % 3 = 0 THEN embedding[i + 1]::DOUBLE * factor ELSE embedding[i + 1]::DOUBLE END FOR i IN range(len(embedding))]
+  FROM embeddings, (VALUES (1, 1.1::DOUBLE), (2, 1.5::DOUBLE), (3, 6.0::DOUBLE)) c(k, factor)
+), v AS (""").replace("FROM embeddings\n  WHERE len", "FROM planted\n  WHERE len").replace(
+    "SELECT vec_id, vec_id AS other FROM embeddings", "SELECT vec_id, vec_id AS other FROM planted").replace("'nan'::FLOAT", "'nan'::DOUBLE")

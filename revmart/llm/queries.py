@@ -45,6 +45,11 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def near_copies_of_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator of op6 on the whole table and three altered copies of each vector: a case with links."""
+    return embedding_dedup.near_vectors(embedding_dedup.with_near_copies(table(spark, sf_dir, "embeddings")))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -101,6 +106,7 @@ QUERIES = {fn.__name__: _query(fn) for fn in (
     op11_bpe,
     op12_spelling_variants,
     op13_periodic_runs,
+    near_copies_of_embeddings,
 )}
 
 ORACLE = {
@@ -115,6 +121,7 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_s
 FROM d JOIN g USING (text_sha256)""",
     "op5_mix_sources": mixing.MIX_SQL.format(docs="documents"),
     "op6_embedding_near_dedup": embedding_dedup.NEAR_SQL,
+    "near_copies_of_embeddings": embedding_dedup.NEAR_COPIES_SQL,
     "op7_ngram_jaccard_join": ngram_join.JOIN_SQL,
     "op12_spelling_variants": spelling.VARIANTS_SQL.format(upper=UPPER, lower=LOWER),
 }

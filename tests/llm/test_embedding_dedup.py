@@ -85,3 +85,14 @@ def test_tables_follow_the_recall():
         bits, tables = tables_and_bits(n, 0.9, 0.995, 512)
         p = 1 - np.arccos(0.9) / np.pi
         assert 1 - (1 - p**bits) ** tables >= 0.995
+
+
+def test_near_copies_link_with_their_originals(spark):
+    from revmart.llm.embedding_dedup import near_vectors, with_near_copies
+    rows = [(i, [float((i * 37 + k * 11) % 101 - 50) for k in range(32)]) for i in range(40)]
+    out = near_vectors(with_near_copies(spark.createDataFrame(rows, "vec_id long, embedding array<float>")))
+    got = {r.vec_id: r for r in out.collect()}
+    assert len(got) == 160
+    for i in range(40):
+        assert got[10**9 + i].component_id == got[2 * 10**9 + i].component_id == got[i].component_id
+        assert got[i].n_links >= 2
