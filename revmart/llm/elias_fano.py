@@ -14,6 +14,11 @@ import numpy as np
 
 SAMPLE = 256
 _HEAD = struct.Struct("<QBQQ")  # n, low bits, bytes of low bits, bytes of high bits
+#: For each byte: the position of its k-th one.
+_PLACE = np.zeros((256, 8), dtype=np.int64)
+for _b in range(256):
+    _ones = [i for i in range(8) if _b >> i & 1]
+    _PLACE[_b, :len(_ones)] = _ones
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
 
@@ -56,6 +61,37 @@ class EliasFano:
                 count += 1
         raise AssertionError("samples do not match the bit vector")
 
+    def select_many(self, index: np.ndarray) -> np.ndarray:
+        """The values at ``index``, each from its sampled position on, all side by side."""
+        index = np.asarray(index, dtype=np.int64)
+        if len(index) and not 0 <= index.min() <= index.max() < self.n:
+            raise IndexError("select beyond the sequence")
+        at = self.samples[index // SAMPLE].astype(np.int64)
+        byte = at >> 3
+        # ones to pass from the beginning of the sample's byte
+        left = index % SAMPLE + _POPCOUNT[self.high[byte] & ((1 << (at & 7)) - 1)]
+        going = np.arange(len(index))
+        while len(going):
+            ones = _POPCOUNT[self.high[byte[going]]]
+            further = left[going] >= ones
+            going, ones = going[further], ones[further]
+            left[going] -= ones
+            byte[going] += 1
+        high = 8 * byte + _PLACE[self.high[byte], left] - index
+        return (high << self.low_bits) | self._lows(index)
+
+    def _lows(self, index: np.ndarray) -> np.ndarray:
+        if not self.low_bits:
+            return np.zeros(len(index), dtype=np.int64)
+        first = index * self.low_bits
+        padded = np.concatenate((self.low, np.zeros(9, dtype=np.uint8))).astype(np.uint64)
+        out = np.zeros(len(index), dtype=np.uint64)
+        shift = (first & 7).astype(np.uint64)
+        for k in range((self.low_bits + 14) // 8):  # the bytes that one value's bits can touch
+            part = padded[(first >> 3) + k]
+            out |= (part << np.uint64(8 * k)) >> shift if k < 8 else part << (np.uint64(64) - shift)
+        return (out & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
+
     def _low(self, i: int) -> int:
         first = i * self.low_bits
         last = first + self.low_bits

@@ -131,16 +131,20 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
 def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32."""
-    # One row per file: the running sum is over files, not documents.
-    starts = manifest.withColumn("first", F.sum("n_ids").over(
-        Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)))
-    starts = starts.select("file", F.coalesce("first", F.lit(0)).alias("first"))
+    # The ids before a file: those of the parts before its own (one row per part is summed up in a row),
+    # and of the files before it in its part.
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    parts = manifest.groupBy(F.col("part").alias("of")).agg(F.sum("n_ids").alias("n")).select(
+        "of", F.coalesce(F.sum("n").over(before.orderBy("of")), F.lit(0)).alias("earlier"))
+    inside = F.coalesce(F.sum("n_ids").over(before.partitionBy("part").orderBy("seq")), F.lit(0))
+    starts = (manifest.select("file", "part", inside.alias("inside")).join(parts, F.col("part") == F.col("of"))
+              .select("file", (F.col("earlier") + F.col("inside")).alias("first")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 tokens = TokenFile(content.as_buffer().to_pybytes())
-                bounds = tokens.bounds.decode()
+                bounds = tokens.bounds.select_many(np.arange(tokens.n_docs + 1))
                 ids = tokens.ids.astype("<u4")
                 yield pa.RecordBatch.from_arrays([
                     pa.array([os.path.basename(path)] * tokens.n_docs, pa.string()),

@@ -19,7 +19,7 @@ from functools import lru_cache
 import numpy as np
 
 #: White space before a space: there a cut could change a byte-level tokenizer's ids.
-_RUN = re.compile(r"\s ")
+_RUN = re.compile(r" (?<=\s )")  # looks at the spaces only
 #: Letters that every Unicode version knows, then punctuation (no apostrophe: contractions).
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
@@ -32,6 +32,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTE_LETTERS = _byte_letters()
+_SPACE = _BYTE_LETTERS[32]
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -57,11 +58,16 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # A text that holds the string of an added token is encoded whole: the library cuts it there.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.mark = os.path.commonprefix(self.added)
+        self.model = self.tokenizer.model  # the attribute makes a new object each time
         self.drops_space, self.cache_words = drops_space, cache_words
         #: what stands between two spaces -> its ids, with the space before it where the tokenizer keeps it
         self.cache: dict[str, bytes] = {}
         self.space = "" if drops_space else " "
+        #: ids of punctuation behind a word; there are few kinds
+        self.marks = lru_cache(maxsize=4096)(self._model_ids)
 
     def _fill(self, pieces: set[str]) -> None:
         new = pieces.difference(self.cache)
@@ -72,7 +78,11 @@ class Encoder:
             plain = _PLAIN.fullmatch(piece)
             if plain:
                 letters, marks = plain.groups()
-                self.cache[piece] = self._model_ids(self.space + letters) + (self._model_ids(marks) if marks else b"")
+                word = self.cache.get(letters)  # the word without punctuation is a piece, too
+                if word is None:
+                    word = self.cache[letters] = self._model_ids(self.space + letters)
+                if marks:
+                    self.cache[piece] = word + self.marks(marks)
             else:
                 other.append(piece)
         for i in range(0, len(other), 10_000):
@@ -84,16 +94,22 @@ class Encoder:
     def _model_ids(self, word: str) -> bytes:
         if self.drops_space:
             word = word.lower()
-        if not word.isascii() or " " in word:
+        if not word.isascii():
             word = "".join(map(_BYTE_LETTERS.__getitem__, word.encode()))
-        return _bytes([token.id for token in self.tokenizer.model.tokenize(word)])
+        elif word[0] == " ":  # of the ASCII characters in a plain word only the space has another letter
+            word = _SPACE + word[1:]
+        return _bytes([token.id for token in self.model.tokenize(word)])
 
     def _whole(self, text: str) -> bytes:
         return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _can_be_cut(self, text: str) -> bool:
+        if self.added and self.mark in text and any(a in text for a in self.added):
+            return False
+        return self.drops_space or not _RUN.search(text) and not text[0].isspace()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cuts = [t.split(" ") if t and (self.drops_space or not _RUN.search(t) and not t[0].isspace()) else None
-                for t in texts]
+        cuts = [t.split(" ") if t and self._can_be_cut(t) else None for t in texts]
         # A byte-level text's first piece has no space before it.
         heads = [b"" if self.drops_space or c is None else self._whole(c.pop(0)) for c in cuts]
         self._fill(set().union(*(c for c in cuts if c)))

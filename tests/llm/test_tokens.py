@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 import random
 import zlib
 
@@ -14,15 +15,15 @@ from revmart.llm.elias_fano import EliasFano
 from revmart.llm.packing import best_fit, encode_pieces, pack, pack_documents, sequences
 from revmart.llm.token_files import TokenFile, file_bytes, read_token_files, token_files, write_token_files
 from revmart.llm.tokens import Encoder, public_path
+from revmart.session import scratch_path
 
 BYTE, WORD = public_path("byte_bpe_50k.json"), public_path("word_bpe_49k.json")
 BITS = [" ", "  ", "\n", "\t", "a", "foo", "Bar", "'s", "'", "é", "ß", "1", "23", "!", " ", "́", "Σ",
-        "<|endoftext|>", "\x1c", "漢字", "🙂", "\r\n"]
+        "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "\x1c", "漢字", "🙂", "\r\n"]
 
 
 def _direct(path, texts, end):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(path)  # as it is
     return [t.encode(x or "", add_special_tokens=False).ids + [end] for x in texts]
 
 
@@ -41,7 +42,7 @@ def test_encoder_equals_whole_text(path, drops):
 
 def test_elias_fano_round_trip_and_size():
     rng = np.random.default_rng(0)
-    for values in ([], [0], [7], [0, 0, 0], [5] * 600, np.sort(rng.integers(0, 10**9, 3000)),
+    for values in ([], [0], [7], [0, 0, 0], [5] * 600, [3, 2**62], [2**57 + 1] * 3, np.sort(rng.integers(0, 10**9, 3000)),
                    np.cumsum(rng.integers(0, 3, 5000)), [0, 2**40]):
         values = np.array(values, dtype=np.int64)
         coded = EliasFano.encode(values)
@@ -50,6 +51,8 @@ def test_elias_fano_round_trip_and_size():
         assert back.decode().tolist() == values.tolist()
         for i in range(0, len(values), 7):
             assert back.select(i) == values[i]
+        some = rng.permutation(len(values))
+        assert back.select_many(some).tolist() == values[some].tolist()
     bounds = np.cumsum(rng.integers(1, 2000, 10_000))
     assert len(EliasFano.encode(bounds).to_bytes()) * 8 < 14 * len(bounds)  # 64 in a plain table
 
@@ -117,11 +120,22 @@ def test_tree_places_every_piece_once(spark):
     lengths = [int(n) for n in rng.integers(1, 400, 3000)]
     pieces = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(lengths)],
                                    "doc_id long, piece int, start long, length long, ids_crc32 long")
-    rows = pack(pieces, 1000, node_pieces=100, fan_in=3, carry=40).collect()
+    rows = pack(pieces, 1000, node_pieces=100).collect()
     assert sorted((r.doc_id, r.length) for r in rows) == list(enumerate(lengths))
     assert _check_layout(rows, 1000) <= 1.02 * sum(lengths) / 1000 + 1
 
 
+@pytest.mark.parametrize("low, high", [(510, 700), (300, 600), (900, 1000), (1000, 1000), (1, 3)])
+def test_tree_ends_and_loses_little_where_bins_stay_underfull(spark, low, high):
+    """Against one best fit over all pieces."""
+    lengths = np.random.default_rng(low).integers(low, high + 1, 1500)
+    pieces = spark.createDataFrame([(i, 0, 0, int(n), 0) for i, n in enumerate(lengths)],
+                                   "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = pack(pieces, 1000, node_pieces=200).collect()
+    assert sorted((r.doc_id, r.length) for r in rows) == list(enumerate(lengths.tolist()))
+    assert _check_layout(rows, 1000) <= 1.03 * len(best_fit(lengths, 1000)[2]) + 1
+
+
 def test_pack_documents_against_brute_force(spark, make_docs):
     rows = pack_documents(make_docs(ROWS, extra=True), WORD, 1, 64).collect()
     want = []
@@ -142,3 +156,25 @@ def test_sequences_hold_the_ids(spark, make_docs):
         ids = out[r.sequence_id][r.offset:r.offset + r.length]
         assert _crc(ids) == r.ids_crc32
     assert placed.select(F.sum("length")).first()[0] == sum(len(v) for v in out.values())
+
+
+def test_the_read_path_takes_offsets_by_select(spark, make_docs):
+    docs = make_docs([(i, "word " * (i % 5)) for i in range(600)])
+    folder = scratch_path(spark, "select")
+    manifest = write_token_files(docs, folder, BYTE, end_id=2, vocab_size=50_257, file_ids=200)
+    want = sorted(map(tuple, read_token_files(spark, folder, manifest).collect()))
+    rows = sorted((i, "word " * (i % 5)) for i in range(600))
+    start = 0
+    for got, (i, text), ids in zip(want, rows, _direct(BYTE, [t for _, t in rows], 2)):
+        assert got == (i, start, len(ids), _crc(ids))
+        start += len(ids)
+    # the workers fork with this module: no unpacking of boundaries is left in the read path
+    assert "bounds.select_many(" in inspect.getsource(read_token_files)
+    assert "bounds.decode(" not in inspect.getsource(read_token_files)
+
+
+def test_added_tokens_in_a_text_are_one_id(make_docs):
+    text = "a <|endoftext|> b"
+    assert np.frombuffer(Encoder(BYTE, False).encode([text])[0], "<u4").tolist() == [64, 220, 50256, 275]
+    for path, drops in ((BYTE, False), (WORD, True)):
+        assert np.frombuffer(Encoder(path, drops).encode([text])[0], "<u4").tolist() == _direct(path, [text], 0)[0][:-1]
