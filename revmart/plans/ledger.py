@@ -89,14 +89,16 @@ class PaymentLedger:
         self.sums.discard(after, version)
         mark = read_fact_mark(self.spark, self.root, before=version) if after else None
         raw = read_batches(self.spark, raw_root, self.raw_schema, upto=version, after=after)
-        won = self._won(latest_version(raw, KEY, self.order), after)
+        at_most = raw.count()
+        best = latest_version(raw, KEY, self.order)
+        won = self._won(self.table.placed(best, after, at_most) if after else best, after)
         write_version(won, f"{self.root}/won", version)  # read twice below
         won = read_version(self.spark, f"{self.root}/won", version, won.schema)
         rows = self._with_facts(won, mark, provider_history, client_history)
         if after is None:
-            self.table.create(rows, version, at_most=raw.count())
+            self.table.create(rows, version, at_most)
         else:
-            self.table.put(rows, version, after)
+            self.table.put(rows, version, after, at_most)
         written = self.table.changes(version)
         self._add_to_sums(written, version, after)
         newest = max_loaded_at(written.where("counts").select("fact.loaded_at"))
@@ -127,9 +129,9 @@ class PaymentLedger:
             F.when(counts, F.col("replaced")).alias("replaced"), counts.alias("counts"))
 
     def _add_to_sums(self, written: DataFrame, version: str, after: str | None) -> None:
-        change = sums_of(signed_rows(written))
+        change, at_most = sums_of(signed_rows(written)), written.count()
         if after is None:
-            self.sums.create(change, version, at_most=written.count())
+            self.sums.create(change, version, at_most)
             return
         stored = self.sums.read(after)
         numbers = [c for c in SUMS.fieldNames() if c not in ("group_key", *GROUP)]
@@ -137,7 +139,7 @@ class PaymentLedger:
         added = change.join(stored, F.col("group_key") == F.col("stored_key"), "left").select(
             "group_key", *GROUP, *[(F.col(c) + F.coalesce(f"stored_{c}", F.lit(0))).cast(SUMS[c].dataType).alias(c)
                                    for c in numbers])
-        self.sums.put(added, version, after)
+        self.sums.put(added, version, after, 2 * at_most)
 
 
 def signed_rows(written: DataFrame) -> DataFrame:

@@ -60,12 +60,13 @@ class WinnerTable:
         """
         self.table.discard(after, version)
         raw = read_batches(self.spark, raw_root, self.raw_schema, upto=version, after=after)
-        best = latest_version(raw, KEY, self.order)
+        at_most = raw.count()
+        best = self.table.placed(latest_version(raw, KEY, self.order), after, at_most)
         if after is None:
             fresh = best.withColumns({REPLACES: F.lit(False), REPLACED_AT: F.lit(None).cast("timestamp_ntz")})
-            self.table.create(fresh, version, at_most=raw.count())
+            self.table.create(fresh, version, at_most)
         else:
-            self.table.put(self._won(best, after), version, after)
+            self.table.put(self._won(best, after), version, after, at_most)
             self.table.fold(version)
         return self.table.changes(version)
 

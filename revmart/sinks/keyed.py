@@ -7,9 +7,11 @@ Both are plain Parquet written by Spark, bucketed by the key and sorted
 within the buckets, so that a merge reads the base where it lies and moves
 the changes only. A run adds its changed rows and rewrites nothing; after
 some runs, or when the changes have grown against the base, ``fold`` writes
-the next base. The number of buckets follows the number of rows at that
-time. A folder counts once Spark's job commit has put ``_SUCCESS`` there;
-re-running a version replaces its own folder only.
+the next base. The number of buckets follows the number of rows, so that a
+task, which has a bucket, reads and sorts no more in a larger table; changes
+that are many more than the base have buckets of their own number. A folder
+counts once Spark's job commit has put ``_SUCCESS`` there; re-running a
+version replaces its own folder only.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from revmart.sinks.storage import _fs
@@ -28,9 +31,10 @@ _FOLDER = re.compile(r"^v=(.+)\.b=(\d+)$")
 
 class KeyedTable:
     def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: list[str],
-                 rows_per_bucket: int = 10_000_000) -> None:
+                 rows_per_bucket: int = 500_000, passing: tuple[str, ...] = ()) -> None:
+        """``passing``: columns that say something of a change only; a folded base does not hold their values."""
         self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, keys
-        self.rows_per_bucket = rows_per_bucket
+        self.rows_per_bucket, self.passing = rows_per_bucket, passing
 
     # ---- folders ---------------------------------------------------------
 
@@ -103,8 +107,21 @@ class KeyedTable:
 
     # ---- writing ---------------------------------------------------------
 
-    def _buckets(self, rows: int) -> int:
-        return max(1, -(-rows // self.rows_per_bucket))
+    def _buckets(self, rows: int, now: int = 1) -> int:
+        """Buckets of so many rows: those there are now, unless they would hold twice what they should."""
+        wanted = min(-(-rows // self.rows_per_bucket), int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+        return wanted if wanted > 2 * now else now
+
+    def placed(self, rows: DataFrame, after: str | None, at_most: int) -> DataFrame:
+        """``rows`` dealt by the key as ``create`` (``after`` None) or ``put`` will: what is then done by key,
+        a join with the rows as of ``after`` too, and the write need no further exchange."""
+        return rows.repartition(self._put_buckets(after, at_most) if after else self._buckets(at_most), *self.keys)
+
+    def _put_buckets(self, after: str, at_most: int | None) -> int:
+        base, _ = self._parts(after)
+        if base is None:
+            raise ValueError(f"{self.root} has no base up to {after}")
+        return self._buckets(at_most or 0, base[1])
 
     def create(self, rows: DataFrame, version: str, at_most: int) -> None:
         """A first base (or a new one, whatever was there) of at most ``at_most`` rows."""
@@ -113,14 +130,11 @@ class KeyedTable:
                 self._delete(kind, version, self._folders(kind)[version])
         self._write(rows, "base", version, self._buckets(at_most))
 
-    def put(self, rows: DataFrame, version: str, after: str) -> None:
-        """Rows, one a key, that replace or join those as of version ``after``."""
+    def put(self, rows: DataFrame, version: str, after: str, at_most: int | None = None) -> None:
+        """Rows, one a key and ``at_most`` so many, that replace or join those as of version ``after``."""
         if version in self._folders("base"):  # folded by an earlier attempt
             self._delete("base", version, self._folders("base")[version])
-        base, _ = self._parts(after)
-        if base is None:
-            raise ValueError(f"{self.root} has no base up to {after}")
-        self._write(rows, "changes", version, base[1])
+        self._write(rows, "changes", version, self._put_buckets(after, at_most))
 
     def fold(self, version: str, most_changes: int = 8, share: float = 0.25) -> bool:
         """Write the state as of ``version`` as the next base, if the changes are many or large."""
@@ -132,10 +146,11 @@ class KeyedTable:
             jvm.org.apache.hadoop.fs.Path(self._path(kind, *at))).getLength()
         if len(changes) < most_changes and sum(size("changes", c) for c in changes) < share * size("base", base):
             return False
-        rows = self.read(version)
+        rows = self.read(version, [c for c in self.schema.fieldNames() if c not in self.passing]).withColumns(
+            {c: F.lit(None).cast(self.schema[c].dataType) for c in self.passing})
         # counting the layers reads Parquet footers only; replaced rows count twice
         most = sum(self._read(k, *at).count() for k, at in [("base", base), *(("changes", c) for c in changes)])
-        self._write(rows, "base", version, self._buckets(most))
+        self._write(rows, "base", version, self._buckets(most, max(base[1], *(b for _, b in changes))))
         return True
 
     def discard(self, after: str | None, before: str) -> None:
