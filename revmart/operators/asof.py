@@ -11,8 +11,9 @@ A key that has more than ``hot_share`` of all fact rows (and more than
 ``hot_rows``) is split at quantiles of its times into up to ``splits`` ranges
 that are sorted apart. There are at most 1 / ``hot_share`` such keys, so their
 bounds are broadcast and the facts move once, split already. A version goes
-to the ranges that it overlaps, the open version's value to all. Facts with
-a NULL key match nothing and take no part.
+to the ranges that it overlaps, the open version to all. Facts with a NULL
+key match nothing and are dealt apart. ``facts`` is evaluated once beside the
+search for hot keys, which reads ``times`` (same keys and times) where given.
 
 The versions of a key must not overlap (``quality.scd2_checks`` reports
 those that do); the job fails where they do, instead of choosing one.
@@ -43,54 +44,54 @@ def _below(bounds: Column, ts: Column, strictly: bool = False) -> Column:
 
 def asof_lookup(facts: DataFrame, history: DataFrame, on: dict[str, str], ts_col: str, values: dict[str, str],
                 valid_from: str = "valid_from", valid_to: str = "valid_to", hot_rows: int = 1_000_000,
-                hot_share: float = 0.001, splits: int = 100) -> DataFrame:
+                hot_share: float = 0.001, splits: int = 100, times: DataFrame | None = None) -> DataFrame:
     """Add ``values`` (history column -> output name) to ``facts``; ``on`` maps fact keys to history keys."""
     names = [f"__k{i}" for i in range(len(on))]
     matched = F.lit(True)
     for k in on:
         matched = matched & F.col(k).isNotNull()
     kept = [c for c in facts.columns if c not in values.values()]
-    rows = facts.where(matched).select(
-        *[F.col(k).alias(n) for k, n in zip(on, names)], F.col(ts_col).alias("__t"),
-        F.struct(*kept).alias("__row"))
-    bounds = F.broadcast(hot_bounds(rows, names, "__t", hot_rows, hot_share, splits))
+    keyed = [*[F.col(k).alias(n) for k, n in zip(on, names)], F.col(ts_col).alias("__t")]
+    rows = facts.select(*keyed, matched.alias("__matched"), F.struct(*kept).alias("__row"))
+    counted = (facts if times is None else times).where(matched).select(*keyed)
+    bounds = F.broadcast(hot_bounds(counted, names, "__t", hot_rows, hot_share, splits))
 
-    version = F.struct(F.col(valid_from).alias("f"), F.col(valid_to).alias("t"), *[F.col(v).alias(v) for v in values])
+    version = F.struct(F.col(valid_to).alias("t"), *[F.col(v).alias(v) for v in values])
     versions = (history.where(F.col(valid_from).isNotNull())
-                .select(*[F.col(k).alias(n) for k, n in zip(on.values(), names)], version.alias("__v"))
+                .select(*[F.col(k).alias(n) for k, n in zip(on.values(), names)], F.col(valid_from).alias("__f"),
+                        version.alias("__v"))
                 .join(bounds, on=names, how="left"))
-    first = _below(F.col("__bounds"), F.col("__v.f"))
+    first = _below(F.col("__bounds"), F.col("__f"))
     all_parts = F.coalesce(F.when(F.size("__bounds") >= 0, F.size("__bounds")), F.lit(0))
-    last = F.when(F.col("__v.t").isNull(), all_parts).otherwise(_below(F.col("__bounds"), F.col("__v.t"), strictly=True))
+    is_open = F.col("__v.t").isNull()
+    first = F.when(is_open, F.lit(0)).otherwise(first)
+    last = F.when(is_open, all_parts).otherwise(_below(F.col("__bounds"), F.col("__v.t"), strictly=True))
     no_version = F.lit(None).cast(versions.schema["__v"].dataType)
     no_row = F.lit(None).cast(rows.schema["__row"].dataType)
 
-    def event(part, kind, t, row, carried, current):
+    def event(part, kind, t, row, carried):
         return [*names, part.alias("__part"), F.lit(kind).alias("__kind"), t.alias("__t"), row.alias("__row"),
-                carried.alias("__v"), current.alias("__open")]
+                carried.alias("__v")]
 
-    # Of equal times the versions come first; the open version leads its key's rows as well.
+    # Of equal times the versions come first. Parts below 0 hold the facts with a NULL key.
+    apart = (F.lit(-1) - F.pmod(F.xxhash64("__row"), F.lit(1_000_000))).cast("int")
+    part = F.when(F.col("__matched"), _below(F.col("__bounds"), F.col("__t"))).otherwise(apart)
     facts_in = rows.join(bounds, on=names, how="left").select(
-        *event(_below(F.col("__bounds"), F.col("__t")), 2, F.col("__t"), F.col("__row"), no_version, no_version))
+        *event(part, 2, F.col("__t"), F.col("__row"), no_version))
     versions_in = versions.select(*event(
-        F.explode(F.sequence(first, F.greatest(first, last))), 1, F.col("__v.f"), no_row, F.col("__v"), no_version))
-    open_in = versions.where("__v.t is null").select(*event(
-        F.explode(F.sequence(F.lit(0), all_parts)), 0, F.lit(None).cast(rows.schema["__t"].dataType), no_row, no_version,
-        F.col("__v")))
-    key = Window.partitionBy(*names, "__part").orderBy(F.col("__kind") != 0, F.col("__t").asc_nulls_first(), "__kind")
+        F.explode(F.sequence(first, F.greatest(first, last))), 1, F.col("__f"), no_row, F.col("__v")))
+    key = Window.partitionBy(*names, "__part").orderBy(F.col("__t").asc_nulls_first(), "__kind")
     before = key.rowsBetween(Window.unboundedPreceding, -1)
-    merged = facts_in.unionByName(versions_in).unionByName(open_in).select(
+    whole = key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    merged = facts_in.unionByName(versions_in).select(
         "__kind", "__t", "__row", "__v",
         F.last("__v", ignorenulls=True).over(key.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__cover"),
-        F.last("__open", ignorenulls=True).over(key.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__current"),
+        F.last(F.when(F.col("__v.t").isNull(), F.col("__v")), ignorenulls=True).over(whole).alias("__current"),
         F.last("__v", ignorenulls=True).over(before).alias("__previous"))
     overlap = ((F.col("__kind") == 1) & F.col("__previous").isNotNull()
-               & (F.col("__previous.t").isNull() | (F.col("__previous.t") > F.col("__v.f"))))
+               & (F.col("__previous.t").isNull() | (F.col("__previous.t") > F.col("__t"))))
     message = F.lit(f"history has overlapping versions of one {list(on.values())}")
     found = merged.where(F.when(overlap, F.raise_error(message).cast("boolean")).otherwise(F.col("__kind") == 2))
     covered = F.col("__cover.t").isNull() | (F.col("__t") < F.col("__cover.t"))
-    out = found.select("__row.*", *[
+    return found.select("__row.*", *[
         F.coalesce(F.when(covered, F.col("__cover")[v]), F.col("__current")[v]).alias(name) for v, name in values.items()])
-    unmatched = facts.where(~matched).select(
-        *kept, *[F.lit(None).cast(history.schema[v].dataType).alias(name) for v, name in values.items()])
-    return out.unionByName(unmatched)

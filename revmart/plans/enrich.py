@@ -15,9 +15,9 @@ CLIENT_KEYS = {"client_id": "client_id"}
 
 
 def _lookup(payments: DataFrame, history: DataFrame, keys: dict[str, str], values: dict[str, str],
-            salt_buckets: int | None, large: bool) -> DataFrame:
+            salt_buckets: int | None, large: bool, times: DataFrame | None = None) -> DataFrame:
     if large:
-        return asof_lookup(payments, history, keys, "transaction_timestamp", values)
+        return asof_lookup(payments, history, keys, "transaction_timestamp", values, times=times)
     return interval_lookup(payments, history, keys, "transaction_timestamp", values, salt_buckets=salt_buckets)
 
 
@@ -28,8 +28,9 @@ def lookup_commission(payments: DataFrame, provider_history: DataFrame,
 
 
 def lookup_share(payments: DataFrame, client_history: DataFrame,
-                 salt_buckets: int | None = None, large: bool = False) -> DataFrame:
-    return _lookup(payments, client_history, CLIENT_KEYS, {"revenue_share": "revenue_share"}, salt_buckets, large)
+                 salt_buckets: int | None = None, large: bool = False, times: DataFrame | None = None) -> DataFrame:
+    """``times``: where ``payments`` is itself a lookup's result, the table that it was made of."""
+    return _lookup(payments, client_history, CLIENT_KEYS, {"revenue_share": "revenue_share"}, salt_buckets, large, times)
 
 
 def enrich_payments(stg: DataFrame, provider_history: DataFrame, client_history: DataFrame,
@@ -37,7 +38,7 @@ def enrich_payments(stg: DataFrame, provider_history: DataFrame, client_history:
     """``salt_buckets`` salts the lookups' shuffle; ``large``: histories of any size, by an as-of merge
     (which reads the payments several times: pass a stored table)."""
     with_rates = lookup_share(lookup_commission(stg, provider_history, salt_buckets, large),
-                              client_history, salt_buckets, large)
+                              client_history, salt_buckets, large, times=stg)
     return with_rates.select(
         "transaction_id", "transaction_date", "transaction_timestamp", "status", "amount",
         "provider_id", F.col("company_code").alias("biller_id"), "client_id",

@@ -78,3 +78,30 @@ def test_empty_sides(spark, tables):
     facts, history = tables
     assert asof_lookup(facts.limit(0), history, ON, "t", VALUES).count() == 0
     assert {r["rate"] for r in asof_lookup(facts, history.limit(0), ON, "t", VALUES).collect()} == {None}
+
+
+def test_two_lookups_read_each_history_once(spark, tmp_path):
+    """Counting hot keys and facts without a key are no further evaluation of the lookup before."""
+    from revmart.operators.asof import asof_lookup as lookup
+    spark.createDataFrame([(1, 1, 7, _day(0), None)], HISTORY).write.parquet(f"{tmp_path}/rates")
+    spark.createDataFrame([(1, 1, 8, _day(0), None)], HISTORY).write.parquet(f"{tmp_path}/shares")
+    spark.createDataFrame([(1, 1, 1, _day(1)), (2, None, 1, _day(1)), (3, 2, 2, _day(1))],
+                          "id int, k int, j int, t timestamp_ntz").write.parquet(f"{tmp_path}/facts")
+    facts, rates, shares = (spark.read.parquet(f"{tmp_path}/{t}") for t in ("facts", "rates", "shares"))
+    first = lookup(facts, rates, ON, "t", {"v": "rate"})
+    both = lookup(first, shares, ON, "t", {"v": "share"}, times=facts)
+    assert _rows(both.select("id", "rate", "share")) == [(1, 7, 8), (2, None, None), (3, None, None)]
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2 and plan.count("valid_from") and "__open" not in plan
+
+
+def test_each_version_is_one_event(spark):
+    """An open version leads its key's rows by the window, not as a second row."""
+    history = spark.createDataFrame([(1, 1, 7, _day(0), _day(3)), (1, 1, 9, _day(3), None)], HISTORY)
+    facts = spark.createDataFrame([(1, 1, 1, _day(-9)), (2, 1, 1, None), (3, 1, 1, _day(1))],
+                                  "id int, k int, j int, t timestamp_ntz")
+    out = asof_lookup(facts, history, ON, "t", VALUES)
+    assert _rows(out.select("id", "rate")) == [(1, 9), (2, 9), (3, 7)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    union = plan[plan.index("Union"):]
+    assert union.count("Generate explode") == 1
