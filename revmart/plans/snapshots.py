@@ -104,7 +104,8 @@ class HistoryTable:
         open_fields = [f for f in self.schema.fields if f.name != "valid_to"]
         nullable = T.StructType([T.StructField(f.name, f.dataType) for f in self.schema.fields])
         self.open = KeyedTable(spark, f"{root.rstrip('/')}/open",
-                               T.StructType([*open_fields, T.StructField("closes", nullable)]), self.keys, **options)
+                               T.StructType([*open_fields, T.StructField("closes", nullable)]), self.keys,
+                               passing=("closes",), **options)
 
     def complete(self, before: str | None = None, upto: str | None = None) -> str | None:
         """The newest version that holds in both parts."""
@@ -126,11 +127,14 @@ class HistoryTable:
         version = version_id(run_ts)
         after = self.complete(before=version)
         self.open.discard(after, version)  # of unfinished runs
-        incoming = guard_unique(incoming.select(*self.data), self.keys, "scd2 incoming snapshot")
+        incoming = incoming.select(*self.data)
+        at_most = incoming.count()
+        # dealt once: the guard, the join and the write take the rows where they lie
+        incoming = guard_unique(self.open.placed(incoming, after, at_most), self.keys, "scd2 incoming snapshot")
         closes = self.open.schema["closes"].dataType
         if after is None:
             self.open.create(incoming.select("*", ts_lit(run_ts).alias("valid_from"), F.lit(None).cast(closes).alias("closes")),
-                             version, at_most=incoming.count())
+                             version, at_most)
         else:
             old = self.open.read(after, [*self.data, "valid_from"])
             old = old.select(*[F.col(c).alias(f"old_{c}") for c in old.columns], F.lit(True).alias("known"))
@@ -140,7 +144,7 @@ class HistoryTable:
                                ts_lit(run_ts).alias("valid_to"))
             moved = joined.where(F.col("known").isNull() | differs).select(
                 *self.data, ts_lit(run_ts).alias("valid_from"), F.when(F.col("known"), old_row).cast(closes).alias("closes"))
-            self.open.put(moved, version, after)
+            self.open.put(moved, version, after, at_most)
         closed = self.open.changes(version).where("closes is not null").select("closes.*")
         append_batch(closed, self.closed_root, version)
         self.open.fold(version)

@@ -109,10 +109,22 @@ def q_payments_enriched(spark, sf_dir):
     return _enriched(spark, sf_dir)
 
 
+def _stored(spark, rows: DataFrame, layer: str, name: str) -> DataFrame:
+    """``rows`` as a stored table, for what is read by several runs or steps."""
+    root = layer_table(scratch_path(spark, "stored"), layer, name)
+    write_version(rows, root, version_id(INGEST_RUNS[1]))
+    return read_current(spark, root, rows.schema)
+
+
+def _stored_raw(spark, sf_dir) -> DataFrame:
+    return _stored(spark, fx.raw_payments(spark, sf_dir), "raw", "payments")
+
+
 def _large_histories(spark, sf_dir):
     """Both large histories, run by run: closed rows appended, open rows in key buckets."""
+    pairs = _stored(spark, fx.supplier_parts(spark, sf_dir), "source", "supplier_parts")
     out = []
-    for kind, snaps in (("providers", fx.large_provider_snapshots(spark, sf_dir)),
+    for kind, snaps in (("providers", fx.large_provider_snapshots(pairs)),
                         ("clients", fx.large_client_snapshots(spark, sf_dir))):
         history = snapshots.HistoryTable(spark, scratch_path(spark, f"history_{kind}"), kind)
         for run in fx.SNAPSHOT_RUNS:
@@ -124,9 +136,7 @@ def _large_histories(spark, sf_dir):
 def _stored_stg(spark, sf_dir) -> DataFrame:
     """The deduplicated payments with the large rate keys, as a stored table."""
     rows = staging.stg_payments(fx.large_payments(spark, sf_dir), tiebreak=fx.TIEBREAK)
-    root = layer_table(scratch_path(spark, "large"), "staging", "payments")
-    write_version(rows, root, version_id(INGEST_RUNS[1]))
-    return read_current(spark, root, rows.schema)
+    return _stored(spark, rows, "staging", "payments")
 
 
 def q_scd2_large(spark, sf_dir):
@@ -138,7 +148,7 @@ def q_interval_lookup_large(spark, sf_dir):
     """Rates by supplier and part, and shares by customer, at each payment's time: as-of merges, no broadcast."""
     providers, clients = _large_histories(spark, sf_dir)
     stg = _stored_stg(spark, sf_dir)
-    out = enrich.lookup_share(enrich.lookup_commission(stg, providers, large=True), clients, large=True)
+    out = enrich.lookup_share(enrich.lookup_commission(stg, providers, large=True), clients, large=True, times=stg)
     return out.select("transaction_id", "transaction_timestamp", "provider_id",
                       F.col("company_code").alias("biller_id"), "client_id", "commission_rate", "revenue_share")
 
@@ -162,7 +172,7 @@ def q_fact_full(spark, sf_dir):
 def q_fact_incremental_upsert(spark, sf_dir):
     """First load from the raw rows loaded before a cutoff, then one incremental run."""
     root = layer_table(scratch_path(spark, "fact_incr"), "marts", "fact_payments")
-    raw = fx.raw_payments(spark, sf_dir)
+    raw = _stored_raw(spark, sf_dir)
     ph, ch = _provider_history(spark, sf_dir), _client_history(spark, sf_dir)
     first = raw.where(F.col("loaded_at") < ts_lit(FACT_FIRST_LOAD_BEFORE))
     fact.refresh_fact(spark, first, ph, ch, root, version_id(INGEST_RUNS[0]), tiebreak=fx.TIEBREAK)
@@ -174,7 +184,7 @@ def q_fact_incremental_partitioned(spark, sf_dir):
     """The same two runs on the date-partitioned fact (touched partitions rewritten only)."""
     from revmart.schemas import FACT_SCHEMA
     root = layer_table(scratch_path(spark, "fact_part"), "marts", "fact_payments")
-    raw = fx.raw_payments(spark, sf_dir)
+    raw = _stored_raw(spark, sf_dir)
     ph, ch = _provider_history(spark, sf_dir), _client_history(spark, sf_dir)
     first = raw.where(F.col("loaded_at") < ts_lit(FACT_FIRST_LOAD_BEFORE))
     fact.refresh_fact_partitioned(spark, first, ph, ch, root, version_id(INGEST_RUNS[0]),
@@ -189,7 +199,7 @@ def q_daily_revenue_incremental(spark, sf_dir):
     base = scratch_path(spark, "report_incr")
     fact_root = layer_table(base, "marts", "fact_payments")
     report_root = layer_table(base, "marts", "rpt_daily_revenue")
-    raw = fx.raw_payments(spark, sf_dir)
+    raw = _stored_raw(spark, sf_dir)
     ph, ch = _provider_history(spark, sf_dir), _client_history(spark, sf_dir)
     first = raw.where(F.col("loaded_at") < ts_lit(FACT_FIRST_LOAD_BEFORE))
     for source, run_ts in ((first, INGEST_RUNS[0]), (raw, INGEST_RUNS[1])):
@@ -204,7 +214,7 @@ def q_daily_revenue_after_missed_report(spark, sf_dir):
     base = scratch_path(spark, "report_missed")
     fact_root = layer_table(base, "marts", "fact_payments")
     report_root = layer_table(base, "marts", "rpt_daily_revenue")
-    raw = fx.raw_payments(spark, sf_dir)
+    raw = _stored_raw(spark, sf_dir)
     ph, ch = _provider_history(spark, sf_dir), _client_history(spark, sf_dir)
     runs = [FACT_FIRST_LOAD_BEFORE, "1999-06-01 00:00:00", INGEST_RUNS[1]]
     for run_ts in runs:

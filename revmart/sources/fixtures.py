@@ -48,9 +48,9 @@ def source_payments(spark: SparkSession, sf_dir: str, with_tiebreak: bool = True
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    j = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-         .join(part, F.col("l_partkey") == F.col("p_partkey"))
-         .join(customer, F.col("o_custkey") == F.col("c_custkey")))
+    # customers go to the orders, not to each of their lines
+    j = (li.join(part, F.col("l_partkey") == F.col("p_partkey"))
+         .join(orders.join(customer, F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey")))
     cols = [
         F.col("l_orderkey").cast("string").alias("transaction_id"),
         F.col("o_orderdate").alias("created_at"),
@@ -146,9 +146,13 @@ def large_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "client_id": F.replace(F.col("external_client_id"), F.lit("USER_"), F.lit("CUST_"))})
 
 
-def large_provider_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A rate for each supplier and part that occur together, by the rule of ``provider_snapshots``."""
-    pairs = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").distinct()
+def supplier_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each supplier and part that occur together."""
+    return read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").distinct()
+
+
+def large_provider_snapshots(pairs: DataFrame) -> DataFrame:
+    """A rate for each of ``supplier_parts``, by the rule of ``provider_snapshots``."""
     key = F.col("l_suppkey") + F.col("l_partkey")
     runs = pairs.where(key % 11 != 0).select("*", _snapshot_runs().alias("s")).select("*", "s.*")
     runs = runs.where(~((F.col("e") == 2) & (key % 7 == 0)))
