@@ -21,7 +21,6 @@ import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from revmart.sinks.storage import _fs
@@ -31,10 +30,9 @@ _FOLDER = re.compile(r"^v=(.+)\.b=(\d+)$")
 
 class KeyedTable:
     def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: list[str],
-                 rows_per_bucket: int = 500_000, passing: tuple[str, ...] = ()) -> None:
-        """``passing``: columns that say something of a change only; a folded base does not hold their values."""
+                 rows_per_bucket: int = 500_000) -> None:
         self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, keys
-        self.rows_per_bucket, self.passing = rows_per_bucket, passing
+        self.rows_per_bucket = rows_per_bucket
 
     # ---- folders ---------------------------------------------------------
 
@@ -146,8 +144,7 @@ class KeyedTable:
             jvm.org.apache.hadoop.fs.Path(self._path(kind, *at))).getLength()
         if len(changes) < most_changes and sum(size("changes", c) for c in changes) < share * size("base", base):
             return False
-        rows = self.read(version, [c for c in self.schema.fieldNames() if c not in self.passing]).withColumns(
-            {c: F.lit(None).cast(self.schema[c].dataType) for c in self.passing})
+        rows = self.read(version)
         # counting the layers reads Parquet footers only; replaced rows count twice
         most = sum(self._read(k, *at).count() for k, at in [("base", base), *(("changes", c) for c in changes)])
         self._write(rows, "base", version, self._buckets(most, max(base[1], *(b for _, b in changes))))
