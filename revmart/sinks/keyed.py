@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -147,9 +149,22 @@ class KeyedTable:
         rows = self.read(version)
         # counting the layers reads Parquet footers only; replaced rows count twice
         most = sum(self._read(k, *at).count() for k, at in [("base", base), *(("changes", c) for c in changes)])
-        self._write(rows, "base", version, self._buckets(most, max(base[1], *(b for _, b in changes))))
+        with self._by_bucket():
+            self._write(rows, "base", version, self._buckets(most, max(base[1], *(b for _, b in changes))))
         return True
 
+    @contextmanager
+    def _by_bucket(self) -> Iterator[None]:
+        """Scans keep one task a bucket where no join asks for it: else Spark packs buckets into splits, and
+        a task of a fold sorts a split of rows, and each writes a file into every bucket."""
+        name = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+        before = self.spark.conf.get(name)
+        self.spark.conf.set(name, "false")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(name, before)
+
     def discard(self, after: str | None, before: str) -> None:
         """Delete what lies between two versions: a caller knows that those runs were never finished.
 

@@ -68,3 +68,15 @@ def test_a_snapshot_is_dealt_once(spark, no_broadcast, monkeypatch):
         "2021-01-01 00:00:00")
     assert [p.count("Exchange hashpartitioning") for p in plans] == [1]
     assert history.read().count() == 61
+
+
+def test_a_fold_has_a_task_and_a_file_a_bucket(spark):
+    table = _table(spark, rows_per_bucket=10)
+    table.create(spark.range(50).selectExpr("cast(id as string) k", "0 v"), "1", at_most=50)
+    table.put(spark.range(30, 60).selectExpr("cast(id as string) k", "1 v"), "2", after="1", at_most=30)
+    name = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    before = spark.conf.get(name)
+    assert table.fold("2") and table._folders("base")["2"] == 5 and spark.conf.get(name) == before
+    assert len(table._read("base", "2", 5).inputFiles()) == 5
+    rows = {r["k"]: r["v"] for r in table.read().collect()}
+    assert rows == {str(i): int(i >= 30) for i in range(60)}
