@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from revmart.llm.components import components
-from revmart.llm.embedding_dedup import near_vectors, tables_and_bits, unite
+from revmart.llm.embedding_dedup import (Layout, bucket_codes, cell_codes, layout, near_vectors, tables_and_bits, unit,
+                                         unite)
 
 
 def _union(n, pairs):
@@ -96,3 +97,53 @@ def test_near_copies_link_with_their_originals(spark):
     for i in range(40):
         assert got[10**9 + i].component_id == got[2 * 10**9 + i].component_id == got[i].component_id
         assert got[i].n_links >= 2
+
+
+def test_vectors_are_dealt_to_few_cells(spark, monkeypatch):
+    """What leaves for the groups is a few times the vectors, however many tables there are."""
+    frame, made = type(spark.range(0)), []
+    plain = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, *a, **b: made.append(plain(self, *a, **b)) or made[-1])
+    rows = [(i, v.tolist()) for i, v in enumerate(np.random.default_rng(3).standard_normal((600, 16)))]
+    near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), bucket_rows=4)
+    moved = 0
+    for df in made:
+        if "vec" in df.columns:
+            wide = [F.sum(F.octet_length(c)) for c, kind in df.dtypes if kind == "binary"]
+            moved += sum(df.agg(*wide).first())
+    assert tables_and_bits(600, 0.9, 0.995, 4)[1] > 15
+    assert 600 * 16 * 8 <= moved <= 4 * 600 * 16 * 8
+
+
+def test_layout_follows_recall_and_bytes():
+    p = 1 - np.arccos(0.9) / np.pi
+    for n, dim in ((10, 64), (10**5, 64), (2_880_000, 64), (10**9, 64), (10**6, 1536), (10**6, 2)):
+        at = layout(n, n * (8 * dim + 512), 0.9, 0.995, 512, 96 << 20)
+        inside = 1 - (1 - p**at.bits) ** at.tables
+        assert 1 - (1 - p**at.cell_bits * inside) ** at.cell_tables >= 0.995
+        assert n * (8 * dim + 512) / 2**at.cell_bits <= 96 << 20
+        assert at.cell_bits + at.bits == tables_and_bits(n, 0.9, 0.995, 512)[0]
+    assert layout(2_880_000, 2_880_000 * 1024, 0.9, 0.995, 512, 96 << 20).cell_tables <= 9  # 38 tables
+
+
+@pytest.mark.parametrize("cell_bytes, block_rows", [  # one cell, several, several that are split
+    (1 << 30, 3), (80_000, 2048), (80_000, 3), (12_000, 1)])  # of few block_rows: groups are put off and split further
+def test_each_found_pair_counts_once(spark, cell_bytes, block_rows):
+    X = _vectors(np.random.default_rng(4))
+    copies = X[-42:]  # equal vectors are one class with several rows
+    X = np.concatenate([X[:-41], copies[:1], copies[-1:]])
+    U = unit(X)
+    at = layout(len(X), len(X) * (8 * 32 + 512), 0.9, 0.995, 16, cell_bytes)
+    cells = cell_codes(U, at, 11)
+    codes = [c for t in range(at.cell_tables) for c in bucket_codes(U, cells, at, 11, t)]
+    near = U @ U.T >= 0.9
+    found = near & np.any([c[:, None] == c[None, :] for c in codes], axis=0)
+    np.fill_diagonal(found, False)
+    np.fill_diagonal(near, False)
+    assert found.sum() >= 0.99 * near.sum()
+    assert (at.cell_bits > 0) == (cell_bytes < 1 << 30) and isinstance(at, Layout)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(X)], "vec_id long, embedding array<double>")
+    rows = near_vectors(df, bucket_rows=16, block_rows=block_rows, cell_bytes=cell_bytes).orderBy("vec_id").collect()
+    same = (X[:, None] == X[None, :]).all(axis=2) & ~np.eye(len(X), dtype=bool)
+    assert [r.n_links for r in rows] == (found | same).sum(axis=1).tolist()
+    assert [r.component_id for r in rows] == _union(len(X), np.argwhere(found | same).tolist())
